@@ -1,8 +1,555 @@
-"""Registered queries on the driver's tables, and their SQL."""
+"""Registered queries on the driver's tables, each with the SQL that gives the same rows.
+
+``part`` plays the entities, ``lineitem`` their child records, ``orders`` references, ``events`` closed intervals on a
+time axis, ``embeddings`` the vectors, ``documents``, ``conversations`` and ``pages`` the texts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-QUERIES: dict[str, Callable] = {}
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions import render, scoring, text
+from tessera.operators import dedup, flatten, intervals, lookup, quality, rank, vectors
+from tessera.operators import search as text_search
+from tessera.plans.atlas import bed_lines
+from tessera.sources import documents as sources
+from tessera.streaming import monitor
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+class Tables:
+    """The Parquet tables of a folder, read on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register ``f(tables)`` under its name, with its SQL."""
+
+    def put(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+def micros(ts: str = "ts") -> Column:
+    """Microseconds since 1970 of a time without zone, whatever the session's zone."""
+    t = F.col(ts)
+    seconds = F.expr(f"extract(SECOND FROM {ts})")
+    return F.unix_date(t.cast("date")) * 86_400_000_000 + F.hour(t).cast("long") * 3_600_000_000 + F.minute(t).cast("long") * 60_000_000 + (seconds * 1_000_000).cast("long")
+
+
+def event_intervals(t: Tables, seconds: int) -> DataFrame:
+    start = micros()
+    return t.events.select("event_id", F.col("event_type").alias("chr"), start.alias("start"), (start + seconds * 1_000_000).alias("end"), "user_id", "value")
+
+
+INTERVALS = "SELECT event_id, event_type AS chr, epoch_us(ts) AS s, epoch_us(ts) + {0}::BIGINT * 1000000 AS e, user_id, value FROM events"
+
+
+# --- statistics ---------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT 'bullets.n' AS metric, count(*) AS value FROM lineitem UNION ALL SELECT 'bullets.entities', count(DISTINCT l_partkey) FROM lineitem
+UNION ALL SELECT 'bullets.returned', count(*) FILTER (l_returnflag = 'R') FROM lineitem UNION ALL SELECT 'entities.n', count(*) FROM part
+UNION ALL SELECT 'entities.brands', count(DISTINCT p_brand) FROM part UNION ALL SELECT 'refs.n', count(*) FROM orders
+UNION ALL SELECT 'refs.owners', count(DISTINCT o_custkey) FROM orders""")
+def stats_global(t: Tables) -> DataFrame:
+    n = F.count("*")
+    return lookup.statistics({
+        "entities": (t.part, {"n": n, "brands": F.countDistinct("p_brand")}),
+        "bullets": (t.lineitem, {"n": n, "entities": F.countDistinct("l_partkey"), "returned": F.count(F.when(F.col("l_returnflag") == "R", 1))}),
+        "refs": (t.orders, {"n": n, "owners": F.countDistinct("o_custkey")}),
+    })
+
+
+@query("SELECT p_brand, p_size, count(*) AS n FROM part GROUP BY ALL")
+def stats_two_keys(t: Tables) -> DataFrame:
+    return lookup.group_counts(t.part, ["p_brand", "p_size"])
+
+
+@query("""SELECT p_type, count(DISTINCT l_suppkey) AS suppliers FROM lineitem JOIN part ON l_partkey = p_partkey
+GROUP BY p_type ORDER BY suppliers DESC, p_type LIMIT 15""")
+def stats_top_distinct(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", "l_suppkey").join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    return lookup.group_counts(rows, ["p_type"], "suppliers", "l_suppkey").limit(15)
+
+
+@query("SELECT l_returnflag AS category, count(*) AS n, count(DISTINCT l_partkey) AS entities, min(l_quantity) AS least, max(l_quantity) AS most FROM lineitem GROUP BY ALL")
+def stats_by_category(t: Tables) -> DataFrame:
+    g = t.lineitem.groupBy(F.col("l_returnflag").alias("category"))
+    return g.agg(F.count("*").alias("n"), F.countDistinct("l_partkey").alias("entities"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"))
+
+
+# --- lookups -----------------------------------------------------------------------------------------------------------
+
+
+@query("""
+WITH q AS (SELECT upper(n_name) AS query FROM nation UNION SELECT lower(r_name) FROM region UNION SELECT s_name FROM supplier UNION SELECT c_name FROM customer),
+h AS (SELECT query, n_nationkey::VARCHAR AS id, 0 AS tier, n_nationkey AS k FROM q JOIN nation ON lower(query) = lower(n_name)
+ UNION ALL SELECT query, r_regionkey::VARCHAR, 1, r_regionkey FROM q JOIN region ON lower(query) = lower(r_name)
+ UNION ALL SELECT query, s_suppkey::VARCHAR, 2, s_suppkey FROM q JOIN supplier ON lower(query) = lower(s_name))
+SELECT query, id, tier FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY tier, k) AS n FROM h) WHERE n = 1""")
+def resolve_priority(t: Tables) -> DataFrame:
+    asked = t.nation.select(F.upper("n_name").alias("query")).union(t.region.select(F.lower("r_name"))).union(t.supplier.select("s_name")).union(t.customer.select("c_name")).distinct()
+    tier = lambda df, key, name: (df.select(F.col(key).cast("string").alias("id"), F.col(name).alias("name"), F.col(key).alias("k")), "name", "id", [F.col("k")])
+    return lookup.resolve(asked, [tier(t.nation, "n_nationkey", "n_name"), tier(t.region, "r_regionkey", "r_name"), tier(t.supplier, "s_suppkey", "s_name")])
+
+
+@query("""SELECT p_partkey, p_name, p_brand FROM part WHERE p_brand ILIKE 'brand#1_' OR p_name ILIKE '%1%'""")
+def reverse_lookup_or(t: Tables) -> DataFrame:
+    return t.part.where(F.col("p_brand").ilike("brand#1_") | lookup.containing(F.col("p_name"), "1")).select("p_partkey", "p_name", "p_brand")
+
+
+@query("""SELECT DISTINCT p_partkey, p_brand, p_size FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'A' AND l_quantity >= 45""")
+def reverse_by_tag(t: Tables) -> DataFrame:
+    tags = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_returnflag", "l_quantity")
+    return lookup.reverse(tags, (F.col("l_returnflag") == "A") & (F.col("l_quantity") >= 45), t.part, "p_partkey", ["p_partkey", "p_brand", "p_size"], [F.col("p_partkey")])
+
+
+@query("""SELECT p_partkey, p_brand FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R')
+AND EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_linestatus = 'O') AND EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_discount >= 0.09)""")
+def facet_semi_join_independent(t: Tables) -> DataFrame:
+    tags = t.lineitem.withColumnRenamed("l_partkey", "p_partkey")
+    return lookup.having_each(t.part.select("p_partkey", "p_brand"), "p_partkey", [(tags, F.col("l_returnflag") == "R"), (tags, F.col("l_linestatus") == "O"), (tags, F.col("l_discount") >= 0.09)])
+
+
+@query("SELECT p_partkey, p_brand FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'N' AND l_linestatus = 'O' AND l_discount >= 0.09)")
+def facet_same_row(t: Tables) -> DataFrame:
+    tags = t.lineitem.withColumnRenamed("l_partkey", "p_partkey")
+    return lookup.having_same_row(t.part.select("p_partkey", "p_brand"), "p_partkey", tags, [F.col("l_returnflag") == "N", F.col("l_linestatus") == "O", F.col("l_discount") >= 0.09])
+
+
+@query("""SELECT p_partkey, p_brand, (SELECT count(*) FROM lineitem l WHERE l.l_partkey = p_partkey AND l_returnflag = 'R') AS n_in_cat FROM part
+WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F')""")
+def category_counts_decorrelated(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), F.col("l_returnflag").alias("category"), F.col("l_linestatus").alias("confidence"))
+    return lookup.in_category(rows, t.part.select("p_partkey", "p_brand"), "R", "p_partkey", "F")
+
+
+@query("""SELECT p_partkey, count(l_orderkey) AS n_bullets, coalesce(sum(l_linenumber), 0)::BIGINT AS numbers FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY ALL""")
+def entity_get_nested_counts(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_linenumber", "l_quantity")
+    doc = flatten.nested(t.part.select("p_partkey"), "p_partkey", {"bullets": (rows, ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_linenumber", "l_quantity"])})
+    total = F.aggregate("bullets", F.lit(0).cast("long"), lambda a, b: a + b["l_linenumber"])
+    return doc.select("p_partkey", F.size("bullets").cast("long").alias("n_bullets"), total.alias("numbers"))
+
+
+@query("SELECT l_partkey, (row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) - 1)::INT AS pos, l_orderkey, l_quantity FROM lineitem")
+def nested_round_trip(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
+    doc = flatten.nested(rows.select("l_partkey").distinct(), "l_partkey", {"b": (rows, ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"], ["l_orderkey", "l_quantity"])})
+    return doc.select("l_partkey", F.posexplode("b").alias("pos", "x")).select("l_partkey", "pos", "x.l_orderkey", "x.l_quantity")
+
+
+@query("""SELECT p_partkey, l_returnflag AS category, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
+def regroup_by_category(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), F.col("l_returnflag").alias("category"), "l_orderkey")
+    return flatten.by_category(rows.join(t.part.select("p_partkey"), "p_partkey"), "p_partkey", "category", ["l_orderkey"], ["l_orderkey"]).select("p_partkey", "category", "n")
+
+
+# --- windows, top-k, samples -------------------------------------------------------------------------------------------
+
+
+@query("""SELECT l_partkey, l_orderkey, l_linenumber, l_extendedprice, rank::INT AS rank FROM (SELECT *, row_number() OVER
+(PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank FROM lineitem) WHERE rank <= 3""")
+def topn_per_group(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return lookup.top_per_group(rows, ["l_partkey"], [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")], 3)
+
+
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, o_orderpriority = '1-URGENT' AS rep, CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS yr FROM orders)
+SELECT o_custkey, o_orderkey, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY rep DESC, yr DESC NULLS LAST, o_orderkey) AS rank FROM r
+WHERE rep OR yr IS NOT NULL) WHERE rank <= 5""")
+def ref_selection_backfill(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_custkey", "o_orderkey", (F.col("o_orderpriority") == "1-URGENT").alias("rep"), F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate")).alias("yr"))
+    return lookup.select_references(rows, "o_custkey", "o_orderkey", "yr", "rep", 5).select("o_custkey", "o_orderkey", "rank")
+
+
+@query("""SELECT doc_id, source FROM (SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR || '|42'), doc_id) AS n FROM documents)
+WHERE n <= 10 OR n_chars < 100""")
+def stratified_pick(t: Tables) -> DataFrame:
+    return lookup.stratified(t.documents.select("doc_id", "source", "n_chars"), "source", "doc_id", 10, 42, F.col("n_chars") < 100).select("doc_id", "source")
+
+
+# --- merging and deduplication -----------------------------------------------------------------------------------------
+
+
+@query(r"""SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang, md5(lower(trim(regexp_replace(text, '\s+', ' ', 'g')))) ORDER BY doc_id) AS n FROM documents) WHERE n = 1""")
+def first_wins_dedup(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", "lang", F.md5(dedup.folded(F.col("text"))).alias("k"))
+    return dedup.first_wins(rows, [F.col("lang"), F.col("k")], ["doc_id"]).select("doc_id", "lang")
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+ORDER BY (o_orderstatus = 'F')::INT DESC, o_totalprice DESC, o_orderkey) AS n FROM orders) WHERE n = 1""")
+def best_record_dedup(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    best = dedup.best_record(rows, [F.col("o_custkey")], [(F.col("o_orderstatus") == "F").cast("int"), F.col("o_totalprice")], ["o_orderkey"])
+    return best.select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@query("""SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice, min(o_orderkey) AS first_position FROM orders GROUP BY o_custkey""")
+def last_write_wins(t: Tables) -> DataFrame:
+    return dedup.last_wins(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], "o_orderkey").select("o_custkey", "o_totalprice", "first_position")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def anti_join_todo(t: Tables) -> DataFrame:
+    return dedup.todo(t.customer.select("c_custkey", "c_name"), t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@query("""SELECT key, bool_or(t = 'a') AS in_customer, bool_or(t = 'b') AS in_orders, bool_or(t = 'c') AS in_supplier FROM
+(SELECT c_custkey AS key, 'a' AS t FROM customer UNION ALL SELECT o_custkey, 'b' FROM orders UNION ALL SELECT s_suppkey, 'c' FROM supplier) GROUP BY key""")
+def set_audit_3way(t: Tables) -> DataFrame:
+    one = lambda df, c: df.select(F.col(c).alias("key"))
+    return dedup.membership({"customer": one(t.customer, "c_custkey"), "orders": one(t.orders, "o_custkey"), "supplier": one(t.supplier, "s_suppkey")}, "key")
+
+
+@query("""SELECT coalesce(s_suppkey, c_custkey) AS key, coalesce(s_nationkey, c_nationkey) AS nation, coalesce(s_acctbal, c_acctbal) AS balance,
+CASE WHEN s_suppkey IS NULL THEN 'customer' WHEN c_custkey IS NULL THEN 'supplier' ELSE 'supplier+customer' END AS source
+FROM supplier FULL JOIN customer ON s_suppkey = c_custkey""")
+def full_outer_merge(t: Tables) -> DataFrame:
+    a = t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"))
+    b = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"))
+    return dedup.full_merge(a, b, "key", ["nation", "balance"], ("supplier", "customer"))
+
+
+@query("""SELECT c_custkey AS key, coalesce(nullif(CASE WHEN n_regionkey = 1 THEN '' ELSE n_name END, ''), s_name, c_mktsegment) AS title
+FROM customer LEFT JOIN nation ON n_nationkey = c_custkey LEFT JOIN supplier ON s_suppkey = c_custkey""")
+def layered_coalesce(t: Tables) -> DataFrame:
+    base = t.customer.select(F.col("c_custkey").alias("key"))
+    first = t.nation.select(F.col("n_nationkey").cast("long").alias("key"), F.when(F.col("n_regionkey") == 1, "").otherwise(F.col("n_name")).alias("title"))
+    second = t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("title"))
+    third = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("title"))
+    return dedup.layered(base, "key", [first, second, third], ["title"])
+
+
+@query("""WITH x AS (SELECT o_custkey, list(DISTINCT o_orderpriority) FILTER (o_orderstatus = 'F') AS b, list(DISTINCT o_orderpriority) FILTER (o_orderstatus = 'O') AS a FROM orders GROUP BY o_custkey)
+SELECT o_custkey, len(list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(b, []), x))) AS added,
+len(list_filter(coalesce(b, []), lambda x: NOT list_contains(coalesce(a, []), x))) AS dropped, len(list_intersect(coalesce(a, []), coalesce(b, []))) AS stable FROM x""")
+def before_after_diff(t: Tables) -> DataFrame:
+    pick = lambda s: F.collect_set(F.when(F.col("o_orderstatus") == s, F.col("o_orderpriority")))
+    rows = t.orders.groupBy("o_custkey").agg(pick("F").alias("b"), pick("O").alias("a"))
+    d = rows.select("o_custkey", dedup.compare_lists(F.col("b"), F.col("a")).alias("d"))
+    return d.select("o_custkey", *[F.size(f"d.{c}").cast("long").alias(c) for c in ("added", "dropped", "stable")])
+
+
+# --- intervals ---------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT event_id, s AS start, e AS end FROM ({INTERVALS.format(3600)}) WHERE chr = 'click' AND e >= 1704672000000000 AND s <= 1705276800000000")
+def region_filter(t: Tables) -> DataFrame:
+    return intervals.overlaps(event_intervals(t, 3600), "click", 1_704_672_000_000_000, 1_705_276_800_000_000).select("event_id", "start", "end")
+
+
+@query(f"""WITH i AS ({INTERVALS.format(1800)}), r AS (SELECT event_id AS region, chr, s - 900000000 AS s, e AS e FROM i WHERE value > 90)
+SELECT region, count(*) AS members, min(i.s) AS first_start FROM r JOIN i ON r.chr = i.chr AND i.e >= r.s AND i.s <= r.e GROUP BY region""")
+def region_batch_join(t: Tables) -> DataFrame:
+    i = event_intervals(t, 1800)
+    r = i.where("value > 90").select(F.col("event_id").alias("region"), F.col("chr").alias("rc"), (F.col("start") - 900_000_000).alias("rs"), F.col("end").alias("re"))
+    hits = intervals.overlap_join(r, i, ("rc", "rs", "re"), width=3_600_000_000)
+    return hits.groupBy("region").agg(F.count("*").alias("members"), F.min("start").alias("first_start"))
+
+
+PAIRS = f"""WITH i AS ({INTERVALS.format(300)}), p AS (SELECT a.event_id AS id_a, b.event_id AS id_b, a.chr, greatest(a.s, b.s) AS overlap_start, least(a.e, b.e) AS overlap_end,
+a.user_id <> b.user_id AS is_cross FROM i a JOIN i b ON a.chr = b.chr AND a.event_id < b.event_id AND a.e >= b.s AND a.s <= b.e)"""
+
+
+@query(PAIRS + " SELECT *, overlap_end - overlap_start + 1 AS overlap_bp FROM p")
+def pair_overlap(t: Tables) -> DataFrame:
+    return intervals.pair_overlaps(event_intervals(t, 300), "event_id", "event_id", label="user_id", width=1_200_000_000).drop("o_a", "o_b")
+
+
+@query(PAIRS + " SELECT id_a, id_b, count(i.event_id) AS n_items FROM p LEFT JOIN i ON i.chr = p.chr AND i.e >= overlap_start AND i.s <= overlap_end GROUP BY id_a, id_b")
+def pair_overlap_counts(t: Tables) -> DataFrame:
+    i = event_intervals(t, 300)
+    pairs = intervals.pair_overlaps(i, "event_id", "event_id", label="user_id", width=1_200_000_000)
+    return intervals.count_inside(pairs, i, "chr", ("chr", "start", "end"), "event_id").select("id_a", "id_b", "n_items")
+
+
+@query("""WITH m AS (SELECT p_brand AS region, CASE WHEN l_linenumber <> 3 AND l_suppkey <> 0 THEN l_returnflag END AS chr, l_suppkey AS s, l_suppkey + l_linenumber AS e,
+row_number() OVER (PARTITION BY p_brand ORDER BY l_orderkey, l_linenumber, l_partkey) AS n FROM lineitem JOIN part ON l_partkey = p_partkey),
+g AS (SELECT region, chr, count(*) AS c, min(n) AS f, min(s) AS target_start, max(e) AS target_end FROM m GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY chr IS NULL, c DESC, f) AS k, sum(c) OVER (PARTITION BY region) AS n_members, sum(CASE WHEN chr IS NULL THEN c ELSE 0 END) OVER (PARTITION BY region) AS dropped FROM g)
+SELECT region, n_members::BIGINT AS n_members, chr AS target_chr, target_start, target_end, dropped::BIGINT AS dropped, (n_members - dropped - c)::BIGINT AS other_chr FROM w WHERE k = 1""")
+def lift_dominant_mode(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag").join(t.part.select("p_partkey", F.col("p_brand").alias("region")), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.withColumn("chr", F.when(F.col("l_linenumber") != 3, F.col("l_returnflag"))).withColumn("e", F.col("l_suppkey") + F.col("l_linenumber"))
+    return intervals.lift(rows, ["region"], ("chr", "l_suppkey", "e"), ["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+@query("""SELECT concat_ws(chr(9), event_type, epoch_us(ts), epoch_us(ts) + 60000000, event_id || '|' || user_id, user_id, '+') AS value FROM events""")
+def bed_export_lines(t: Tables) -> DataFrame:
+    i = event_intervals(t, 60).withColumn("id", F.col("event_id").cast("string")).withColumn("user", F.col("user_id").cast("string"))
+    return bed_lines(i, "chr", "start", "end", ["id", "user"], "user_id").select("value")
+
+
+# --- vectors -----------------------------------------------------------------------------------------------------------
+
+VEC = "SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings"
+
+
+@query(f"WITH e AS ({VEC}) SELECT vec_id, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 0)), 6) AS score FROM e ORDER BY score DESC, vec_id LIMIT 20")
+def cosine_topk(t: Tables) -> DataFrame:
+    return _against(t, t.embeddings, 0).orderBy(F.desc("score"), "vec_id").limit(20)
+
+
+def _against(t: Tables, rows: DataFrame, query_id: int) -> DataFrame:
+    """vec_id and the similarity to a stored vector (one broadcast row)."""
+    q = t.embeddings.where(F.col("vec_id") == query_id).select(F.col("embedding").alias("__q")).limit(1)
+    return rows.join(F.broadcast(q)).select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("__q")), 6).alias("score"))
+
+
+@query(f"WITH e AS ({VEC}) SELECT vec_id, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 1)), 6) AS score FROM e WHERE vec_id IN (SELECT p_partkey FROM part WHERE p_size BETWEEN 10 AND 30) ORDER BY score DESC, vec_id LIMIT 20")
+def cosine_topk_filtered(t: Tables) -> DataFrame:
+    ids = t.part.where("p_size BETWEEN 10 AND 30").select(F.col("p_partkey").alias("vec_id"))
+    return _against(t, t.embeddings.join(ids, "vec_id", "left_semi"), 1).orderBy(F.desc("score"), "vec_id").limit(20)
+
+
+@query(f"""WITH e AS ({VEC}), s AS (SELECT vec_id, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 2)), 6) AS ev_a, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 3)), 6) AS ev_b FROM e)
+SELECT vec_id, ev_a, ev_b, least(ev_a, ev_b) AS min_ev, greatest(ev_a, ev_b) AS max_ev FROM s
+ORDER BY round(round_even(least(ev_a, ev_b) / 0.05, 0) * 0.05, 2) DESC, vec_id % 7 DESC, vec_id % 5 DESC, max_ev DESC, vec_id LIMIT 50""")
+def two_query_bin_sort(t: Tables) -> DataFrame:
+    a = _against(t, t.embeddings, 2).withColumnRenamed("score", "ev_a")
+    b = _against(t, t.embeddings, 3).withColumnRenamed("score", "ev_b")
+    rows = a.join(b, "vec_id").withColumn("min_ev", F.least("ev_a", "ev_b")).withColumn("max_ev", F.greatest("ev_a", "ev_b"))
+    rows = rows.withColumn("n_bullets", F.col("vec_id") % 7).withColumn("n_refs", F.col("vec_id") % 5)
+    return rows.orderBy(*rank.shared_order(), "vec_id").limit(50).drop("n_bullets", "n_refs")
+
+
+@query(f"""WITH e AS ({VEC}) SELECT p_partkey, p_name, p_brand, p_size, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 0)), 6) AS score
+FROM part JOIN e ON vec_id = p_partkey WHERE p_size BETWEEN 5 AND 40 ORDER BY score DESC, p_partkey LIMIT 20""")
+def hybrid_region_semantic(t: Tables) -> DataFrame:
+    members = t.part.where("p_size BETWEEN 5 AND 40").select("p_partkey", "p_name", "p_brand", "p_size")
+    hits = _against(t, t.embeddings.join(members.select(F.col("p_partkey").alias("vec_id")), "vec_id", "left_semi"), 0).orderBy(F.desc("score"), "vec_id").limit(20)
+    return vectors.with_metadata(hits.withColumnRenamed("vec_id", "p_partkey"), members, "p_partkey")
+
+
+# --- ranking -----------------------------------------------------------------------------------------------------------
+
+
+def _annotated(t: Tables) -> DataFrame:
+    """Parts with counts and flags of their line items."""
+    n = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
+        F.count("*").alias("n_bullets"), F.countDistinct("l_suppkey").alias("n_refs"), F.sum("l_linenumber").alias("n_pubs"), F.max(F.col("l_returnflag") == "R").alias("h"),
+        F.max(F.col("l_linestatus") == "O").alias("m"), F.max(F.col("l_discount") >= 0.1).alias("d"),
+    )
+    return t.part.join(n, "p_partkey", "left")
+
+
+ANNOTATED = """n AS (SELECT l_partkey, count(*) AS n_bullets, count(DISTINCT l_suppkey) AS n_refs, sum(l_linenumber) AS n_pubs, bool_or(l_returnflag = 'R') AS h, bool_or(l_linestatus = 'O') AS m, bool_or(l_discount >= 0.1) AS d FROM lineitem GROUP BY 1),
+a AS (SELECT part.*, coalesce(n_bullets, 0) AS b, coalesce(n_refs, 0) AS r, coalesce(n_pubs, 0) AS u, coalesce(h, false) AS h, coalesce(m, false) AS m, coalesce(d, false) AS d FROM part LEFT JOIN n ON l_partkey = p_partkey),
+q AS (SELECT *, round(greatest(0, least(1, 0.30 * least(1, ln(1 + b) / ln(31)) + 0.25 * least(1, ln(1 + r) / ln(26)) + 0.20 * least(1, ln(1 + u::DOUBLE) / ln(501)) + 0.10 * h::INT + 0.10 * m::INT + 0.05 * d::INT
+ - CASE WHEN b <= 3 THEN 0.15 ELSE 0 END)), 6)::DOUBLE AS quality FROM a)"""
+
+
+def _quality() -> Column:
+    return F.round(scoring.annotation_quality(*[F.col(c) for c in ("n_bullets", "n_refs", "n_pubs", "h", "m", "d")]), 6)
+
+
+@query(f"WITH {ANNOTATED} SELECT p_partkey, quality FROM q")
+def quality_score(t: Tables) -> DataFrame:
+    return _annotated(t).select("p_partkey", _quality().alias("quality"))
+
+
+RANKED = f"""WITH e AS ({VEC}), {ANNOTATED}, s AS (SELECT q.*, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 0)), 6) AS evidence FROM q JOIN e ON vec_id = p_partkey),
+k AS (SELECT *, CASE WHEN evidence >= 0.1 AND quality >= 0.5 THEN 'STRONG' WHEN evidence >= 0.1 THEN 'NOVEL_LEAD' WHEN quality >= 0.5 THEN 'LIKELY_NOT' ELSE 'CANT_RULE_OUT' END AS quadrant FROM s),
+w AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY list_position(['STRONG', 'NOVEL_LEAD', 'CANT_RULE_OUT', 'LIKELY_NOT'], quadrant), round(evidence + 0.3 * quality, 6) DESC, p_size, p_partkey) AS rank FROM k)"""
+
+
+def _ranked(t: Tables, top: int | None) -> DataFrame:
+    q = t.embeddings.where("vec_id = 0").select(F.col("embedding").alias("__q")).limit(1)
+    rows = _annotated(t).join(t.embeddings.select(F.col("vec_id").alias("p_partkey"), "embedding"), "p_partkey").join(F.broadcast(q))
+    ev = vectors.cosine(F.col("embedding"), F.col("__q"))
+    return rank.rank_two_ways(rows, ev, ["p_brand"], "p_partkey", "p_size", ("n_bullets", "n_refs", "n_pubs"), ("h", "m", "d"), top, (0.1, 0.5))
+
+
+@query(RANKED + " SELECT p_brand, p_partkey, evidence, quality, quadrant, rank::INT AS rank FROM w WHERE rank <= 7")
+def rank_2d(t: Tables) -> DataFrame:
+    return _ranked(t, 7).select("p_brand", "p_partkey", "evidence", "quality", "quadrant", "rank")
+
+
+@query(RANKED + """ SELECT p_brand, count(*) FILTER (quadrant = 'STRONG') AS "STRONG", count(*) FILTER (quadrant = 'NOVEL_LEAD') AS "NOVEL_LEAD", count(*) FILTER (quadrant = 'CANT_RULE_OUT') AS "CANT_RULE_OUT", count(*) FILTER (quadrant = 'LIKELY_NOT') AS "LIKELY_NOT" FROM w GROUP BY 1""")
+def quadrant_hist(t: Tables) -> DataFrame:
+    return rank.quadrant_counts(_ranked(t, None), ["p_brand"])
+
+
+# --- text --------------------------------------------------------------------------------------------------------------
+
+WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+CONTENT = r"list_distinct(list_filter(regexp_split_to_array(regexp_replace(lower({0}), '[^a-z0-9 ]', ' ', 'g'), '\s+'), lambda w: length(w) >= 4 AND NOT list_contains({1}, w)))"
+STOPS = "[" + ", ".join(f"'{w}'" for w in text.STOP_WORDS) + "]"
+
+
+def content_sql(column: str) -> str:
+    return CONTENT.format(column, STOPS)
+
+
+@query(f"SELECT doc_id, len({content_sql('text')}) AS n_tokens, len({WORDS}) AS n_words FROM documents")
+def content_tokens(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.size(text.content_tokens(F.col("text"))).cast("long").alias("n_tokens"), F.size(text.unicode_tokens(F.col("text"))).cast("long").alias("n_words"))
+
+
+LEXICON = ("the", "that", "und", "der", "les", "que", "license", "Apache")
+
+
+@query("SELECT doc_id, array_to_string(list_sort([t FOR t IN ['the', 'that', 'und', 'der', 'les', 'que', 'license', 'apache'] IF regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])' || t || '($|[^\\p{L}\\p{N}_])')]), ',') AS tags FROM documents")
+def lexicon_tags(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.array_join(text.lexicon_tags(F.col("text"), LEXICON, {}), ",").alias("tags"))
+
+
+@query(r"""WITH c AS (SELECT conv_id, turn, len(regexp_extract_all(role || ' ' || text, '\b\d[\d.,]*(?:%|[xX]|-fold| times| hr| h)?\b')) AS a, len(regexp_extract_all(role || ' ' || text, '\b(FBrf\d+|FBgn\d+|FBal\d+|OMIM:|HP:|MIM:|S\d+[AGRC]|per[01LS]|w[01-9]+|shi\[[^\]]+\])\b')) AS b, length(role) >= 80 AS l FROM conversations)
+SELECT conv_id, turn, CASE WHEN 2 * a + 2 * b + l::INT >= 4 THEN 'high' WHEN 2 * a + 2 * b + l::INT >= 2 THEN 'medium' ELSE 'low' END AS specificity FROM c""")
+def text_specificity(t: Tables) -> DataFrame:
+    return t.conversations.select("conv_id", "turn", text.specificity(F.col("role"), F.col("text")).alias("specificity"))
+
+
+@query(f"""WITH u AS (SELECT conv_id, {content_sql("string_agg(text, ' ')")} AS i FROM conversations WHERE role = 'user' GROUP BY conv_id),
+a AS (SELECT conv_id, turn, {content_sql('text')} AS w FROM conversations WHERE role <> 'user')
+SELECT conv_id AS entity, turn::VARCHAR AS item, len(list_intersect(w, i))::VARCHAR AS detail FROM a JOIN u USING (conv_id) WHERE len(w) > 0 AND len(list_intersect(w, i)) < 2""")
+def token_grounding(t: Tables) -> DataFrame:
+    inputs = t.conversations.where("role = 'user'").groupBy("conv_id").agg(F.concat_ws(" ", F.collect_list("text")).alias("input"))
+    answers = t.conversations.where("role <> 'user'").select("conv_id", "turn", "text")
+    return quality.weak_grounding(answers, inputs, "conv_id", "text", "input", "turn").select("entity", "item", "detail")
+
+
+@query(f"""WITH w AS (SELECT doc_id, source, lang, {content_sql('text')} AS t FROM documents),
+p AS (SELECT b.doc_id, a.doc_id AS earlier, len(list_intersect(a.t, b.t)) AS i, len(list_distinct(list_concat(a.t, b.t))) AS u FROM w a JOIN w b ON a.source = b.source AND a.lang = b.lang AND a.doc_id < b.doc_id WHERE len(a.t) > 0 AND len(b.t) > 0)
+SELECT doc_id, min(earlier) AS earlier, round(arg_min(i / u, earlier), 6) AS similarity FROM p WHERE i / u >= 0.75 AND u - i < 3 GROUP BY doc_id""")
+def near_dup_jaccard(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", "source", "lang", text.content_tokens(F.col("text")).alias("t"))
+    return dedup.near_duplicates(rows, ["source", "lang"], "doc_id", "doc_id", "t")
+
+
+@query(r"""SELECT doc_id, substr(concat_ws(chr(10), source || ' ' || lang, substr(text, 1, 600), '', substr(lang, 1, 300), substr(substr(text, 1, 200), 1, greatest(1500, 14000 - length(concat_ws(chr(10), source || ' ' || lang, substr(text, 1, 600), '', substr(lang, 1, 300)))))), 1, 14000) AS body FROM documents""")
+def embed_text_budget(t: Tables) -> DataFrame:
+    none = F.array().cast("array<string>")
+    body = render.entity_text(F.col("source"), F.col("lang"), F.col("text"), F.array("text"), none, F.col("lang"))
+    return t.documents.select("doc_id", body.alias("body"))
+
+
+BM25 = r"""WITH w AS (SELECT doc_id, {0} AS t FROM documents), d AS (SELECT doc_id, len(t) AS len FROM w), g AS (SELECT count(*) AS n, avg(len) AS mean FROM d),
+x AS (SELECT doc_id, unnest(t) AS term FROM w), h AS (SELECT doc_id, term, count(*) AS tf FROM x WHERE term IN ({1}) GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM h GROUP BY term),
+m AS ({2}), s AS (SELECT doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS score FROM h JOIN f USING (term) JOIN d USING (doc_id), g WHERE doc_id IN (SELECT doc_id FROM m) GROUP BY doc_id)
+SELECT doc_id AS doc, round(score, 6) AS score FROM s ORDER BY round(score, 6) DESC, doc_id LIMIT {3}"""
+
+
+@query(BM25.format(WORDS, "'license', 'apache', 'idiot'", "SELECT doc_id FROM h", 50))
+def bm25_topk(t: Tables) -> DataFrame:
+    return text_search.search(t.documents, "doc_id", ["text"], "license OR apache OR idiot", 50).select("doc", "score")
+
+
+@query(BM25.format(WORDS, "'the', 'license', 'under'", """SELECT doc_id FROM w WHERE list_contains(t, 'the') AND regexp_matches(' ' || array_to_string(t, ' ') || ' ', ' under the apache ') AND list_contains(t, 'license') AND NOT list_contains(t, 'moron')""", 1000000).replace("'under')", "'under', 'apache')"))
+def boolean_search(t: Tables) -> DataFrame:
+    return text_search.search(t.documents, "doc_id", ["text"], '"under the apache" AND license NOT moron', 1_000_000).select("doc", "score")
+
+
+# --- quality -----------------------------------------------------------------------------------------------------------
+
+
+def _issues(t: Tables) -> DataFrame:
+    """Issues of documents: very short, toxic, of low quality, unlabelled."""
+    d = t.documents.select("doc_id", "n_chars").join(t.labels, "doc_id", "left")
+    code = F.array_compact(F.array(
+        F.when(F.col("n_chars") < 200, "bullet_count.out_of_range"), F.when(F.col("toxic") == 1, "omim.phantom"),
+        F.when(F.col("quality") == 0, "phenotype.weak_input_grounding"), F.when(F.col("quality").isNull(), "omim.missed"),
+    ))
+    return d.select(F.col("doc_id").alias("entity"), F.explode(code).alias("code"), F.lit("warn").alias("severity"))
+
+
+ISSUES = """i AS (SELECT doc_id, unnest(list_filter([CASE WHEN n_chars < 200 THEN 'bullet_count.out_of_range' END, CASE WHEN toxic = 1 THEN 'omim.phantom' END,
+CASE WHEN quality = 0 THEN 'phenotype.weak_input_grounding' END, CASE WHEN quality IS NULL THEN 'omim.missed' END], lambda c: c IS NOT NULL)) AS code FROM documents LEFT JOIN labels USING (doc_id)),
+p AS (SELECT * FROM (VALUES ('bullet_count.out_of_range', 12), ('omim.phantom', 25), ('phenotype.weak_input_grounding', 8), ('omim.missed', 0)) v(code, lost)),
+s AS (SELECT doc_id AS entity, count(code) AS n_issues, greatest(0, 100 - coalesce(sum(lost), 0))::INT AS qa_score, max(n_chars) AS n_chars FROM documents LEFT JOIN i USING (doc_id) LEFT JOIN p USING (code) GROUP BY doc_id)"""
+
+
+@query(f"WITH {ISSUES} SELECT entity, n_issues, qa_score, CASE WHEN qa_score >= 90 THEN 'accept' WHEN qa_score >= 70 THEN 'audit' ELSE 'redo' END AS band FROM s")
+def qa_score(t: Tables) -> DataFrame:
+    return quality.scores(t.documents, _issues(t), "doc_id").select("entity", "n_issues", "qa_score", scoring.band(F.col("qa_score")).alias("band"))
+
+
+@query(f"WITH {ISSUES}, m AS (SELECT median(n_chars) AS m, stddev_samp(n_chars) AS d FROM s) SELECT entity, round(abs(n_chars - m) / d, 6) AS z, abs(n_chars - m) / d > 3 AS is_outlier, CASE WHEN abs(n_chars - m) / d > 3 THEN greatest(0, qa_score - 6) ELSE qa_score END AS qa_score FROM s, m")
+def cohort_outlier(t: Tables) -> DataFrame:
+    rows = quality.scores(t.documents, _issues(t), "doc_id").join(t.documents.select(F.col("doc_id").alias("entity"), "n_chars"), "entity")
+    return quality.cohort_outliers(rows, "n_chars", "qa_score").select("entity", "z", "is_outlier", "qa_score")
+
+
+@query(f"WITH {ISSUES} SELECT code, 'warn' AS severity, count(*) AS n FROM i GROUP BY code")
+def issue_hist(t: Tables) -> DataFrame:
+    return quality.histogram(_issues(t))
+
+
+@query(f"WITH {ISSUES} SELECT count(*) AS n, min(qa_score) AS least, max(qa_score) AS greatest, median(qa_score) AS median, round(avg(qa_score), 6) AS mean, round(stddev_samp(qa_score), 6) AS deviation FROM s")
+def qa_summary(t: Tables) -> DataFrame:
+    return quality.summary(quality.scores(t.documents, _issues(t), "doc_id"), "qa_score")
+
+
+@query("""SELECT l_partkey AS entity, 'schema_drift.' || CASE WHEN count(*) = count(*) FILTER (l_returnflag = 'N') THEN 'missing_flag' ELSE 'partial_missing_flag' END AS code FROM lineitem GROUP BY l_partkey HAVING count(*) FILTER (l_returnflag = 'N') > 0""")
+def schema_drift(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"))
+    return quality.schema_drift(rows, "l_partkey", ["flag"]).select("entity", "code")
+
+
+@query("""SELECT l_orderkey AS entity, l_suppkey::VARCHAR AS detail FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)""")
+def phantom_citations(t: Tables) -> DataFrame:
+    cited = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("value"), F.lit("x").alias("item"))
+    known = t.lineitem.select("l_orderkey", F.col("l_suppkey").alias("value")).join(t.supplier.where("s_acctbal > 0").select(F.col("s_suppkey").alias("value")), "value", "left_semi")
+    return quality.phantom_citations(cited, known, "l_orderkey", "value", "item").select("entity", "detail")
+
+
+# --- pages, streams ----------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT page_id, (i - 1)::INT AS pos, l[i] AS href FROM (SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS l FROM pages), LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i)""")
+def html_links(t: Tables) -> DataFrame:
+    return sources.links(t.pages, "page_id", "html")
+
+
+@query()
+def html_section_text(t: Tables) -> DataFrame:
+    return sources.section_texts(t.pages, "page_id", "html", tags=("title", "article", "footer"))
+
+
+@query("""SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN 300000000 PRECEDING AND CURRENT ROW) AS n_trailing FROM events WHERE event_type = 'error'""")
+def sliding_error_counts(t: Tables) -> DataFrame:
+    rows = t.events.where("event_type = 'error'").select("event_id", "event_type", micros().alias("us"))
+    return monitor.trailing_counts(rows, "us", ["event_type"], 300).select("event_id", "n_trailing")
+
+
+@query("""SELECT epoch_us(time_bucket(INTERVAL '15 minutes', ts)) AS window_us, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type = 'purchase') AS purchases FROM events GROUP BY 1""")
+def tumbling_rate(t: Tables) -> DataFrame:
+    found = monitor.rates(t.events, "ts", "15 minutes", None, {"errors": "event_type = 'error'", "purchases": "event_type = 'purchase'"})
+    return found.select(micros("window_start").alias("window_us"), "n", "errors", "purchases")
+
+
+@query("""WITH RECURSIVE o AS (SELECT user_id, event_type <> 'error' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+r(user_id, k, b, run, low) AS (SELECT DISTINCT user_id, 0::BIGINT, 8, 0, 8 FROM o UNION ALL
+ SELECT r.user_id, o.k, CASE WHEN NOT ok THEN greatest(1, b - 1) WHEN run + 1 >= 3 THEN least(16, b + 1) ELSE b END, CASE WHEN NOT ok OR run + 1 >= 3 THEN 0 ELSE run + 1 END,
+ least(low, CASE WHEN NOT ok THEN greatest(1, b - 1) WHEN run + 1 >= 3 THEN least(16, b + 1) ELSE b END) FROM r JOIN o ON o.user_id = r.user_id AND o.k = r.k + 1)
+SELECT user_id, arg_max(b, k)::INT AS final_budget, arg_max(low, k)::INT AS least_budget, max(k) AS n FROM r GROUP BY user_id""")
+def budget_fold(t: Tables) -> DataFrame:
+    rows = t.events.select("user_id", "event_id", (F.col("event_type") != "error").alias("ok"))
+    return monitor.budget_steps(rows, "user_id", "event_id", "ok")
+
+
+@query("""WITH g AS (SELECT l_partkey, l_suppkey, l_returnflag, count(*) AS n, arg_min(l_orderkey, l_orderkey) AS r FROM lineitem GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, l_suppkey, l_returnflag) AS rank FROM g)
+SELECT l_partkey, string_agg(l_suppkey || ' (' || l_returnflag || ') x' || n || ' [' || r || ']', chr(10) ORDER BY rank) AS text FROM k WHERE rank <= 5 GROUP BY l_partkey""")
+def interaction_summary(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", F.col("l_suppkey").cast("string").alias("p"), "l_suppkey", "l_returnflag", F.col("l_orderkey").cast("string").alias("ref"), "l_orderkey")
+    padded = rows.withColumn("partner", F.col("l_suppkey"))
+    return render.interaction_summary(padded, "l_partkey", "partner", "l_returnflag", "ref", "l_orderkey", 5)
