@@ -6,9 +6,9 @@ to any store that Spark writes, and remain valid gzip streams.
 
 Reader: Spark's text source scans byte ranges for the gzip magic (its line separator here); a task owns the
 candidates that start inside its ranges and reads the last one to its end. A candidate is validated by decoding its
-header; one that is no member is compressed data that happened to hold the magic, and is put back behind the member
-before it. If that member lies at the end of another task's range, its parts are joined by file and position after
-a shuffle of just those parts.
+header. A member that does not end before the next candidate goes on behind it: the magic also occurs inside of
+compressed data, about once in 16 MB. Where a range ends inside such a member, its file is read once more, whole, by
+one task; that is about one file in thousands.
 
 Defined results: a null payload is empty; a null page_id or url leaves its header out; an empty table gives no
 archive and no rows. Rows that repeat the largest page_id of a group of equal payloads are all responses.
@@ -74,20 +74,28 @@ def parse(data: bytes) -> dict | None:
     return out | {"payload_bytes": int(length[0]), "payload_digest": digest, "payload": None}
 
 
-def inflate(data: bytes) -> tuple[str, bytes]:
-    """("whole", content) of a complete member, ("part", b"") of one that goes on, ("none", b"") of what is no WARC member."""
-    d = zlib.decompressobj(31)
-    try:
-        out = d.decompress(data[:2048], 64)  # the header first: cheap to refuse
-        if out and not out.startswith(b"WARC/"[: len(out)]):
-            return "none", b""
-        if not out and d.eof:
-            return "whole", b""  # an empty member
-        d = zlib.decompressobj(31)
-        out = d.decompress(data)
-    except zlib.error:
-        return "none", b""
-    return ("whole", out) if d.eof else ("part", b"")
+class Member:
+    """A gzip member that is fed piece by piece. state: none (no WARC member), part (it goes on) or whole."""
+
+    def __init__(self, data: bytes) -> None:
+        self.out: list[bytes] = []
+        self.state = "part"
+        self.inflater = zlib.decompressobj(31)
+        try:
+            head = zlib.decompressobj(31).decompress(data[:2048], 64)  # the header first: cheap to refuse
+        except zlib.error:
+            head = b"?"
+        if head and not head.startswith(b"WARC/"[: len(head)]):
+            self.state = "none"
+        else:
+            self.feed(data)
+
+    def feed(self, data: bytes) -> None:
+        try:
+            self.out.append(self.inflater.decompress(data))
+            self.state = "whole" if self.inflater.eof else "part"
+        except zlib.error:
+            self.state = "none"
 
 
 def assign_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -123,46 +131,63 @@ def write_archives(records: DataFrame, path: str) -> str:
     return path
 
 
-def _members(batches: Iterator[pa.RecordBatch], rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    """Rows of PARSED with file, start, part and piece: parts are bytes whose member spans ranges."""
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-                        ("payload", pa.binary()), ("file", pa.string()), ("start", pa.int64()), ("nth", pa.int64()), ("piece", pa.binary())])
-    held, at, nth, first = b"", (None, 0), 0, True
-    blank = dict.fromkeys(schema.names)
+RECORD = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
 
-    def part(data: bytes) -> dict:
-        return blank | {"file": at[0], "start": at[1], "nth": nth, "piece": data}
 
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of the candidates (value, file, start) of a task's ranges, with their file; a row with only a file if a
+    range ends inside a member, which therefore goes on in the next range, behind a magic inside of it."""
+    schema = RECORD.append(pa.field("file", pa.string()))
+    rows: list[dict] = []
+    blank = dict.fromkeys(schema.names)
+    held: Member | None = None
+    at = None
     for b in batches:
         for value, file, start in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if (file, start) != at:
                 if held:
-                    rows.append(part(held))
-                held, at, nth, first = b"", (file, start), 0, True
-            nth += 1
-            if first and start == 0 and not value:
-                first = False
-                continue  # what is before the first magic of a file
-            kind, content = inflate(MAGIC + value)
-            if kind == "none":
-                if held:
-                    kind, content = inflate(held := held + MAGIC + value)
-                    if kind == "whole":
-                        held = b""
-                else:
-                    rows.append(part(MAGIC + value))  # belongs to a member of the range before
-                    continue
-            else:
-                if held:
-                    rows.append(part(held))
-                held = MAGIC + value if kind == "part" else b""
-            first = False
-            if kind == "whole" and content and (found := parse(content)):
-                rows.append(blank | found)
+                    rows.append(blank | {"file": at[0]})
+                held, at = None, (file, start)
+                if start == 0 and not value:
+                    continue  # nothing is before the first magic of a file
+            data = MAGIC + value
+            if held:
+                held.feed(data)
+            if not held or held.state == "none":  # a new member; one before it that was cut short is lost
+                held = Member(data)
+            if held.state == "whole" and (content := b"".join(held.out)) and (found := parse(content)):
+                rows.append(blank | found | {"file": file})
+            if held.state != "part":
+                held = None
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
         rows.clear()
     if held:
-        yield pa.RecordBatch.from_pylist([part(held)], schema=schema)
+        yield pa.RecordBatch.from_pylist([blank | {"file": at[0]}], schema=schema)
+
+
+def members(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The contents of the gzip members of a whole archive, in order; an incomplete last one is left out."""
+    at = 0
+    while at < len(data):
+        d, out = zlib.decompressobj(31), []
+        try:
+            while not d.eof and at < len(data):
+                out.append(d.decompress(data[at : at + step]))
+                at = min(len(data), at + step) - len(d.unused_data)
+        except zlib.error:
+            at = data.find(MAGIC, at + 1)
+            if at < 0:
+                return
+            continue
+        if d.eof:
+            yield b"".join(out)
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for data in b.column("content").to_pylist():
+            rows = [r for content in members(data) if content and (r := parse(content))]
+            yield pa.RecordBatch.from_pylist(rows, schema=RECORD)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -170,27 +195,21 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     prepare(spark)
     text = spark.read.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1")).text(path)
     lines = text.select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    found = saved(lines.mapInArrow(lambda x: _members(x, []), PARSED + ", file string, start long, nth long, piece binary"), "members")
-
-    def join(table: pa.Table) -> pa.Table:
-        pieces = [x["piece"] for x in sorted(table.to_pylist(), key=lambda x: (x["start"], x["nth"]))]
-        rows, held = [], b""
-        for p in pieces:
-            kind, content = inflate(p)
-            if kind == "none" and held:
-                kind, content = inflate(held := held + p)
-            elif kind == "part":
-                held = p
-            if kind == "whole":
-                held = b""
-                if content and (r := parse(content)):
-                    rows.append(r)
-        schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
-        return pa.Table.from_pylist(rows, schema=schema)
-
-    names = [x.split()[0] for x in PARSED.split(", ")]
-    spanning = found.where("piece is not null").select("file", "start", "nth", "piece").groupBy("file").applyInArrow(join, PARSED)
-    return found.where("piece is null").select(names).unionByName(spanning)
+    found = saved(lines.mapInArrow(_owned, PARSED + ", file string"), "members")
+    names = RECORD.names
+    records = found.where("record_type is not null")
+    spanning = [r[0] for r in found.where("record_type is null").select("file").distinct().collect()]  # about one file in thousands
+    if not spanning:
+        return records.select(names)
+    again = spark.read.format("binaryFile").load([_plain(f) for f in spanning]).select("content").mapInArrow(_whole, PARSED)
+    return records.where(~F.col("file").isin(spanning)).select(names).unionByName(again)
+
+
+def _plain(uri: str) -> str:
+    """A path of file metadata, which is percent-encoded, as a path to load."""
+    from urllib.parse import unquote
+
+    return unquote(uri)
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, least: int = LEAST_REVISIT) -> DataFrame:
