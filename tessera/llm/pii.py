@@ -30,7 +30,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 #: Candidates beyond the base: kind -> pattern. Each is bounded in length.
 WIDER = {
     "number": r"(?<![0-9A-Za-z.+-])[0-9(][0-9() ./-]{6,28}[0-9](?![0-9A-Za-z])",
@@ -50,27 +50,48 @@ LABELERS = ("shape", "checked", "listed", "near", "alone")
 ROUNDS = 60
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: inside lambdas of higher-order functions, nothing else keeps it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _running(steps: Column) -> Column:
     """Running sums of array<int>, in blocks, so that the work grows little faster than the array."""
-    none = F.array().cast("array<int>")
+    none, size = F.array().cast("array<int>"), 128
 
     def sums(xs: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), none.alias("out"))
         return F.aggregate(xs, start, lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"] + x)).alias("out")), lambda a: a["out"])
 
-    size = 128
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / size).cast("int")), lambda k: sums(F.slice(steps, k * size + 1, F.lit(size))))
-    before = sums(F.transform(blocks, lambda x: F.element_at(x, -1)))
-    moved = F.transform(blocks, lambda x, k: F.transform(x, lambda y: y + F.when(k > 0, F.get(before, k - 1)).otherwise(F.lit(0))))
-    return F.when(F.size(steps) > 0, F.flatten(moved)).otherwise(none)
+    def moved(blocks: Column, before: Column) -> Column:
+        return F.flatten(F.transform(blocks, lambda x, k: _let(F.when(k > 0, F.get(before, k - 1)).otherwise(F.lit(0)), lambda b: F.transform(x, lambda y: y + b))))
+
+    def cut(xs: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / size).cast("int")), lambda k: sums(F.slice(xs, k * size + 1, F.lit(size))))
+
+    def whole(xs: Column) -> Column:
+        return _let(cut(xs), lambda blocks: _let(sums(F.transform(blocks, lambda x: F.element_at(x, -1))), lambda before: moved(blocks, before)))
+
+    return _let(steps, lambda xs: F.when(F.size(xs) > size, whole(xs)).when(F.size(xs) > 0, sums(xs)).otherwise(none))
+
+
+PLACES = "array<struct<start:int,end:int,span:string,before:string,after:string>>"
 
 
 def _with_places(text: str, pattern: str) -> Column:
-    """array<struct<start, end, span>> of the non-overlapping matches: running lengths of what is between them and of them."""
+    """PLACES of the non-overlapping matches: running lengths of what is between them and of them.
+
+    before and after are the last 24 and the first 2 characters around a match, back to the match before it.
+    """
+
+    def places(found: Column, gaps: Column) -> Column:
+        ends = _running(F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.char_length(g) + F.char_length(m)))
+        return F.transform(F.arrays_zip(ends.alias("e"), found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("b"), F.slice(gaps, F.lit(2), F.size(found)).alias("a")), lambda x: F.struct(
+            (x["e"] - F.char_length(x["m"])).alias("start"), x["e"].alias("end"), x["m"].alias("span"), F.substring(x["b"], -24, 24).alias("before"), F.substring(x["a"], 1, 2).alias("after"),
+        ))
+
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    ends = _running(F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.char_length(g) + F.char_length(m)))
-    return F.zip_with(ends, found, lambda e, m: F.struct((e - F.char_length(m)).alias("start"), e.alias("end"), m.alias("span")))
+    return _let(found, lambda m: F.when(F.size(m) > 0, _let(F.split(text, pattern, -1), lambda g: places(m, g))).otherwise(F.array().cast(PLACES)))
 
 
 def _valid(kind: str, span: Column) -> Column:
@@ -87,7 +108,13 @@ def _valid(kind: str, span: Column) -> Column:
 def _spans(text: str, hint: str, pattern: str, valid) -> Column:
     """Valid matches of a pattern; texts without the hint are passed over at once."""
     places = F.filter(_with_places(text, pattern), lambda s: valid(s["span"]))
-    return F.when(F.col(text).rlike(hint), places).otherwise(F.array().cast("array<struct<start:int,end:int,span:string>>"))
+    return F.when(F.col(text).rlike(hint), places).otherwise(F.array().cast(PLACES))
+
+
+def _blanked(text: str, kind: str) -> Column:
+    """The text with the kind's valid matches overwritten, character by character."""
+    kept = F.zip_with(F.split(text, PATTERNS[kind], -1), F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)), lambda g, m: F.concat(g, F.coalesce(F.when(_valid(kind, m), F.repeat(F.lit("\u0001"), F.char_length(m))).otherwise(m), F.lit(""))))
+    return F.when(F.col(text).rlike(HINTS[kind]), F.array_join(kept, "")).otherwise(F.col(text))
 
 
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]", "number": "[0-9]", "address": r"(?i:[\[({] ?(?:at|@) ?[\])}])", "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora)\.? \p{Lu}"}
@@ -100,22 +127,16 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id and array ``spans`` of struct<kind, base, start, end, span, before, after>: base spans and wider candidates that overlap none."""
+    """doc_id and array ``spans`` of struct<kind, base, start, end, span, before, after>: base spans, and wider candidates in the text without them."""
     rows = base_spans(docs)
-    wide = rows.select("*", *[_spans("text", HINTS[k], p, lambda s: F.lit(True)).alias(k) for k, p in WIDER.items()])
+    for kind in KINDS:
+        rows = rows.withColumn("text", _blanked("text", kind))
+    wide = rows.select("doc_id", *KINDS, *[_spans("text", HINTS[k], p, lambda s: F.lit(True)).alias(k) for k, p in WIDER.items()])
 
     def tagged(kind: str, base: bool) -> Column:
-        return F.transform(kind, lambda s: F.struct(
-            F.lit(kind).alias("kind"), F.lit(base).alias("base"), s["start"].alias("start"), s["end"].alias("end"), s["span"].alias("span"),
-            F.substring("text", F.greatest(F.lit(1), s["start"] - 23), F.least(F.lit(24), s["start"])).alias("before"),
-            F.substring("text", s["end"] + 1, F.lit(2)).alias("after"),
-        ))
+        return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), *[s[c].alias(c) for c in ("start", "end", "span", "before", "after")]))
 
-    base = F.concat(*[tagged(k, True) for k in KINDS])
-    wider = F.concat(*[tagged(k, False) for k in WIDER])
-    out = wide.select("doc_id", base.alias("b"), wider.alias("w"))
-    free = F.filter("w", lambda c: ~F.exists("b", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    return out.select("doc_id", F.concat("b", free).alias("spans"))
+    return wide.select("doc_id", F.concat(*[tagged(k, True) for k in KINDS], *[tagged(k, False) for k in WIDER]).alias("spans"))
 
 
 def _votes(s: Column) -> dict[str, Column]:
