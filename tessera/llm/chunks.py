@@ -88,16 +88,17 @@ def chunk_table(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, least: int = LEAST) -> DataFrame:
     """SPANS: maximal runs of repeated chunks; start and end are byte offsets in UTF-8, end exclusive.
 
-    first_doc_id is the smallest doc_id that has one of the run's chunks: it keeps them.
+    first_doc_id is the smallest doc_id that has the run's longest chunk: it keeps it.
     """
     table = saved(chunk_table(docs, window), "chunks")
     firsts = table.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max("again").alias("again"))
-    firsts = firsts.where("first < last or again").select("digest", "first")
+    # written, so that the join deals both sides by itself and adaptive execution may split a digest that very many rows have
+    firsts = saved(firsts.where("first < last or again").select("digest", "first"), "firsts")
     hits = table.join(firsts, "digest").where("doc_id > first or again").select("doc_id", "start", "size", "first")
     order = Window.partitionBy("doc_id").orderBy("start", "size", "first")
     hits = hits.withColumn("new", (F.col("start") > F.coalesce(F.max(F.col("start") + F.col("size")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))).cast("int"))
     hits = hits.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = hits.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.count("*").alias("chunks"), F.min("first").alias("first_doc_id"))
+    spans = hits.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.count("*").alias("chunks"), F.max_by("first", F.struct("size", -F.col("start"))).alias("first_doc_id"))
     spans = spans.where(F.col("end") - F.col("start") >= least)
     return spans.select("doc_id", "start", "end", (F.col("end") - F.col("start")).alias("bytes"), "chunks", "first_doc_id")
 
