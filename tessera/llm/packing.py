@@ -11,6 +11,9 @@ packed as often as they occur; a null doc_id stays null. Further columns of the
 
 from __future__ import annotations
 
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,42 +23,101 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import parts, prepare, saved
 
-#: Words that a worker remembers with their ids; beyond it the memory starts anew, which costs time only.
-REMEMBERED = 600_000
+#: Words with their ids that a worker remembers: twice this many at most. Fewer cost time only.
+REMEMBERED = 120_000
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-_encoders: dict[str, tuple] = {}
 
 
-def _encoder(path: str):
-    """(tokenizer, remembered ids by word) of this worker."""
-    if path not in _encoders:
+def byte_ranks(model: dict) -> dict[bytes, int] | None:
+    """The vocabulary of a byte-level BPE with word ends as bytes -> id, the word end as the byte 0xFF, which UTF-8 never
+    has; None unless ids also give the order of merges, so that merging by least id is the same."""
+    suffix = model.get("end_of_word_suffix")
+    if model.get("type") != "BPE" or not suffix or model.get("dropout"):
+        return None
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]  # bytes that stand for themselves
+    char_of = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(shown))}
+    vocab = model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocab[a + b] for a, b in pairs]
+    own = {c: vocab.get(c) for b in range(256) for c in (char_of[b], char_of[b] + suffix)}
+    if None in own.values() or max(own.values()) >= made[0] or any(x >= y for x, y in zip(made, made[1:], strict=False)):
+        return None
+    byte_of = {c: b for b, c in char_of.items()}
+    ranks = {}
+    for token, id_ in vocab.items():
+        end = token.endswith(suffix) and token != suffix
+        core = token[: -len(suffix)] if end else token
+        if any(c not in byte_of for c in core):
+            return None
+        ranks[bytes(byte_of[c] for c in core) + (b"\xff" if end else b"")] = id_
+    return ranks if len(ranks) == len(vocab) else None
+
+
+class WordEncoder(dict):
+    """Token ids of texts; as a mapping, the ids of each word, encoded once while it is remembered.
+
+    For tokenizers that never join characters across a space or line feed (their pre-tokenizer drops white space), lower-case, and take
+    a run of letters and a run of other marks as separate words. So ASCII letters may be lower-cased at once, and
+    a comma or full stop between a letter and white space is a word of its own, which leaves far fewer distinct words.
+    Words of Latin letters, which normalisation only lower-cases, are merged by the same vocabulary in a faster
+    implementation; all other words go to the tokenizer itself. Words not used since the memory last turned over are
+    forgotten.
+    """
+
+    def __init__(self, path: str) -> None:
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _encoders[path] = (Tokenizer.from_file(path), {})
-    return _encoders[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[str, bytes] = {}
+        self.merge = None
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks = byte_ranks(model | {"vocab": {k: v for k, v in model["vocab"].items() if k not in special}})
+        if ranks and sys.byteorder == "little" and array("I").itemsize == 4:
+            import tiktoken
 
+            self.merge = tiktoken.Encoding("words", pat_str=".+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
-def encode_texts(texts: list[str], path: str, by_word: bool = True) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit integers.
+    def plain(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    ``by_word``: the tokenizer never joins characters across a space or line feed (its pre-tokenizer drops white
-    space), so words are encoded once and remembered. Else each text is encoded as it is.
-    """
-    tokenizer, known = _encoder(path)
-    if not by_word:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    split = [t.replace("\n", " ").split(" ") for t in texts]
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = list({w for words in split for w in words if w not in known})
-    for at in range(0, len(new), 20_000):
-        some = new[at : at + 20_000]
-        for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            known[w] = np.asarray(e.ids, "<u4").tobytes()
-    return [b"".join([known[w] for w in words]) for words in split]
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            low = word.lower()
+            if self.merge and low.isalpha() and word.isalpha() and (low.isascii() or max(low) < "\u0250"):
+                ids = array("I", self.merge(low.encode() + b"\xff")).tobytes()
+            else:
+                ids = self.plain([word])[0]
+        self[word] = ids
+        return ids
+
+    def words(self, text: str) -> list[str]:
+        if "<|" not in text:  # a special token's name is taken as it is written
+            text = _MARK.sub(r" \1", text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+        return text.replace("\n", " ").split(" ")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        return [b"".join(map(self.__getitem__, self.words(t))) for t in texts]
+
+
+_MARK = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|$)")
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encode_texts(texts: list[str], path: str, by_word: bool = True) -> list[bytes]:
+    """Token ids of each text as little-endian unsigned 32-bit integers; ``by_word`` as ``WordEncoder`` says."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path].encode(texts) if by_word else _encoders[path].plain(texts)
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, limit: int = 4096, closing_id: int = 1, by_word: bool = True) -> DataFrame:

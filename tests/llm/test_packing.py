@@ -89,9 +89,24 @@ def test_by_word_equals_whole_text_for_any_text(texts):
     assert packing.encode_texts(texts, path) == packing.encode_texts(texts, path, by_word=False)
 
 
+def test_fast_merges_equal_the_tokenizer(documents):
+    encoder = packing.WordEncoder(tokenizer_path())
+    assert encoder.merge is not None
+    words = sorted({w for r in documents.collect() for w in encoder.words(r["text"])})
+    assert encoder.encode(words) == encoder.plain(words)
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from("abcdefghijklmnopqrstuvwxyzßäöüéèñçøłżšıªºþð"), min_size=1, max_size=25), max_size=20))
+@settings(max_examples=200, deadline=None)
+def test_fast_merges_equal_the_tokenizer_for_any_word(words):
+    encoder = packing._encoders.setdefault(tokenizer_path(), packing.WordEncoder(tokenizer_path()))
+    assert encoder.encode(words) == encoder.plain(words)
+
+
 def test_the_words_memory_turns_over(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     encoder = packing.WordEncoder(tokenizer_path())
+    assert not encoder
     texts = [" ".join(f"word{k}{j}" for j in range(4)) for k in range(6)]
     for t in [*texts, *texts]:
         assert encoder.encode([t]) == encoder.plain([t])
