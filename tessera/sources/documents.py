@@ -48,7 +48,7 @@ def region_table(spark: SparkSession, path: str, families: dict[str, str] | None
     from tessera.operators.lookup import letters
 
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line")).where(F.trim("value").startswith("|"))
-    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = lines.select("line", cells.alias("c")).where((F.size("c") == 9) & ~F.col("c")[0].rlike(r"^:?-+:?$") & (F.col("c")[0] != "QTL"))
     c = lambda k: F.col("c")[k]
     value = lambda k: F.when(~c(k).isin("—", "-", ""), c(k))

@@ -87,7 +87,7 @@ def test_search_queries(spark):
     found = search.search(df, "id", ["a", "b"], "red fox", 10).collect()
     assert [r["doc"] for r in found] == [1, 2] and all(r["score"] > 0 for r in found)
     assert [r["doc"] for r in search.search(df, "id", ["a", "b"], "red", 10, facets=[spark.createDataFrame([(3,), (3,)], "doc long")]).collect()] == [3]
-    for bad in ("AND", "(red", "NEAR(red", "", '""'):
+    for bad in ("AND", "red AND", "NEAR(red", "", '""'):
         (row,) = search.search(df, "id", ["a"], bad, 10).collect()
         assert row["doc"] is None and row["error"]
     assert search.safe("what's up?") == '"what\'s" "up?"' and search.safe("a AND b") == "a AND b"
