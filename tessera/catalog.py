@@ -553,3 +553,68 @@ def interaction_summary(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_partkey", F.col("l_suppkey").cast("string").alias("p"), "l_suppkey", "l_returnflag", F.col("l_orderkey").cast("string").alias("ref"), "l_orderkey")
     padded = rows.withColumn("partner", F.col("l_suppkey"))
     return render.interaction_summary(padded, "l_partkey", "partner", "l_returnflag", "ref", "l_orderkey", 5)
+
+
+# --- further child-record operators ------------------------------------------------------------------------------------
+
+
+@query("""SELECT l_partkey, l_orderkey || '-' || l_linenumber AS bullet_id, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey
+ORDER BY list_position(['R', 'A'], l_returnflag) NULLS LAST, length(l_quantity::INT::VARCHAR) DESC, l_orderkey || '-' || l_linenumber) AS rank FROM lineitem) WHERE rank <= 3""")
+def top_bullets(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("bullet_id"), F.col("l_returnflag").alias("category"), F.col("l_quantity").cast("int").cast("string").alias("evidence_text"))
+    return rank.top_bullets(rows, "l_partkey", 3, ("R", "A")).select("l_partkey", "bullet_id", "rank")
+
+
+@query("""WITH m AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'), k AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_linestatus = 'O')
+SELECT l_partkey AS entity, 'omim.phantom' AS code, l_suppkey::VARCHAR AS detail FROM (FROM m EXCEPT FROM k) UNION ALL SELECT l_partkey, 'omim.missed', l_suppkey::VARCHAR FROM (FROM k EXCEPT FROM m)""")
+def omim_consistency(t: Tables) -> DataFrame:
+    ids = lambda cond: t.lineitem.where(cond).select("l_partkey", "l_suppkey")
+    return quality.omim_consistency(ids("l_returnflag = 'R'"), ids("l_linestatus = 'O'"), "l_partkey", "l_suppkey").select("entity", "code", "detail")
+
+
+@query("""WITH b AS (SELECT l_suppkey, CASE l_returnflag WHEN 'R' THEN 'high' WHEN 'A' THEN 'high' END AS c, CASE WHEN l_quantity < 45 THEN 'low' ELSE 'high' END AS s FROM lineitem),
+n AS (SELECT l_suppkey, count(*) AS n, count(c) AS rated, count(*) FILTER (c = 'high') AS h, count(*) FILTER (s = 'low') AS l FROM b GROUP BY 1)
+SELECT l_suppkey AS entity, 'confidence.all_null' AS code FROM n WHERE rated = 0 UNION ALL SELECT l_suppkey, 'confidence.over_confident' FROM n WHERE rated >= 10 AND h / rated > 0.95
+UNION ALL SELECT l_suppkey, 'specificity.too_low' FROM n WHERE n >= 10 AND l / n > 0.85""")
+def level_distributions(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_suppkey", F.when(F.col("l_returnflag").isin("R", "A"), "high").alias("confidence"), F.when(F.col("l_quantity") < 45, "low").otherwise("high").alias("text_specificity"))
+    return quality.distributions(rows, "l_suppkey").select("entity", "code")
+
+
+@query("""WITH s AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 100 + l_linenumber) AS n FROM lineitem),
+o AS (SELECT l_suppkey, l_returnflag, l_linestatus, min(l_orderkey * 100 + l_linenumber) AS p FROM s WHERE n <= 40 GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY p) AS m FROM o)
+SELECT l_suppkey, string_agg(l_returnflag || ' | ' || l_linestatus, chr(10) ORDER BY p) AS text FROM k WHERE m <= 4 GROUP BY l_suppkey""")
+def phenotype_lines(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_suppkey", (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("pos"), "l_returnflag", "l_linestatus")
+    return render.phenotype_lines(rows, "l_suppkey", "pos", ["l_returnflag", "l_linestatus"], 40, 4)
+
+
+@query("""SELECT c_custkey, pos::INT AS pos, n_name AS term FROM (SELECT c_custkey, unnest([c_nationkey, c_nationkey + 1, c_nationkey + 30]) AS id, unnest([0, 1, 2]) AS pos FROM customer) JOIN nation ON n_nationkey = id WHERE pos < 2""")
+def ontology_decode(t: Tables) -> DataFrame:
+    n = F.col("c_nationkey")
+    rows = t.customer.select("c_custkey", F.array(n, n + 1, n + 30).alias("ids"))
+    return dedup.decode(rows, "c_custkey", "ids", t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("term")), "id", 2).select("c_custkey", "pos", "term")
+
+
+@query("""WITH s AS (SELECT s_suppkey, s_nationkey, s_suppkey % 2 = 0 AS blank FROM supplier)
+SELECT s_suppkey, s_nationkey || '_' || CASE WHEN blank THEN chr((64 + row_number() OVER (PARTITION BY s_nationkey, blank ORDER BY s_suppkey))::INT) ELSE 'x' || s_suppkey END AS id FROM s""")
+def auto_letters(t: Tables) -> DataFrame:
+    rows = t.supplier.select("s_suppkey", F.col("s_nationkey").cast("string").alias("drug"), F.when(F.col("s_suppkey") % 2 == 0, "").otherwise(F.concat(F.lit("x"), F.col("s_suppkey").cast("string"))).alias("label"))
+    return lookup.letters(rows, "drug", "label", ["s_suppkey"]).select("s_suppkey", "id")
+
+
+@query("""WITH r AS (SELECT s_suppkey AS id, s_nationkey % 5 AS chr, CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey END AS s6, s_suppkey + 5 AS e6, s_suppkey + 1000 AS s5, s_suppkey + 1200 AS e5 FROM supplier),
+g AS (SELECT p_partkey, p_size % 5 AS chr, p_partkey AS s, p_partkey + 3 AS e FROM part)
+SELECT r.id, p_partkey FROM r JOIN g ON g.chr = r.chr AND CASE WHEN coalesce(s6, 0) <> 0 THEN g.e >= s6 AND g.s <= e6 ELSE g.e + 1000 >= s5 AND g.s + 1000 <= e5 END""")
+def region_members_by_release(t: Tables) -> DataFrame:
+    s = F.col("s_suppkey")
+    r = t.supplier.select(s.alias("id"), (F.col("s_nationkey") % 5).alias("chr"), F.when(s % 3 != 0, s).alias("start_r6"), (s + 5).alias("end_r6"), (s + 1000).alias("start_r5"), (s + 1200).alias("end_r5"))
+    p, c = F.col("p_partkey"), F.col("p_size") % 5
+    g = t.part.select("p_partkey", c.alias("chr"), p.alias("start"), (p + 3).alias("end"), c.alias("chr_r5"), (p + 1000).alias("start_r5"), (p + 1003).alias("end_r5"))
+    return rank.region_members(r, g, "id").select("id", "p_partkey")
+
+
+@query("""SELECT doc_id, substr(array_to_string(list_slice(string_split(text, '. '), 1, 2), '. '), 1, 120) AS snippet FROM documents""")
+def first_sentences(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", text.first_sentences(F.col("text"), 2, 120).alias("snippet"))
