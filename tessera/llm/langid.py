@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,9 +93,9 @@ def text_scores(spark, profiles: np.ndarray):
             total += shared.value[grams[at : at + (1 << 18)]].sum(axis=0, dtype=np.float64)
         return [*(total * (scale := min(len(grams), TEMPER) / len(grams))), UNDETERMINED * len(grams) * scale]
 
-    @F.pandas_udf("array<double>")
-    def scores(texts: pd.Series) -> pd.Series:
-        return pd.Series([score(t) for t in texts], dtype=object)
+    @F.arrow_udf("array<double>")
+    def scores(texts: pa.Array) -> pa.Array:
+        return pa.array([score(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     return scores
 
