@@ -27,8 +27,9 @@ SAMPLE, LANGUAGES = 600, 64
 BUCKETS = 1 << 16
 #: Neighbouring trigrams are not independent: a text counts as this many independent ones at most.
 TEMPER = 40.0
-#: Log-probability of a trigram in undetermined text: between the profiles' usual values and their floor.
-UNDETERMINED = -9.6
+#: Log-probability of a trigram in undetermined text: between the profiles' usual values (about -7) and their floor (below -15), so that
+#: text of which about half the trigrams are known still has a language.
+UNDETERMINED = -12.0
 #: Strength, in rows, of P(language) in P(language | suffix), of that in P(language | host), and of uniform reliability.
 SUFFIX_ROWS, HOST_ROWS, RELIABILITY_ROWS = 50.0, 20.0, 20.0
 #: Hosts whose priors are broadcast at most (each a few numbers); beyond it they are joined.
