@@ -27,9 +27,6 @@ SAMPLE, LANGUAGES = 600, 64
 BUCKETS = 1 << 16
 #: Neighbouring trigrams are not independent: a text counts as this many independent ones at most.
 TEMPER = 40.0
-#: Log-probability of a trigram in undetermined text: between the profiles' usual values (about -7) and their floor (below -15), so that
-#: text of which about half the trigrams are known still has a language.
-UNDETERMINED = -12.0
 #: Strength, in rows, of P(language) in P(language | suffix), of that in P(language | host), and of uniform reliability.
 SUFFIX_ROWS, HOST_ROWS, RELIABILITY_ROWS = 50.0, 20.0, 20.0
 #: Hosts whose priors are broadcast at most (each a few numbers); beyond it they are joined.
@@ -84,6 +81,8 @@ def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample:
 def text_scores(spark, profiles: np.ndarray):
     """A function of a text column: tempered log-likelihoods of the languages and, last, of undetermined text; null without letters."""
     shared = spark.sparkContext.broadcast(profiles)
+    # a trigram of undetermined text: halfway between a language's own mean and the floor of what it never has
+    undetermined = float((np.exp(profiles) * profiles).sum(axis=0).mean() + profiles.min()) / 2
 
     def score(text: str | None) -> list[float] | None:
         grams = trigrams(text or "")
@@ -92,7 +91,7 @@ def text_scores(spark, profiles: np.ndarray):
         total = np.zeros(shared.value.shape[1])
         for at in range(0, len(grams), 1 << 18):
             total += shared.value[grams[at : at + (1 << 18)]].sum(axis=0, dtype=np.float64)
-        return [*(total * (scale := min(len(grams), TEMPER) / len(grams))), UNDETERMINED * len(grams) * scale]
+        return [*(total * (scale := min(len(grams), TEMPER) / len(grams))), undetermined * len(grams) * scale]
 
     @F.arrow_udf("array<double>")
     def scores(texts: pa.Array) -> pa.Array:
