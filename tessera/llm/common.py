@@ -70,9 +70,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     mark = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # minima are written: so joined, both sides are dealt anew and adaptive execution may split a node of very many edges
+        low = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = saved(large, "cc")
+        low = saved(large.groupBy("u").agg(F.min("v").alias("m")), "cc")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         e = saved(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
