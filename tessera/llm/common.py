@@ -26,6 +26,8 @@ def prepare(spark: SparkSession) -> str:
     have = env.get("PYTHONPATH", "")
     if root not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
+    for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "2")):  # workers give freed memory back
+        env.setdefault(name, value)
     # rows hold whole texts: smaller Arrow batches than for narrow rows, unless the session asks for another size
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

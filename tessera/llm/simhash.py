@@ -8,7 +8,7 @@ task needs only nodes that agree on them) and walks the rest.
 64 bits and a budget of 4 (``BITS64``): five rotations, each with one of five blocks exact. Four differing bits leave
 a block untouched, so every pair within the budget survives in some rotation: the join is complete.
 
-256 bits (``SIMILAR``, for a similarity of 0.8): a pair is linked at 46 or fewer differing bits; a rotation has half of
+256 bits (``SIMILAR``, for a similarity of 0.8): a pair is linked at 48 or fewer differing bits; a rotation has half of
 one of sixteen 16-bit blocks exact and allows one differing bit in its other half. Two shingle sets of Jaccard
 similarity 0.8 differ in about 39 of 256 bits; some rotation keeps such a pair with a probability over 0.99.
 
@@ -44,11 +44,11 @@ class Rule(NamedTuple):
 
 
 BITS64 = Rule(1, 4, ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12)))
-SIMILAR = Rule(4, 46, tuple((low, 8) for low in range(0, 64, 8)), 8, 1)
+SIMILAR = Rule(4, 48, tuple((low, 8) for low in range(0, 64, 8)), 8, 1)
 #: A bucket of the self-join with more members than this is dealt into chunks.
 HOT_BUCKET = 60_000
 #: A node pair with at most this many pairs of members is compared; node pairs and pairs of members held at once.
-LEAF, FRONTIER, PAIRS = 48, 200_000, 1_000_000
+LEAF, FRONTIER, PAIRS = 48, 100_000, 400_000
 
 
 def shingle_hashes(text: bytes, width: int, seed: int) -> list[int]:
@@ -193,8 +193,12 @@ def _rotations(fp: np.ndarray, rule: Rule) -> Iterator[tuple[int, np.ndarray, np
             at += 1
 
 
-def _words(column: pa.Array, words: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, words)
+def _words(column: pa.Array | pa.ChunkedArray, words: int) -> np.ndarray:
+    """Fingerprints as rows of 64-bit words, without an object for each."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    _, ends, data = column.buffers()
+    first = int(np.frombuffer(ends, np.int32)[column.offset])
+    return np.frombuffer(data, ">u8", len(column) * words, first).astype(np.uint64).reshape(-1, words)
 
 
 def near_links(reps: DataFrame, rule: Rule = BITS64, hot: int = HOT_BUCKET) -> DataFrame:
@@ -246,7 +250,7 @@ def near_links(reps: DataFrame, rule: Rule = BITS64, hot: int = HOT_BUCKET) -> D
         moved = np.flatnonzero(forest.root != np.arange(len(ids)))
         yield pa.RecordBatch.from_arrays([pa.array(ids[moved], pa.int64()), pa.array(ids[forest.root[moved]], pa.int64())], names=["a", "b"])
 
-    return dealt(crowded).repartition(parts(spark, rotations * reps.count(), 400_000), "key", "deal").mapInArrow(walk, "a long, b long")
+    return dealt(crowded).repartition(parts(spark, rotations * reps.count(), 150_000), "key", "deal").mapInArrow(walk, "a long, b long")
 
 
 def near_components(docs: DataFrame, width: int = 4, rule: Rule = BITS64, seed: int = 42, hot: int = HOT_BUCKET) -> DataFrame:
