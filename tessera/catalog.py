@@ -278,7 +278,7 @@ def pair_overlap(t: Tables) -> DataFrame:
 def pair_overlap_counts(t: Tables) -> DataFrame:
     i = event_intervals(t, 300)
     pairs = intervals.pair_overlaps(i, "event_id", "event_id", label="user_id", width=1_200_000_000)
-    return intervals.count_inside(pairs, i, "chr", ("chr", "start", "end"), "event_id").select("id_a", "id_b", "n_items")
+    return intervals.count_inside(pairs, i, "chr", ("chr", "start", "end"), "event_id", 1_200_000_000).select("id_a", "id_b", "n_items")
 
 
 @query("""WITH m AS (SELECT p_brand AS region, CASE WHEN l_linenumber <> 3 AND l_suppkey <> 0 THEN l_returnflag END AS chr, l_suppkey AS s, l_suppkey + l_linenumber AS e,

@@ -55,10 +55,10 @@ def pair_overlaps(df: DataFrame, id_: str, ordinal: str, on: tuple[str, str, str
     return pairs.select("id_a", "id_b", F.col("g_a").alias(g), start.alias("overlap_start"), end.alias("overlap_end"), bp.alias("overlap_bp"), (F.col("l_a") != F.col("l_b")).alias("is_cross"), "o_a", "o_b")
 
 
-def count_inside(pairs: DataFrame, items: DataFrame, group: str, item_on: tuple[str, str, str], item_id: str) -> DataFrame:
-    """``pairs`` with n_items: the items that overlap each pair's common part."""
+def count_inside(pairs: DataFrame, items: DataFrame, group: str, item_on: tuple[str, str, str], item_id: str, width: int | None = None) -> DataFrame:
+    """``pairs`` with n_items: the items that overlap each pair's common part; ``width`` as in ``overlap_join``."""
     keyed = items.select(*[F.col(c).alias(f"__{k}") for k, c in zip("gse", item_on, strict=True)], F.col(item_id).alias("__id"))
-    hits = overlap_join(pairs.select("id_a", "id_b", group, "overlap_start", "overlap_end"), keyed, (group, "overlap_start", "overlap_end"), ("__g", "__s", "__e"))
+    hits = overlap_join(pairs.select("id_a", "id_b", group, "overlap_start", "overlap_end"), keyed, (group, "overlap_start", "overlap_end"), ("__g", "__s", "__e"), width)
     counts = hits.groupBy("id_a", "id_b").agg(F.count("__id").alias("n_items"))
     return pairs.join(counts, ["id_a", "id_b"], "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)))
 
