@@ -8,9 +8,11 @@ task needs only nodes that agree on them) and walks the rest.
 64 bits and a budget of 4 (``BITS64``): five rotations, each with one of five blocks exact. Four differing bits leave
 a block untouched, so every pair within the budget survives in some rotation: the join is complete.
 
-256 bits (``SIMILAR``, for a similarity of 0.8): a pair is linked at 48 or fewer differing bits; a rotation has half of
-one of sixteen 16-bit blocks exact and allows one differing bit in its other half. Two shingle sets of Jaccard
-similarity 0.8 differ in about 39 of 256 bits; some rotation keeps such a pair with a probability over 0.99.
+256 bits (``SIMILAR``, of distinct shingles): the candidates for a similarity of 0.8, at 56 or fewer differing bits; a
+rotation has half of one of sixteen 16-bit blocks exact and allows one differing bit in its other half. Two shingle sets
+of Jaccard similarity 0.8 differ in about 39 of 256 bits, with a standard deviation of about 6. ``keep_one_each`` compares
+all pairs in each component of candidates by their exact similarity, so no link rests on fingerprints alone and no link
+depends on another one that was refused.
 
 Tasks return spanning links, not all pairs, and pass over node pairs that lie in one component already. The members
 of a bucket that very many share are dealt into chunks; each pair of chunks is a bucket of its own.
@@ -21,6 +23,7 @@ fingerprint; a null doc_id gets its component's id but never names one; an empty
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -41,10 +44,15 @@ class Rule(NamedTuple):
     exact: tuple[tuple[int, int], ...]  # (lowest bit, width) in the word
     head: int = 0
     head_budget: int = 0
+    distinct: bool = False  # repeats of a shingle count once
 
 
 BITS64 = Rule(1, 4, ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12)))
-SIMILAR = Rule(4, 48, tuple((low, 8) for low in range(0, 64, 8)), 8, 1)
+SIMILAR = Rule(4, 56, tuple((low, 8) for low in range(0, 64, 8)), 8, 1, True)
+#: The Jaccard similarity (as a fraction) of distinct shingles from which documents are near-duplicates.
+SIMILARITY = (4, 5)
+#: Members and bytes of shingle hashes in a chunk of a component of candidates; a task compares the pairs of two chunks.
+CHUNK_MEMBERS, CHUNK_BYTES = 500, 16 << 20
 #: A bucket of the self-join with more members than this is dealt into chunks.
 HOT_BUCKET = 60_000
 #: A node pair with at most this many pairs of members is compared; node pairs and pairs of members held at once.
@@ -66,9 +74,17 @@ def shingle_hashes(text: bytes, width: int, seed: int) -> list[int]:
     return [h(joined[s:e], seed) for s, e in zip(starts, ends, strict=True)]
 
 
+def shingle_set(text: bytes, width: int, seed: int) -> np.ndarray:
+    """The distinct shingle hashes, sorted."""
+    return np.unique(np.array(shingle_hashes(text, width, seed), np.uint64))
+
+
 def fingerprint(text: bytes, width: int = 4, seed: int = 42, words: int = 1) -> bytes:
     """SimHash, big-endian: a bit is set if it is set in over half the hashes. Words after the first use remixed hashes."""
-    hashes = np.array(shingle_hashes(text, width, seed), np.uint64)
+    return simhash(np.array(shingle_hashes(text, width, seed), np.uint64), words)
+
+
+def simhash(hashes: np.ndarray, words: int) -> bytes:
     out = []
     for k in range(words):
         some = hashes
@@ -263,7 +279,107 @@ def near_components(docs: DataFrame, width: int = 4, rule: Rule = BITS64, seed:
     return fps.join(tops, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def shingle_sets(docs: DataFrame, width: int, rule: Rule, seed: int = 42) -> DataFrame:
+    """doc_id, mark (a hash of the text), fp and set_id (a digest of the set of shingles) of every row."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                b = batch.slice(at, 1000)
+                fps, ids = [], []
+                for t in b.column("text").to_pylist():
+                    own = shingle_set(t or b"", width, seed)
+                    fps.append(simhash(own, rule.words))
+                    ids.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(fps, pa.binary()), pa.array(ids, pa.binary())], names=["doc_id", "mark", "fp", "set_id"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, mark long, fp binary, set_id binary")
+
+
+def link_similar(sets: list[np.ndarray], sides: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> Forest:
+    """Link the members whose sets are similar; if there are two sides, only members of different sides are compared."""
+    sizes = np.array([len(x) for x in sets])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    forest, has, (over, under) = Forest(len(sets)), np.zeros(len(values), bool), similarity
+    both = sides.min() != sides.max()
+    for i in range(len(sets) - 1):
+        j = np.arange(i + 1, len(sets))
+        open_ = (forest.root[j] != forest.root[i]) & (under * np.minimum(sizes[j], sizes[i]) >= over * np.maximum(sizes[j], sizes[i]))
+        if both:
+            open_ &= sides[j] != sides[i]
+        j = j[open_]
+        if not len(j):
+            continue
+        has[flat[starts[i] : ends[i]]] = True
+        base = starts[j[0]]
+        shared = np.r_[0, np.cumsum(has[flat[base : ends[j[-1]]]], dtype=np.int64)]
+        common = shared[ends[j] - base] - shared[starts[j] - base]
+        has[flat[starts[i] : ends[i]]] = False
+        j = j[under * common >= over * (sizes[j] + sizes[i] - common)]
+        forest.link(np.full(len(j), i), j)
+    return forest
+
+
+def similar_links(docs: DataFrame, members: DataFrame, width: int, seed: int = 42, members_max: int = CHUNK_MEMBERS) -> DataFrame:
+    """Links (a, b) of the nodes ``members`` (rep, root, mark) whose sets are similar, from all pairs that share a root.
+
+    They span what the pairs of two chunks link; so over all pairs of chunks they span every component.
+    """
+    spark = docs.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t or b"", width, seed).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("root"), pa.array(sets, pa.binary())], names=["rep", "root", "hashes"])
+
+    texts = docs.select(F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text")).join(members, "mark").select("rep", "root", "text")
+    sets = saved(texts.mapInArrow(run, "rep long, root long, hashes binary"), "sets")
+    size = F.octet_length("hashes")
+    chunks = F.greatest(F.ceil(F.count("*") / members_max), F.ceil(F.sum(size) / CHUNK_BYTES), F.lit(1)).cast("int")
+    dealt = sets.join(saved(sets.groupBy("root").agg(chunks.alias("n")), "chunks"), "root")
+    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    dealt = dealt.select("root", F.least("side", "k").alias("low"), F.greatest("side", "k").alias("high"), "side", "rep", "hashes")
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            reps = np.array([r for _, r, _ in held])
+            forest = link_similar([np.frombuffer(h, np.uint64) for _, _, h in held], np.array([s for s, _, _ in held]))
+            moved = np.flatnonzero(forest.root != np.arange(len(reps)))
+            yield pa.RecordBatch.from_arrays([pa.array(reps[moved], pa.int64()), pa.array(reps[forest.root[moved]], pa.int64())], names=["a", "b"])
+
+        key, held = None, []
+        for batch in batches:
+            for root, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (root, low, high) != key:
+                    if len(held) > 1:
+                        yield from links(held)
+                    key, held = (root, low, high), []
+                held.append(tuple(row))
+        if len(held) > 1:
+            yield from links(held)
+
+    amount = sets.agg(F.count("*"), F.sum(size)).first()
+    tasks = max(parts(spark, amount[0], 2000), -(-(amount[1] or 0) // CHUNK_BYTES))
+    return dealt.repartition(tasks, "root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(blocks, "a long, b long")
+
+
 def keep_one_each(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR, hot: int = HOT_BUCKET) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: that with the smallest doc_id. Null doc_ids stay."""
-    gone = near_components(docs, width, rule, hot=hot).where("doc_id <> component_id").select("doc_id").distinct()
+    """``docs`` with one document of each near-duplicate group: that with the smallest doc_id. Null doc_ids stay.
+
+    Two documents are linked if the Jaccard similarity of their distinct shingles is 0.8 or more; groups are components.
+    """
+    rows = saved(shingle_sets(docs, width, rule), "fps")
+    nodes = rows.groupBy("fp", "set_id").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark"))
+    nodes = saved(nodes.withColumn("rep", F.monotonically_increasing_id()), "reps")
+    near = components(near_links(nodes.select("fp", "rep"), rule, hot))
+    members = saved(nodes.join(near, nodes["rep"] == near["node"]).select("rep", "root", "mark"), "near")
+    groups = components(similar_links(docs, members, width))
+    tops = nodes.join(groups, nodes["rep"] == groups["node"], "left").select("fp", "set_id", "first", F.coalesce("root", "rep").alias("group"))
+    keepers = tops.groupBy("group").agg(F.min("first").alias("keep"))
+    found = rows.join(tops.join(keepers, "group").select("fp", "set_id", "keep"), ["fp", "set_id"])
+    gone = found.where("doc_id <> keep").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -118,6 +118,57 @@ def test_stage_catches_near_copies_and_leaves_others(spark, make_docs):
     assert len([k for k in range(60) if 1000 + k not in left]) >= 57
 
 
+def jaccard(a: str, b: str) -> float:
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def test_only_similar_documents_go(spark, make_docs):
+    """Copies with changed words, most of them below a similarity of 0.8; the stage must do what all exact similarities say."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    rows, groups = [], []
+    for k in range(60):
+        words = [rng.choice(vocabulary) for _ in range(300)]
+        copies = []
+        for c in range(3):
+            changed = list(words)
+            for at in range(rng.randrange(5), 300, rng.choice((20, 25, 30, 60))) if c else ():
+                changed[at] = rng.choice(vocabulary) + "x"
+            copies.append((10 * k + c, " ".join(changed)))
+        rows += copies
+        groups.append(copies)
+    line = " ".join(vocabulary[:40]) + " "  # repeated lines make these fingerprints alike if repeats count
+    rows += [(9000 + k, line * 10 + " ".join(rng.choice(vocabulary) for _ in range(60))) for k in range(8)]
+    want = {9000 + k for k in range(8)}
+    for copies in groups:
+        root = {i: i for i, _ in copies}
+        for _ in copies:
+            for i, a in copies:
+                for j, b in copies:
+                    if jaccard(a, b) >= 0.8:
+                        root[i] = root[j] = min(root[i], root[j])
+        want |= set(root.values())
+    left = {r["doc_id"] for r in simhash.keep_one_each(make_docs(rows)).select("doc_id").collect()}
+    assert 60 < len(want) < 180 and left == want
+
+
+def test_chunks_of_a_component_link_alike(spark, make_docs):
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for at in rng.sample(range(200), 3):
+            words[at] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    docs = make_docs(rows)
+    members = docs.selectExpr("doc_id as rep", "0L as root", "xxhash64(text) as mark")
+    roots = [sorted(simhash.components(simhash.similar_links(docs, members, 5, members_max=n)).collect()) for n in (500, 7)]
+    brute = {(a, b) for a, x in rows for b, y in rows if a < b and jaccard(x, y) >= 0.8}
+    assert roots[0] == roots[1] == sorted(simhash.components(spark.createDataFrame(list(brute), "a long, b long")).collect())
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(k, k + 1) for k in range(0, 40)] + [(50, 51), (51, 50), (60, 60), (None, 3)], "a long, b long")
     got = {r["node"]: r["root"] for r in simhash.components(chain).collect()}
