@@ -371,9 +371,10 @@ def keep_one_each(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR, hot: in
     """``docs`` with one document of each near-duplicate group: that with the smallest doc_id. Null doc_ids stay.
 
     Two documents are linked if the Jaccard similarity of their distinct shingles is 0.8 or more; groups are components.
+    Rows are told apart by doc_id and text, as one doc_id may occur with several texts.
     """
     rows = saved(shingle_sets(docs, width, rule), "fps")
-    nodes = rows.groupBy("fp", "set_id").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark"))
+    nodes = rows.groupBy("fp", "set_id").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))).alias("first"), F.min("mark").alias("mark"))
     nodes = saved(nodes.withColumn("rep", F.monotonically_increasing_id()), "reps")
     near = components(near_links(nodes.select("fp", "rep"), rule, hot))
     members = saved(nodes.join(near, nodes["rep"] == near["node"]).select("rep", "root", "mark"), "near")
@@ -381,5 +382,6 @@ def keep_one_each(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR, hot: in
     tops = nodes.join(groups, nodes["rep"] == groups["node"], "left").select("fp", "set_id", "first", F.coalesce("root", "rep").alias("group"))
     keepers = tops.groupBy("group").agg(F.min("first").alias("keep"))
     found = rows.join(tops.join(keepers, "group").select("fp", "set_id", "keep"), ["fp", "set_id"])
-    gone = found.where("doc_id <> keep").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = found.where("doc_id is not null and (doc_id <> keep.doc_id or mark <> keep.mark)").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__mark"))
+    return docs.join(gone, same, "left_anti").select(docs.columns)

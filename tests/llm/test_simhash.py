@@ -153,6 +153,15 @@ def test_only_similar_documents_go(spark, make_docs):
     assert 60 < len(want) < 180 and left == want
 
 
+def test_a_doc_id_with_two_texts(spark, make_docs):
+    rng = random.Random(13)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(200)) for x in "abc")
+    near = lambda t: " ".join([*t.split()[:-1], "changed"])
+    rows = [(5, a), (10, near(a)), (10, b), (12, near(b)), (20, c), (20, near(c))]
+    left = [(r["doc_id"], r["text"]) for r in simhash.keep_one_each(make_docs(rows)).collect()]
+    assert len(left) == 3 and {(5, a), (10, b)} <= set(left) and [k for k, _ in left].count(20) == 1
+
+
 def test_chunks_of_a_component_link_alike(spark, make_docs):
     rng = random.Random(12)
     base = [f"w{k}" for k in range(200)]
