@@ -25,6 +25,8 @@ from tessera.llm.common import prepare, saved
 #: Declared rows per language that the profiles are fitted on, and languages at most.
 SAMPLE, LANGUAGES = 600, 64
 BUCKETS = 1 << 16
+#: Occurrences a bucket that the floor of the profiles stands for; trigrams that the back-off of a profile weighs as.
+SMOOTH, BACK_OFF = 0.02, 20_000.0
 #: Neighbouring trigrams are not independent: a text counts as this many independent ones at most.
 TEMPER = 40.0
 #: Strength, in rows, of P(language) in P(language | suffix), of that in P(language | host), and of uniform reliability.
@@ -49,12 +51,30 @@ def trigrams(text: str) -> np.ndarray:
     return (mixed >> np.uint64(48)).astype(np.int64)
 
 
-def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probabilities by bucket and language) from ``sample`` rows of each declared language at most."""
+def log_profiles(counts: np.ndarray) -> tuple[np.ndarray, float]:
+    """(log-probabilities, score of a trigram of undetermined text) of trigram counts by bucket and language.
+
+    A profile backs off to the trigrams of all languages, the more the smaller its sample is. What no language has is
+    as unlikely in all of them, however few rows a language has: at the floor of the largest sample.
+    """
+    sizes = counts.sum(axis=0)
+    background = counts.sum(axis=1) / max(1.0, sizes.sum())
+    floor = SMOOTH / (sizes.max() + SMOOTH * len(counts))
+    out, own = np.empty(counts.shape, np.float32), 0.0
+    for k, size in enumerate(sizes):
+        p = np.maximum((counts[:, k] + BACK_OFF * background) / (size + BACK_OFF), floor)
+        out[:, k] = np.log(p)
+        own += float((p * np.log(p)).sum() * size)
+    # halfway between a language's own mean (by its share of the samples) and the floor
+    return out, (own / max(1.0, sizes.sum()) + float(np.log(floor))) / 2
+
+
+def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
+    """(languages, log-probabilities by bucket and language, score of undetermined text) from ``sample`` rows of each declared language at most."""
     counted = rows.groupBy(declared).count().where(f"{declared} is not null and trim({declared}) <> ''")
     names = sorted(r[0] for r in counted.orderBy(F.desc("count"), declared).limit(LANGUAGES).collect())
     if not names:
-        return [], np.zeros((BUCKETS, 0), np.float32)
+        return [], np.zeros((BUCKETS, 0), np.float32), 0.0
     salts = 32
     chosen = rows.where(F.col(declared).isin(names)).select(F.col(declared).alias("l"), key.alias("k"))
     chosen = chosen.withColumn("s", F.pmod("k", F.lit(salts)))
@@ -74,15 +94,12 @@ def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample:
     counts = np.zeros((BUCKETS, len(names)))
     for l, k, n in texts.mapInArrow(run, "l string, bucket long, n long").groupBy("l", "bucket").agg(F.sum("n")).collect():  # LANGUAGES * BUCKETS rows at most
         counts[k, names.index(l)] = n
-    smooth = 0.02
-    return names, np.log((counts + smooth) / (counts.sum(axis=0) + smooth * BUCKETS)).astype(np.float32)
+    return names, *log_profiles(counts)
 
 
-def text_scores(spark, profiles: np.ndarray):
+def text_scores(spark, profiles: np.ndarray, undetermined: float):
     """A function of a text column: tempered log-likelihoods of the languages and, last, of undetermined text; null without letters."""
     shared = spark.sparkContext.broadcast(profiles)
-    # a trigram of undetermined text: halfway between a language's own mean and the floor of what it never has
-    undetermined = float((np.exp(profiles) * profiles).sum(axis=0).mean() + profiles.min()) / 2
 
     def score(text: str | None) -> list[float] | None:
         grams = trigrams(text or "")
@@ -121,11 +138,11 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
     """
     spark = docs.sparkSession
     prepare(spark)
-    names, profiles = fit_profiles(docs, text, declared, F.xxhash64(F.lit(7), key), sample)
+    names, profiles, undetermined = fit_profiles(docs, text, declared, F.xxhash64(F.lit(7), key), sample)
     n = len(names)
     if not n:
         return docs.select("*", F.lit("und").alias("__language"), F.lit(1.0).alias("__posterior"), F.lit("und").alias("__text_language"), F.lit(False).alias("__accepted"))
-    scores = text_scores(spark, profiles)
+    scores = text_scores(spark, profiles, undetermined)
     host_part = F.regexp_replace(F.lower(F.col(host).cast("string")), r"^[a-z][a-z0-9+.-]*://|[/?#:].*$", "")
     known = F.when(F.col(declared).isin(names), F.col(declared))
     seen = docs.select(host_part.alias("h"), suffix_of(F.col(host).cast("string")).alias("s"), known.alias("d"), scores(text).alias("logs"))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from tessera.llm import langid
@@ -43,6 +45,23 @@ def test_priors_decide_short_text_and_junk_is_undetermined(make_docs, documents)
     assert got[0] == [("de", True)] and got[100] == [("fr", True)]
 
 
+def invented(rng: random.Random, letters: str):
+    """A language of 400 words of some letters: a function that makes a text of so many words."""
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+    return lambda n: " ".join(rng.choice(words) for _ in range(n))
+
+
+def test_a_tag_of_one_row_does_not_accept_undetermined_text(make_docs):
+    rng = random.Random(4)
+    a, b, rare = invented(rng, "abcdefg"), invented(rng, "defghijk"), invented(rng, "lmnop")
+    rows = [(k, (a, b)[k % 2](150), "ab"[k % 2] * 2, None) for k in range(2 * langid.SAMPLE)] + [(9000, rare(12), "xx", None)]
+    junk = ["".join(rng.choice("qrstuvwxyz ") for _ in range(400)) for _ in range(20)] + ["".join(chr(rng.randrange(0x3B1, 0x3C9)) for _ in range(300)) for _ in range(5)]
+    rows += [(10_000 + k, t, None, None) for k, t in enumerate(junk)]
+    got = {r["doc_id"]: r["__language"] for r in langid.identify(make_docs(rows)).collect()}
+    assert {got[10_000 + k] for k in range(25)} == {"und"}
+    assert got[0] == "aa" and got[1] == "bb" and got[9000] == "xx"
+
+
 def test_no_declarations_and_empty(make_docs):
     rows = langid.identify(make_docs([(1, "some text", None, "x")])).collect()
     assert [(r["__language"], r["__accepted"]) for r in rows] == [("und", False)]
