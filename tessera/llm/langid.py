@@ -6,6 +6,8 @@ everything else covers all rows: grouped aggregation of the text posteriors by h
 smoothed towards P(language | suffix), which is smoothed towards P(language); and by declared language the
 reliability P(declared | language). Log evidence adds up; a class of undetermined text competes with the languages.
 
+A declared tag counts without region, script and case, and every language that is declared has a profile.
+
 Defined results: null or letterless text is undetermined ("und", rejected); a null, unknown or missing declaration,
 host or suffix is no evidence; with no declared rows at all every row is undetermined. Repeated rows get equal
 results; an empty table gives no rows; all columns of the input are kept.
@@ -22,9 +24,11 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import prepare, saved
 
-#: Declared rows per language that the profiles are fitted on, and languages at most.
-SAMPLE, LANGUAGES = 600, 64
-BUCKETS = 1 << 16
+#: Declared rows per language that the profiles are fitted on.
+SAMPLE = 600
+#: Buckets of the profiles; with very many languages they are hashed to fewer, so that a table has CELLS cells at most,
+#: but never fewer than LEAST_BUCKETS.
+BUCKETS, CELLS, LEAST_BUCKETS = 1 << 16, 1 << 24, 1 << 12
 #: Occurrences a bucket that the floor of the profiles stands for; trigrams that the back-off of a profile weighs as.
 SMOOTH, BACK_OFF = 0.02, 20_000.0
 #: Neighbouring trigrams are not independent: a text counts as this many independent ones at most.
@@ -57,8 +61,8 @@ def log_profiles(counts: np.ndarray) -> tuple[np.ndarray, float]:
     A profile backs off to the trigrams of all languages, the more the smaller its sample is. What no language has is
     as unlikely in all of them, however few rows a language has: at the floor of the largest sample.
     """
-    sizes = counts.sum(axis=0)
-    background = counts.sum(axis=1) / max(1.0, sizes.sum())
+    sizes = counts.sum(axis=0, dtype=np.float64)
+    background = counts.sum(axis=1, dtype=np.float64) / max(1.0, sizes.sum())
     floor = SMOOTH / (sizes.max() + SMOOTH * len(counts))
     out, own = np.empty(counts.shape, np.float32), 0.0
     for k, size in enumerate(sizes):
@@ -69,31 +73,45 @@ def log_profiles(counts: np.ndarray) -> tuple[np.ndarray, float]:
     return out, (own / max(1.0, sizes.sum()) + float(np.log(floor))) / 2
 
 
+def tag_of(declared: str) -> Column:
+    """The language of a declared tag, lower-cased and without region or script; null for empty tags and "und"."""
+    whole = F.lower(F.trim(F.col(declared).cast("string")))
+    first = F.regexp_replace(whole, "[-_].*$", "")
+    tag = F.when(F.length(first) > 1, first).otherwise(whole)  # x-... and i-... stay whole
+    return F.when((tag != "") & (tag != "und"), tag)
+
+
 def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
     """(languages, log-probabilities by bucket and language, score of undetermined text) from ``sample`` rows of each declared language at most."""
-    counted = rows.groupBy(declared).count().where(f"{declared} is not null and trim({declared}) <> ''")
-    names = sorted(r[0] for r in counted.orderBy(F.desc("count"), declared).limit(LANGUAGES).collect())
+    rows = rows.select(tag_of(declared).alias("l"), key.alias("k"), F.col(text).alias("t")).where("l is not null")
+    names = sorted(r[0] for r in rows.select("l").distinct().collect())
     if not names:
         return [], np.zeros((BUCKETS, 0), np.float32), 0.0
+    buckets = BUCKETS
+    while buckets > LEAST_BUCKETS and buckets * len(names) > CELLS:
+        buckets //= 2
     salts = 32
-    chosen = rows.where(F.col(declared).isin(names)).select(F.col(declared).alias("l"), key.alias("k"))
-    chosen = chosen.withColumn("s", F.pmod("k", F.lit(salts)))
+    chosen = rows.select("l", "k").withColumn("s", F.pmod("k", F.lit(salts)))
     first = F.row_number().over(Window.partitionBy("l", "s").orderBy("k"))
-    chosen = chosen.withColumn("n", first).where(F.col("n") <= -(-sample // salts)).select("l", "k").distinct()  # LANGUAGES * sample rows at most
-    texts = rows.withColumn("k", key).join(F.broadcast(chosen.withColumnRenamed("l", declared)), ["k", declared], "left_semi").select(declared, text)
+    chosen = chosen.withColumn("n", first).where(F.col("n") <= -(-sample // salts)).select("l", "k").distinct()  # sample rows a language at most
+    texts = rows.join(F.broadcast(chosen), ["k", "l"], "left_semi").select("l", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for b in batches:
             for l, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                sums.setdefault(l, np.zeros(BUCKETS, np.int64))
-                sums[l] += np.bincount(trigrams(t or ""), minlength=BUCKETS)
-        rows_ = [(l, int(k), int(c[k])) for l, c in sums.items() for k in np.flatnonzero(c)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows_], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["l", "bucket", "n"])
-
-    counts = np.zeros((BUCKETS, len(names)))
-    for l, k, n in texts.mapInArrow(run, "l string, bucket long, n long").groupBy("l", "bucket").agg(F.sum("n")).collect():  # LANGUAGES * BUCKETS rows at most
-        counts[k, names.index(l)] = n
+                if l not in sums:
+                    sums[l] = np.zeros(buckets, np.int32)
+                sums[l] += np.bincount(trigrams(t or "") & (buckets - 1), minlength=buckets).astype(np.int32)
+        for l, c in sums.items():
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array([l] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(c[at], pa.int64())], names=["l", "bucket", "n"])
+
+    counts = np.zeros((buckets, len(names)), np.float32)
+    place = {l: k for k, l in enumerate(names)}
+    found = texts.mapInArrow(run, "l string, bucket long, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages * buckets rows at most
+    at = np.array([place[l] for l in found.column("l").to_pylist()], np.int64)
+    counts[found.column("bucket").to_numpy(), at] = found.column("n").to_numpy()
     return names, *log_profiles(counts)
 
 
@@ -102,7 +120,7 @@ def text_scores(spark, profiles: np.ndarray, undetermined: float):
     shared = spark.sparkContext.broadcast(profiles)
 
     def score(text: str | None) -> list[float] | None:
-        grams = trigrams(text or "")
+        grams = trigrams(text or "") & (len(shared.value) - 1)
         if not len(grams):
             return None
         total = np.zeros(shared.value.shape[1])
@@ -144,39 +162,37 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
         return docs.select("*", F.lit("und").alias("__language"), F.lit(1.0).alias("__posterior"), F.lit("und").alias("__text_language"), F.lit(False).alias("__accepted"))
     scores = text_scores(spark, profiles, undetermined)
     host_part = F.regexp_replace(F.lower(F.col(host).cast("string")), r"^[a-z][a-z0-9+.-]*://|[/?#:].*$", "")
-    known = F.when(F.col(declared).isin(names), F.col(declared))
-    seen = docs.select(host_part.alias("h"), suffix_of(F.col(host).cast("string")).alias("s"), known.alias("d"), scores(text).alias("logs"))
+    seen = docs.select(host_part.alias("h"), suffix_of(F.col(host).cast("string")).alias("s"), tag_of(declared).alias("d"), scores(text).alias("logs"))
     seen = seen.where("logs is not null").select("h", "s", "d", _normal(F.slice("logs", 1, n)).alias("p"))
     sums = saved(seen.groupBy("h", "s", "d").agg(*[F.sum(F.col("p")[k]).alias(f"p{k}") for k in range(n)]), "hosts")
     cols = [f"p{k}" for k in range(n)]
 
     def summed(by: list[str]) -> DataFrame:
-        return sums.groupBy(by).agg(*[F.sum(c).alias(c) for c in cols])
+        return sums.groupBy(by).agg(*[F.sum(c).alias(c) for c in cols]).select(*by, F.array(*cols).alias("p"))
 
-    total = np.array([x or 0.0 for x in summed([]).first()]) + 1.0
+    total = np.array([x or 0.0 for x in summed([]).first()[0]]) + 1.0
     overall = total / total.sum()
-    reliable = {r[0]: np.array(r[1:]) for r in summed(["d"]).where("d is not null").collect()}  # LANGUAGES rows at most
+    reliable = {r[0]: np.array(r[1]) for r in summed(["d"]).where("d is not null").collect()}  # a row a language
     of = np.array([reliable.get(d, np.zeros(n)) for d in names])  # declared, language
     log_declared = np.log((of + RELIABILITY_ROWS / n) / (of.sum(axis=0) + RELIABILITY_ROWS))
-    arrays = lambda rows: F.array(*[F.array(*[F.lit(float(x)) for x in r]) for r in rows])
 
-    def smoothed(strength: float, towards: list[Column]) -> list[Column]:
-        every = sum((F.col(c) for c in cols[1:]), F.col(cols[0]))
-        return [((F.col(c) + F.lit(strength) * t) / (every + F.lit(strength))).alias(f"q{k}") for k, (c, t) in enumerate(zip(cols, towards, strict=True))]
+    def smoothed(strength: float, towards: Column) -> Column:
+        every = F.aggregate("p", F.lit(0.0), lambda a, x: a + x) + F.lit(strength)
+        return F.zip_with("p", towards, lambda c, t: (c + F.lit(strength) * t) / every)
 
-    flat = [F.lit(float(x)) for x in overall]
-    suffixes = summed(["s"]).where("s is not null").select("s", *smoothed(SUFFIX_ROWS, flat))
+    flat = F.array(*[F.lit(float(x)) for x in overall])
+    suffixes = summed(["s"]).where("s is not null").select("s", smoothed(SUFFIX_ROWS, flat).alias("q"))
     hosts = summed(["h", "s"]).where("h is not null").join(suffixes, "s", "left")
-    hosts = hosts.select("h", *smoothed(HOST_ROWS, [F.coalesce(F.col(f"q{k}"), flat[k]) for k in range(n)]))
-    hosts = saved(hosts.select("h", F.array(*[F.log(f"q{k}") for k in range(n)]).alias("__prior")).withColumnRenamed("h", "__host"), "priors")
+    hosts = hosts.select(F.col("h").alias("__host"), smoothed(HOST_ROWS, F.coalesce("q", flat)).alias("q"))
+    hosts = saved(hosts.select("__host", F.transform("q", lambda x: F.log(x)).alias("__prior")), "priors")
     if hosts.count() <= BROADCAST_HOSTS:
         hosts = F.broadcast(hosts)
-    wide = docs.withColumn("__host", host_part).join(hosts, "__host", "left").withColumn("__logs", scores(text))
+    tags = spark.createDataFrame([(d, [float(x) for x in r]) for d, r in zip(names, log_declared, strict=True)], "__tag string, __said array<double>")
+    wide = docs.withColumn("__host", host_part).withColumn("__tag", tag_of(declared)).join(hosts, "__host", "left").join(F.broadcast(tags), "__tag", "left").withColumn("__logs", scores(text))
     prior = F.coalesce("__prior", F.array(*[F.lit(float(x)) for x in np.log(overall)]))
-    place = F.array_position(F.array(*[F.lit(x) for x in names]), F.col(declared)).cast("int")
-    said = F.when(place > 0, F.get(arrays(log_declared), place - 1)).otherwise(F.array(*[F.lit(0.0)] * n))
+    said = F.coalesce("__said", F.array_repeat(F.lit(0.0), n))
     # undetermined text: a prior of one in a thousand, and no opinion on declarations
-    und = F.get("__logs", F.lit(n)) + F.lit(float(np.log(1e-3))) + F.when(place > 0, F.lit(float(-np.log(n)))).otherwise(F.lit(0.0))
+    und = F.get("__logs", F.lit(n)) + F.lit(float(np.log(1e-3))) + F.when(F.col("__said").isNotNull(), F.lit(float(-np.log(n)))).otherwise(F.lit(0.0))
     fused = F.concat(F.zip_with(F.zip_with(F.slice("__logs", 1, n), prior, lambda a, b: a + b), said, lambda a, b: a + b), F.array(und))
     named = F.array(*[F.lit(x) for x in [*names, "und"]])
     best = lambda xs: F.get(named, (F.array_position(xs, F.array_max(xs)) - 1).cast("int"))

@@ -62,6 +62,18 @@ def test_a_tag_of_one_row_does_not_accept_undetermined_text(make_docs):
     assert got[0] == "aa" and got[1] == "bb" and got[9000] == "xx"
 
 
+def test_every_declared_language_has_a_profile(make_docs):
+    rng = random.Random(5)
+    names = [f"{x}{y}" for x in "abcdefgh" for y in "klmnopqrs"]  # 72 languages, each with letters of its own
+    rows = []
+    for k, name in enumerate(names):
+        text = invented(rng, "".join(chr(0x4E00 + 10 * k + c) for c in range(10)))
+        tags = (name, name.upper(), f" {name}-XY", f"{name}_Abcd")
+        rows += [(100 * k + c, text(60), tags[c % 4], None) for c in range(8 if k else 4)]
+    got = {r["doc_id"]: (r["__language"], r["__accepted"]) for r in langid.identify(make_docs(rows)).collect()}
+    assert got == {r[0]: (names[r[0] // 100], True) for r in rows}
+
+
 def test_no_declarations_and_empty(make_docs):
     rows = langid.identify(make_docs([(1, "some text", None, "x")])).collect()
     assert [(r["__language"], r["__accepted"]) for r in rows] == [("und", False)]
