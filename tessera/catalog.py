@@ -309,9 +309,14 @@ def cosine_topk(t: Tables) -> DataFrame:
 
 
 def _against(t: Tables, rows: DataFrame, query_id: int) -> DataFrame:
-    """vec_id and the similarity to a stored vector (one broadcast row)."""
-    q = t.embeddings.where(F.col("vec_id") == query_id).select(F.col("embedding").alias("__q")).limit(1)
-    return rows.join(F.broadcast(q)).select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("__q")), 6).alias("score"))
+    """vec_id and the similarity to a stored vector."""
+    return rows.select("vec_id", F.round(vectors.cosine_to(F.col("embedding"), _stored(t, query_id)[0]), 6).alias("score"))
+
+
+def _stored(t: Tables, *ids: int) -> list[list[float]]:
+    """The stored vectors of a few ids: a query is a small literal of the plan."""
+    found = {r[0]: r[1] for r in t.embeddings.where(F.col("vec_id").isin(*ids)).select("vec_id", F.col("embedding").cast("array<double>")).collect()}
+    return [found[i] for i in ids]
 
 
 @query(f"WITH e AS ({VEC}) SELECT vec_id, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 1)), 6) AS score FROM e WHERE vec_id IN (SELECT p_partkey FROM part WHERE p_size BETWEEN 10 AND 30) ORDER BY score DESC, vec_id LIMIT 20")
@@ -324,9 +329,7 @@ def cosine_topk_filtered(t: Tables) -> DataFrame:
 SELECT vec_id, ev_a, ev_b, least(ev_a, ev_b) AS min_ev, greatest(ev_a, ev_b) AS max_ev FROM s
 ORDER BY round(round_even(least(ev_a, ev_b) / 0.05, 0) * 0.05, 2) DESC, vec_id % 7 DESC, vec_id % 5 DESC, max_ev DESC, vec_id LIMIT 50""")
 def two_query_bin_sort(t: Tables) -> DataFrame:
-    a = _against(t, t.embeddings, 2).withColumnRenamed("score", "ev_a")
-    b = _against(t, t.embeddings, 3).withColumnRenamed("score", "ev_b")
-    rows = a.join(b, "vec_id").withColumn("min_ev", F.least("ev_a", "ev_b")).withColumn("max_ev", F.greatest("ev_a", "ev_b"))
+    rows = vectors.two_query_scores(t.embeddings, *_stored(t, 2, 3), "vec_id", "embedding")
     rows = rows.withColumn("n_bullets", F.col("vec_id") % 7).withColumn("n_refs", F.col("vec_id") % 5)
     return rows.orderBy(*rank.shared_order(), "vec_id").limit(50).drop("n_bullets", "n_refs")
 
@@ -368,14 +371,13 @@ def quality_score(t: Tables) -> DataFrame:
 
 RANKED = f"""WITH e AS ({VEC}), {ANNOTATED}, s AS (SELECT q.*, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 0)), 6) AS evidence FROM q JOIN e ON vec_id = p_partkey),
 k AS (SELECT *, CASE WHEN evidence >= 0.1 AND quality >= 0.5 THEN 'STRONG' WHEN evidence >= 0.1 THEN 'NOVEL_LEAD' WHEN quality >= 0.5 THEN 'LIKELY_NOT' ELSE 'CANT_RULE_OUT' END AS quadrant FROM s),
-w AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY list_position(['STRONG', 'NOVEL_LEAD', 'CANT_RULE_OUT', 'LIKELY_NOT'], quadrant), round(evidence + 0.3 * quality, 6) DESC, p_size, p_partkey) AS rank FROM k)"""
+w AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY CASE quadrant WHEN 'STRONG' THEN 0 WHEN 'NOVEL_LEAD' THEN 1 WHEN 'LIKELY_NOT' THEN 2 ELSE 3 END, round(evidence + 0.3 * quality, 6) DESC, p_size, p_partkey) AS rank FROM k)"""
 
 
 def _ranked(t: Tables, top: int | None) -> DataFrame:
-    q = t.embeddings.where("vec_id = 0").select(F.col("embedding").alias("__q")).limit(1)
-    rows = _annotated(t).join(t.embeddings.select(F.col("vec_id").alias("p_partkey"), "embedding"), "p_partkey").join(F.broadcast(q))
-    ev = vectors.cosine(F.col("embedding"), F.col("__q"))
-    return rank.rank_two_ways(rows, ev, ["p_brand"], "p_partkey", "p_size", ("n_bullets", "n_refs", "n_pubs"), ("h", "m", "d"), top, (0.1, 0.5))
+    scored = _against(t, t.embeddings, 0).withColumnRenamed("vec_id", "p_partkey")
+    rows = _annotated(t).join(scored, "p_partkey")
+    return rank.rank_two_ways(rows, F.col("score"), ["p_brand"], "p_partkey", "p_size", ("n_bullets", "n_refs", "n_pubs"), ("h", "m", "d"), top, (0.1, 0.5))
 
 
 @query(RANKED + " SELECT p_brand, p_partkey, evidence, quality, quadrant, rank::INT AS rank FROM w WHERE rank <= 7")
@@ -581,10 +583,10 @@ def level_distributions(t: Tables) -> DataFrame:
     return quality.distributions(rows, "l_suppkey").select("entity", "code")
 
 
-@query("""WITH s AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 100 + l_linenumber) AS n FROM lineitem),
+@query("""WITH s AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 100 + l_linenumber, l_returnflag, l_linestatus) AS n FROM lineitem),
 o AS (SELECT l_suppkey, l_returnflag, l_linestatus, min(l_orderkey * 100 + l_linenumber) AS p FROM s WHERE n <= 40 GROUP BY ALL),
-k AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY p) AS m FROM o)
-SELECT l_suppkey, string_agg(l_returnflag || ' | ' || l_linestatus, chr(10) ORDER BY p) AS text FROM k WHERE m <= 4 GROUP BY l_suppkey""")
+k AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY p, l_returnflag, l_linestatus) AS m FROM o)
+SELECT l_suppkey, string_agg(l_returnflag || ' | ' || l_linestatus, chr(10) ORDER BY m) AS text FROM k WHERE m <= 4 GROUP BY l_suppkey""")
 def phenotype_lines(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_suppkey", (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("pos"), "l_returnflag", "l_linestatus")
     return render.phenotype_lines(rows, "l_suppkey", "pos", ["l_returnflag", "l_linestatus"], 40, 4)

@@ -42,14 +42,18 @@ def interaction_summary(edges: DataFrame, key: str, partner: str, kind: str, ref
 
 
 def phenotype_lines(rows: DataFrame, key: str, position: str, columns: list[str], scan: int = 400, keep: int = 200) -> DataFrame:
-    """key and text of distinct phenotype rows: the first ``scan`` rows of a key are looked at, repeats go, the first ``keep`` stay."""
+    """key and text of distinct phenotype rows: the first ``scan`` rows of a key are looked at, repeats go, the first ``keep`` stay.
+
+    Rows of one position are ordered by their columns.
+    """
     from tessera.operators.dedup import first_wins
     from tessera.operators.lookup import top_per_group
 
-    some = top_per_group(rows, [key], [F.col(position)], scan, "__scan")
+    order = [F.col(position), *[F.col(c) for c in columns]]
+    some = top_per_group(rows, [key], order, scan, "__scan")
     once = first_wins(some, [F.col(key), *[F.col(c) for c in columns]], [position])
-    kept = top_per_group(once, [key], [F.col(position)], keep, "__keep")
-    ordered = F.array_sort(F.collect_list(F.struct(position, F.concat_ws(" | ", *columns).alias("line"))))
+    kept = top_per_group(once, [key], order, keep, "__keep")
+    ordered = F.array_sort(F.collect_list(F.struct("__keep", F.concat_ws(" | ", *columns).alias("line"))))
     return kept.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("text"))
 
 

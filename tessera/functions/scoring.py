@@ -14,7 +14,7 @@ PENALTIES = {
     "specificity.too_low": 0, "bullet_count.out_of_range": 12, "omim.phantom": 25, "omim.missed": 0, "cohort_outlier": 10,
 }
 ACCEPT_FROM, REDO_BELOW, OUTLIER_PENALTY = 90, 70, 6
-QUADRANTS = ("STRONG", "NOVEL_LEAD", "CANT_RULE_OUT", "LIKELY_NOT")
+QUADRANTS = ("STRONG", "NOVEL_LEAD", "LIKELY_NOT", "CANT_RULE_OUT")
 
 
 def annotation_quality(bullets: Column, refs: Column, pubs: Column, has_human: Column, has_mouse: Column, has_disease: Column) -> Column:

@@ -43,9 +43,8 @@ ALLELE_SYMBOLS = ("per", "shi", "w", "Dl", "e", "h", "hry", "N", "wg", "en", "Eg
 
 def content_tokens(text: Column, stop: tuple[str, ...] | list[str] = STOP_WORDS, least: int = 4) -> Column:
     """Distinct lower-cased ASCII words of ``least`` letters or more that are no stop words, in order of first use."""
-    words = F.split(F.regexp_replace(F.lower(text), "[^a-z0-9 ]", " "), r"\s+")
-    stops = F.array(*[F.lit(w) for w in stop])
-    return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= least) & ~F.array_contains(stops, w)))
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"[a-z0-9]{{{least},}}"), F.lit(0)))
+    return F.filter(words, lambda w: ~w.isin(*stop))  # a hash set, as it has more than ten members
 
 
 def unicode_tokens(text: Column) -> Column:

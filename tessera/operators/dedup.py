@@ -33,17 +33,25 @@ def near_duplicates(rows: DataFrame, group: list[str], id_: str, position: str,
     """id_, earlier, similarity: rows that repeat an earlier row of their group: Jaccard similarity of at least the
     threshold and fewer than ``fewer`` tokens in only one of them. The first such earlier row is reported.
 
-    A group is one entity's bullets of a category and direction, which curation bounds; the join stays inside it.
+    Rows of equal token sets are one class, and its first row stands for it. Two sets with fewer than ``fewer`` differing
+    tokens agree on one of ``fewer`` parts into which tokens are dealt by hash, so classes meet by the digest of a part and
+    nothing is compared with all others. (Sets of a few tokens, of which a part may be empty, meet by size as well.)
     """
-    size = F.size
-    a = rows.select(*[F.col(g).alias(f"__g{k}") for k, g in enumerate(group)], F.col(id_).alias("earlier"), F.col(position).alias("__p"), F.col(tokens).alias("__t")).where(size("__t") > 0)
-    b = rows.where(size(tokens) > 0)
-    cond = F.col("__p") < F.col(position)
-    for k, g in enumerate(group):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"__g{k}"))
-    both, any_ = size(F.array_intersect(tokens, "__t")), size(F.array_union(F.col(tokens), F.col("__t")))
-    hits = b.join(a, cond).where((both / any_ >= threshold) & (any_ - both < fewer))
-    return hits.groupBy(id_).agg(F.min_by("earlier", "__p").alias("earlier"), F.round(F.min_by(both / any_, "__p"), 6).alias("similarity"))
+    keys = [F.coalesce(F.col(g).cast("string"), F.lit("\u0000")).alias(f"__g{k}") for k, g in enumerate(group)]
+    names = [f"__g{k}" for k in range(len(group))]
+    own = rows.where(F.size(tokens) > 0).select(F.col(id_), F.col(position).alias("__p"), *keys, F.array_sort(tokens).alias("__t"))
+    own = own.withColumn("__d", F.md5(F.to_json("__t")))
+    classes = own.groupBy(*names, "__d").agg(F.min_by(F.struct(F.col(id_).alias("id"), F.col("__p").alias("p")), "__p").alias("__f"), F.first("__t").alias("__t"))
+    part = lambda k: F.to_json(F.filter("__t", lambda w: F.pmod(F.xxhash64(w), F.lit(fewer)) == k))
+    dealt = classes.withColumn("__m", F.explode(F.array(*[F.xxhash64(F.lit(k), part(k), F.when(part(k) == "[]", F.size("__t")).otherwise(-1)) for k in range(fewer)])))
+    # an empty part says nothing: such classes meet under every size within reach
+    reach = F.array_distinct(F.flatten(F.array(*[F.when(part(k) == "[]", F.array(*[F.xxhash64(F.lit(k), F.lit("[]"), F.size("__t") + d) for d in range(1 - fewer, fewer)])).otherwise(F.array(F.xxhash64(F.lit(k), part(k), F.lit(-1)))) for k in range(fewer)])))
+    other = classes.select(*names, F.col("__d").alias("__e"), F.col("__f").alias("__first"), F.col("__t").alias("__u"), F.explode(reach).alias("__m"))
+    both, any_ = F.size(F.array_intersect("__t", "__u")), F.size(F.array_union("__t", "__u"))
+    similar = dealt.join(other, [*names, "__m"]).where((both / any_ >= threshold) & (any_ - both < fewer))
+    similar = similar.select(*names, "__d", "__first", (both / any_).alias("__s")).distinct()
+    hits = own.drop("__t").join(similar, [*names, "__d"]).where(F.col("__first.p") < F.col("__p"))
+    return hits.groupBy(id_).agg(F.min_by("__first.id", "__first.p").alias("earlier"), F.round(F.min_by("__s", "__first.p"), 6).alias("similarity"))
 
 
 def full_merge(a: DataFrame, b: DataFrame, key: str, columns: list[str], names: tuple[str, str]) -> DataFrame:

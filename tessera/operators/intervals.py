@@ -68,13 +68,12 @@ def lift(members: DataFrame, region: list[str], target: tuple[str, str, str], po
 
     ``members`` has a row per (region, member) with the member's target group, start and end (null or 0: no
     counterpart, counted as dropped). The dominant target is the most frequent group, ties to the one that comes
-    first by ``position``; start and end are its least and greatest. Regions without any counterpart keep a null target.
+    first by ``position``; start and end are its least and greatest. Members are only aggregated; the windows run over
+    a region's targets. Regions without any counterpart keep a null target.
     """
     g, s, e = target
     mapped = F.col(g).isNotNull() & (F.coalesce(F.col(s), F.lit(0)) != 0) & (F.coalesce(F.col(e), F.lit(0)) != 0)
-    order = Window.partitionBy(*region).orderBy(*position)
-    rows = members.withColumn("__n", F.row_number().over(order)).withColumn("__ok", mapped)
-    groups = rows.groupBy(*region, F.when(F.col("__ok"), F.col(g)).alias("target_chr")).agg(F.count("*").alias("n"), F.min("__n").alias("first"), F.min(s).alias("target_start"), F.max(e).alias("target_end"))
+    groups = members.groupBy(*region, F.when(mapped, F.col(g)).alias("target_chr")).agg(F.count("*").alias("n"), F.min(F.struct(*position)).alias("first"), F.min(s).alias("target_start"), F.max(e).alias("target_end"))
     best = Window.partitionBy(*region).orderBy(F.col("target_chr").isNull(), F.desc("n"), "first")
     whole = Window.partitionBy(*region)
     ranked = groups.select(

@@ -13,7 +13,7 @@ from tessera.functions.text import REFERENCE, content_tokens
 from tessera.operators.dedup import near_duplicates
 
 #: Expected bullet counts by publication tier.
-TIER_RANGES = {"A": (10, 60), "B": (5, 40), "C": (1, 30)}
+TIER_RANGES = {"A": (18, 36), "B": (5, 33), "C": (0, 26)}
 
 
 def _issue(df: DataFrame, key: str, code: str, severity: str, item: Column | None = None, detail: Column | None = None) -> DataFrame:
@@ -59,7 +59,7 @@ def distributions(bullets: DataFrame, key: str = "fbgn") -> DataFrame:
 
 
 def bullet_counts(entities: DataFrame, key: str = "fbgn", pubs: str = "n_pubs_total", bullets: str = "n_bullets", stub: str | None = None) -> DataFrame:
-    """Entities whose number of bullets is outside their publication tier's range; stubs are exempt."""
+    """Entities whose number of bullets is outside their publication tier's range; stubs (no bullet and no phenotype row) are exempt."""
     tier = publication_tier(F.coalesce(F.col(pubs), F.lit(0)))
     bad = F.lit(False)
     for name, (low, high) in TIER_RANGES.items():

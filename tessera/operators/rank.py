@@ -47,8 +47,8 @@ def quadrant_counts(ranked: DataFrame, group: list[str]) -> DataFrame:
     return ranked.groupBy(*group).agg(*[F.count(F.when(F.col("quadrant") == q, 1)).alias(q) for q in QUADRANTS])
 
 
-#: The categories that a short list of bullets prefers, in this order.
-CATEGORY_ORDER = ("reproduction", "stress_response", "lifespan_aging", "metabolism", "development", "behavior", "immune", "disease_model", "morphology", "sensory_neural", "expression_pattern", "other")
+#: The categories that a short list of bullets prefers, in this order; all others come after them.
+CATEGORY_ORDER = ("longevity", "stress_response", "disease_model", "behavior", "metabolism", "development")
 
 
 def top_bullets(bullets: DataFrame, key: str, n: int = 3, preference: tuple[str, ...] = CATEGORY_ORDER) -> DataFrame:

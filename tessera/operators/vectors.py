@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,19 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+def cosine_to(v: Column, query: list[float]) -> Column:
+    """Cosine similarity to a known query: its norm is taken once, and both sums run over the vector together."""
+    length = math.sqrt(sum(x * x for x in query))
+    if not length:
+        return F.lit(0.0)
+    pairs = F.arrays_zip(v.cast("array<double>").alias("x"), literal(query).alias("q"))
+    start = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("n"))
+    return F.aggregate(
+        pairs, start, lambda s, p: F.struct((s["d"] + p["x"] * p["q"]).alias("d"), (s["n"] + p["x"] * p["x"]).alias("n")),
+        lambda s: F.when(s["n"] > 0, s["d"] / (F.sqrt(s["n"]) * length)).otherwise(0.0),
+    )
+
+
 def norm(v: Column) -> Column:
     return F.sqrt(dot(v, v))
 
@@ -38,7 +52,9 @@ def hashed_embedding(text: Column, dims: int = 64) -> Column:
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     slot = lambda w: F.pmod(F.xxhash64(w), F.lit(dims))
     sign = lambda w: F.when(F.pmod(F.shiftright(F.xxhash64(w), 32), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.aggregate(F.filter(words, lambda w: slot(w) == d), F.lit(0.0), lambda s, w: s + sign(w)))
+    # words are hashed once, not once a dimension
+    coded = F.transform(words, lambda w: F.struct(slot(w).cast("int").alias("k"), sign(w).alias("s")))
+    counts = F.get(F.transform(F.array(coded), lambda xs: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.aggregate(F.filter(xs, lambda x: x["k"] == d), F.lit(0.0), lambda s, x: s + x["s"]))), F.lit(0))
     return normalise(counts)
 
 
@@ -51,9 +67,10 @@ def semantic_topk(vectors: DataFrame, query: Column, k: int, id_: str = "vec_id"
     return rows.select(id_, F.round(cosine(F.col(vector), query), digits).alias("score")).orderBy(F.desc("score"), id_).limit(k)
 
 
-def two_query_scores(vectors: DataFrame, a: Column, b: Column, id_: str, vector: str, digits: int = 6) -> DataFrame:
+def two_query_scores(vectors: DataFrame, a: Column | list[float], b: Column | list[float], id_: str, vector: str, digits: int = 6) -> DataFrame:
     """id_, ev_a, ev_b, min_ev, max_ev in one scan."""
-    rows = vectors.select(id_, F.round(cosine(F.col(vector), a), digits).alias("ev_a"), F.round(cosine(F.col(vector), b), digits).alias("ev_b"))
+    near = lambda q: cosine_to(F.col(vector), q) if isinstance(q, list) else cosine(F.col(vector), q)
+    rows = vectors.select(id_, F.round(near(a), digits).alias("ev_a"), F.round(near(b), digits).alias("ev_b"))
     return rows.select("*", F.least("ev_a", "ev_b").alias("min_ev"), F.greatest("ev_a", "ev_b").alias("max_ev"))
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from tessera.functions.positions import parse_location
 
 
-def tsv_rows(spark: SparkSession, path: str, least: int = 1, comments: tuple[str, ...] = ("#",), spread: int | None = None) -> DataFrame:
-    """``c``: the cells of each row with at least ``least`` of them."""
-    lines = spark.read.text(path)
+def tsv_rows(spark: SparkSession, path: str | DataFrame, least: int = 1, comments: tuple[str, ...] = ("#",), spread: int | None = None) -> DataFrame:
+    """``c``: the cells of each row with at least ``least`` of them. ``path`` may be a DataFrame of lines (value)."""
+    lines = path if isinstance(path, DataFrame) else spark.read.text(path)
     if spread:
         lines = lines.repartition(spread)
     keep = F.trim("value") != ""
@@ -42,8 +42,12 @@ def annotation_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def summaries(spark: SparkSession, path: str) -> DataFrame:
-    """fbgn, text."""
-    return tsv_rows(spark, path, 2).select(cell(0).alias("fbgn"), cell(1).alias("text"))
+    """fbgn, text: the last row of each id wins. Rows of a file keep their order; several files follow each other by name."""
+    at = F.monotonically_increasing_id()
+    lines = path.withColumn("at", F.struct(at)) if isinstance(path, DataFrame) else spark.read.text(path).select("value", F.struct("_metadata.file_path", "_metadata.file_block_start", at.alias("n")).alias("at"))
+    cells = F.split("value", "\t")
+    rows = lines.where((F.size(cells) >= 2) & ~F.col("value").startswith("#"))
+    return rows.groupBy(F.trim(cells[0]).alias("fbgn")).agg(F.max_by(F.trim(F.regexp_replace(cells[1], r"\r$", "")), "at").alias("text"))
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -147,7 +151,7 @@ def coordinates(spark: SparkSession, path: str) -> DataFrame:
 
 def regions(spark: SparkSession, path: str) -> DataFrame:
     """chr, start, end, label of a BED-like file (tabs, or else white space); rows without numbers (headers) are left out."""
-    lines = spark.read.text(path).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    lines = (path if isinstance(path, DataFrame) else spark.read.text(path)).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
     cells = F.when(F.contains("value", F.lit("\t")), F.split("value", "\t")).otherwise(F.split(F.trim("value"), r"\s+"))
     rows = lines.select(cells.alias("c")).where(F.size("c") >= 3)
     rows = rows.select(cell(0).alias("chr"), cell(1).try_cast("long").alias("start"), cell(2).try_cast("long").alias("end"), blank(cell(3)).alias("label")).dropna(subset=["start", "end"])
@@ -155,9 +159,10 @@ def regions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def id_list(spark: SparkSession, path: str, prefix: str = "FBgn") -> DataFrame:
-    """fbgn and the comment tier of each id: the last "# tier" heading is not kept, only the id."""
+    """fbgn: the ids of a list file, each once; comments behind an id are not kept."""
     first = F.get(F.split(F.trim("value"), r"\s+"), F.lit(0))
-    return spark.read.text(path).select(first.alias("fbgn")).where(F.col("fbgn").startswith(prefix)).distinct()
+    lines = path if isinstance(path, DataFrame) else spark.read.text(path)
+    return lines.select(first.alias("fbgn")).where(F.col("fbgn").startswith(prefix)).distinct()
 
 
 def mammalian_phenotypes(spark: SparkSession, path: str) -> DataFrame:

@@ -51,9 +51,16 @@ def sliding(events: DataFrame, ts: str, width: str = "300 seconds", slide: str =
 
 
 def trailing_counts(events: DataFrame, micros: str, group: list[str], seconds: int, name: str = "n_trailing") -> DataFrame:
-    """``events`` with the number of the group's events in the ``seconds`` up to each (both ends included): an exact range frame."""
-    w = Window.partitionBy(*group).orderBy(micros).rangeBetween(-seconds * 1_000_000, 0)
-    return events.withColumn(name, F.count("*").over(w))
+    """``events`` with the number of the group's events in the ``seconds`` up to each (both ends included): an exact range frame.
+
+    Time is cut into spans as long as the frame. An event's frame reaches back into one earlier span only, so each span's
+    window holds its own events and those of the span before: a busy group is dealt over time, not sorted in one task.
+    """
+    frame = seconds * 1_000_000
+    span = F.floor(F.col(micros) / frame)
+    dealt = events.withColumn("__span", F.explode(F.array(span, span + 1))).withColumn("__own", F.col("__span") == span)
+    w = Window.partitionBy(*group, "__span").orderBy(micros).rangeBetween(-frame, 0)
+    return dealt.withColumn(name, F.count("*").over(w)).where("__own").drop("__span", "__own")
 
 
 def budget_steps(events: DataFrame, group: str, order: str, ok: str, start: int = 8, least: int = 1, most: int = 16, gain_after: int = 3) -> DataFrame:
