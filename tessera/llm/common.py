@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +17,34 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Folders made since the session began, and those of open ``scratch`` blocks.
+_made: list[str] = []
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, as a zip that Spark hands out."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    held = tempfile.NamedTemporaryFile(prefix="tessera-", suffix=".zip", delete=False)  # of the driver only: Spark copies it
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, str(f.relative_to(package.parent)))
+    held.close()
+    sc.addPyFile(held.name)
+    _shipped.add(sc.applicationId)
+
+
 def prepare(spark: SparkSession) -> str:
-    """Make Python workers find this package and return the folder that driver and executors share.
+    """Send this package to the workers and return the folder that driver and executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in tests, is a folder
-    of this machine used instead.
+    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset and all tasks run on this machine,
+    as in tests, is a folder of this machine used instead.
     """
-    root = str(Path(__file__).resolve().parents[2])
+    _ship(spark)
     env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "")
-    if root not in have.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
     for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "2")):  # workers give freed memory back
         env.setdefault(name, value)
     # rows hold whole texts: smaller Arrow batches than for narrow rows, unless the session asks for another size
@@ -36,6 +55,8 @@ def prepare(spark: SparkSession) -> str:
     if not shared and jsc.getCheckpointDir().isDefined():
         shared = jsc.getCheckpointDir().get()
     if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="tessera-")
     if not jsc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared)
@@ -43,8 +64,10 @@ def prepare(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{prepare(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder. What is written there goes with ``scratch`` or ``clean_up``."""
+    path = f"{prepare(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
@@ -54,6 +77,30 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean_up(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate folders made after the first ``since``. Results that were not yet read need them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_made) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate folders made inside go at the end: write what is to stay, with ``keep``, before it."""
+    since = len(_made)
+    try:
+        yield
+    finally:
+        clean_up(spark, since)
+
+
+def keep(df: DataFrame, name: str, path: str) -> DataFrame:
+    """``saved`` to a path of its own, which no ``scratch`` removes."""
+    df.write.parquet(f"{path}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+
+
 def parts(spark: SparkSession, rows: int, per_task: int) -> int:
     """Number of tasks for ``rows`` small rows: it grows with the rows, and small tables still use all cores."""
     return max(int(spark.sparkContext.defaultParallelism), -(-rows // per_task))

@@ -2,11 +2,13 @@
 
 Misra-Gries summaries of every partition name the digests that may be frequent; an exact count over all rows verifies
 them, and their winners (at most ``counters`` rows) are broadcast, so copies of frequent texts are settled where they
-lie. Only the remaining digests, each of few rows by the summary's guarantee, are shuffled.
+lie. Only the remaining digests are shuffled: they are aggregated before that, and the join with the winners may be
+split by adaptive execution, so no group has to fit in a task.
 
 Texts are equal if they are identical after deleting spaces and the ASCII controls from tab to carriage return; a null
 text is empty. Of equal texts the row with the most code points stays, then the smallest doc_id (nulls last), then
-one of the repeated rows. An empty table gives no rows; other columns are not looked at.
+one of the repeated rows. Texts of any length become a digest where they lie. An empty table gives no rows; other
+columns are not looked at, and ``drop_duplicates`` returns them as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ASCII_SPACE, prepare, saved
@@ -62,8 +64,9 @@ def duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     result = ["doc_id", (-F.col("best.back")).alias("keep_id"), "group_size", (F.col("row") == -F.col("best.first")).alias("kept"), "digest"]
     heavy = rows.join(winners, "digest").select(result)
     rest = rows.join(F.broadcast(names), "digest", "left_anti")
-    own = Window.partitionBy("digest")
-    light = rest.select("*", F.count("*").over(own).alias("group_size"), F.max(best).over(own).alias("best")).select(result)
+    # written: so joined, both sides are dealt anew and adaptive execution may split a digest of many rows
+    groups = saved(rest.groupBy("digest").agg(F.count("*").alias("group_size"), F.max(best).alias("best")), "groups")
+    light = rest.join(groups, "digest").select(result)
     return heavy.unionByName(light)
 
 
@@ -77,12 +80,15 @@ def drop_duplicates(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     each = marked.groupBy(key).agg(F.count("*").alias("n"), F.max("kept").alias("stays"))
     gone, twice = each.where("not stays").select(key), each.where("stays and n > 1").select(key)
 
+    # a row travels as one struct, so no name of its columns can clash with the keys beside it
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), digest().alias("digest"))
+
     def same(table: DataFrame) -> Column:
-        return keyed["doc_id"].eqNullSafe(table["doc_id"]) & (keyed["__digest"] == table["digest"])
+        return rows["doc_id"].eqNullSafe(table["doc_id"]) & (rows["digest"] == table["digest"])
 
-    keyed = docs.withColumn("__digest", digest())
-    keyed = keyed.join(gone, same(gone), "left_anti")
+    stay = rows.join(gone, same(gone), "left_anti")
     if not twice.isEmpty():  # whole rows that repeat: only they are compared as rows
-        single = keyed.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", "__digest"])
-        keyed = keyed.join(twice, same(twice), "left_anti").unionByName(single)
-    return keyed.select(docs.columns)
+        rows = stay
+        single = rows.join(twice, same(twice), "left_semi").groupBy("doc_id", "digest").agg(F.first("row").alias("row")).select("row", "doc_id", "digest")
+        stay = rows.join(twice, same(twice), "left_anti").unionByName(single)
+    return stay.select("row.*")

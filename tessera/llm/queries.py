@@ -55,7 +55,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+    return ann.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

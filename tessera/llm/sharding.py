@@ -7,7 +7,11 @@ the limit are summed again by more bits.
 
 The hash is the first 60 bits of the MD5 of the key's decimal digits (a null key: of the word null). A bucket whose
 rows share one hash cannot split: it stays, over the limit, with its size. A null text has no bytes; repeated rows
-share a bucket; an empty table gives no rows.
+share a bucket; of texts only the length is taken, whatever it is; an empty table gives no rows; other columns are not
+looked at (``write_shards`` writes them, in folders named by the column ``shard``, or ``shard_`` and so on if that name is taken).
+
+The directory grows with the bytes, so it is joined by sorting and never broadcast; adaptive execution may split a cell
+of very many rows, as the directory is a written table.
 """
 
 from __future__ import annotations
@@ -36,9 +40,9 @@ def _settle(rows: DataFrame, low: int, high: int, limit: int) -> tuple[DataFrame
     up = cells.withColumn("depth", F.explode(F.sequence(F.lit(low), F.lit(high)))).withColumn("prefix", F.expr(f"shiftright(cell, {high} - depth)"))
     sums = up.groupBy("depth", "prefix").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("shard_rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     fits = sums.where((F.col("shard_bytes") <= limit) | (F.col("lo") == F.col("hi"))).drop("lo", "hi")
-    first = up.select("cell", "depth", "prefix").join(fits, ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_rows")).alias("x"))
+    first = up.select("cell", "depth", "prefix").join(fits.hint("merge"), ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_rows")).alias("x"))
     found = saved(first.select("cell", "x.*").withColumn("shard", F.expr(f"shiftleft(prefix, {HASH_BITS} - depth)")).drop("prefix"), "buckets")
-    return found, cells.join(found, "cell", "left_anti").select("cell")
+    return found, cells.join(found.hint("merge"), "cell", "left_anti").select("cell")
 
 
 def assign(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
@@ -52,11 +56,11 @@ def assign(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     while True:
         found, over = _settle(pending, low, high, limit)
         cell = F.shiftright("h", HASH_BITS - high)
-        parts.append(pending.withColumn("cell", cell).join(found, "cell").drop("cell", "h"))
+        parts.append(pending.withColumn("cell", cell).join(found.hint("merge"), "cell").drop("cell", "h"))
         over = saved(over, "over")
         if over.isEmpty():
             break
-        pending = saved(pending.withColumn("cell", cell).join(over, "cell", "left_semi").drop("cell"), "pending")
+        pending = saved(pending.withColumn("cell", cell).join(over.hint("merge"), "cell", "left_semi").drop("cell"), "pending")
         low, high = high + 1, min(HASH_BITS, high + STEP)
     out = parts[0]
     for p in parts[1:]:
@@ -64,8 +68,20 @@ def assign(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     return out.select("doc_id", "bytes", "depth", "shard", "shard_bytes", "shard_rows")
 
 
+def directory(assigned: DataFrame) -> DataFrame:
+    """The directory of ``assign``'s buckets: depth, shard, shard_bytes, shard_rows, and slots: how many entries of a directory
+    that is indexed by as many bits as the deepest bucket has point to it."""
+    buckets = saved(assigned.select("depth", "shard", "shard_bytes", "shard_rows").distinct(), "directory")
+    deepest = buckets.agg(F.max("depth")).first()[0] or 0
+    return buckets.withColumn("slots", F.expr(f"shiftleft(1L, {deepest} - depth)"))
+
+
 def write_shards(docs: DataFrame, limit: int, path: str, key: str = "doc_id") -> None:
     """Write ``docs`` as Parquet below ``path``, a folder a shard; rows of a shard go to one task, which its limit bounds."""
-    where = assign(docs, limit, key).select(F.col("doc_id").alias("__id"), "depth", "shard").distinct()
-    rows = docs.join(where, F.col(key).cast("long").eqNullSafe(F.col("__id"))).drop("__id")
-    rows.withColumn("shard", F.concat_ws("-", "depth", F.hex("shard"))).drop("depth").repartition("shard").write.partitionBy("shard").parquet(path)
+    name = "shard"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
+    where = assign(docs, limit, key).select(F.col("doc_id").alias("key"), F.concat_ws("-", "depth", F.hex("shard")).alias("place")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("id"))
+    rows = rows.join(where.hint("merge"), rows["id"].eqNullSafe(where["key"])).select("row.*", F.col("place").alias(name))
+    rows.repartition(name).write.partitionBy(name).parquet(path)

@@ -18,7 +18,9 @@ Tasks return spanning links, not all pairs, and pass over node pairs that lie in
 of a bucket that very many share are dealt into chunks; each pair of chunks is a bucket of its own.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; repeated rows share their
-fingerprint; a null doc_id gets its component's id but never names one; an empty table gives no rows.
+fingerprint; rows with a null doc_id link like any other and get their component's id, but never name one (a component
+of such rows only has a null id); texts of any length are read whole; an empty table gives no rows; other columns are
+not looked at, and ``keep_one_each`` returns them as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -272,10 +274,13 @@ def near_links(reps: DataFrame, rule: Rule = BITS64, hot: int = HOT_BUCKET) -> D
 def near_components(docs: DataFrame, width: int = 4, rule: Rule = BITS64, seed: int = 42, hot: int = HOT_BUCKET) -> DataFrame:
     """doc_id, fp and component_id (the component's smallest doc_id) of every row of ``docs``."""
     fps = saved(fingerprints(docs, width, seed, rule.words), "fps")
-    reps = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
-    ids = reps.where("rep is not null")
-    nodes = components(near_links(ids, rule, hot))
-    tops = ids.join(nodes, ids["rep"] == nodes["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    # every distinct fingerprint is a node, with a number of its own: also those that only rows without a doc_id have
+    reps = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("rep", F.monotonically_increasing_id()), "reps")
+    nodes = components(near_links(reps, rule, hot))
+    roots = reps.join(nodes, reps["rep"] == nodes["node"], "left").select("fp", "least", F.coalesce("root", "rep").alias("root"))
+    roots = saved(roots, "roots")
+    names = saved(roots.groupBy("root").agg(F.min("least").alias("component_id")), "names")
+    tops = saved(roots.join(names, "root").select("fp", "component_id"), "tops")
     return fps.join(tops, "fp", "left").select("doc_id", "fp", "component_id")
 
 
@@ -382,6 +387,7 @@ def keep_one_each(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR, hot: in
     tops = nodes.join(groups, nodes["rep"] == groups["node"], "left").select("fp", "set_id", "first", F.coalesce("root", "rep").alias("group"))
     keepers = tops.groupBy("group").agg(F.min("first").alias("keep"))
     found = rows.join(tops.join(keepers, "group").select("fp", "set_id", "keep"), ["fp", "set_id"])
-    gone = found.where("doc_id is not null and (doc_id <> keep.doc_id or mark <> keep.mark)").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__mark"))
-    return docs.join(gone, same, "left_anti").select(docs.columns)
+    gone = found.where("doc_id is not null and (doc_id <> keep.doc_id or mark <> keep.mark)").select("doc_id", "mark").distinct()
+    # a row travels as one struct, so no name of its columns can clash with the keys beside it
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"))
+    return whole.join(gone, ["doc_id", "mark"], "left_anti").select("row.*")

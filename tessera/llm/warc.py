@@ -7,11 +7,12 @@ to any store that Spark writes, and remain valid gzip streams.
 Reader: Spark's text source scans byte ranges for the gzip magic (its line separator here); a task owns the
 candidates that start inside its ranges and reads the last one to its end. A candidate is validated by decoding its
 header. A member that does not end before the next candidate goes on behind it: the magic also occurs inside of
-compressed data, about once in 16 MB. Where a range ends inside such a member, its file is read once more, whole, by
-one task; that is about one file in thousands.
+compressed data, about once in 16 MB. Where a range ends inside such a member, the candidates of its file are walked
+once more in their order, by one task that holds a member at a time; that is about one file in thousands.
 
 Defined results: a null payload is empty; a null page_id or url leaves its header out; an empty table gives no
-archive and no rows. Rows that repeat the largest page_id of a group of equal payloads are all responses.
+archive and no rows. Rows that repeat the largest page_id of a group of equal payloads are all responses. Payloads of any
+length are whole records; other columns of the pages are not archived.
 """
 
 from __future__ import annotations
@@ -105,7 +106,9 @@ def assign_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     key = F.when(F.octet_length("payload") >= least, F.sha2("payload", 256))
     groups = rows.select("page_id", key.alias("k")).where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.max("page_id").alias("top"))
     groups = saved(groups.where("n > 1").drop("n"), "groups")
-    rows = rows.withColumn("k", key).join(groups, "k", "left")
+    # short pages need no partner: they stay where they are, and no null key gathers them
+    long_, short = (rows.where(cond) for cond in (F.octet_length("payload") >= least, F.octet_length("payload") < least))
+    rows = long_.withColumn("k", key).join(groups, "k", "left").drop("k").unionByName(short.withColumn("top", F.lit(None).cast("long")))
     revisit = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     return rows.select("page_id", "url", "payload", F.when(revisit, F.col("top")).alias("refers_to"), revisit.alias("revisit"))
 
@@ -165,29 +168,27 @@ def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([blank | {"file": at[0]}], schema=schema)
 
 
-def members(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
-    """The contents of the gzip members of a whole archive, in order; an incomplete last one is left out."""
-    at = 0
-    while at < len(data):
-        d, out = zlib.decompressobj(31), []
-        try:
-            while not d.eof and at < len(data):
-                out.append(d.decompress(data[at : at + step]))
-                at = min(len(data), at + step) - len(d.unused_data)
-        except zlib.error:
-            at = data.find(MAGIC, at + 1)
-            if at < 0:
-                return
-            continue
-        if d.eof:
-            yield b"".join(out)
-
-
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of whole files, whose candidates come in order, one file behind the other."""
+    rows: list[dict] = []
+    member, at = None, None
     for b in batches:
-        for data in b.column("content").to_pylist():
-            rows = [r for content in members(data) if content and (r := parse(content))]
-            yield pa.RecordBatch.from_pylist(rows, schema=RECORD)
+        for value, file, start in zip(*(b.column(c).to_pylist() for c in ("value", "file", "start")), strict=True):
+            if file != at:
+                member, at = None, file
+                if start == 0 and not value:
+                    continue
+            data = MAGIC + value
+            if member:
+                member.feed(data)
+            if not member or member.state == "none":
+                member = Member(data)
+            if member.state == "whole" and (content := b"".join(member.out)) and (found := parse(content)):
+                rows.append(found)
+            if member.state != "part":
+                member = None
+        yield pa.RecordBatch.from_pylist(rows, schema=RECORD)
+        rows.clear()
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -196,20 +197,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1")).text(path)
     lines = text.select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     found = saved(lines.mapInArrow(_owned, PARSED + ", file string"), "members")
-    names = RECORD.names
+    open_ends = found.where("record_type is null").select("file").distinct()
     records = found.where("record_type is not null")
-    spanning = [r[0] for r in found.where("record_type is null").select("file").distinct().collect()]  # about one file in thousands
-    if not spanning:
-        return records.select(names)
-    again = spark.read.format("binaryFile").load([_plain(f) for f in spanning]).select("content").mapInArrow(_whole, PARSED)
-    return records.where(~F.col("file").isin(spanning)).select(names).unionByName(again)
-
-
-def _plain(uri: str) -> str:
-    """A path of file metadata, which is percent-encoded, as a path to load."""
-    from urllib.parse import unquote
-
-    return unquote(uri)
+    if open_ends.isEmpty():
+        return records.select(RECORD.names)
+    open_ends = saved(open_ends, "open")
+    whole = lines.withColumn("n", F.monotonically_increasing_id()).join(open_ends, "file", "left_semi")
+    again = whole.repartition("file").sortWithinPartitions("file", "start", "n").mapInArrow(_in_order, PARSED)
+    return records.join(open_ends, "file", "left_anti").select(RECORD.names).unionByName(again)
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, least: int = LEAST_REVISIT) -> DataFrame:

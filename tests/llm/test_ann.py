@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import ann
 from tessera.llm.queries import op7_nearest_neighbours
@@ -42,7 +43,7 @@ def test_blocks_of_queries_and_recall_on_clusters(spark, block):
     rows = [(i, (centres[i % 12] + rng.standard_normal(30)).astype(np.float32).tolist()) for i in range(1500)]
     df = spark.createDataFrame([(i, v, 1, "a", "b", 2, 3) for i, v in rows], SCHEMA).repartition(5)
     got: dict = {}
-    for r in ann.nearest(df, df.where("vec_id % 150 = 0"), k=7, block=block).collect():
+    for r in ann.nearest(df, F.col("vec_id") % 150 == 0, k=7, block=block).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     want = brute(rows, [r for r in rows if r[0] % 150 == 0], 7)
     assert got.keys() == want.keys()
@@ -58,8 +59,8 @@ def test_bounds_choose_few_for_reranking():
     o = (v - centre) @ turn.T
     length = np.sqrt((o * o).sum(axis=1))
     ip = np.abs(o).sum(axis=1) / np.sqrt(d) / length
-    search = ann.Searcher(np.array([-1, -2]), v[:2] + 0.01, centre, turn, 10, ann.EPSILON)
-    search.show(np.arange(n), v, np.packbits(o > 0, axis=1), length, ip)
+    search = ann.Searcher(np.array([-1, -2]), np.array([-1, -2]), v[:2] + 0.01, centre, turn, 10, ann.EPSILON)
+    search.show(np.arange(n), np.arange(n), v, np.packbits(o > 0, axis=1), length, ip)
     assert search.reranked < 0.5 * 2 * n
 
 
@@ -67,8 +68,27 @@ def test_bad_vectors_ties_repeats_few_and_empty(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [1.0, 2.0, 3.0]), (200, [0.0, 0.0]), (None, [1.0, 0.5]), (9, [])]
     df = spark.createDataFrame([(i, v, 1, "a", "b", 2, 3) for i, v in rows], SCHEMA)
-    got = [tuple(r) for r in ann.nearest(df, df.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()]
+    got = [tuple(r) for r in ann.nearest(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()]
     root = math.sqrt(2)
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 2, 1.0), (0, 4, 100, root), (100, 1, 1, 1.0), (100, 2, 2, 1.0), (100, 3, 2, 1.0), (100, 4, 0, root)]
-    assert ann.nearest(df.limit(0), df.limit(0)).collect() == []
-    assert ann.nearest(df, df.where("false")).collect() == []
+    assert ann.nearest(df.limit(0), F.lit(True)).collect() == []
+    assert ann.nearest(df, F.lit(False)).collect() == []
+
+
+def test_every_length_is_searched_and_only_the_own_row_is_left_out(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [3.0, 0.0]), (100, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 4.0]), (3, [5.0])]
+    df = spark.createDataFrame([(i, v, 1, "a", "b", 2, 3) for i, v in rows], SCHEMA)
+    got = sorted(tuple(r) for r in ann.nearest(df, F.col("vec_id") % 100 == 0).collect())
+    assert got == [(0, 1, 0, 0.0), (0, 1, 0, 0.0), (0, 2, 1, 2.0), (0, 2, 1, 2.0), (100, 1, 2, 1.0)]
+
+
+def test_wide_vectors_make_small_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((60, 700)))]
+    df = spark.createDataFrame([(i, v, 1, "a", "b", 2, 3) for i, v in rows], SCHEMA)
+    monkeypatch.setattr(ann, "TABLE_BYTES", 4 * 88 * 256 * 4)
+    got: dict = {}
+    for r in ann.nearest(df, F.col("vec_id") % 6 == 0, k=3).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute(rows, [r for r in rows if r[0] % 6 == 0], 3)
+    assert got == {q: {i for i, _ in v} for q, v in want.items()}

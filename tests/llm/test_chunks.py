@@ -80,7 +80,7 @@ def test_repeats_inside_a_text_nulls_and_empty(make_docs):
     line = words(rng, 60) + "\n"
     docs = make_docs([(1, line * 3 + "end"), (2, None), (3, ""), (None, line * 3), (4, words(rng, 100)), (5, "ü" * 500)])
     got = {r["doc_id"] for r in chunks.repeated_spans(docs).collect()}
-    assert got == {1, 5} or got == {1}
+    assert got == {None, 1, 5}  # a text may repeat itself, character by character too; a row without an id comes last
     assert chunks.repeated_spans(docs.limit(0)).collect() == []
     same = make_docs([(1, line * 2), (1, line * 2)])
     assert {r["doc_id"] for r in chunks.repeated_spans(same).collect()} == {1}

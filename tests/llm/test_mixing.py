@@ -51,6 +51,65 @@ def test_query(spark, smallest, documents):
         assert taken == pytest.approx(target, rel=0.003)
 
 
+def seat_by_seat(weights: dict, house: int, caps: dict) -> dict:
+    """Sainte-Lague, one seat after the other."""
+    seats = dict.fromkeys(weights, 0)
+    for _ in range(min(house, sum(c for k, c in caps.items() if weights[k] > 0))):
+        free = [k for k in weights if weights[k] > 0 and seats[k] < caps[k]]
+        best = min(free, key=lambda k: (-weights[k] / (2 * seats[k] + 1), k))
+        seats[best] += 1
+    return seats
+
+
+def test_seats_against_seat_by_seat(spark):
+    rng = random.Random(7)
+    rows, houses, want = [], [], {}
+    for g in range(40):
+        m = rng.choice((1, 2, 5, 30))
+        weights = {k: float(rng.choice((0, 1, 1, 7, 7, rng.randrange(1, 10**6)))) for k in range(m)}
+        caps = {k: rng.choice((10**9, 10**9, rng.randrange(0, 40))) for k in range(m)}
+        house = rng.choice((0, 1, 3, 50, 400))
+        rows += [(g, k, weights[k], caps[k]) for k in weights]
+        houses.append((g, house))
+        want |= {(g, k): n for k, n in seat_by_seat(weights, house, caps).items()}
+    df = spark.createDataFrame(rows, "g int, k int, weight double, cap long")
+    got = {(r["g"], r["k"]): r["seats"] for r in mixing.apportion(df, "g", "k", spark.createDataFrame(houses, "g int, house long")).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("ceiling", [2.0, 1.5])
+def test_taken_words_against_seat_by_seat(spark, documents, ceiling):
+    """Seats of sources, quotas of shards and the words of each row, by hand from the rows' seeded places."""
+    rows = [r.asDict() for r in documents.select("doc_id", "source", mixing.word_count().alias("size")).collect()]
+    rng = random.Random(3)
+    texts = [(r["doc_id"], "w " * r["size"], None, rng.choice(["a", "a", "a", "b", "c", "d"])) for r in rows]
+    docs = spark.createDataFrame([(i, t, s) for i, t, _, s in texts], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in mixing.mix(docs, ceiling=ceiling, shard_rows=25).collect()}
+    place = {r["doc_id"]: r for r in mixing._places(docs, 20).selectExpr("doc_id", "h", "size", "xxhash64(21, h) as s").collect()}
+    sizes: dict = {}
+    for i, _, _, s in texts:
+        sizes.setdefault(s, []).append(i)
+    names = sorted(sizes)
+    total = {s: sum(place[i]["size"] for i in sizes[s]) for s in names}
+    target = dict(zip(names, water([total[s] for s in names], ceiling=ceiling), strict=True))
+    block = max(1, min(256, int(min(target.values()) / 512)))
+    seats = seat_by_seat(target, int(sum(target.values()) / block + 0.5), {s: -int(-ceiling * total[s] // block) for s in names})
+    for s in names:
+        shards: dict = {}
+        for i in sizes[s]:
+            shards.setdefault(place[i]["s"] % -(-len(sizes[s]) // 25), []).append(i)
+        words = {k: sum(place[i]["size"] for i in own) for k, own in shards.items()}
+        quota = seat_by_seat({k: float(w) for k, w in words.items()}, seats[s], {k: int(ceiling * -(-w // block)) for k, w in words.items()})
+        for k, own in shards.items():
+            blocks = -(-words[k] // block)
+            passes = quota[k] // blocks if blocks else 0
+            rest = (quota[k] - passes * blocks) * block
+            for i in sorted(own, key=lambda i: (place[i]["h"], i)):
+                n = place[i]["size"]
+                assert got[i]["taken"] == passes * n + max(0, min(rest, n)) and got[i]["target"] == pytest.approx(target[s])
+                rest -= n
+
+
 def test_partitions_do_not_matter(spark, documents):
     a = mixing.mix(documents.repartition(7)).collect()
     b = mixing.mix(documents.coalesce(1)).collect()

@@ -102,6 +102,15 @@ def test_nulls_ties_repeats_empty(spark, make_docs):
     assert simhash.near_components(docs.limit(0)).collect() == []
 
 
+def test_rows_without_an_id_link_others(spark, make_docs, monkeypatch):
+    """A row without an id may be the only bridge between two documents; components of such rows only have no id."""
+    rows = spark.createDataFrame([(1, 0), (None, 0xF), (2, 0xFF), (None, 0x3FF << 40), (None, 0x7FF << 40)], "doc_id long, n long")
+    made = rows.selectExpr("doc_id", "unhex(lpad(hex(n), 16, '0')) as fp")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *how: made)
+    got = sorted((r["doc_id"] or 0, bytes(r["fp"])[-1], r["component_id"] or 0) for r in simhash.near_components(made).collect())
+    assert got == [(0, 0, 0), (0, 0, 0), (0, 15, 1), (1, 0, 1), (2, 255, 1)]
+
+
 def test_stage_catches_near_copies_and_leaves_others(spark, make_docs):
     rng = random.Random(3)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(2000)]
