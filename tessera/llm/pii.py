@@ -1,16 +1,21 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
-Base spans are regular expressions with checks. Candidate spans beyond them are found by a wider pattern: digit groups
-that fail a base check, written-out addresses ("name at host dot com"), and names behind titles. Labelers vote on
-every candidate and every base span: pattern checks (regex), word lists (gazetteer) and words nearby (context).
-Expectation-maximisation over the table of vote patterns estimates each labeler's reliability without labels; its
-posteriors then train the final span classifier, a naive Bayes model on span features, whose log-odds are summed in
-a column expression. Accepted candidates are added; base spans always stay.
+Base spans are regular expressions with checks. Candidate spans beyond them are found by wider patterns, in the text
+without the base spans: digit groups that no base check accepts, written-out addresses ("name at host dot com"), names
+behind titles, and long strings of letters and digits (secrets). Five labelers vote on every candidate: a shape and a
+checking rule (regex), a word list (gazetteer), words or marks just before (context), and how it is set off from the
+text. For each kind of candidate, expectation-maximisation over the table of vote patterns estimates the labelers'
+reliabilities without labels; base spans are no part of it, as they are decided. Its posteriors train the final span
+classifier, a naive Bayes model on span features, whose log-odds are summed in a column expression. Accepted candidates
+are added; base spans always stay.
 
 Positions are code points. The patterns are written so that each character is looked at a bounded number of times:
-runs are possessive and start where a run starts or where the last match ended.
+runs are possessive and start where a run starts or where the last match ended; no group repeats without bound but
+possessively, as Java matches other groups by recursion, which very long texts would overflow.
 
-Defined results: null and empty texts have no spans; repeated rows get equal rows; an empty table gives no rows.
+Defined results: null and empty texts have no spans; a null doc_id stays null; repeated rows get equal rows; texts of any
+length are searched whole; an empty table gives no rows. Other columns are not looked at, and ``mask`` returns them as
+they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,20 +39,35 @@ BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 #: Candidates beyond the base: kind -> pattern. Each is bounded in length.
 WIDER = {
     "number": r"(?<![0-9A-Za-z.+-])[0-9(][0-9() ./-]{6,28}[0-9](?![0-9A-Za-z])",
-    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[({] ?(?i:at|@) ?[\])}] ?[A-Za-z0-9-]{1,64}(?: ?(?:\.|[\[({] ?(?i:dot) ?[\])}]) ?[A-Za-z0-9-]{2,64})+",
+    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:[\[({] ?(?i:at|@) ?[\])}]|(?i:\bat\b)) ?[A-Za-z0-9-]{1,64}(?:(?:\.| ?[\[({] ?(?i:dot) ?[\])}] ?| (?i:dot) )[A-Za-z0-9-]{2,64}){1,8}+",
     "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora)\.? \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?",
+    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]{0,200}+[0-9])(?=[0-9_+/=-]{0,200}+[A-Za-z])[A-Za-z0-9_+/=-]{20,200}+(?![A-Za-z0-9_+/=-])",
 }
-#: Words that go with personal data (gazetteer) and words in front of it (context), in the four languages.
-MAIL_HOSTS = "gmail|yahoo|hotmail|outlook|mail|example|gmx|web|orange|free"
+HINTS = {
+    "email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]", "number": "[0-9]", "address": r"(?i:[\[({] ?(?:at|@) ?[\])}]|[\[({ ]dot[\])} ])",
+    "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora)\.? \p{Lu}", "secret": "[A-Za-z0-9_+/=-]{20}",
+}
+#: The word lists that come with the operator, in the four languages of its tests; ``gazetteer`` puts a table in their place.
+GAZETTEER = {
+    "address": "gmail yahoo hotmail outlook mail example gmx web orange free proton icloud aol live",
+    "name": "anna maria hans peter jean marie pierre josé juan john mary james thomas paul laura klaus sophie carlos ana michael david sarah",
+    "number": "phone tel telephone mobile call fax telefon handy anruf téléphone portable teléfono móvil card visa mastercard amex credit iban karte kreditkarte konto carte compte tarjeta cuenta",
+    "secret": "token key apikey secret password passwd pwd passwort kennwort contraseña bearer auth authorization credential credentials access private signature session",
+}
+#: Terms of a gazetteer at most: they become sets in the plan.
+GAZETTEER_TERMS = 100_000
+#: What stands just before personal data (context).
 NEARBY = {
-    "phone": "phone|tel|telephone|mobile|call|fax|telefon|handy|anruf|téléphone|portable|teléfono|móvil",
-    "card": "card|visa|mastercard|amex|credit|iban|karte|kreditkarte|konto|carte|compte|tarjeta|cuenta",
-    "mail": "mail|e-mail|email|contact|kontakt|courriel|correo|contacto",
-    "ip": "ip|host|server|client|login|adresse",
-    "name": "name|author|signed|contact|von|autor|nom|auteur|nombre|firma",
+    "number": r"(?:phone|tel|telephone|mobile|call|fax|telefon|handy|anruf|téléphone|portable|teléfono|móvil|card|visa|credit|iban|karte|konto|carte|compte|tarjeta|cuenta)[^\p{L}0-9]{0,6}$",
+    "address": r"(?:mail|e-mail|email|contact|kontakt|courriel|correo|contacto|write|to|an|à|a)[^\p{L}0-9]{0,6}$",
+    "name": r"(?:name|author|signed|contact|von|autor|nom|auteur|nombre|firma|by|dear|sehr geehrte[r]?)[^\p{L}0-9]{0,6}$",
+    "secret": r"(?:[:=]|->|=>)\s?[\"']?$",
 }
 LABELERS = ("shape", "checked", "listed", "near", "alone")
-ROUNDS = 60
+#: What is believed of a labeler before data: its vote rates on personal data and on other candidates, worth so many votes of each.
+#: A shape or a clear edge is common to both; a check, a listed word or a word nearby is rare on other candidates.
+BELIEF = {"shape": (0.9, 0.5), "checked": (0.7, 0.08), "listed": (0.7, 0.1), "near": (0.7, 0.08), "alone": (0.85, 0.5)}
+STRENGTH, SHARE, ROUNDS = 40.0, 0.3, 60
 
 
 def _let(value: Column, body) -> Column:
@@ -117,68 +137,93 @@ def _blanked(text: str, kind: str) -> Column:
     return F.when(F.col(text).rlike(HINTS[kind]), F.array_join(kept, "")).otherwise(F.col(text))
 
 
-HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]", "number": "[0-9]", "address": r"(?i:[\[({] ?(?:at|@) ?[\])}])", "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora)\.? \p{Lu}"}
-
+def base_spans(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """doc_id, text, the columns ``also``, and for each kind its spans as array<struct<start, end, span>>."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *(also or []))
+    return rows.select("doc_id", "text", *(also or []), *[_spans("text", HINTS[k], PATTERNS[k], lambda s, k=k: _valid(k, s)).alias(k) for k in KINDS])
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id and for each kind its spans as array<struct<start, end, span>>."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.select("doc_id", "text", *[_spans("text", HINTS[k], PATTERNS[k], lambda s, k=k: _valid(k, s)).alias(k) for k in KINDS])
 
-
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id and array ``spans`` of struct<kind, base, start, end, span, before, after>: base spans, and wider candidates in the text without them."""
-    rows = base_spans(docs)
+def candidates(docs: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """doc_id, the columns ``also``, and array ``spans`` of struct<kind, base, start, end, span, before, after>: base spans, and wider candidates in the text without them."""
+    rows = base_spans(docs, also)
     for kind in KINDS:
         rows = rows.withColumn("text", _blanked("text", kind))
-    wide = rows.select("doc_id", *KINDS, *[_spans("text", HINTS[k], p, lambda s: F.lit(True)).alias(k) for k, p in WIDER.items()])
+    wide = rows.select("doc_id", *(also or []), *KINDS, *[_spans("text", HINTS[k], p, lambda s: F.lit(True)).alias(k) for k, p in WIDER.items()])
 
     def tagged(kind: str, base: bool) -> Column:
         return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), *[s[c].alias(c) for c in ("start", "end", "span", "before", "after")]))
 
-    return wide.select("doc_id", F.concat(*[tagged(k, True) for k in KINDS], *[tagged(k, False) for k in WIDER]).alias("spans"))
+    return wide.select("doc_id", *(also or []), F.concat(*[tagged(k, True) for k in KINDS], *[tagged(k, False) for k in WIDER]).alias("spans"))
 
 
-def _votes(s: Column) -> dict[str, Column]:
-    """The labelers' votes on a span (a struct of ``candidates``)."""
-    span, kind, before = s["span"], s["kind"], F.lower(s["before"])
-    digits = F.char_length(F.regexp_replace(span, "[^0-9]", ""))
-    near = {k: before.rlike(rf"(?<![\p{{L}}])(?:{w})[^\p{{L}}0-9]{{0,6}}$") for k, w in NEARBY.items()}
-    mail, number = kind.isin("email", "address"), kind.isin("number", "card", "phone")
+def word_lists(gazetteer: DataFrame | None) -> dict[str, list[str]]:
+    """The lower-cased terms of each kind of candidate: those of a table (kind, term) of at most GAZETTEER_TERMS rows, or the built-in ones."""
+    if gazetteer is None:
+        return {k: v.split() for k, v in GAZETTEER.items()}
+    rows = gazetteer.select("kind", F.lower("term").alias("term")).dropna().distinct().limit(GAZETTEER_TERMS + 1).collect()
+    if len(rows) > GAZETTEER_TERMS:
+        raise ValueError(f"a gazetteer holds at most {GAZETTEER_TERMS} terms")
+    return {k: [r["term"] for r in rows if r["kind"] == k] for k in WIDER}
+
+
+def _votes(s: Column, lists: dict[str, list[str]]) -> dict[str, Column]:
+    """The labelers' votes on a candidate (a struct of ``candidates``)."""
+    span, before = s["span"], F.lower(s["before"])
+    digits = F.regexp_replace(span, "[^0-9]", "")
+    n = F.char_length(digits)
+
+    def by_kind(**votes: Column) -> Column:
+        out = F.when(s["kind"] == "number", votes["number"])
+        for kind in ("address", "name", "secret"):
+            out = out.when(s["kind"] == kind, votes[kind])
+        return out
+
+    def listed(kind: str, words: Column) -> Column:
+        return F.exists(words, lambda w: w.isin(*lists[kind])) if lists.get(kind) else F.lit(False)
+
+    own, front = F.split(F.lower(span), r"[^\p{L}]+"), F.split(before, r"[^\p{L}]+")
     return {
-        "shape": F.when(mail, span.rlike("[A-Za-z]")).when(kind == "name", span.rlike(r" \p{Lu}\p{L}+ \p{Lu}")).otherwise(digits.between(10, 16)),
-        "checked": F.when(mail, span.rlike(r"(?i)(?:com|org|net|de|fr|es|edu)$")).when(kind.isin("ip", "name"), kind == "ip")
-        .otherwise((digits.between(14, 19) & F.call_function("luhn_check", F.regexp_replace(span, "[^0-9]", ""))) | (span.rlike(r"^\+") & digits.between(10, 15))),
-        "listed": F.when(mail, span.rlike(rf"(?i)(?:{MAIL_HOSTS})[0-9]*\W+(?:dot)?")).when(kind == "name", F.lit(True)).when(kind == "ip", ~span.rlike(r"^(?:0|127|255)\."))
-        .otherwise(span.rlike(r"^(?:\+|00|\(|[3-6][0-9]{3})")),
-        "near": F.when(mail, near["mail"]).when(number, near["phone"] | near["card"]).when(kind == "ip", near["ip"]).otherwise(near["name"]),
-        "alone": s["before"].rlike(r"(?:^|[\s(\[<:,;])$") & s["after"].rlike(r"^(?:$|[\s)\]>.,;:])"),
+        "shape": by_kind(
+            number=n.between(9, 16), address=span.rlike("[A-Za-z].*[A-Za-z]"), name=span.rlike(r" \p{Lu}\p{L}+ \p{Lu}"), secret=(F.char_length(span) >= 24) & span.rlike("[0-9].*[0-9]"),
+        ),
+        "checked": by_kind(
+            number=(n.between(14, 19) & F.call_function("luhn_check", digits)) | (span.rlike(r"^(?:00|\()") & n.between(10, 15)), address=span.rlike(r"(?i)[^A-Za-z](?:com|org|net|edu|gov|io|de|fr|es|eu|info)$"),
+            name=~F.lower(s["after"]).rlike(r"^[\p{L}]"), secret=span.rlike(r"^(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$|^(?:AKIA|ASIA|gh[pousr]_|sk-|xox[abp]-|eyJ|AIza)") | (span.rlike("[a-z]") & span.rlike("[A-Z]") & span.rlike("[0-9]")),
+        ),
+        "listed": by_kind(number=listed("number", front), address=listed("address", own), name=listed("name", own), secret=listed("secret", front)),
+        "near": by_kind(**{k: before.rlike(rf"(?:^|[^\p{{L}}]){p}" if k != "secret" else p) for k, p in NEARBY.items()}),
+        "alone": s["before"].rlike(r"(?:^|[\s(\[<:,;=\"'])$") & s["after"].rlike(r"^(?:$|[\s)\]>.,;:\"'])"),
     }
 
 
-def _features(s: Column) -> dict[str, Column]:
-    """Features of a span, each of a few values, for the final classifier."""
-    span = s["span"]
+def _features(s: Column, lists: dict[str, list[str]]) -> dict[str, Column]:
+    """Features of a candidate, each of a few values, for the final classifier."""
+    span, votes = s["span"], _votes(s, lists)
     digits = F.char_length(F.regexp_replace(span, "[^0-9]", ""))
+    flag = lambda v: F.coalesce(v, F.lit(False)).cast("string")
     return {
-        "kind": s["kind"], "digits": F.least(F.lit(20), digits).cast("string"), "length": F.least(F.lit(12), F.floor(F.char_length(span) / 4)).cast("string"),
+        "digits": F.least(F.lit(20), digits).cast("string"), "length": F.least(F.lit(16), F.floor(F.char_length(span) / 4)).cast("string"),
         "marks": F.least(F.lit(6), F.char_length(F.regexp_replace(span, r"[0-9A-Za-z\s]", ""))).cast("string"),
-        "word": F.regexp_extract(F.lower(s["before"]), r"([\p{L}]{2,12})[^\p{L}]{0,3}$", 1).isin(*[w for x in NEARBY.values() for w in x.split("|")]).cast("string"),
-        "open": F.regexp_extract(s["before"], r"([^\p{L}\p{N}])$", 1).isin(" ", "\n", "\t", ":", "(").cast("string"),
+        "context": F.concat(flag(votes["listed"]), F.lit("/"), flag(votes["near"])), "form": F.concat(flag(votes["shape"]), F.lit("/"), flag(votes["checked"])),
+        "open": F.regexp_extract(s["before"], r"([^\p{L}\p{N}])$", 1).isin(" ", "\n", "\t", ":", "(", '"', "'", "=").cast("string"),
     }
 
 
 def fit_reliabilities(patterns: dict[tuple[bool, ...], int], rounds: int = ROUNDS) -> tuple[float, list[tuple[float, float]]]:
-    """EM for two classes and independent labelers: (share of personal data, each labeler's vote rates when it is and is not)."""
-    n, m = sum(patterns.values()), len(LABELERS)
-    share, rates = 0.5, [(0.8, 0.2)] * m
+    """EM for two classes and independent labelers: (share of personal data, each labeler's vote rates when it is and is not).
+
+    BELIEF is worth STRENGTH votes of each class, so that a few candidates, or such as all look alike, do not turn a
+    labeler's meaning round.
+    """
+    n = sum(patterns.values())
+    share, rates = SHARE, list(BELIEF.values())
     for _ in range(rounds if n else 0):
         weight = {v: posterior(v, share, rates) for v in patterns}
         yes = sum(weight[v] * c for v, c in patterns.items())
-        share = min(0.999, max(0.001, yes / n))
+        share = min(0.999, max(0.001, (yes + STRENGTH * SHARE) / (n + STRENGTH)))
         rates = [
-            ((sum(weight[v] * c for v, c in patterns.items() if v[k]) + 4) / (yes + 5), (sum((1 - weight[v]) * c for v, c in patterns.items() if v[k]) + 1) / (n - yes + 5))
-            for k in range(m)
+            ((sum(weight[v] * c for v, c in patterns.items() if v[k]) + STRENGTH * p) / (yes + STRENGTH), (sum((1 - weight[v]) * c for v, c in patterns.items() if v[k]) + STRENGTH * q) / (n - yes + STRENGTH))
+            for k, (p, q) in enumerate(BELIEF.values())
         ]
     return share, rates
 
@@ -190,34 +235,36 @@ def posterior(votes: tuple[bool, ...], share: float, rates: list[tuple[float, fl
     return 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
 
 
-def train(found: DataFrame) -> tuple[Column, dict]:
-    """(a classifier of a struct column ``s`` as a boolean Column, the fitted model) from the spans of ``candidates``.
+def train(found: DataFrame, lists: dict[str, list[str]]) -> tuple:
+    """(a classifier of a struct column of ``candidates`` as a function to a boolean Column, the fitted model).
 
-    What reaches the driver is the table of vote patterns (2**5 rows) and that of feature values (some hundreds).
+    What reaches the driver is the table of vote patterns (2**5 rows a kind) and that of feature values (some hundreds).
     """
-    each = found.select(F.explode("spans").alias("s"))
-    votes = F.struct(*[F.coalesce(v, F.lit(False)).alias(k) for k, v in _votes(F.col("s")).items()])
-    features = F.array(*[F.concat(F.lit(f"{k}="), F.coalesce(v, F.lit(""))) for k, v in _features(F.col("s")).items()])
-    # spans are counted by votes and features before anything moves
-    counts = saved(each.select(votes.alias("v"), features.alias("f")).groupBy("v", "f").count(), "votes")
-    patterns = {tuple(r["v"]): r["n"] for r in counts.groupBy("v").agg(F.sum("count").alias("n")).collect()}
-    share, rates = fit_reliabilities(patterns)
-    pairs = [x for v in patterns for x in (F.lit("".join("01"[b] for b in v)), F.lit(posterior(v, share, rates)))]
-    key = F.concat(*[F.col(f"v.{k}").cast("int").cast("string") for k in LABELERS])
+    each = found.select(F.explode(F.filter("spans", lambda s: ~s["base"])).alias("s"))
+    votes = F.struct(*[F.coalesce(v, F.lit(False)).alias(k) for k, v in _votes(F.col("s"), lists).items()])
+    features = F.array(*[F.concat_ws("=", F.concat_ws(".", F.col("s.kind"), F.lit(k)), v) for k, v in _features(F.col("s"), lists).items()])
+    # candidates are counted by votes and features before anything moves
+    counts = saved(each.select(F.col("s.kind").alias("kind"), votes.alias("v"), features.alias("f")).groupBy("kind", "v", "f").count(), "votes")
+    patterns: dict[str, dict[tuple[bool, ...], int]] = {k: {} for k in WIDER}
+    for kind, v, n in counts.groupBy("kind", "v").agg(F.sum("count").alias("n")).collect():
+        patterns[kind][tuple(v)] = n
+    fitted = {kind: fit_reliabilities(p) for kind, p in patterns.items()}
+    belief = {(kind, v): posterior(v, *fitted[kind]) for kind, p in patterns.items() for v in p}
+    pairs = [x for (kind, v), w in belief.items() for x in (F.lit(kind + "".join("01"[b] for b in v)), F.lit(w))]
+    key = F.concat("kind", *[F.col(f"v.{k}").cast("int").cast("string") for k in LABELERS])
     weighed = counts.withColumn("w", F.element_at(F.create_map(*pairs), key) if pairs else F.lit(0.0))
-    sums = weighed.select(F.explode("f").alias("f"), "count", "w").groupBy("f").agg(F.sum(F.col("count") * F.col("w")).alias("yes"), F.sum(F.col("count") * (1 - F.col("w"))).alias("no")).collect()
-    yes, no = sum(posterior(v, share, rates) * c for v, c in patterns.items()), sum((1 - posterior(v, share, rates)) * c for v, c in patterns.items())
-    odds = {r["f"]: math.log((r["yes"] + 1) / (yes + 2)) - math.log((r["no"] + 1) / (no + 2)) for r in sums}
-    bias = math.log((yes + 1) / (no + 1))
-    table = F.create_map(*[x for k, v in sorted(odds.items()) for x in (F.lit(k), F.lit(v))]) if odds else None
+    sums = weighed.select("kind", F.explode("f").alias("f"), "count", "w").groupBy("kind", "f").agg(F.sum(F.col("count") * F.col("w")).alias("yes"), F.sum(F.col("count") * (1 - F.col("w"))).alias("no")).collect()
+    yes, no = ({k: sum(f(belief[k, v]) * c for v, c in p.items()) for k, p in patterns.items()} for f in (lambda w: w, lambda w: 1 - w))
+    odds = {r["f"]: math.log((r["yes"] + 1) / (yes[r["kind"]] + 2)) - math.log((r["no"] + 1) / (no[r["kind"]] + 2)) for r in sums}
+    bias = {k: math.log((yes[k] + 1) / (no[k] + 1)) for k in WIDER}
+    table = F.create_map(*[x for k, v in sorted((odds | bias).items()) for x in (F.lit(k), F.lit(v))])
 
     def accept(s: Column) -> Column:
-        if table is None:
-            return F.lit(False)
-        values = F.array(*[F.concat(F.lit(f"{k}="), F.coalesce(v, F.lit(""))) for k, v in _features(s).items()])
-        return F.lit(bias) + F.aggregate(values, F.lit(0.0), lambda a, x: a + F.coalesce(F.element_at(table, x), F.lit(0.0))) > 0
+        values = F.array(s["kind"], *[F.concat_ws("=", F.concat_ws(".", s["kind"], F.lit(k)), v) for k, v in _features(s, lists).items()])
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + F.coalesce(F.element_at(table, x), F.lit(0.0))) > 0
 
-    return accept, {"share": share, "rates": dict(zip(LABELERS, rates, strict=True)), "odds": odds, "bias": bias}
+    model = {k: {"candidates": sum(patterns[k].values()), "share": fitted[k][0], "rates": dict(zip(LABELERS, fitted[k][1], strict=True)), "bias": bias[k]} for k in WIDER}
+    return accept, model | {"odds": odds}
 
 
 def _joined(spans: Column) -> Column:
@@ -227,35 +274,41 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find(docs: DataFrame) -> DataFrame:
+def find(docs: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
     """doc_id, spans: array<struct<kind, base, start, end, span, before, after>> of all accepted spans, base spans included."""
     prepare(docs.sparkSession)
-    found = saved(candidates(docs), "candidates")
-    accept, _ = train(found)
-    return found.select("doc_id", F.filter("spans", lambda s: s["base"] | accept(s)).alias("spans"))
+    return _accepted(saved(candidates(docs), "candidates"), gazetteer)
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every row of ``docs`` (doc_id, text)."""
-    found = find(docs)
+def _accepted(found: DataFrame, gazetteer: DataFrame | None) -> DataFrame:
+    accept, _ = train(found, word_lists(gazetteer))
+    return found.withColumn("spans", F.filter("spans", lambda s: s["base"] | accept(s)))
+
+
+def report(docs: DataFrame, gazetteer: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, and n_added (accepted candidates), for every row of ``docs`` (doc_id, text)."""
+    found = find(docs, gazetteer)
     base = F.filter("spans", lambda s: s["base"])
 
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
 
-    counts = [count(k) for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+    added = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added")
+    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), added)
 
 
-def mask(docs: DataFrame, mark: str = "<{}>") -> DataFrame:
-    """``docs`` with each span's characters replaced by its kind. doc_id must be unique; overlapping spans are masked once."""
-    found = find(docs).where(F.size("spans") > 0).select(F.col("doc_id").alias("__id"), F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")))).alias("__spans"))
-    rows = docs.join(found, F.col("doc_id").cast("long") == F.col("__id"), "left")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def mask(docs: DataFrame, mark: str = "<{}>", gazetteer: DataFrame | None = None) -> DataFrame:
+    """``docs`` with each span's characters replaced by its kind; overlapping spans are masked once. A row keeps its place beside its spans, so nothing is joined."""
+    prepare(docs.sparkSession)
+    # a row travels as one struct, so no name of its columns can clash with what is beside it
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    found = _accepted(saved(candidates(rows, ["row"]), "candidates"), gazetteer)
+    found = found.select("row", F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")))).alias("places"))
+    start, text = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), F.col("row.text")
     done = F.aggregate(
-        "__spans", start,
-        lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct((-s["back"]).alias("at"), F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.format_string(mark.replace("{}", "%s"), s["kind"])).alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))),
+        "places", start,
+        lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct((-s["back"]).alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.format_string(mark.replace("{}", "%s"), s["kind"])).alias("out"))),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))),
     )
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(done)
-    return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    masked = F.when(F.size("places") > 0, done).otherwise(text)
+    return found.select(*[masked.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
