@@ -8,9 +8,12 @@ reliability P(declared | language). Log evidence adds up; a class of undetermine
 
 A declared tag counts without region, script and case, and every language that is declared has a profile.
 
+Every text is scored once: the scores are written beside the rows' columns, and all later steps read them from there.
+
 Defined results: null or letterless text is undetermined ("und", rejected); a null, unknown or missing declaration,
 host or suffix is no evidence; with no declared rows at all every row is undetermined. Repeated rows get equal
-results; an empty table gives no rows; all columns of the input are kept.
+results; texts of any length are scored whole; an empty table gives no rows; all columns of the input are kept, whatever
+their names, but for those that ``identify`` itself adds.
 """
 
 from __future__ import annotations
@@ -35,8 +38,8 @@ SMOOTH, BACK_OFF = 0.02, 20_000.0
 TEMPER = 40.0
 #: Strength, in rows, of P(language) in P(language | suffix), of that in P(language | host), and of uniform reliability.
 SUFFIX_ROWS, HOST_ROWS, RELIABILITY_ROWS = 50.0, 20.0, 20.0
-#: Hosts whose priors are broadcast at most (each a few numbers); beyond it they are joined.
-BROADCAST_HOSTS = 20_000
+#: Numbers of the host priors (one for each host and language) that are broadcast at most; beyond it they are joined by sorting.
+BROADCAST_NUMBERS = 1 << 20
 
 _letters: list[np.ndarray] = []
 
@@ -82,8 +85,8 @@ def tag_of(declared: str) -> Column:
 
 
 def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
-    """(languages, log-probabilities by bucket and language, score of undetermined text) from ``sample`` rows of each declared language at most."""
-    rows = rows.select(tag_of(declared).alias("l"), key.alias("k"), F.col(text).alias("t")).where("l is not null")
+    """(languages, log-probabilities by bucket and language, score of undetermined text) from ``sample`` rows of each declared tag at most."""
+    rows = rows.select(F.col(declared).alias("l"), key.alias("k"), F.col(text).alias("t")).where("l is not null")
     names = sorted(r[0] for r in rows.select("l").distinct().collect())
     if not names:
         return [], np.zeros((BUCKETS, 0), np.float32), 0.0
@@ -149,21 +152,33 @@ def suffix_of(host: Column) -> Column:
     return F.when(found != "", found)
 
 
-def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host: str = "source", key: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with __language, __posterior, __text_language and __accepted (false for undetermined rows).
+def markup_language(html: Column) -> Column:
+    """The language that a page declares in its html element; null without one."""
+    return F.nullif(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang=[\"']?([A-Za-z][A-Za-z0-9_-]*)", 1), F.lit(""))
+
+
+def markup_text(html: Column) -> Column:
+    """A page's text without scripts, styles, tags and entities."""
+    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<[^>]*+>|&[a-z#0-9]+;", " ")
+
+
+def classify(docs: DataFrame, text: Column | str = "text", declared: str = "lang", host: str = "source", key: str = "doc_id", sample: int = SAMPLE, kept: list[str] | None = None) -> DataFrame:
+    """row (a struct of the columns ``kept``, all without it), language, posterior, text_language and accepted (false for undetermined rows).
 
-    ``host`` may hold host names or URLs.
+    ``host`` names a column of host names or URLs.
     """
     spark = docs.sparkSession
     prepare(spark)
-    names, profiles, undetermined = fit_profiles(docs, text, declared, F.xxhash64(F.lit(7), key), sample)
+    host_part = F.regexp_replace(F.lower(F.col(host).cast("string")), r"^[a-z][a-z0-9+.-]*://|[/?#:].*$", "")
+    # a row travels as one struct, so no name of its columns can clash with what is beside it
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in (kept or docs.columns)]).alias("row"), host_part.alias("h"), suffix_of(F.col(host).cast("string")).alias("s"), tag_of(declared).alias("d"),
+                       F.xxhash64(F.lit(7), key).alias("k"), (F.col(text) if isinstance(text, str) else text).alias("t"))
+    names, profiles, undetermined = fit_profiles(rows, "t", "d", F.col("k"), sample)
     n = len(names)
     if not n:
-        return docs.select("*", F.lit("und").alias("__language"), F.lit(1.0).alias("__posterior"), F.lit("und").alias("__text_language"), F.lit(False).alias("__accepted"))
-    scores = text_scores(spark, profiles, undetermined)
-    host_part = F.regexp_replace(F.lower(F.col(host).cast("string")), r"^[a-z][a-z0-9+.-]*://|[/?#:].*$", "")
-    seen = docs.select(host_part.alias("h"), suffix_of(F.col(host).cast("string")).alias("s"), tag_of(declared).alias("d"), scores(text).alias("logs"))
-    seen = seen.where("logs is not null").select("h", "s", "d", _normal(F.slice("logs", 1, n)).alias("p"))
+        return rows.select("row", F.lit("und").alias("language"), F.lit(1.0).alias("posterior"), F.lit("und").alias("text_language"), F.lit(False).alias("accepted"))
+    scored = saved(rows.select("row", "h", "s", "d", text_scores(spark, profiles, undetermined)("t").alias("logs")), "scores")
+    seen = scored.where("logs is not null").select("h", "s", "d", _normal(F.slice("logs", 1, n)).alias("p"))
     sums = saved(seen.groupBy("h", "s", "d").agg(*[F.sum(F.col("p")[k]).alias(f"p{k}") for k in range(n)]), "hosts")
     cols = [f"p{k}" for k in range(n)]
 
@@ -183,24 +198,26 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
     flat = F.array(*[F.lit(float(x)) for x in overall])
     suffixes = summed(["s"]).where("s is not null").select("s", smoothed(SUFFIX_ROWS, flat).alias("q"))
     hosts = summed(["h", "s"]).where("h is not null").join(suffixes, "s", "left")
-    hosts = hosts.select(F.col("h").alias("__host"), smoothed(HOST_ROWS, F.coalesce("q", flat)).alias("q"))
-    hosts = saved(hosts.select("__host", F.transform("q", lambda x: F.log(x)).alias("__prior")), "priors")
-    if hosts.count() <= BROADCAST_HOSTS:
-        hosts = F.broadcast(hosts)
-    tags = spark.createDataFrame([(d, [float(x) for x in r]) for d, r in zip(names, log_declared, strict=True)], "__tag string, __said array<double>")
-    wide = docs.withColumn("__host", host_part).withColumn("__tag", tag_of(declared)).join(hosts, "__host", "left").join(F.broadcast(tags), "__tag", "left").withColumn("__logs", scores(text))
-    prior = F.coalesce("__prior", F.array(*[F.lit(float(x)) for x in np.log(overall)]))
-    said = F.coalesce("__said", F.array_repeat(F.lit(0.0), n))
+    hosts = hosts.select("h", smoothed(HOST_ROWS, F.coalesce("q", flat)).alias("q"))
+    hosts = saved(hosts.select("h", F.transform("q", lambda x: F.log(x)).alias("prior")), "priors")
+    hosts = F.broadcast(hosts) if hosts.count() * n <= BROADCAST_NUMBERS else hosts.hint("merge")
+    tags = spark.createDataFrame([(d, [float(x) for x in r]) for d, r in zip(names, log_declared, strict=True)], "d string, said array<double>")  # a row a language
+    wide = scored.join(hosts, "h", "left").join(F.broadcast(tags), "d", "left")
+    prior = F.coalesce("prior", F.array(*[F.lit(float(x)) for x in np.log(overall)]))
+    said = F.coalesce("said", F.array_repeat(F.lit(0.0), n))
     # undetermined text: a prior of one in a thousand, and no opinion on declarations
-    und = F.get("__logs", F.lit(n)) + F.lit(float(np.log(1e-3))) + F.when(F.col("__said").isNotNull(), F.lit(float(-np.log(n)))).otherwise(F.lit(0.0))
-    fused = F.concat(F.zip_with(F.zip_with(F.slice("__logs", 1, n), prior, lambda a, b: a + b), said, lambda a, b: a + b), F.array(und))
+    und = F.get("logs", F.lit(n)) + F.lit(float(np.log(1e-3))) + F.when(F.col("said").isNotNull(), F.lit(float(-np.log(n)))).otherwise(F.lit(0.0))
+    fused = F.concat(F.zip_with(F.zip_with(F.slice("logs", 1, n), prior, lambda a, b: a + b), said, lambda a, b: a + b), F.array(und))
     named = F.array(*[F.lit(x) for x in [*names, "und"]])
     best = lambda xs: F.get(named, (F.array_position(xs, F.array_max(xs)) - 1).cast("int"))
-    wide = wide.withColumn("__p", _normal(fused))
-    out = wide.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(best(F.col("__p")), F.lit("und")).alias("__language"),
-        F.coalesce(F.array_max("__p"), F.lit(1.0)).alias("__posterior"),
-        F.coalesce(best(F.col("__logs")), F.lit("und")).alias("__text_language"),
-    )
-    return out.withColumn("__accepted", F.col("__language") != "und")
+    out = wide.withColumn("p", _normal(fused)).select(
+        "row", F.coalesce(best(F.col("p")), F.lit("und")).alias("language"), F.coalesce(F.array_max("p"), F.lit(1.0)).alias("posterior"), F.coalesce(best(F.col("logs")), F.lit("und")).alias("text_language"),
+    )
+    return out.withColumn("accepted", F.col("language") != "und")
+
+
+def identify(docs: DataFrame, text: Column | str = "text", declared: str = "lang", host: str = "source", key: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+    """``docs`` with __language, __posterior, __text_language and __accepted, as ``classify`` finds them; columns of these names are replaced."""
+    added = ("language", "posterior", "text_language", "accepted")
+    found = classify(docs, text, declared, host, key, sample)
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in [f"__{a}" for a in added]], *[F.col(a).alias(f"__{a}") for a in added])

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import langid
-from tessera.llm.queries import op3_language_id
+from tessera.llm.queries import op3_language_id, page_languages
 
 
 def test_held_out_accuracy(spark, smallest, documents):
@@ -24,11 +26,59 @@ def test_query_keeps_all_documents(spark, smallest, documents):
 
 
 def test_pages_by_declaration_suffix_and_host(spark, smallest):
-    pages = spark.read.parquet(f"{smallest}/pages.parquet")
-    declared = F.nullif(F.regexp_extract("html", r'<html[^>]* lang="([a-z]{2})', 1), F.lit(""))
-    plain = F.regexp_replace("html", r"(?s)<(script|style).*?</\1>|<[^>]*>|&[a-z#0-9]+;", " ")
-    rows = langid.identify(pages.select("page_id", "url", declared.alias("declared"), plain.alias("body")), "body", "declared", "url", "page_id").collect()
-    assert sum(r["declared"] == r["__language"] for r in rows if r["declared"]) >= 0.9 * sum(r["declared"] is not None for r in rows)
+    rows = page_languages(spark, smallest).collect()
+    assert len(rows) == spark.read.parquet(f"{smallest}/pages.parquet").count()
+    assert {r["suffix"] for r in rows} == {"com", "net", "org"}
+    assert sum(r["declared"] == r["language"] for r in rows if r["declared"]) >= 0.9 * sum(r["declared"] is not None for r in rows)
+
+
+def test_markup(spark):
+    df = spark.createDataFrame([("<HTML class=x LANG='pt-BR'><p>a<b>c</p>&amp;<style>p{}</style>d<script>e",), ("<html><a lang=fr>x" + "<script" * 30_000,), (None,)], "h string")
+    got = [tuple(r) for r in df.select(langid.markup_language(F.col("h")), langid.markup_text(F.col("h"))).collect()]
+    assert [x for x, _ in got] == ["pt-BR", None, None] and got[0][1].split() == ["a", "c", "d"] and got[1][1].split() == ["x"] and got[2][1] is None
+
+
+def normal(logs: list[float]) -> list[float]:
+    top = max(logs)
+    exps = [math.exp(x - top) for x in logs]
+    return [x / sum(exps) for x in exps]
+
+
+def test_posterior_against_plain_arithmetic(spark, documents):
+    """Text scores are taken from the profiles trigram by trigram; priors and reliabilities are summed row by row."""
+    rng = random.Random(6)
+    docs = [(r["doc_id"], r["text"][: rng.choice((6, 15, 60, 900))], rng.choice((r["lang"], r["lang"], "en", None, "xx")), rng.choice(("http://a.de/x", "b.fr", "c.fr", "host", None, f"h{r['doc_id'] % 9}.es"))) for r in documents.collect()]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = {r["row"]["doc_id"]: r for r in langid.classify(df, sample=64).collect()}
+    rows = df.select("doc_id", "text", langid.tag_of("lang").alias("d"))
+    names, profiles, undetermined = langid.fit_profiles(rows, "text", "d", F.xxhash64(F.lit(7), "doc_id"), 64)
+    n, host, suffix, tag, logs = len(names), {}, {}, {}, {}
+    for k, text, lang, url in docs:
+        host[k] = url and url.removeprefix("http://").split("/")[0]
+        suffix[k] = host[k].rpartition(".")[2] if host[k] and "." in host[k] else None
+        tag[k] = lang
+        grams = langid.trigrams(text).tolist()
+        scale = min(len(grams), langid.TEMPER) / max(1, len(grams))
+        logs[k] = [sum(float(profiles[g][j]) for g in grams) * scale for j in range(n)] + [undetermined * len(grams) * scale] if grams else None
+    p = {k: normal(x[:n]) for k, x in logs.items() if x}
+    total = [sum(x[j] for x in p.values()) + 1 for j in range(n)]
+    overall = [x / sum(total) for x in total]
+    count = lambda of, value: [sum(x[j] for k, x in p.items() if of[k] == value) for j in range(n)]
+    smooth = lambda c, strength, to: [(c[j] + strength * to[j]) / (sum(c) + strength) for j in range(n)]
+    by_suffix = {s: smooth(count(suffix, s), langid.SUFFIX_ROWS, overall) for s in set(suffix.values()) - {None}}
+    by_host = {h: smooth(count(host, h), langid.HOST_ROWS, by_suffix.get(h.rpartition(".")[2] if "." in h else None, overall)) for h in {host[k] for k in p} - {None}}
+    by_tag = {d: count(tag, d) for d in names}
+    said = {d: [(by_tag[d][j] + langid.RELIABILITY_ROWS / n) / (sum(by_tag[e][j] for e in names) + langid.RELIABILITY_ROWS) for j in range(n)] for d in names}
+    for k in logs:
+        if not logs[k]:
+            assert got[k]["language"] == "und" and not got[k]["accepted"]
+            continue
+        prior, known = by_host.get(host[k], overall), said.get(tag[k])
+        fused = [logs[k][j] + math.log(prior[j]) + (math.log(known[j]) if known else 0) for j in range(n)]
+        fused.append(logs[k][n] + math.log(1e-3) - (math.log(n) if known else 0))
+        want = normal(fused)
+        assert got[k]["posterior"] == pytest.approx(max(want), rel=1e-6)
+        assert got[k]["language"] == [*names, "und"][want.index(max(want))]
 
 
 def test_priors_decide_short_text_and_junk_is_undetermined(make_docs, documents):
