@@ -1,17 +1,24 @@
-"""Full-text search: postings, boolean grammar with phrases, NEAR and prefixes, BM25, snippets.
+"""Full-text search: boolean grammar with phrases, NEAR and prefixes, BM25, snippets, optionally on word stems.
 
-Postings are a DataFrame (doc, field, term, tf, positions). A query is parsed on the driver into a small tree. Every
-term of it is one filtered scan of the postings; AND, OR and NOT are semi-joins, unions and anti-joins of document
-sets, a phrase or NEAR compares position arrays of one (doc, field) row pair. Scores are positive, larger is better.
+Without an index, a search is two scans of the texts: the query's words are counted in each row's tokens, one row of
+statistics (documents, mean length, frequencies) comes back, and rows that match are scored where they lie; nothing is
+exploded or shuffled but the best k. With an index, postings (doc, field, term, tf, positions), every word of the query
+is one filtered scan of them; AND, OR and NOT are semi-joins, unions and anti-joins of document sets, a phrase or NEAR
+compares position arrays of one (doc, field) row pair. Scores are positive, larger is better.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
+
+from tessera.functions.stems import porter
 
 K1, B = 1.2, 0.75
 
@@ -20,28 +27,30 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-#: The suffix rules of a light English stemmer, longest first, applied once where a stem of three letters or more is left.
-SUFFIXES = (("ational", "ate"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("ization", "ize"), ("ingly", ""), ("edly", ""), ("ies", "y"), ("sses", "ss"), ("ing", ""), ("ed", ""), ("ly", ""), ("es", "e"), ("s", ""))
+@F.pandas_udf(ArrayType(StringType()))
+def stems(words: pd.Series) -> pd.Series:
+    """Porter stems of arrays of words; a batch stems each word once."""
+    known: dict[str, str] = {}
+    return words.map(lambda ws: None if ws is None else [known[w] if w in known else known.setdefault(w, porter(w)) for w in ws])
 
 
-def stem(word: Column) -> Column:
-    out = None
-    for suffix, to in SUFFIXES:
-        fits = word.endswith(suffix) & (F.length(word) >= len(suffix) + 3) & ~(F.lit(suffix == "s") & word.endswith("ss"))
-        value = F.concat(F.substring(word, F.lit(1), F.length(word) - len(suffix)), F.lit(to))
-        out = F.when(fits, value) if out is None else out.when(fits, value)
-    return out.otherwise(word)
+def terms_of(text: Column, stemmed: bool = False) -> Column:
+    return stems(tokens(text)) if stemmed else tokens(text)
 
 
 def postings(docs: DataFrame, id_: str, fields: list[str], stemmed: bool = False) -> DataFrame:
-    """doc, field, term, tf, positions. Write it partitioned or sorted by term to make term scans selective."""
-    per_field = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("words")) for f in fields]))
-    each = docs.select(F.col(id_).alias("doc"), per_field.alias("f")).select("doc", "f.field", F.posexplode("f.words").alias("pos", "term"))
-    if stemmed:
-        each = each.withColumn("term", stem(F.col("term")))
+    """doc, field, term, tf, positions. Write it sorted by term (``by_term``) to make term scans selective."""
+    wide = docs.select(F.col(id_).alias("doc"), *[terms_of(F.col(f), stemmed).alias(f"w{k}") for k, f in enumerate(fields)])
+    per_field = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"w{k}").alias("words")) for k, f in enumerate(fields)]))
+    each = wide.select("doc", per_field.alias("f")).select("doc", "f.field", F.posexplode("f.words").alias("pos", "term"))
     return each.groupBy("doc", "field", "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
+def by_term(index: DataFrame, parts: int | None = None) -> DataFrame:
+    """Postings in ranges of terms, so that a written table's statistics let a word's scan skip nearly all of it."""
+    return index.repartitionByRange(*([parts] if parts else []), "term", "doc").sortWithinPartitions("term", "doc")
+
+
 @dataclass(frozen=True)
 class Node:
     kind: str  # term, phrase, near, and, or, not
@@ -213,10 +222,73 @@ def bm25(index: DataFrame, docs: DataFrame, terms: list[tuple[str, bool]], lengt
     return rows.groupBy("doc").agg(F.sum(part).alias("score"))
 
 
-def search(docs: DataFrame, id_: str, fields: list[str], query: str, k: int = 20, index: DataFrame | None = None, facets: list[DataFrame] | None = None) -> DataFrame:
+def _stemmed(node: Node) -> Node:
+    """The tree with the stems of its words; prefixes stay."""
+    if node.kind in ("term", "phrase", "near"):
+        return replace(node, items=tuple(porter(w) for w in node.items))
+    return node if node.kind in ("prefix", "none") else replace(node, items=tuple(_stemmed(x) for x in node.items))
+
+
+def _places(words: Column, term: str) -> Column:
+    return F.array_compact(F.transform(words, lambda w, i: F.when(w == term, i)))
+
+
+def _near(places: list[Column], distance: int) -> Column:
+    """Some choice of a place of each word has at most ``distance`` words between its ends."""
+    return F.exists(places[0], lambda p: _within(p, p, places[1:], distance + 1))
+
+
+def _holds(node: Node, fields: list[Column]) -> Column:
+    """Whether a row with the token arrays ``fields`` is selected by the tree."""
+    if node.kind == "none":
+        return F.lit(False)
+    if node.kind in ("and", "or", "not"):
+        first, *others = (_holds(x, fields) for x in node.items)
+        for other in others:
+            first = first & other if node.kind == "and" else first | other if node.kind == "or" else first & ~other
+        return first
+    some = F.lit(False)
+    for words in fields:
+        if node.kind == "term":
+            some = some | F.array_contains(words, node.items[0])
+        elif node.kind == "prefix":
+            some = some | F.exists(words, lambda w: w.startswith(node.items[0]))
+        elif node.kind == "phrase":  # no token holds a space
+            some = some | F.contains(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), F.lit(f" {' '.join(node.items)} "))
+        else:
+            some = some | _near([_places(words, t) for t in node.items], node.distance)
+    return some
+
+
+def _scan(docs: DataFrame, id_: str, fields: list[str], tree: Node, facets: list[DataFrame], stemmed: bool) -> DataFrame:
+    """doc, score of the matches, without an index."""
+    rows = docs.select(F.col(id_).alias("doc"), *[terms_of(F.col(f), stemmed).alias(f"w{k}") for k, f in enumerate(fields)])
+    words = [F.col(f"w{k}") for k in range(len(fields))]
+
+    def count(term: str, prefix: bool) -> Column:
+        hit = (lambda w: w.startswith(term)) if prefix else (lambda w: w == term)
+        return sum((F.size(F.filter(ws, hit)) for ws in words[1:]), F.size(F.filter(words[0], hit)))
+
+    terms = query_terms(tree)
+    tf = [count(*t).alias(f"tf{k}") for k, t in enumerate(terms)]
+    length = sum((F.size(ws) for ws in words[1:]), F.size(words[0])).alias("len")
+    counted = rows.select("doc", length, *tf, _holds(tree, words).alias("hit"))
+    n, mean, *df = counted.agg(F.count("*"), F.avg("len"), *[F.count(F.when(F.col(f"tf{k}") > 0, 1)) for k in range(len(terms))]).first()  # one row
+    hits = counted.where("hit")
+    for f in facets:
+        hits = hits.join(f.select("doc").distinct(), "doc", "left_semi")
+    score = F.lit(0.0)
+    for k, d in enumerate(df):
+        t = F.col(f"tf{k}")
+        score = score + math.log(1 + (n - d + 0.5) / (d + 0.5)) * t * (K1 + 1) / (t + K1 * (1 - B + B * F.col("len") / (mean or 1.0)))
+    return hits.select("doc", score.alias("score"))
+
+
+def search(docs: DataFrame, id_: str, fields: list[str], query: str, k: int = 20, index: DataFrame | None = None, facets: list[DataFrame] | None = None, stemmed: bool = False) -> DataFrame:
     """doc, score of the ``k`` best matches, best first, ties by id. ``facets``: tables with a column doc; each must name a match.
 
-    A malformed query gives one row with doc null and its message in error.
+    ``stemmed``: words meet by their Porter stems; an index must then have been built so. A malformed query gives one row
+    with doc null and its message in error.
     """
     spark = docs.sparkSession
     try:
@@ -224,12 +296,15 @@ def search(docs: DataFrame, id_: str, fields: list[str], query: str, k: int = 20
     except QueryError as e:
         kind = docs.schema[id_].dataType.simpleString()
         return spark.createDataFrame([(None, None, str(e))], f"doc {kind}, score double, error string")
-    index = postings(docs, id_, fields) if index is None else index
-    found = matches(index, tree)
-    for f in facets or []:
-        found = found.join(f.select("doc").distinct(), "doc", "left_semi")
-    lengths = docs.select(F.col(id_).alias("doc"), sum((F.size(tokens(F.col(f))) for f in fields[1:]), F.size(tokens(F.col(fields[0])))).alias("len"))
-    scored = bm25(index, found, query_terms(tree), lengths)
+    tree = _stemmed(tree) if stemmed else tree
+    if index is None:
+        scored = _scan(docs, id_, fields, tree, facets or [], stemmed)
+    else:
+        found = matches(index, tree)
+        for f in facets or []:
+            found = found.join(f.select("doc").distinct(), "doc", "left_semi")
+        lengths = docs.select(F.col(id_).alias("doc"), sum((F.size(tokens(F.col(f))) for f in fields[1:]), F.size(tokens(F.col(fields[0])))).alias("len"))
+        scored = bm25(index, found, query_terms(tree), lengths)
     return scored.select("doc", F.round("score", 6).alias("score"), F.lit(None).cast("string").alias("error")).orderBy(F.desc("score"), "doc").limit(k)
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import flatten
-from tessera.operators.search import postings
+from tessera.operators.search import by_term, postings
 
 
 def build(docs: DataFrame, path: str, r6: DataFrame | None = None, r5: DataFrame | None = None, shards: int | None = None) -> None:
@@ -17,8 +17,8 @@ def build(docs: DataFrame, path: str, r6: DataFrame | None = None, r5: DataFrame
             rows = rows.repartitionByRange("chr", "start").sortWithinPartitions("chr", "start")
         rows.write.mode("overwrite").parquet(f"{path}/{name}")
     search = docs.sparkSession.read.parquet(f"{path}/search")
-    index = postings(search, "fbgn", ["symbol", "summary", "bullets_text", "notes"])
-    index.repartitionByRange(*([shards] if shards else []), "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+    index = postings(search, "fbgn", ["symbol", "summary", "bullets_text", "notes"], stemmed=True)
+    by_term(index, shards).write.mode("overwrite").parquet(f"{path}/postings")
 
 
 def load(spark: SparkSession, path: str, views: bool = False) -> dict[str, DataFrame]:
@@ -30,9 +30,29 @@ def load(spark: SparkSession, path: str, views: bool = False) -> dict[str, DataF
     return tables
 
 
+def build_index(docs: DataFrame, path: str) -> None:
+    """The older index below ``path``: entities with lint counts, bullet-level tags, and postings of bullets (phenotype, evidence)."""
+    tables = {name: flatten.RELATIONS[name](docs) for name in ("synonyms", "bullets", "citations", "orthologs", "diseases", "mouse_phenotypes", "go_slim")}
+    tables |= {"genes": flatten.index_genes(docs), "tissues": flatten.tissues(docs, True), "life_stages": flatten.life_stages(docs, True), "alleles": flatten.alleles(docs)}
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+    by_term(postings(docs.sparkSession.read.parquet(f"{path}/bullets"), "bullet_id", ["phenotype", "evidence_text"])).write.mode("overwrite").parquet(f"{path}/postings")
+
+
+def write_regions(rows: DataFrame, path: str, form: str = "tsv") -> None:
+    """The entities of many regions as tab-separated text with a header, or as JSON lines, in order of label and start."""
+    ordered = rows.orderBy("label", "start", "fbgn")
+    (ordered.write.mode("overwrite").json(path) if form == "json" else ordered.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path))
+
+
+def shard_of(key: Column) -> Column:
+    """The shard of a key: the first two digits of its MD5."""
+    return F.substring(F.md5(key), 1, 2)
+
+
 def sharded(df: DataFrame, key: str, path: str) -> None:
     """Point-readable storage: a folder for each of 256 two-digit MD5 prefixes of the key."""
-    df.withColumn("shard", F.substring(F.md5(F.col(key)), 1, 2)).repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    df.withColumn("shard", shard_of(F.col(key))).repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
 def read_one(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:

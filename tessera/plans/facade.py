@@ -29,11 +29,24 @@ class Atlas:
             "orthologs": (t["orthologs"], {"n": n}), "diseases": (t["diseases"], {"n": n, "distinct": F.countDistinct("omim_id")}),
         })
 
-    def resolve(self, names: list[str]) -> DataFrame:
-        """query, id, tier: by exact id, symbol, then synonym (current ones first)."""
+    def resolve(self, names: list[str], orthologs: bool = False) -> DataFrame:
+        """query, id, tier: by exact id, symbol, synonym (current ones first), and then, if asked, ortholog symbol (best score first)."""
         asked = self.spark.createDataFrame([(n,) for n in names], "query string")
         g, s = self.t["genes"], self.t["synonyms"]
-        return lookup.resolve(asked, [(g, "fbgn", "fbgn", []), (g, "symbol", "fbgn", []), (s, "synonym", "fbgn", [~F.col("is_current")])])
+        tiers = [(g, "fbgn", "fbgn", []), (g, "symbol", "fbgn", []), (s, "synonym", "fbgn", [~F.col("is_current")])]
+        if orthologs:
+            tiers.append((self.t["orthologs"], "symbol", "fbgn", [-F.coalesce("diopt_score", F.lit(-1))]))
+        return lookup.resolve(asked, tiers)
+
+    def index_stats(self) -> DataFrame:
+        """Counts of the whole index, and groups of bullets by category and confidence and of orthologs by species, as metric and value."""
+        n, t = F.count("*"), self.t
+        whole = lookup.statistics({
+            "genes": (t["genes"], {"n": n}), "bullets": (t["bullets"], {"n": n}), "citations": (t["citations"], {"n": n, "references": F.countDistinct(F.when(F.col("type") == "fbrf", F.col("value")))}),
+            "tissues": (t["tissues"], {"n": n, "distinct": F.countDistinct("tissue")}), "orthologs": (t["orthologs"], {"n": n}), "diseases": (t["diseases"], {"n": n, "with_omim": F.count("omim_id")}), "go_slim": (t["go_slim"], {"n": n}),
+        })
+        group = lambda table, c: t[table].groupBy(F.concat(F.lit(f"{table}.{c}="), F.coalesce(c, F.lit(""))).alias("metric")).agg(n.alias("value"))
+        return whole.unionByName(group("bullets", "category")).unionByName(group("bullets", "confidence")).unionByName(group("orthologs", "species"))
 
     def gene(self, name: str) -> DataFrame:
         """One entity with its child relations nested: synonyms current first, references latest first, distinct tags."""
@@ -57,7 +70,7 @@ class Atlas:
         facets = [b.where(F.col(c) == v) for c, v in (("category", category), ("direction", direction), ("confidence", confidence)) if v]
         if tissue:
             facets.append(self.t["tissues"].where(lookup.same(F.col("tissue"), tissue)).withColumnRenamed("fbgn", "doc"))
-        hits = text_search.search(self.t["search"], "fbgn", ["symbol", "summary", "bullets_text", "notes"], query, limit, self.t.get("postings"), facets)
+        hits = text_search.search(self.t["search"], "fbgn", ["symbol", "summary", "bullets_text", "notes"], query, limit, self.t.get("postings"), facets, stemmed=True)
         body = self.t["search"].select(F.col("fbgn").alias("doc"), "symbol", "bullets_text")
         words = [w.lower() for w in query.replace('"', " ").split()]
         return hits.join(body, "doc", "left").withColumn("snippet", text_search.snippet(F.col("bullets_text"), words)).drop("bullets_text").orderBy(F.desc("score"), "doc")
@@ -66,6 +79,39 @@ class Atlas:
         g = self.t["genes"].select("fbgn", F.col("symbol").alias("gene"), "n_bullets")
         return lookup.reverse(self.t[table], predicate, g, "fbgn", ["fbgn", "gene", "n_bullets", *(columns or [])], order, limit)
 
+    def phenotype(self, query: str, confidence: str | None = None, category: str | None = None, limit: int = 20) -> DataFrame:
+        """Keyword search over bullets (phenotype and evidence), best first, with a snippet of the phenotype."""
+        facets = [F.col(c) == v for c, v in (("confidence", confidence), ("category", category)) if v]
+        b = self.t["bullets"]
+        only = [b.where(lookup.facet(facets)).select(F.col("bullet_id").alias("doc"))] if facets else []
+        hits = text_search.search(b, "bullet_id", ["phenotype", "evidence_text"], query, limit, None, only)
+        words = [w.lower() for w in query.replace('"', " ").split()]
+        rows = hits.join(b.select(F.col("bullet_id").alias("doc"), "fbgn", "category", "confidence", "text_specificity", "phenotype"), "doc", "left")
+        rows = rows.join(self.t["genes"].select("fbgn", F.col("symbol").alias("gene")), "fbgn", "left")
+        return rows.withColumn("hit", text_search.snippet(F.col("phenotype"), words, 16, ("\u00ab", "\u00bb"))).drop("phenotype").orderBy(F.desc("score"), "doc")
+
+    def keyword(self, text: str, limit: int = 20) -> DataFrame:
+        """Bullets whose phenotype and evidence hold the text, in order of their ids."""
+        held = F.contains(F.lower(F.concat_ws(" ", "phenotype", "evidence_text")), F.lit(text.lower()))
+        return self.t["bullets"].where(held).orderBy("bullet_id").limit(limit)
+
+    def omim(self, number: str) -> DataFrame:
+        return self._by("diseases", F.col("omim_id") == number, [F.col("gene"), F.col("fbgn")], 10_000, ["name"])
+
+    def ortholog_of(self, species: str, symbol: str, limit: int = 200) -> DataFrame:
+        """Entities with an ortholog of the species, by its symbol or its gene id."""
+        named = lookup.same(F.col("symbol"), symbol) | (F.col("entrez_id") == symbol)
+        return self._by("orthologs", (F.col("species") == species) & named, [F.col("diopt_score").desc_nulls_last(), F.col("fbgn")], limit, ["symbol", "diopt_score"])
+
+    def citing(self, ref: str, limit: int = 500) -> DataFrame:
+        """Bullets that cite a reference."""
+        return self.bullets_by("citations", (F.col("type") == "fbrf") & (F.col("value") == ref), None, limit)
+
+    def bullets_in(self, category: str, confidence: str | None = None, limit: int = 50) -> DataFrame:
+        """Bullets of a category (and confidence)."""
+        own = (F.col("category") == category) if confidence is None else (F.col("category") == category) & (F.col("confidence") == confidence)
+        return self.t["bullets"].where(own).orderBy("bullet_id").limit(limit)
+
     def disease(self, text: str, limit: int = 200) -> DataFrame:
         return self._by("diseases", (F.col("omim_id") == text) | lookup.containing(F.col("name"), text), [F.col("gene"), F.col("fbgn")], limit, ["name", "omim_id"])
 
@@ -135,8 +181,10 @@ class Atlas:
             return members
         return vectors.hybrid(members, self.embeddings, self._query(text), limit, "fbgn", "fbgn", "embedding").orderBy(F.desc("score"), "fbgn")
 
-    def qtl_list(self) -> DataFrame:
-        return self.qtls.orderBy("id")
+    def qtl_list(self, by: str = "significance") -> DataFrame:
+        """Regions: those of the newer release first and the most significant first, ties by id; or ``by`` id."""
+        strength = F.coalesce("neg_log_p", F.lit(0.0))
+        return self.qtls.orderBy("id") if by == "id" else self.qtls.orderBy(F.col("release_orig") == "r5", F.desc(strength), "id")
 
     def qtl_overlaps(self, only: str | None = None) -> DataFrame:
         """Overlapping pairs with the number of entities in the common part, longest overlap first."""
@@ -174,7 +222,7 @@ class Atlas:
         return members.join(scored, "fbgn").orderBy(*rank.shared_order(), "fbgn").limit(top)
 
 
-VERBS = ("stats", "resolve", "gene", "search", "disease", "ortholog", "paper", "tissue", "category", "go", "region", "lift", "semantic", "ask", "qtl_list", "qtl_overlaps", "qtl_rank", "qtl_shared")
+VERBS = ("phenotype", "keyword", "omim", "ortholog_of", "citing", "bullets_in", "index_stats", "stats", "resolve", "gene", "search", "disease", "ortholog", "paper", "tissue", "category", "go", "region", "lift", "semantic", "ask", "qtl_list", "qtl_overlaps", "qtl_rank", "qtl_shared")
 
 
 def main(args: list[str]) -> int:

@@ -80,6 +80,9 @@ def test_boolean_search_equals_brute_force(spark):
         tree = search.parse(q)
         got = sorted(r["doc"] for r in search.matches(index, tree).collect())
         assert got == [k for k, t in docs if holds(tree, t.split())], q
+        with_index, without = (search.search(df, "id", ["body"], q, 100, i).collect() for i in (index, None))
+        tree = search.parse(search.safe(q))
+        assert with_index == without and sorted(r["doc"] for r in without) == [k for k, t in docs if holds(tree, t.split())], q
 
 
 def test_search_queries(spark):
@@ -93,8 +96,11 @@ def test_search_queries(spark):
     assert search.safe("what's up?") == '"what\'s" "up?"' and search.safe("a AND b") == "a AND b"
     snip = spark.range(1).select(search.snippet(F.lit("a b c Red, fox d e f g h i j k l m n"), ["red"], 6)).first()[0]
     assert "<b>Red,</b>" in snip and snip.endswith("...")
-    stems = spark.createDataFrame([(w,) for w in ("jumping", "jumped", "jumps", "class", "bodies", "is")], "w string").select(search.stem(F.col("w"))).collect()
-    assert [r[0] for r in stems] == ["jump", "jump", "jump", "class", "body", "is"]
+    words = ["jumping", "jumped", "jumps", "class", "bodies", "is", "relational", "été", "x2"]
+    (stems,) = spark.createDataFrame([(words,)], "w array<string>").select(search.stems("w")).first()
+    assert stems == ["jump", "jump", "jump", "class", "bodi", "is", "relat", "été", "x2"]
+    found = search.search(spark.createDataFrame([(1, "it runs"), (2, "running late"), (3, "a ruin")], "id long, body string"), "id", ["body"], "running", stemmed=True)
+    assert {r["doc"] for r in found.collect()} == {1, 2}
 
 
 def test_near_duplicates_report_the_first_earlier_row(spark):
