@@ -108,6 +108,30 @@ def strip_fences(text: Column) -> Column:
     return F.when(fenced != "", fenced).when(braced != "", braced).otherwise(F.trim(text))
 
 
+def ribbon_terms(ribbon: Column) -> Column:
+    """The names of an array<struct<name, num_annotations>> that have annotations, each once, in order."""
+    used = F.filter(ribbon, lambda r: F.coalesce(r["num_annotations"].cast("string").try_cast("int"), F.lit(0)) > 0)
+    return F.array_distinct(F.filter(F.transform(used, lambda r: F.trim(F.coalesce(r["name"], F.lit("")))), lambda n: n != ""))
+
+
+def plain_synonyms(symbol: Column, lists: Column, fallback: Column | None = None) -> Column:
+    """Sorted distinct names: the symbol and the items of comma lists (an array of them); ``fallback`` if there is none."""
+    items = F.flatten(F.transform(F.concat(F.array(symbol), lists), lambda x: F.split(F.coalesce(x, F.lit("")), ",")))
+    found = F.array_sort(F.array_distinct(F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x != "")))
+    return found if fallback is None else F.when(F.size(found) > 0, found).otherwise(fallback)
+
+
+def input_text(summary: Column, sections: Column, abstracts: Column) -> Column:
+    """All that a model was given, lower-cased: summary, sections (map), titles and abstracts (array of structs)."""
+    parts = F.flatten(F.transform(abstracts, lambda a: F.array(F.coalesce(a["title"], F.lit("")), F.coalesce(a["abstract"], F.lit("")))))
+    return F.lower(F.array_join(F.concat(F.array(F.coalesce(summary, F.lit(""))), F.map_values(sections), parts), "\n"))
+
+
+def filled_sections(sections: Column) -> Column:
+    """The sorted names of the sections (map) that have text."""
+    return F.array_sort(F.map_keys(F.map_filter(sections, lambda k, v: F.length(F.trim(F.coalesce(v, F.lit("")))) > 0)))
+
+
 def error_kind(status: Column, body: Column) -> Column:
     """rate_limit, quota, api_error or null by status code and message."""
     limited = status.isin(429, 503) | body.rlike(r"(?i)\b1302\b|rate.?limit|too many requests")

@@ -27,6 +27,21 @@ def synonyms(docs: DataFrame) -> DataFrame:
     return docs.select("fbgn", F.inline("synonyms")).select("fbgn", "synonym", "type", F.coalesce("is_current", F.lit(False)).alias("is_current"))
 
 
+def synonyms_of_any_kind(rows: DataFrame, key: str, column: str) -> DataFrame:
+    """key, synonym, type, is_current of a JSON array whose items are objects or, as in older documents, plain strings (type unknown, current)."""
+    each = rows.select(key, F.explode(F.from_json(column, "array<string>")).alias("x"))
+    field = lambda f: F.get_json_object("x", f"$.{f}")
+    plain = ~F.col("x").startswith("{")
+    return each.select(key, F.when(plain, F.col("x")).otherwise(field("synonym")).alias("synonym"), F.when(plain, "unknown").otherwise(field("type")).alias("type"),
+                       F.when(plain, True).otherwise(F.coalesce(field("is_current") == "true", F.lit(False))).alias("is_current"))
+
+
+def index_genes(docs: DataFrame) -> DataFrame:
+    """The older index's row of an entity: snapshot, notes, counts of bullets and lint, versions and tokens."""
+    count = lambda c: F.greatest(F.size(c), F.lit(0)).cast("long")
+    return docs.select("fbgn", "symbol", "snapshot", "notes", count("bullets").alias("n_bullets"), count("_lint").alias("n_lint"), "schema_version", "distilled_at", F.col("source.input_tokens").alias("input_tokens"), F.col("source.output_tokens").alias("output_tokens"))
+
+
 def bullets(docs: DataFrame) -> DataFrame:
     """A row per bullet; (fbgn, bullet_id) is the natural key."""
     each = docs.select("fbgn", F.explode("bullets").alias("b"))
@@ -118,5 +133,5 @@ def by_category(rows: DataFrame, key: str, category: str, order: list[str], colu
 
 def number_bullets(docs: DataFrame, least: int = 5) -> DataFrame:
     """Bullet ids from the original position; a bullet whose phenotype is too short goes, but its number is used up."""
-    numbered = F.transform("bullets", lambda b, i: b.withField("id", F.concat(F.col("fbgn"), F.lit(":b"), F.lpad((i + 1).cast("string"), 2, "0"))))
+    numbered = F.transform("bullets", lambda b, i: b.withField("id", F.format_string("%s:b%02d", F.col("fbgn"), i + 1)))
     return docs.withColumn("bullets", F.filter(numbered, lambda b: F.length(F.trim(F.coalesce(b["phenotype"], F.lit("")))) >= least))

@@ -148,3 +148,46 @@ def inference_bullets(bullets: DataFrame, terms: DataFrame, key: str) -> DataFra
     rows = bullets.join(listed, key)
     ok = (F.col("confidence") == "low") & F.contains(F.lower("evidence_text"), F.lit("inference from")) & F.exists("__terms", lambda t: F.contains(F.lower(F.col("evidence_text")), t))
     return rows.where(ok).drop("__terms")
+
+
+# Names of input sections in evidence, and words of disease names that tell nothing.
+SECTION_NAME = r"\b([a-z_]+_sub|CURATOR NOTES)\b"
+DISEASE_STOP = ("phase", "syndrome", "advanced", "type", "familial", "early", "late")
+
+
+def phantom_sections(bullets: DataFrame, sections: DataFrame, key: str, evidence: str, item: str) -> DataFrame:
+    """Sections that evidence names and the entity's input lacks. ``sections``: key, section, text; an empty text is no section."""
+    named = F.transform(F.array_distinct(F.regexp_extract_all(evidence, F.lit(SECTION_NAME), F.lit(1))), lambda s: F.when(s == "CURATOR NOTES", "other_comments_sub").otherwise(s))
+    cited = bullets.select(key, item, F.explode(F.array_distinct(named)).alias("section"))
+    have = sections.where(F.length(F.trim("text")) > 0).select(key, "section").distinct()
+    return _issue(cited.join(have, [key, "section"], "left_anti"), key, "phantom_section", "error", F.col(item), F.col("section"))
+
+
+def unsourced_diseases(diseases: DataFrame, inputs: DataFrame, key: str, name: str, text: str) -> DataFrame:
+    """Linked diseases of whose names no telling word (four letters or more) occurs in the entity's input text."""
+    words = F.filter(F.array_distinct(F.regexp_extract_all(F.lower(name), F.lit("[a-z]{4,}"), F.lit(0))), lambda w: ~w.isin(*DISEASE_STOP))
+    rows = diseases.select(key, name, words.alias("__w")).join(inputs.select(key, F.lower(text).alias("__in")), key, "left")
+    held = F.exists("__w", lambda w: F.contains(F.coalesce(F.col("__in"), F.lit("")), w))
+    return _issue(rows.where((F.size("__w") > 0) & ~held), key, "disease_unsourced", "warn", None, F.col(name))
+
+
+def level_counts(bullets: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """entity, field, value, n: how often each value of each column occurs; a null or empty one counts as missing."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("missing")).alias("value")) for c in columns]))
+    return bullets.select(F.col(key).alias("entity"), pairs.alias("p")).groupBy("entity", "p.field", "p.value").agg(F.count("*").alias("n"))
+
+
+def verdicts(docs: DataFrame) -> DataFrame:
+    """fbgn, n_errors, n_lint, verdict: FAIL if a constraint is broken or bullet ids repeat, else WARN with lint, else PASS."""
+    from tessera.schemas import violations
+
+    ids = F.transform("bullets", lambda b: b["id"])
+    repeated = F.coalesce(F.size(ids) - F.size(F.array_distinct(ids)), F.lit(0))
+    rows = docs.select("fbgn", (F.size(violations()) + F.greatest(repeated, F.lit(0))).cast("long").alias("n_errors"), F.greatest(F.size("_lint"), F.lit(0)).cast("long").alias("n_lint"))
+    return rows.withColumn("verdict", F.when(F.col("n_errors") > 0, "FAIL").when(F.col("n_lint") > 0, "WARN").otherwise("PASS"))
+
+
+def latencies(calls: DataFrame, level: str, seconds: str, ok: str) -> DataFrame:
+    """level, n_ok, n_fail, and the median, least and greatest seconds of the calls that succeeded."""
+    good = F.when(F.col(ok), F.col(seconds))
+    return calls.groupBy(level).agg(F.count(good).alias("n_ok"), F.count(F.when(~F.col(ok), 1)).alias("n_fail"), F.round(F.median(good), 6).alias("median_s"), F.min(good).alias("least_s"), F.max(good).alias("most_s"))
