@@ -355,6 +355,69 @@ def model_answers(t: Tables) -> DataFrame:
     return external.parsed(external.call(prompts, "key", "prompt"), "summary string").select("key", "outcome", "value.summary", "attempts")
 
 
+def _answer(prompt: str, attempt: int) -> tuple[int, str]:
+    """A model of the tests: names the prompt's first word, or refines an earlier answer with a bullet."""
+    import json
+
+    bullets = [{"category": "other", "phenotype": "refined"}] if "earlier answer" in prompt else []
+    return 200, json.dumps({"summary": prompt.split()[0], "bullets": bullets})
+
+
+@query("SELECT c_custkey::VARCHAR AS key, 1 + (c_custkey % 3 = 0)::INT AS passes, c_name AS summary, (c_custkey % 3 = 0)::INT AS n_bullets FROM customer")
+def two_pass_answers(t: Tables) -> DataFrame:
+    from tessera.streaming import review
+
+    rows = t.customer.select("c_custkey", F.concat("c_name", F.lit(" and more")).alias("prompt"))
+    found = review.two_passes(rows, "c_custkey", "prompt", F.col("c_custkey") % 3 == 0, _answer, _answer)
+    return found.select("key", "passes", "value.summary", F.size("value.bullets").alias("n_bullets"))
+
+
+@query("""SELECT c_custkey AS key, CASE WHEN s >= 90 THEN 'accept_via_tier1' ELSE 'tier2_audit' END AS action, CASE WHEN s >= 90 OR k THEN 'accept' ELSE 'redistill' END AS verdict, CASE WHEN s >= 90 THEN 0 WHEN k THEN 1 ELSE 2 END AS attempts,
+CASE WHEN s >= 90 OR k THEN s ELSE s + 1 END AS score FROM (SELECT c_custkey, (c_custkey % 100)::INT AS s, c_custkey % 2 = 0 AS k FROM customer)""")
+def review_rounds(t: Tables) -> DataFrame:
+    from tessera.streaming import review
+
+    scores = t.customer.select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 100).cast("int").alias("score"))
+    auditor = lambda df, n: df.select("key", F.when(F.col("key") % 2 == 0, "accept").otherwise("redistill").alias("verdict"))
+    return review.review(scores, auditor, lambda df, n: df.withColumn("score", F.col("score") + 1))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 2 WHEN 0 THEN 'p1' ELSE 'p0' END AS provider, CASE c_custkey % 2 WHEN 0 THEN 'm1' ELSE 'm0' END AS model FROM customer")
+def request_metadata(t: Tables) -> DataFrame:
+    from tessera.streaming import review
+
+    rows = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, "x").otherwise("y").alias("harness"))
+    return review.with_provider(rows, "harness", {"x": ("p1", "m1")}, ("p0", "m0")).select("c_custkey", "request_meta.provider", "request_meta.model")
+
+
+@query("""WITH RECURSIVE h AS (SELECT user_id, event_type <> 'error' AS ok, (hour(ts) + 8) % 24 AS h, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+o AS (SELECT *, CASE WHEN h >= 14 AND h < 18 THEN 1 WHEN h >= 11 AND h < 21 THEN 3 ELSE 5 END AS f FROM h),
+r(user_id, k, b, run) AS (SELECT DISTINCT user_id, 0::BIGINT, 8::BIGINT, 0 FROM o UNION ALL
+ SELECT r.user_id, o.k, CASE WHEN NOT ok THEN greatest(f, greatest(b, f) - 1) WHEN run + 1 >= 3 THEN least(greatest(8, greatest(b, f)), greatest(b, f) + 1) ELSE greatest(b, f) END, CASE WHEN NOT ok OR run + 1 >= 3 THEN 0 ELSE run + 1 END FROM r JOIN o ON o.user_id = r.user_id AND o.k = r.k + 1)
+SELECT user_id, arg_max(b, k)::INT AS final_budget, greatest(1, arg_max(b, k) // 3)::INT AS slots, max(k) AS n FROM r GROUP BY user_id""")
+def budget_by_hour(t: Tables) -> DataFrame:
+    from tessera.streaming import monitor
+
+    rows = t.events.select("user_id", "event_id", (F.col("event_type") != "error").alias("ok"), "ts")
+    return monitor.budget_by_hour(rows, "user_id", "event_id", "ok", "ts", weight=3)
+
+
+@query("SELECT vec_id, CASE WHEN vec_id % 3 = 0 OR label IS NULL THEN 0 ELSE round(list_sum(embedding::DOUBLE[]), 4) END AS total FROM embeddings")
+def zero_filled_vectors(t: Tables) -> DataFrame:
+    from tessera.operators import vectors
+
+    made = t.embeddings.where("vec_id % 3 <> 0").select("vec_id", "embedding")
+    filled = vectors.zero_filled(t.embeddings, made, "vec_id", len(t.embeddings.first()["embedding"]))
+    return filled.select("vec_id", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"))
+
+
+@query("SELECT 'pages' AS stage, count(*) AS n FROM pages UNION ALL SELECT 'labels', count(DISTINCT doc_id) FROM labels")
+def progress_counts(t: Tables) -> DataFrame:
+    from tessera.streaming import review
+
+    return review.progress({"pages": t.pages.select(F.col("page_id").alias("k")), "labels": t.labels.select(F.col("doc_id").alias("k"))}, "k")
+
+
 @query("""SELECT l_returnflag AS category, count(DISTINCT l_partkey) AS n_entities, min(l_partkey) AS first FROM lineitem GROUP BY 1""")
 def inverted_index(t: Tables) -> DataFrame:
     by = t.lineitem.groupBy(F.col("l_returnflag").alias("category")).agg(F.array_sort(F.collect_set("l_partkey")).alias("entities"))

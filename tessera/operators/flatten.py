@@ -114,7 +114,8 @@ RELATIONS = {
 def nested(parent: DataFrame, key: str, children: dict[str, tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
     """``parent`` with each child relation as an array of structs: name -> (rows, order columns, columns). Childless keys get empty arrays.
 
-    Each child is grouped once, so the plan has one shuffle a relation and no lookup per row.
+    Each child is grouped once, so the plan has one shuffle a relation and no lookup per row. A parent's children meet in one
+    row, so they must be what one document can hold (curated records of an entity, not a log).
     """
     out = parent
     for name, (rows, order, columns) in children.items():

@@ -91,6 +91,13 @@ def hybrid(members: DataFrame, vectors: DataFrame, query: Column, k: int, id_: s
     return with_metadata(hits, members, id_)
 
 
+def zero_filled(wanted: DataFrame, made: DataFrame, id_: str, dims: int) -> DataFrame:
+    """A row for each wanted id: its vector (null components: zero), or a zero vector of ``dims`` where there is none or it has another length."""
+    zero = F.array_repeat(F.lit(0.0).cast("float"), dims)
+    good = F.when(F.size("embedding") == dims, F.transform("embedding", lambda x: F.coalesce(x.cast("float"), F.lit(0.0).cast("float"))))
+    return wanted.select(id_).join(made.select(id_, "embedding"), id_, "left").select(id_, F.coalesce(good, zero).alias("embedding"))
+
+
 def embed_missing(todo: DataFrame, done: DataFrame, id_: str, embed: Callable[[Column], Column], text: str = "text") -> DataFrame:
     """Vectors of the rows that have none or a zero one: the resumable batch of an embedding job."""
     good = done.where(norm(F.col("embedding")) > 0)

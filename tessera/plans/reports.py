@@ -17,7 +17,14 @@ def table(df: DataFrame, columns: list[str] | None = None, limit: int = 50) -> s
 
 def overlaps(atlas: Atlas) -> str:
     """Headline and table of overlapping regions, those of different families first."""
-    pairs = atlas.qtl_overlaps().cache()
+    pairs = atlas.qtl_overlaps().persist()
+    try:
+        return _overlaps(pairs)
+    finally:
+        pairs.unpersist()
+
+
+def _overlaps(pairs: DataFrame) -> str:
     n, crossing = pairs.agg(F.count("*"), F.count(F.when(F.col("is_cross"), 1))).first()
     body = table(pairs.orderBy(F.desc("is_cross"), F.desc("overlap_bp"), "id_a", "id_b"), ["id_a", "id_b", "chr", "overlap_start", "overlap_end", "overlap_bp", "n_items"])
     return f"# Overlapping regions\n\n{n} pairs, {crossing} across families.\n\n{body}\n"
@@ -25,7 +32,14 @@ def overlaps(atlas: Atlas) -> str:
 
 def region(atlas: Atlas, name: str, top: int = 10, phenotype: str | None = None) -> str:
     """One region: quadrant counts and its best candidates with their leading bullets."""
-    ranked = atlas.qtl_rank([name], phenotype, None).cache()
+    ranked = atlas.qtl_rank([name], phenotype, None).persist()
+    try:
+        return _region(atlas, ranked, name, top)
+    finally:
+        ranked.unpersist()
+
+
+def _region(atlas: Atlas, ranked: DataFrame, name: str, top: int) -> str:
     counts = rank.quadrant_counts(ranked, ["id"])
     best = ranked.where(F.col("rank") <= top)
     lead = rank.top_bullets(atlas.t["bullets"].join(best.select("fbgn"), "fbgn", "left_semi"), "fbgn", 1).select("fbgn", F.col("phenotype").alias("lead"))

@@ -192,6 +192,29 @@ def fetch_missing(wanted: DataFrame, cache: DataFrame, key: str, fetch: Callable
     return todo.mapInPandas(run, "key string, payload string")
 
 
+def retrying(get: Callable[[str], bytes], attempts: int = 4, least_bytes: int = 1, pause: Callable[[int], None] = lambda n: None) -> Callable[[list[str]], dict[str, str | None]]:
+    """A ``fetch`` for ``fetch_missing`` from a getter of one key: failed or too short answers are asked for again, ``pause`` is called before each
+    further attempt, and a key without a good answer gets null."""
+
+    def fetch(keys: list[str]) -> dict[str, str | None]:
+        out: dict[str, str | None] = {}
+        for key in keys:
+            out[key] = None
+            for n in range(attempts):
+                if n:
+                    pause(n)
+                try:
+                    body = get(key)
+                except Exception:  # any failure of a remote is a reason to ask again
+                    continue
+                if len(body) >= least_bytes:
+                    out[key] = body.decode("utf-8", "replace")
+                    break
+        return out
+
+    return fetch
+
+
 def location_from_summary(summary: Column) -> Column:
     """struct<chr, start, end> of "Gene sequence location is X:a..b", else null: a fallback where the coordinate map has no row."""
     p = r"[Ss]equence location is (\w+):(\d+)\.\.(\d+)"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -66,8 +66,8 @@ def trailing_counts(events: DataFrame, micros: str, group: list[str], seconds: i
 def budget_steps(events: DataFrame, group: str, order: str, ok: str, start: int = 8, least: int = 1, most: int = 16, gain_after: int = 3) -> DataFrame:
     """group, final_budget, least_budget, n: a concurrency budget that rises by one after ``gain_after`` successes in a row and falls by one at a failure.
 
-    A fold in event order over one group's ordered outcomes; groups are keys of a limiter, whose logs are bounded by
-    the period asked for.
+    A fold in event order over one group's ordered outcomes, all in one row: a group is one limiter's log of a period, which
+    the period bounds. For endless logs use ``budget_stream``, which keeps two numbers a group.
     """
     outcomes = F.transform(F.array_sort(F.collect_list(F.struct(order, ok))), lambda x: x[ok])
     state = F.struct(F.lit(start).alias("b"), F.lit(0).alias("run"), F.lit(start).alias("low"), F.lit(0).alias("n"))
@@ -82,6 +82,35 @@ def budget_steps(events: DataFrame, group: str, order: str, ok: str, start: int
     return folded.select(group, F.col("s.b").alias("final_budget"), F.col("s.low").alias("least_budget"), F.col("s.n").cast("long").alias("n"))
 
 
+# The least budget by hour of the day (UTC+8): heavy from 14 to 18, lighter from 11 and until 21.
+HEAVY_HOURS, LIGHT_HOURS, FLOORS = (14, 18), (11, 21), (1, 3, 5)
+
+
+def hour_floor(ts: Column) -> Column:
+    """The least concurrency budget at a time (UTC)."""
+    hour = F.pmod(F.hour(ts) + 8, F.lit(24))
+    return F.when((hour >= HEAVY_HOURS[0]) & (hour < HEAVY_HOURS[1]), FLOORS[0]).when((hour >= LIGHT_HOURS[0]) & (hour < LIGHT_HOURS[1]), FLOORS[1]).otherwise(FLOORS[2])
+
+
+def budget_by_hour(events: DataFrame, group: str, order: str, ok: str, ts: str, start: int = 8, most: int = 8, gain_after: int = 3, weight: int = 1) -> DataFrame:
+    """group, final_budget, slots, n: as ``budget_steps``, but a failure never takes the budget below the floor of its hour, a later hour's higher
+    floor lifts it, and it rises to ``most`` at most. slots: calls at a time if each takes ``weight`` places.
+
+    A group is one limiter's log of a period, which the period bounds; for endless logs use ``budget_stream``.
+    """
+    steps = F.array_sort(F.collect_list(F.struct(order, ok, hour_floor(F.col(ts)).alias("floor"))))
+    state = F.struct(F.lit(start).alias("b"), F.lit(0).alias("run"), F.lit(0).alias("n"))
+
+    def step(s, x):
+        b = F.greatest(s["b"], x["floor"])  # the floor of the hour comes first
+        gain = x[ok] & (s["run"] + 1 >= gain_after)
+        after = F.when(gain, F.least(F.greatest(F.lit(most), b), b + 1)).when(x[ok], b).otherwise(F.greatest(x["floor"], b - 1))
+        return F.struct(after.alias("b"), F.when(~x[ok] | gain, F.lit(0)).otherwise(s["run"] + 1).alias("run"), (s["n"] + 1).alias("n"))
+
+    folded = events.groupBy(group).agg(F.aggregate(steps, state, step).alias("s"))
+    return folded.select(group, F.col("s.b").alias("final_budget"), F.greatest(F.lit(1), F.floor(F.col("s.b") / weight)).cast("int").alias("slots"), F.col("s.n").cast("long").alias("n"))
+
+
 def budget_stream(events: DataFrame, group: str, order: str, ok: str, start: int = 8, least: int = 1, most: int = 16, gain_after: int = 3) -> DataFrame:
     """The same fold on a stream: state (budget, run) by group, one row a group and micro-batch."""
 

@@ -221,3 +221,74 @@ def test_external_calls(spark):
     assert got == {"a": (1, "ok"), "b": (1, "quota"), "c": (3, "ok"), "d": (1, "bad_json")}
     usage = spark.sql("SELECT map('m', named_struct('input', 0L, 'prompt', 7L), 'n', named_struct('input', 3L, 'prompt', 9L)) AS u")
     assert usage.select(external.tokens_used(F.col("u"))).first()[0] == 10
+
+
+def test_audits_are_appended_once(spark, tmp_path):
+    from tessera.streaming import review
+
+    asked: list = []
+    answer = '{"verdict": "minor_fixes", "accuracy_score": 0.5, "hallucinations": ["x", "y"]}'
+    rows = spark.createDataFrame([(str(k), "p") for k in range(4)], "fbgn string, prompt string")
+    log = review.run_audits(rows.limit(2), "fbgn", "prompt", lambda p, n: (200, answer), f"{tmp_path}/log")
+    assert log.count() == 2 and not asked
+    log = review.run_audits(rows, "fbgn", "prompt", lambda p, n: (200, answer) if n else (500, ""), f"{tmp_path}/log")
+    assert sorted((r["key"], r["verdict"], r["n_hallucinations"]) for r in log.collect()) == [(str(k), "minor_fixes", 2) for k in range(4)]
+    assert [tuple(r) for r in review.verdict_counts(log).collect()] == [("minor_fixes", 4)]
+
+
+def test_rerank_and_batch_log(spark):
+    from tessera.streaming import external, review
+
+    candidates = spark.createDataFrame([("heat", "g2", "a"), ("heat", "g1", "b")], "phenotype string, fbgn string, snapshot string")
+    model = lambda p, n: (200, '{"ranking": [{"fbgn": "g1", "verdict": "strong"}, {"fbgn": "g2", "verdict": "weak"}]}' if p.index("g1") < p.index("g2") else "{}")
+    assert [tuple(r) for r in review.rerank(candidates, "phenotype", ["snapshot"], model).orderBy("place").collect()] == [("heat", 1, "g1", "strong"), ("heat", 2, "g2", "weak")]
+    inputs = spark.createDataFrame([("a", 5, 1), ("b", 6, 2)], "fbgn string, pubs_total int, n_abstracts int")
+    answers = external.parsed(external.call(spark.createDataFrame([("a", "x")], "k string, p string"), "k", "p", lambda p, n: (200, '{"bullets": [{"category": "c"}, {"category": "c"}]}')), review.DISTILLED)
+    log = {r["fbgn"]: (r["outcome"], r["n_bullets"], r["categories"]) for r in review.batch_log(inputs, "fbgn", answers).collect()}
+    assert log == {"a": ("ok", 2, ["c"]), "b": ("not run", None, None)}
+
+
+def test_fetches_are_repeated(spark):
+    from tessera.sources import documents
+
+    calls: dict = {}
+
+    def get(key: str) -> bytes:
+        calls[key] = calls.get(key, 0) + 1
+        if key == "bad" or calls[key] < 3:
+            raise OSError("no answer")
+        return b"x" * (10 if key == "long" else 1)
+
+    got = documents.retrying(get, 4, 5)(["long", "short", "bad"])
+    assert got == {"long": "x" * 10, "short": None, "bad": None} and calls == {"long": 3, "short": 4, "bad": 4}
+
+
+def test_an_older_index_and_documents_are_stored(spark, tmp_path):
+    from tessera.operators import canonical, search
+    from tessera.plans import atlas
+    from tessera.schemas import ENTITY
+
+    docs = spark.createDataFrame([('{"fbgn":"FBgn0000001","symbol":"a","bullets":[{"id":"FBgn0000001:b01","phenotype":"runs fast","evidence_text":"e"}],"_lint":[{"code":"x"}]}',)], "j string").selectExpr(f"from_json(j, '{ENTITY}') as d").select("d.*")
+    atlas.build_index(docs, f"{tmp_path}/i")
+    assert spark.read.parquet(f"{tmp_path}/i/genes").first()["n_lint"] == 1
+    bullets, index = spark.read.parquet(f"{tmp_path}/i/bullets"), spark.read.parquet(f"{tmp_path}/i/postings")
+    assert [r["doc"] for r in search.search(bullets, "bullet_id", ["phenotype", "evidence_text"], "runs", index=index).collect()] == ["FBgn0000001:b01"]
+    canonical.write_documents(docs, f"{tmp_path}/d")
+    back = spark.read.schema(ENTITY).json(f"{tmp_path}/d")
+    assert back.first()["bullets"][0]["phenotype"] == "runs fast"
+    (row,) = canonical.canonical_json(docs).collect()
+    import hashlib
+
+    assert row["sha256"] == hashlib.sha256(row["json"].encode()).hexdigest()
+    regions = spark.createDataFrame([("b", "g", 5), ("a", "h", 1)], "label string, fbgn string, start int")
+    atlas.write_regions(regions, f"{tmp_path}/t")
+    assert spark.read.option("sep", "\t").option("header", True).csv(f"{tmp_path}/t").count() == 2
+
+
+def test_definitions_of_any_length(spark, tmp_path):
+    from tessera.sources import documents
+
+    text = "a \\" + '"quoted\\" ' + "word " * 20_000
+    (tmp_path / "x.obo").write_text(f'[Term]\nid: HP:1\nname: n\ndef: "{text}" [x]\n\n[Term]\nid: HP:2\nname: m\n')
+    rows = {r["id"]: r["definition"] for r in documents.ontology(spark, str(tmp_path / "x.obo")).collect()}
+    assert rows["HP:2"] is None and len(rows["HP:1"]) == len(text)
