@@ -70,7 +70,7 @@ def assign(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
 
 def directory(assigned: DataFrame) -> DataFrame:
     """The directory of ``assign``'s buckets: depth, shard, shard_bytes, shard_rows, and slots: how many entries of a directory
-    that is indexed by as many bits as the deepest bucket has point to it."""
+    that is indexed by as many bits as the deepest bucket has point to it. Entries of prefixes that no row has are not listed."""
     buckets = saved(assigned.select("depth", "shard", "shard_bytes", "shard_rows").distinct(), "directory")
     deepest = buckets.agg(F.max("depth")).first()[0] or 0
     return buckets.withColumn("slots", F.expr(f"shiftleft(1L, {deepest} - depth)"))
