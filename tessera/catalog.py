@@ -207,9 +207,10 @@ def last_write_wins(t: Tables) -> DataFrame:
     return dedup.last_wins(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_custkey"], "o_orderkey").select("o_custkey", "o_totalprice", "first_position")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')")
 def anti_join_todo(t: Tables) -> DataFrame:
-    return dedup.todo(t.customer.select("c_custkey", "c_name"), t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    done = t.orders.where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return dedup.todo(t.customer.select("c_custkey", "c_name"), done, "c_custkey")
 
 
 @query("""SELECT key, bool_or(t = 'a') AS in_customer, bool_or(t = 'b') AS in_orders, bool_or(t = 'c') AS in_supplier FROM
@@ -414,10 +415,14 @@ def lexicon_tags(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.array_join(text.lexicon_tags(F.col("text"), LEXICON, {}), ",").alias("tags"))
 
 
-@query(r"""WITH c AS (SELECT conv_id, turn, len(regexp_extract_all(role || ' ' || text, '\b\d[\d.,]*(?:%|[xX]|-fold| times| hr| h)?\b')) AS a, len(regexp_extract_all(role || ' ' || text, '\b(FBrf\d+|FBgn\d+|FBal\d+|OMIM:|HP:|MIM:|S\d+[AGRC]|per[01LS]|w[01-9]+|shi\[[^\]]+\])\b')) AS b, length(role) >= 80 AS l FROM conversations)
-SELECT conv_id, turn, CASE WHEN 2 * a + 2 * b + l::INT >= 4 THEN 'high' WHEN 2 * a + 2 * b + l::INT >= 2 THEN 'medium' ELSE 'low' END AS specificity FROM c""")
+@query(r"""WITH c AS (SELECT conv_id, turn, len(regexp_extract_all(h || ' ' || role, '\b\d[\d.,]*(?:%|[xX]|-fold| times| hr| h)?\b')) AS a, len(regexp_extract_all(h || ' ' || role, '\b(FBrf\d+|FBgn\d+|FBal\d+|OMIM:|HP:|MIM:|S\d+[AGRC]|per[01LS]|w[01-9]+|shi\[[^\]]+\])\b')) AS b, length(h) >= 80 AS l,
+len(regexp_extract_all(h, '(?i)\b(approximately|about|roughly|completely|partially|fully|nearly|significantly|severely|mildly|specifically|exclusively)\b')) AS q FROM (SELECT *, CASE turn % 4 WHEN 0 THEN 'about ' WHEN 1 THEN 'Nearly 5-fold, fully ' WHEN 2 THEN 'w01 ' ELSE '' END || substr(text, 1, 40 + turn * 30) AS h FROM conversations))
+SELECT conv_id, turn, CASE WHEN 2 * a + 2 * b + q + l::INT >= 4 THEN 'high' WHEN 2 * a + 2 * b + q + l::INT >= 2 THEN 'medium' ELSE 'low' END AS specificity FROM c""")
 def text_specificity(t: Tables) -> DataFrame:
-    return t.conversations.select("conv_id", "turn", text.specificity(F.col("role"), F.col("text")).alias("specificity"))
+    turn = F.col("turn")
+    lead = F.when(turn % 4 == 0, "about ").when(turn % 4 == 1, "Nearly 5-fold, fully ").when(turn % 4 == 2, "w01 ").otherwise("")
+    head = F.concat(lead, F.substring("text", F.lit(1), 40 + turn * 30))
+    return t.conversations.select("conv_id", "turn", text.specificity(head, F.col("role")).alias("specificity"))
 
 
 @query(f"""WITH u AS (SELECT conv_id, {content_sql("string_agg(text, ' ')")} AS i FROM conversations WHERE role = 'user' GROUP BY conv_id),
@@ -521,7 +526,15 @@ def html_links(t: Tables) -> DataFrame:
     return sources.links(t.pages, "page_id", "html")
 
 
-@query()
+def section_sql(tag: str) -> str:
+    """The text of a page's first element of a tag: pieces between tags, trimmed, joined by spaces, entities resolved."""
+    body = rf"regexp_extract(html, '(?s)<{tag}(?: [^>]*)?>(.*?)</{tag}>', 1)"
+    pieces = rf"list_filter(list_transform(string_split(regexp_replace(regexp_replace({body}, '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', chr(1), 'g'), chr(1)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> '')"
+    plain = f"replace(replace(replace(array_to_string({pieces}, ' '), '&quot;', chr(34)), '&copy;', chr(169)), '&middot;', chr(183))"
+    return f"SELECT page_id, '{tag}' AS section, regexp_replace({plain}, '&amp;?', '&', 'g') AS text FROM pages WHERE contains(html, '<{tag}')"
+
+
+@query(" UNION ALL ".join(section_sql(tag) for tag in ("title", "article", "footer")))
 def html_section_text(t: Tables) -> DataFrame:
     return sources.section_texts(t.pages, "page_id", "html", tags=("title", "article", "footer"))
 

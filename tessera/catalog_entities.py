@@ -70,7 +70,8 @@ def entities(t: Tables) -> DataFrame:
         "_lint": F.when(size % 6 == 0, F.array(F.struct(F.lit("x").alias("code"), F.lit("info").alias("severity")))),
     }
     doc = F.from_json(F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])), schemas.ENTITY)
-    return flatten.number_bullets(docs.select(doc.alias("d")).select("d.*"), 0)
+    # a generator: the document is parsed once, not once for each of its fields
+    return flatten.number_bullets(docs.select(F.explode(F.array(doc)).alias("d")).select("d.*"), 0)
 
 
 def via_type() -> str:
