@@ -6,7 +6,8 @@ everything else covers all rows: grouped aggregation of the text posteriors by h
 smoothed towards P(language | suffix), which is smoothed towards P(language); and by declared language the
 reliability P(declared | language). Log evidence adds up; a class of undetermined text competes with the languages.
 
-A declared tag counts without region, script and case, and every language that is declared has a profile.
+A declared tag counts without region, script and case, if it is well-formed, and every language that is so declared has a
+profile.
 
 Every text is scored once: the scores are written beside the rows' columns, and all later steps read them from there.
 
@@ -77,11 +78,13 @@ def log_profiles(counts: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def tag_of(declared: str) -> Column:
-    """The language of a declared tag, lower-cased and without region or script; null for empty tags and "und"."""
+    """The language of a declared tag, lower-cased and without region or script; null for "und" and what is no well-formed tag.
+
+    So the number of languages is that of languages in use, however much junk is declared.
+    """
     whole = F.lower(F.trim(F.col(declared).cast("string")))
-    first = F.regexp_replace(whole, "[-_].*$", "")
-    tag = F.when(F.length(first) > 1, first).otherwise(whole)  # x-... and i-... stay whole
-    return F.when((tag != "") & (tag != "und"), tag)
+    first = F.regexp_extract(whole, "^([a-z]{2,8}|[ix][-_][a-z0-9]{1,8})(?:$|[-_])", 1)  # private and registered names keep their second part
+    return F.when((first != "") & (first != "und"), first)
 
 
 def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:

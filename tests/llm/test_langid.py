@@ -139,3 +139,9 @@ def test_trigrams():
 def test_suffix(spark):
     df = spark.createDataFrame([("http://x.Example.DE:80/a.fr",), ("src1",), (None,), ("a.b.fr",), ("https://h/x.de",)], "u string")
     assert [r[0] for r in df.select(langid.suffix_of(F.col("u"))).collect()] == ["de", None, None, "fr", None]
+
+
+def test_tags(spark):
+    tags = ["en", "EN-us", " de_AT ", "zh-Hant-TW", "x-klingon-a", "i-navajo", "und", "UND-x", "", " ", None, "e", "english and german", "lang=\"fr\"", "e" * 9, "12"]
+    df = spark.createDataFrame([(t,) for t in tags], "lang string")
+    assert [r[0] for r in df.select(langid.tag_of("lang")).collect()] == ["en", "en", "de", "zh", "x-klingon", "i-navajo", *[None] * 10]
