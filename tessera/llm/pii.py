@@ -41,11 +41,11 @@ WIDER = {
     "number": r"(?<![0-9A-Za-z.+-])[0-9(][0-9() ./-]{6,28}[0-9](?![0-9A-Za-z])",
     "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:[\[({] ?(?i:at|@) ?[\])}]|(?i:\bat\b)) ?[A-Za-z0-9-]{1,64}(?:(?:\.| ?[\[({] ?(?i:dot) ?[\])}] ?| (?i:dot) )[A-Za-z0-9-]{2,64}){1,8}+",
     "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora)\.? \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?",
-    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]{0,200}+[0-9])(?=[0-9_+/=-]{0,200}+[A-Za-z])[A-Za-z0-9_+/=-]{20,200}+(?![A-Za-z0-9_+/=-])",
+    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z0-9_+/=-]{20})(?=[A-Za-z_+/=-]{0,200}+[0-9])(?=[0-9_+/=-]{0,200}+[A-Za-z])[A-Za-z0-9_+/=-]{20,200}+(?![A-Za-z0-9_+/=-])",
 }
 HINTS = {
     "email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]", "number": "[0-9]", "address": r"(?i:[\[({] ?(?:at|@) ?[\])}]|[\[({ ]dot[\])} ])",
-    "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora)\.? \p{Lu}", "secret": "[A-Za-z0-9_+/=-]{20}",
+    "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora)\.? \p{Lu}", "secret": "(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20}",
 }
 #: The word lists that come with the operator, in the four languages of its tests; ``gazetteer`` puts a table in their place.
 GAZETTEER = {
