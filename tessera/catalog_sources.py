@@ -310,6 +310,79 @@ def scalar_functions(t: Tables) -> DataFrame:
     )
 
 
+@query("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS n FROM lineitem)
+SELECT l_partkey, string_agg('  \u2022 ' || l_suppkey || ': text ' || l_returnflag || CASE WHEN l_linestatus = 'O' THEN ' <r>' ELSE '' END, chr(10) ORDER BY n) AS text FROM l WHERE n <= 8 AND l_returnflag <> 'N' GROUP BY l_partkey""")
+def allele_section(t: Tables) -> DataFrame:
+    pos = F.struct("l_orderkey", "l_linenumber", "l_suppkey")
+    rows = t.lineitem.select("l_partkey", pos.alias("pos"), F.col("l_suppkey").cast("string").alias("allele"), F.when(F.col("l_returnflag") != "N", F.concat(F.lit("text "), "l_returnflag")).alias("description"), F.when(F.col("l_linestatus") == "O", "r").otherwise("").alias("reference"))
+    return render.allele_lines(rows, "l_partkey", "pos", 8)
+
+
+@query("""WITH g AS (SELECT l_partkey, 'S' || l_suppkey AS p, l_suppkey, count(*) AS n, list_sort(list(DISTINCT l_returnflag) FILTER (l_returnflag <> 'N')) AS a FROM lineitem GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, p) AS m FROM g)
+SELECT l_partkey, string_agg('  \u2022 ' || CASE WHEN l_suppkey % 2 = 0 THEN 'sym' || l_suppkey ELSE p END || ' (' || p || ')' || CASE WHEN len(a) > 0 THEN ' \u2014 ' || array_to_string(a[1:3], '; ') ELSE '' END || CASE WHEN n > 1 THEN ' (' || n || ' evidence rows)' ELSE '' END, chr(10) ORDER BY m) AS text
+FROM k WHERE m <= 6 GROUP BY l_partkey""")
+def partner_section(t: Tables) -> DataFrame:
+    s = F.col("l_suppkey").cast("string")
+    edges = t.lineitem.select("l_partkey", F.concat(F.lit("S"), s).alias("partner"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("assay"))
+    n = F.col("s_suppkey").cast("string")
+    symbols = t.supplier.where("s_suppkey % 2 = 0").select(F.concat(F.lit("S"), n).alias("id"), F.concat(F.lit("sym"), n).alias("symbol"))
+    return render.partner_lines(edges, symbols, "l_partkey", 6)
+
+
+@query("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 10 + l_linenumber, l_returnflag, l_linestatus) AS n FROM lineitem),
+o AS (SELECT l_partkey, l_returnflag, l_linestatus, min(n) AS n FROM l WHERE n <= 12 GROUP BY ALL)
+SELECT l_partkey, string_agg('  \u2022 ' || l_returnflag || ' (model of)' || CASE WHEN l_linestatus = 'O' THEN ' via allele O' ELSE '' END || ' [ortholog: h] \u2014 CEA', chr(10) ORDER BY n) AS text FROM o GROUP BY l_partkey""")
+def disease_section(t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), F.col("l_returnflag").alias("do_term"), F.lit("").alias("qualifier"), F.when(F.col("l_linestatus") == "O", "O").otherwise("").alias("allele"),
+                             F.lit("h").alias("ortholog"), F.lit("CEA").alias("evidence"), F.lit(None).cast("string").alias("reference"))
+    return render.disease_lines(rows, "l_partkey", "pos", 12)
+
+
+@query("""SELECT c_custkey AS k, '# GENE: ' || c_name || chr(10) || '## AUTO SUMMARY' || chr(10) || 'sum' || chr(10) || chr(10) || '## GENE ONTOLOGY' || chr(10) || '  BP: a, ' || c_mktsegment || chr(10) || '  CC: (none)' || chr(10)
+|| CASE WHEN c_custkey % 2 = 0 THEN '## ALLELES' || chr(10) || 'long enough' || chr(10) || chr(10) ELSE '' END || '### FBrf1 T' || chr(10) || 'body' AS message FROM customer""")
+def input_messages(t: Tables) -> DataFrame:
+    terms = F.create_map(F.lit("CC"), F.array().cast("array<string>"), F.lit("BP"), F.array(F.lit("a"), F.col("c_mktsegment")))
+    sections = F.create_map(F.lit("alleles_main_sub"), F.when(F.col("c_custkey") % 2 == 0, " long enough ").otherwise("abc"))
+    one = lambda a, b, c: F.struct(F.lit(a).alias("fbrf"), F.lit(b).alias("title"), F.lit(c).alias("abstract"))
+    return t.customer.select(F.col("c_custkey").alias("k"), render.input_message(F.col("c_name"), F.lit("sum"), terms, sections, F.array(one("FBrf1", "T", "body"), one("FBrf2", "U", ""))).alias("message"))
+
+
+@query("SELECT l_partkey, min(l_orderkey) AS ref FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_partkey")
+def any_reference(t: Tables) -> DataFrame:
+    from tessera.operators import lookup
+
+    rows = t.lineitem.select("l_partkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("label"), F.col("l_orderkey").alias("ref"))
+    return lookup.any_reference(rows, "l_partkey", "label", ["ref"]).select("l_partkey", "ref")
+
+
+@query("SELECT 'FBgn' || lpad(p_partkey::VARCHAR, 7, '0') AS fbgn, p_name AS fullname, CASE WHEN p_size % 2 = 0 THEN 'a,b,' ELSE '' END || p_brand AS synonyms FROM part")
+def source_names(t: Tables) -> DataFrame:
+    rows = bulk.names(t._spark, _noise(lines(t.part, gene(), F.lit("Dmel"), F.lit("s"), "p_name", F.when(F.col("p_size") % 2 == 0, "a|b"), "p_brand")))
+    return rows.where("fbgn like 'FBgn%'").select("fbgn", "fullname", F.array_join("synonyms", ",").alias("synonyms"))
+
+
+@query("SELECT 'FBgn' || lpad(p_partkey::VARCHAR, 7, '0') AS fbgn, p_type AS text FROM part")
+def source_best_summaries(t: Tables) -> DataFrame:
+    return bulk.best_summaries(t._spark, _noise(lines(t.part, gene(), "p_name", F.lit("x"), "p_type")))
+
+
+@query("""SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN chr(8212) ELSE printf('%,d', c_custkey * 12345) END AS n, CASE WHEN c_custkey % 3 = 0 THEN chr(8212) WHEN c_custkey * 12345 >= 1000000 THEN printf('%.2f Mb', c_custkey * 12345 / 1000000) ELSE printf('%,d bp', c_custkey * 12345) END AS bp FROM customer""")
+def formatted_numbers(t: Tables) -> DataFrame:
+    n = F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey") * 12345)
+    return t.customer.select(F.col("c_custkey").alias("k"), positions.format_int(n).alias("n"), positions.format_bp(n).alias("bp"))
+
+
+@query("SELECT c_custkey::VARCHAR AS key, CASE c_custkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS attempts, CASE WHEN c_custkey % 3 = 2 THEN 'bad_json' ELSE 'ok' END AS outcome FROM customer")
+def strict_retries(t: Tables) -> DataFrame:
+    def model(prompt: str, attempt: int) -> tuple[int, str]:
+        kind = int(prompt.split()[0]) % 3
+        return 200, "{}" if kind == 0 or (kind == 1 and "strictly" in prompt) else "no json"
+
+    prompts = t.customer.select(F.col("c_custkey").cast("string").alias("key"), F.concat(F.col("c_custkey").cast("string"), F.lit(" ask")).alias("prompt"))
+    return external.parsed(external.call(prompts, "key", "prompt", model, 3, None, lambda a: a == "{}", lambda p: p + " strictly"), "summary string").select("key", "attempts", "outcome")
+
+
 @query("""SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN '{"a": ' || c_custkey || '}' WHEN 1 THEN '{"b": {}}' ELSE 'none' END AS body, CASE c_custkey % 5 WHEN 0 THEN 'rate_limit' WHEN 1 THEN 'quota' WHEN 2 THEN 'api_error' END AS kind,
 'a,' || c_mktsegment AS ribbon, array_to_string(list_sort(list_distinct([c_mktsegment, 'x', c_name])), ',') AS synonyms FROM customer""")
 def answers_and_names(t: Tables) -> DataFrame:

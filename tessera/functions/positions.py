@@ -70,5 +70,10 @@ def region_column(text: Column) -> Column:
 
 
 def format_bp(n: Column) -> Column:
-    """"1.23 Mb", "4.5 kb" or "678 bp"; a dash for null."""
-    return F.when(n.isNull(), "-").when(n >= 1_000_000, F.concat(F.format_number(n / 1_000_000, 2), F.lit(" Mb"))).when(n >= 1000, F.concat(F.format_number(n / 1000, 1), F.lit(" kb"))).otherwise(F.concat(n.cast("string"), F.lit(" bp")))
+    """"1.23 Mb", or "45,678 bp" below a million; a long dash for null."""
+    return F.when(n.isNull(), "\u2014").when(n >= 1_000_000, F.concat(F.format_string("%.2f", n / 1_000_000), F.lit(" Mb"))).otherwise(F.concat(F.format_number(n, 0), F.lit(" bp")))
+
+
+def format_int(n: Column) -> Column:
+    """"12,345"; a long dash for null."""
+    return F.when(n.isNull(), "\u2014").otherwise(F.format_number(n, 0))

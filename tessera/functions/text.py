@@ -132,8 +132,27 @@ def filled_sections(sections: Column) -> Column:
     return F.array_sort(F.map_keys(F.map_filter(sections, lambda k, v: F.length(F.trim(F.coalesce(v, F.lit("")))) > 0)))
 
 
+# Error codes and phrases by which backends say that a quota is used up.
+LIMIT_CODES, QUOTA_CODE = ("1302", "1303"), "1113"
+QUOTA_PHRASES = (
+    "insufficient balance", "quota exhausted", "subscription benefits may be restricted", "recharge", "exceeded daily", "exceeded 5-hour", "you have exceeded your usage", "exceeded your daily limit",
+    "exceeded the maximum number of tokens", "you have reached your usage limit", "you exceeded your current quota", "rate_limit_exceeded", "insufficient_quota", "usage_limit_reached",
+    "you have hit your message limit", "you've hit your usage limit", "hit your usage limit", "purchase more credits", "chatgpt.com/codex/settings/usage",
+)
+
+
+def used_up(body: str) -> bool:
+    """Whether a message says that a quota is used up."""
+    return f'"code":"{QUOTA_CODE}"' in body or any(p in body.lower() for p in QUOTA_PHRASES)
+
+
 def error_kind(status: Column, body: Column) -> Column:
-    """rate_limit, quota, api_error or null by status code and message."""
-    limited = status.isin(429, 503) | body.rlike(r"(?i)\b1302\b|rate.?limit|too many requests")
-    quota = body.rlike(r"(?i)quota|usage limit|insufficient (?:balance|credit)|billing|exceeded your|limit reached|resource.?exhausted")
+    """quota, rate_limit, api_error or null by status code and message."""
+    code = lambda c: F.contains(body, F.lit(f'"code":"{c}"'))
+    limited = status.isin(429, 503)
+    for c in LIMIT_CODES:
+        limited = limited | code(c)
+    quota = code(QUOTA_CODE)
+    for phrase in QUOTA_PHRASES:
+        quota = quota | F.contains(F.lower(body), F.lit(phrase))
     return F.when(F.coalesce(quota, F.lit(False)), "quota").when(F.coalesce(limited, F.lit(False)), "rate_limit").when(status >= 400, "api_error")

@@ -93,6 +93,13 @@ def select_references(refs: DataFrame, key: str, position: str, year: str, repre
     return top_per_group(usable, [key], [F.desc(representative), F.col(year).desc_nulls_last(), F.col(position)], limit)
 
 
+def any_reference(citations: DataFrame, key: str, label: str, order: list[str]) -> DataFrame:
+    """key and its columns: one labelled citation of each entity, the first in ``order``."""
+    rest = [c for c in citations.columns if c != key]
+    named = citations.where(F.col(label).isNotNull())
+    return named.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__r")).select(key, "__r.*")
+
+
 def stratified(df: DataFrame, stratum: str, id_: str, per_stratum: int, seed: int = 42, also: Column | None = None) -> DataFrame:
     """``per_stratum`` rows of each stratum in order of a seeded MD5 of the id, and all rows that ``also`` names."""
     order = F.md5(F.concat_ws("|", F.col(id_).cast("string"), F.lit(str(seed))))

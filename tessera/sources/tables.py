@@ -50,6 +50,17 @@ def summaries(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy(F.trim(cells[0]).alias("fbgn")).agg(F.max_by(F.trim(F.regexp_replace(cells[1], r"\r$", "")), "at").alias("text"))
 
 
+def names(spark: SparkSession, path: str) -> DataFrame:
+    """fbgn, fullname, synonyms: full names and symbol synonyms (lists a|b), in this order."""
+    listed = lambda k: F.filter(F.split(F.coalesce(cell(k), F.lit("")), r"\|"), lambda x: x != "")
+    return tsv_rows(spark, path, 4).select(cell(0).alias("fbgn"), cell(3).alias("fullname"), F.concat(listed(4), listed(5)).alias("synonyms"))
+
+
+def best_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """fbgn, text: the last cell of rows of four cells or more."""
+    return tsv_rows(spark, path, 4).select(cell(0).alias("fbgn"), F.trim(F.element_at("c", -1)).alias("text"))
+
+
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
     """fbgn, symbol, text, without the placeholder that asks for contributions."""
     return tsv_rows(spark, path, 5).select(cell(0).alias("fbgn"), cell(1).alias("symbol"), cell(4).alias("text")).where(~F.col("text").startswith("Contributions welcome"))

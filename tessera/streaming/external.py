@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import error_kind, strip_fences
+from tessera.functions.text import error_kind, strip_fences, used_up
 
 ANSWER = "key string, attempts int, status int, answer string, error string"
 #: (prompt, attempt) -> (status, body)
@@ -22,8 +22,10 @@ def stub(prompt: str, attempt: int) -> tuple[int, str]:
     return 200, "```json\n" + json.dumps({"summary": prompt.split(". ")[0][:300], "bullets": []}) + "\n```"
 
 
-def call(prompts: DataFrame, key: str, prompt: str, model: Model = stub, attempts: int = 3, smaller: Callable[[str, int], str] | None = None) -> DataFrame:
-    """ANSWER for each row: quota errors stop at once (to be deferred), others are retried, time-outs (408) with a smaller prompt."""
+def call(prompts: DataFrame, key: str, prompt: str, model: Model = stub, attempts: int = 3, smaller: Callable[[str, int], str] | None = None, sound: Callable[[str], bool] | None = None,
+         strict: Callable[[str], str] | None = None) -> DataFrame:
+    """ANSWER for each row: quota errors stop at once (to be deferred), others are retried, time-outs (408) with a smaller prompt, and answers
+    that are not ``sound`` (no JSON, drifted from the schema) with a stricter one; the last answer stays if none is sound."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -35,7 +37,12 @@ def call(prompts: DataFrame, key: str, prompt: str, model: Model = stub, attempt
                         status, body = model(text, n)
                     except Exception as e:  # a failed call is a row, not a failed job
                         status, body = 500, str(e)[-3000:]
-                    if status < 400 or "quota" in body.lower():
+                    if status < 400 and (sound is None or sound(body)):
+                        break
+                    if status < 400:
+                        text = strict(text) if strict else text
+                        continue
+                    if used_up(body):
                         break
                     if status == 408 and smaller:
                         text = smaller(text, n)

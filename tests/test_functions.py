@@ -87,12 +87,12 @@ def test_golden_scores(spark):
 def test_answers(spark):
     got = values(spark, text.strip_fences(F.col("t")), ['```json\n{"a": 1}\n```', 'well {"a": {"b": 2}} done', " plain "])
     assert got == ['{"a": 1}', '{"a": {"b": 2}}', "plain"]
-    kinds = values(spark, text.error_kind(F.col("s"), F.col("b")), [(429, ""), (200, "usage limit"), (500, "x"), (200, "ok")], "s int, b string")
+    kinds = values(spark, text.error_kind(F.col("s"), F.col("b")), [(429, ""), (200, "you've hit your usage limit"), (500, "x"), (200, "ok")], "s int, b string")
     assert kinds == ["rate_limit", "quota", "api_error", None]
 
 
 def test_rendering(spark):
-    assert values(spark, positions.format_bp(F.col("n")), [(None,), (5,), (1500,), (2_500_000,)], "n long") == ["-", "5 bp", "1.5 kb", "2.50 Mb"]
+    assert values(spark, positions.format_bp(F.col("n")), [(None,), (5,), (1500,), (2_500_000,)], "n long") == ["\u2014", "5 bp", "1,500 bp", "2.50 Mb"]
     assert values(spark, render.link(F.col("a"), F.col("b"), F.col("c")), [("1", "d", "r"), ("", "d", "r"), (None, " ", "r"), (None, None, None)], "a string, b string, c string") == [
         "https://pubmed.ncbi.nlm.nih.gov/1/", "https://doi.org/d", "https://example.org/ref/r", None]
     assert render.markdown(["a"], [(None,), ("x|y",)]).endswith("| x\\|y |")

@@ -211,7 +211,7 @@ def test_external_calls(spark):
 
     def model(prompt: str, attempt: int) -> tuple[int, str]:
         if "quota" in prompt:
-            return 429, "quota exceeded"
+            return 429, "You exceeded your current quota"
         if "twice" in prompt and attempt < 3:
             raise TimeoutError("slow")
         return (200, "no json") if prompt == "odd" else external.stub(prompt, attempt)
