@@ -92,17 +92,19 @@ def apportion(rows: DataFrame, by: str, key: str, houses: DataFrame) -> DataFram
     high = F.least(F.when(some, F.col("w") / (F.col("house") - F.col("m") / 2)).otherwise(F.col("top") * 2.01), F.col("top") * 2.01)
     low = F.least(F.col("w") / (F.col("house") + F.col("m") / 2), F.col("full"))
     bracket = saved(found.select(by, "house", (low * (1 - 1e-9)).alias("low"), (high * (1 + 1e-9)).alias("high")), "bracket")
-    step = lambda j: F.col("low") + (F.col("high") - F.col("low")) * (j / DIVISORS)
+    edge = lambda j: F.col("low") + (F.col("high") - F.col("low")) * (j / F.lit(float(DIVISORS)))
+    group = [by, "house", "low", "high"]
     for _ in range(ROUNDS):
-        joined = live.join(bracket, by)
-        sums = joined.groupBy(by, "house", "low", "high").agg(*[F.sum(_seats(w, step(j), cap)).alias(f"s{j}") for j in range(DIVISORS + 1)])
+        tried = live.join(bracket.select(group), by).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(DIVISORS))))
+        sums = tried.groupBy(*group, "j").agg(F.sum(_seats(w, edge(F.col("j")), cap)).alias("s"))
         # the last divisor that still gives the house or more, and the first that gives no more than it
-        over = F.array_max(F.array(F.lit(0), *[F.when(F.col(f"s{j}") >= F.col("house"), F.lit(j)) for j in range(1, DIVISORS)]))
-        under = F.array_min(F.array(F.lit(DIVISORS), *[F.when(F.col(f"s{j}") <= F.col("house"), F.lit(j)) for j in range(1, DIVISORS)]))
-        edge = lambda k: F.col("low") + (F.col("high") - F.col("low")) * (k / F.lit(float(DIVISORS)))
-        given = F.get(F.array(*[F.col(f"s{j}") for j in range(DIVISORS + 1)]), under)
-        loose = F.get(F.array(*[F.col(f"s{j}") for j in range(DIVISORS + 1)]), over)
-        bracket = saved(sums.select(by, "house", F.when(over < under, edge(over)).otherwise(edge(under)).alias("low"), edge(under).alias("high"), given.alias("given"), F.greatest(loose, given).alias("loose")), "bracket")
+        over = F.max(F.when((F.col("s") >= F.col("house")) & (F.col("j") < DIVISORS), F.struct("j", "s"))).alias("over")
+        under = F.min(F.when((F.col("s") <= F.col("house")) & (F.col("j") > 0), F.struct("j", "s"))).alias("under")
+        found = sums.groupBy(*group).agg(over, under, F.max(F.when(F.col("j") == DIVISORS, F.col("s"))).alias("last"))
+        under_j, over_j = F.coalesce("under.j", F.lit(DIVISORS)), F.coalesce("over.j", F.lit(0))
+        given = F.coalesce("under.s", "last")
+        found = found.select(by, "house", edge(F.least(over_j, under_j)).alias("low"), edge(under_j).alias("high"), given.alias("given"), F.greatest(F.coalesce("over.s", given), given).alias("loose"))
+        bracket = saved(found, "bracket")
         if bracket.where((F.col("given") < F.col("house")) & (F.col("loose") > F.col("house") + 8)).isEmpty():
             break
     joined = live.join(bracket, by).withColumn("seats", _seats(w, F.col("high"), cap)).withColumn("more", _seats(w, F.col("low"), cap))
