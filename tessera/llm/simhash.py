@@ -303,13 +303,17 @@ def shingle_sets(docs: DataFrame, width: int, rule: Rule, seed: int = 42) -> Dat
     return rows.mapInArrow(run, "doc_id long, mark long, fp binary, set_id binary")
 
 
-def link_similar(sets: list[np.ndarray], sides: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> Forest:
-    """Link the members whose sets are similar; if there are two sides, only members of different sides are compared."""
+def link_similar(sets: list[np.ndarray], sides: np.ndarray, groups: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> Forest:
+    """Link the members whose sets are similar; if there are two sides, only members of different sides are compared, and members
+    of one group are linked already, so they are not compared."""
     sizes = np.array([len(x) for x in sets])
     ends = np.cumsum(sizes)
     starts = ends - sizes
     values, flat = np.unique(np.concatenate(sets), return_inverse=True)
     forest, has, (over, under) = Forest(len(sets)), np.zeros(len(values), bool), similarity
+    order = np.argsort(groups, kind="stable")
+    same = groups[order[1:]] == groups[order[:-1]]
+    forest.link(order[:-1][same], order[1:][same])
     both = sides.min() != sides.max()
     for i in range(len(sets) - 1):
         j = np.arange(i + 1, len(sets))
@@ -329,12 +333,46 @@ def link_similar(sets: list[np.ndarray], sides: np.ndarray, similarity: tuple[in
     return forest
 
 
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of the blocks (root, low, high) of rows (side, rep, grp, hashes), which follow each other."""
+
+    def links(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        reps = np.array([r for _, r, _, _ in held])
+        forest = link_similar([np.frombuffer(h, np.uint64) for *_, h in held], np.array([s for s, *_ in held]), np.array([g for _, _, g, _ in held]))
+        moved = np.flatnonzero(forest.root != np.arange(len(reps)))
+        yield pa.RecordBatch.from_arrays([pa.array(reps[moved], pa.int64()), pa.array(reps[forest.root[moved]], pa.int64())], names=["a", "b"])
+
+    key, held = None, []
+    for batch in batches:
+        for root, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (root, low, high) != key:
+                if len(held) > 1:
+                    yield from links(held)
+                key, held = (root, low, high), []
+            held.append(tuple(row))
+    if len(held) > 1:
+        yield from links(held)
+
+
+def _pair_links(rows: DataFrame, members_max: int, inside: bool = False) -> DataFrame:
+    """Links (a, b) among the rows (root, rep, grp, hashes) of each root, in blocks of two chunks; ``inside``: in blocks of one chunk only. Written."""
+    size = F.octet_length("hashes")
+    chunks = F.greatest(F.ceil(F.count("*") / members_max), F.ceil(F.sum(size) / CHUNK_BYTES), F.lit(1)).cast("int")
+    dealt = rows.join(saved(rows.groupBy("root").agg(chunks.alias("n")), "chunks"), "root").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    other = F.col("side") if inside else F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+    dealt = dealt.withColumn("k", other).select("root", F.least("side", "k").alias("low"), F.greatest("side", "k").alias("high"), "side", "rep", "grp", "hashes")
+    amount = rows.agg(F.count("*"), F.sum(size)).first()
+    tasks = max(parts(rows.sparkSession, amount[0], 2000), -(-(amount[1] or 0) // CHUNK_BYTES))
+    return saved(dealt.repartition(tasks, "root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(_block_links, "a long, b long"), "similar")
+
+
 def similar_links(docs: DataFrame, members: DataFrame, width: int, seed: int = 42, members_max: int = CHUNK_MEMBERS) -> DataFrame:
-    """Links (a, b) of the nodes ``members`` (rep, root, mark) whose sets are similar, from all pairs that share a root.
+    """Links (a, b) of the nodes ``members`` (rep, root, mark): their components are those of all similar pairs that share a root.
 
-    They span what the pairs of two chunks link; so over all pairs of chunks they span every component.
+    The members of a root are compared in chunks of bounded size. Where a root has several chunks, one member of each group
+    so found is compared with those of the other chunks, which joins the groups of copies that a large root consists of; only
+    roots that are still apart are compared over all pairs of chunks, and members of one group are passed over there.
     """
-    spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,33 +381,23 @@ def similar_links(docs: DataFrame, members: DataFrame, width: int, seed: int = 4
 
     texts = docs.select(F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text")).join(members, "mark").select("rep", "root", "text")
     sets = saved(texts.mapInArrow(run, "rep long, root long, hashes binary"), "sets")
-    size = F.octet_length("hashes")
-    chunks = F.greatest(F.ceil(F.count("*") / members_max), F.ceil(F.sum(size) / CHUNK_BYTES), F.lit(1)).cast("int")
-    dealt = sets.join(saved(sets.groupBy("root").agg(chunks.alias("n")), "chunks"), "root")
-    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.select("root", F.least("side", "k").alias("low"), F.greatest("side", "k").alias("high"), "side", "rep", "hashes")
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            reps = np.array([r for _, r, _ in held])
-            forest = link_similar([np.frombuffer(h, np.uint64) for _, _, h in held], np.array([s for s, _, _ in held]))
-            moved = np.flatnonzero(forest.root != np.arange(len(reps)))
-            yield pa.RecordBatch.from_arrays([pa.array(reps[moved], pa.int64()), pa.array(reps[forest.root[moved]], pa.int64())], names=["a", "b"])
-
-        key, held = None, []
-        for batch in batches:
-            for root, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (root, low, high) != key:
-                    if len(held) > 1:
-                        yield from links(held)
-                    key, held = (root, low, high), []
-                held.append(tuple(row))
-        if len(held) > 1:
-            yield from links(held)
-
-    amount = sets.agg(F.count("*"), F.sum(size)).first()
-    tasks = max(parts(spark, amount[0], 2000), -(-(amount[1] or 0) // CHUNK_BYTES))
-    return dealt.repartition(tasks, "root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(blocks, "a long, b long")
+    near = _pair_links(sets.withColumn("grp", F.col("rep")), members_max, inside=True)
+    roots = sets.groupBy("root").agg(F.count("*").alias("m"), F.sum(F.octet_length("hashes")).alias("size"))
+    large = saved(roots.where((F.col("m") > members_max) | (F.col("size") > CHUNK_BYTES)).select("root"), "large")
+    if large.isEmpty():
+        return near
+    rows = sets.join(large, "root")
+
+    def grouped(links: DataFrame) -> DataFrame:
+        found = components(links).withColumnRenamed("root", "grp")
+        return rows.join(found, rows["rep"] == found["node"], "left").select("root", "rep", F.coalesce("grp", "rep").alias("grp"), "hashes")
+
+    heads = saved(grouped(near).where("rep = grp"), "heads")
+    near = near.unionByName(_pair_links(heads, members_max))
+    now = saved(grouped(near), "grouped")
+    apart = now.groupBy("root").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least < most").select("root")
+    apart = saved(apart, "apart")
+    return near if apart.isEmpty() else near.unionByName(_pair_links(now.join(apart, "root"), members_max))
 
 
 def keep_one_each(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR, hot: int = HOT_BUCKET) -> DataFrame:

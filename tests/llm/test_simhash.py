@@ -187,6 +187,41 @@ def test_chunks_of_a_component_link_alike(spark, make_docs):
     assert roots[0] == roots[1] == sorted(simhash.components(spark.createDataFrame(list(brute), "a long, b long")).collect())
 
 
+def test_large_components_of_several_groups(spark, make_docs):
+    """Chains and groups that only some pairs join, in components of many chunks, against all pairs."""
+    rng = random.Random(14)
+    rows = []
+    for g in range(4):
+        words = [f"g{g}w{k}" for k in range(120)]
+        for k in range(25):  # a chain: each text differs a little from the one before, the ends differ much
+            words = list(words)
+            for at in rng.sample(range(120), 1 + (k % 3 == 0)):
+                words[at] = f"g{g}x{k}"
+            rows.append((100 * g + k, " ".join(words)))
+    docs = make_docs(rows)
+    members = docs.selectExpr("doc_id as rep", "cast(doc_id / 200 as long) as root", "xxhash64(text) as mark")
+    brute = {(a, b) for a, x in rows for b, y in rows if a < b and jaccard(x, y) >= 0.8}
+    want = sorted(simhash.components(spark.createDataFrame(list(brute), "a long, b long")).collect())
+    for n in (500, 20, 6):
+        assert sorted(simhash.components(simhash.similar_links(docs, members, 5, members_max=n)).collect()) == want
+
+
+def test_recall_of_the_candidate_rule():
+    """Pairs of a Jaccard similarity just above 0.8 that are candidates: within the budget, and alike in some rotation."""
+    rng = np.random.default_rng(9)
+    found, n = 0, 1500
+    for _ in range(n):
+        size = int(rng.integers(60, 800))
+        common = rng.integers(0, 1 << 63, size, np.uint64)
+        more = max(0, int(size * 0.245))  # 0.8 to 0.81
+        x, y = (np.concatenate([common, rng.integers(0, 1 << 63, k, np.uint64)]) for k in (more // 2, more - more // 2))
+        fps = np.stack([np.frombuffer(simhash.simhash(s, 4), ">u8").astype(np.uint64) for s in (x, y)])
+        if np.bitwise_count(fps[0] ^ fps[1]).sum() > simhash.SIMILAR.budget:
+            continue
+        found += any(exact[0] == exact[1] and int(np.bitwise_count((turned[0] ^ turned[1]) >> np.uint64(64 - 8))) <= 1 for _, exact, turned, _ in simhash._rotations(fps, simhash.SIMILAR))
+    assert found >= 0.97 * n
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(k, k + 1) for k in range(0, 40)] + [(50, 51), (51, 50), (60, 60), (None, 3)], "a long, b long")
     got = {r["node"]: r["root"] for r in simhash.components(chain).collect()}
