@@ -45,11 +45,13 @@ def prepare(spark: SparkSession) -> str:
     """
     _ship(spark)
     env = spark.sparkContext.environment
-    for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "2")):  # workers give freed memory back
+    # workers give freed memory back
+    for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "2"), ("MALLOC_TRIM_THRESHOLD_", "4194304"), ("MALLOC_MMAP_THRESHOLD_", "4194304")):
         env.setdefault(name, value)
-    # rows hold whole texts: smaller Arrow batches than for narrow rows, unless the session asks for another size
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    # rows hold whole texts: smaller Arrow batches than for narrow rows, unless the session asks for other sizes
+    for name, default, value in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "2m")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}") == default:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
     shared = spark.conf.get("spark.checkpoint.dir", None)
     jsc = spark.sparkContext._jsc.sc()
     if not shared and jsc.getCheckpointDir().isDefined():
