@@ -260,19 +260,49 @@ def _holds(node: Node, fields: list[Column]) -> Column:
     return some
 
 
+def _may_hold(node: Node, low: list[Column]) -> Column:
+    """A cheap condition that every row selected by the tree meets: its words' letters occur in the lower-cased texts ``low``."""
+    if node.kind == "none":
+        return F.lit(False)
+    if node.kind == "not":
+        return _may_hold(node.items[0], low)
+    if node.kind in ("and", "or"):
+        first, *others = (_may_hold(x, low) for x in node.items)
+        for other in others:
+            first = first & other if node.kind == "and" else first | other
+        return first
+    some = F.lit(False)
+    for text in low:
+        all_ = F.lit(True)
+        for word in node.items:
+            all_ = all_ & F.contains(text, F.lit(word))
+        some = some | all_
+    return some
+
+
 def _scan(docs: DataFrame, id_: str, fields: list[str], tree: Node, facets: list[DataFrame], stemmed: bool) -> DataFrame:
     """doc, score of the matches, without an index."""
-    rows = docs.select(F.col(id_).alias("doc"), *[terms_of(F.col(f), stemmed).alias(f"w{k}") for k, f in enumerate(fields)])
-    words = [F.col(f"w{k}") for k in range(len(fields))]
+    if stemmed:
+        rows = docs.select(F.col(id_).alias("doc"), *[terms_of(F.col(f), True).alias(f"w{k}") for k, f in enumerate(fields)])
+        words = [F.col(f"w{k}") for k in range(len(fields))]
+        sizes, low = [F.size(ws) for ws in words], None
+    else:  # words are counted without being taken apart; only texts that hold a term's letters are
+        rows = docs.select(F.col(id_).alias("doc"), *[F.col(f).alias(f"t{k}") for k, f in enumerate(fields)])
+        texts = [F.col(f"t{k}") for k in range(len(fields))]
+        words, low = [tokens(t) for t in texts], [F.lower(F.coalesce(t, F.lit(""))) for t in texts]
+        sizes = [F.regexp_count(t, F.lit(r"[\p{L}\p{N}]+")) for t in low]
 
     def count(term: str, prefix: bool) -> Column:
         hit = (lambda w: w.startswith(term)) if prefix else (lambda w: w == term)
-        return sum((F.size(F.filter(ws, hit)) for ws in words[1:]), F.size(F.filter(words[0], hit)))
+        each = [F.size(F.filter(ws, hit)) for ws in words]
+        if low is not None:
+            each = [F.when(F.contains(t, F.lit(term)), n).otherwise(0) for t, n in zip(low, each, strict=True)]
+        return sum(each[1:], each[0])
 
     terms = query_terms(tree)
     tf = [count(*t).alias(f"tf{k}") for k, t in enumerate(terms)]
-    length = sum((F.size(ws) for ws in words[1:]), F.size(words[0])).alias("len")
-    counted = rows.select("doc", length, *tf, _holds(tree, words).alias("hit"))
+    holds = _holds(tree, words) if low is None else _may_hold(tree, low) & _holds(tree, words)
+    counted = rows.select("doc", sum(sizes[1:], sizes[0]).alias("len"), *tf, holds.alias("hit"))
     n, mean, *df = counted.agg(F.count("*"), F.avg("len"), *[F.count(F.when(F.col(f"tf{k}") > 0, 1)) for k in range(len(terms))]).first()  # one row
     hits = counted.where("hit")
     for f in facets:
