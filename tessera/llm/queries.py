@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chunks, exact, langid, mixing, packing, pii, repair, sharding, simhash, warc
+from tessera.llm import ann, chunks, exact, langid, mixing, packing, pii, repair, sharding, simhash, variants, warc
 
 #: Bytes of text that a shard of op10 holds at most.
 SHARD_BYTES = 2 << 20
@@ -77,13 +77,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_documents(spark, sf_dir), SHARD_BYTES)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.groups(variants.vocabulary(_documents(spark, sf_dir)))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return repair.report(conversations, repair.damaged(conversations))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_best_fit_packing, op2_simhash_near_dedup, op3_language_id, op4_exact_dedup, op5_warc, op6_substring_dedup, op7_nearest_neighbours, op8_mixing, op9_personal_data, op10_sharding, op12_conversation_repair, page_languages)
+    found = (op1_best_fit_packing, op2_simhash_near_dedup, op3_language_id, op4_exact_dedup, op5_warc, op6_substring_dedup, op7_nearest_neighbours, op8_mixing, op9_personal_data, op10_sharding, op11_spelling_variants, op12_conversation_repair, page_languages)
     return {f.__name__: f for f in found}
 
 
