@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chunks, exact, langid, mixing, packing, pii, repair, sharding, simhash, variants, warc
+from tessera.llm import ann, chunks, exact, langid, minhash, mixing, packing, pii, repair, sharding, simhash, variants, warc
 
 #: Bytes of text that a shard of op10 holds at most.
 SHARD_BYTES = 2 << 20
@@ -86,8 +86,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(conversations, repair.damaged(conversations))
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(_documents(spark, sf_dir), width=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_best_fit_packing, op2_simhash_near_dedup, op3_language_id, op4_exact_dedup, op5_warc, op6_substring_dedup, op7_nearest_neighbours, op8_mixing, op9_personal_data, op10_sharding, op11_spelling_variants, op12_conversation_repair, page_languages)
+    found = (op1_best_fit_packing, op2_simhash_near_dedup, op3_language_id, op4_exact_dedup, op5_warc, op6_substring_dedup, op7_nearest_neighbours, op8_mixing, op9_personal_data, op10_sharding, op11_spelling_variants, op12_conversation_repair, op13_minhash_near_dedup, page_languages)
     return {f.__name__: f for f in found}
 
 
@@ -120,6 +124,22 @@ m AS (SELECT e.*, shard_bytes, shard_rows, row_number() OVER (PARTITION BY doc_i
 SELECT doc_id, bytes, depth, (prefix << (60 - depth))::BIGINT AS shard, shard_bytes, shard_rows FROM m WHERE nth = 1
 """
 
+OP13_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+           ELSE list_distinct([array_to_string(words[i : i + 3], ' ') FOR i IN range(1, len(words) - 2)]) END AS shingles FROM w
+), e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS common FROM e x JOIN e y USING (shingle) WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * common >= 80 * (na + nb - common)),
+both_ways AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, t.b FROM reach r JOIN both_ways t ON r.b = t.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, least(s.doc_id, coalesce(low.b, s.doc_id)) AS component_id, s.doc_id = least(s.doc_id, coalesce(low.b, s.doc_id)) AS kept
+FROM s LEFT JOIN low ON low.a = s.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op5_warc": OP5_SQL, "op10_sharding": OP10_SQL}
+    return {"op13_minhash_near_dedup": OP13_SQL, "op4_exact_dedup": OP4_SQL, "op5_warc": OP5_SQL, "op10_sharding": OP10_SQL}

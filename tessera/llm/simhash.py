@@ -366,21 +366,30 @@ def _pair_links(rows: DataFrame, members_max: int, inside: bool = False) -> Data
     return saved(dealt.repartition(tasks, "root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(_block_links, "a long, b long"), "similar")
 
 
-def similar_links(docs: DataFrame, members: DataFrame, width: int, seed: int = 42, members_max: int = CHUNK_MEMBERS) -> DataFrame:
-    """Links (a, b) of the nodes ``members`` (rep, root, mark): their components are those of all similar pairs that share a root.
-
-    The members of a root are compared in chunks of bounded size. Where a root has several chunks, one member of each group
-    so found is compared with those of the other chunks, which joins the groups of copies that a large root consists of; only
-    roots that are still apart are compared over all pairs of chunks, and members of one group are passed over there.
-    """
+def shingle_rows(texts: DataFrame, width: int, seed: int = 42) -> DataFrame:
+    """rep, root and hashes (the set of shingles, sorted) of rows (rep, root, text). Written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t or b"", width, seed).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("root"), pa.array(sets, pa.binary())], names=["rep", "root", "hashes"])
 
-    texts = docs.select(F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text")).join(members, "mark").select("rep", "root", "text")
-    sets = saved(texts.mapInArrow(run, "rep long, root long, hashes binary"), "sets")
+    return saved(texts.select("rep", "root", F.col("text").cast("binary").alias("text")).mapInArrow(run, "rep long, root long, hashes binary"), "sets")
+
+
+def similar_links(docs: DataFrame, members: DataFrame, width: int, seed: int = 42, members_max: int = CHUNK_MEMBERS) -> DataFrame:
+    """Links (a, b) of the nodes ``members`` (rep, root, mark): their components are those of all similar pairs that share a root."""
+    texts = docs.select(F.xxhash64("text").alias("mark"), "text").join(members, "mark").select("rep", "root", "text")
+    return links_within(shingle_rows(texts, width, seed), members_max)
+
+
+def links_within(sets: DataFrame, members_max: int = CHUNK_MEMBERS) -> DataFrame:
+    """Links (a, b) of the sets (rep, root, hashes): their components are those of all similar pairs that share a root.
+
+    The members of a root are compared in chunks of bounded size. Where a root has several chunks, one member of each group
+    so found is compared with those of the other chunks, which joins the groups of copies that a large root consists of; only
+    roots that are still apart are compared over all pairs of chunks, and members of one group are passed over there.
+    """
     near = _pair_links(sets.withColumn("grp", F.col("rep")), members_max, inside=True)
     roots = sets.groupBy("root").agg(F.count("*").alias("m"), F.sum(F.octet_length("hashes")).alias("size"))
     large = saved(roots.where((F.col("m") > members_max) | (F.col("size") > CHUNK_BYTES)).select("root"), "large")
