@@ -14,6 +14,7 @@ from tessera.operators import dossier, quality, rank
 from tessera.plans import atlas
 from tessera.sources import documents as sources
 from tessera.sources import tables as bulk
+from tessera.storage import fresh
 from tessera.streaming import external
 
 
@@ -500,3 +501,58 @@ def inverted_index(t: Tables) -> DataFrame:
 @query("SELECT p_partkey, substr(md5(p_partkey::VARCHAR), 1, 2) AS shard FROM part")
 def shard_of_key(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", atlas.shard_of(F.col("p_partkey").cast("string")).alias("shard"))
+
+
+# --- files of other kinds, written from the tables and read back -----------------------------------------------------------
+
+_CLEAN = r"[\x00-\x20]+"
+
+
+@query(r"""WITH t AS (SELECT *, trim(regexp_replace(text, '[\x00-\x20]+', ' ', 'g')) AS x FROM documents)
+SELECT doc_id::VARCHAR AS pmid, nullif(trim(substr(x, 1, 70)), '') AS title, (1900 + doc_id % 120)::INT AS year, source AS journal,
+       nullif(concat_ws(' ', nullif(trim(substr(x, 1, 500)), ''), nullif(trim(substr(x, 501)), '')), '') AS abstract FROM t""")
+def source_articles(t: Tables) -> DataFrame:
+    """Article XML as its publisher nests it, with mark-up and entities, through the XML writer and reader."""
+    x = F.trim(F.regexp_replace("text", _CLEAN, " "))
+    doc = F.col("doc_id")
+    marked = lambda c: F.concat(F.lit(" "), F.trim(c), F.lit(" "))
+    issue = F.struct(F.struct(F.when(doc % 2 == 0, (1900 + doc % 120).cast("string")).alias("Year"), F.when(doc % 2 == 1, F.concat((1900 + doc % 120).cast("string"), F.lit(" Jan-Feb"))).alias("MedlineDate")).alias("PubDate")).alias("JournalIssue")
+    parts = F.array(*[F.struct(F.lit(label).alias("_Label"), marked(part).alias("_VALUE")) for label, part in (("A", F.substring(x, 1, 500)), ("B", x.substr(F.lit(501), F.length(x))))])
+    article = F.struct(F.struct(issue, F.col("source").alias("Title")).alias("Journal"), marked(F.substring(x, 1, 70)).alias("ArticleTitle"), F.struct(parts.alias("AbstractText")).alias("Abstract")).alias("Article")
+    rows = t.documents.select(F.struct(F.struct(F.lit("1").alias("_Version"), doc.cast("string").alias("_VALUE")).alias("PMID"), article).alias("MedlineCitation"))
+    path = fresh(t._spark, "articles")
+    rows.write.format("xml").option("rootTag", "PubmedArticleSet").option("rowTag", "PubmedArticle").save(path)
+    return sources.articles(t._spark, path)
+
+
+def _stanza_file(t: Tables) -> str:
+    """An ontology of the parts: a header, terms with escapes, comments and modifiers, obsolete ones, and a relation type a file."""
+    key, name = F.col("p_partkey"), F.col("p_name")
+    escaped = lambda c: F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    rows = t.part.select(F.concat_ws(
+        "\n", F.lit("[Term]"), F.concat(F.lit("id: P:"), key.cast("string")), F.concat(F.lit("name: "), name, F.lit(" ! a comment")),
+        F.when(key % 3 != 0, F.concat(F.lit('def: "The ! '), escaped(F.concat(F.lit('"'), name, F.lit('" \\ {x}'))), F.lit('." [X:1] {source="y"}'))),
+        F.concat(F.lit('synonym: "'), escaped(F.col("p_brand")), F.lit('" EXACT []')), F.when(key % 2 == 0, F.concat(F.lit('synonym: "type\\W'), F.col("p_type"), F.lit('" []'))),
+        F.when(key > 1, F.concat(F.lit("is_a: P:"), F.floor(key / 2).cast("string"), F.lit(" {w=\"1\"} ! its parent"))), F.when(key % 5 == 0, F.concat(F.lit("relationship: part_of B:"), F.col("p_size").cast("string"), F.lit(" ! a size"))),
+        F.when(key % 7 == 0, F.lit("is_obsolete: true")), F.lit(""), F.when(key % 11 == 0, F.lit("[Typedef]\nid: part_of\nname: part of\n")),
+    ).alias("value"))
+    path = fresh(t._spark, "ontology")
+    t._spark.createDataFrame([("format-version: 1.2\ndata-version: x\n",)], "value string").unionByName(rows).write.text(path)
+    return path
+
+
+@query(r"""SELECT 'P:' || p_partkey AS id, p_name AS term, CASE WHEN p_partkey % 3 <> 0 THEN 'The ! \"' || p_name || '\" \\ {x}.' END AS definition FROM part WHERE p_partkey % 7 <> 0""")
+def source_ontology(t: Tables) -> DataFrame:
+    return sources.ontology(t._spark, _stanza_file(t))
+
+
+@query("""SELECT 'P:' || p_partkey AS id, 'is_a' AS relation, 'P:' || p_partkey // 2 AS target FROM part WHERE p_partkey % 7 <> 0 AND p_partkey > 1
+UNION ALL SELECT 'P:' || p_partkey, 'part_of', 'B:' || p_size FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 5 = 0""")
+def source_ontology_links(t: Tables) -> DataFrame:
+    return sources.ontology_links(t._spark, _stanza_file(t))
+
+
+@query("""SELECT 'P:' || p_partkey AS id, 0::INT AS pos, p_brand AS synonym, 'EXACT' AS scope FROM part WHERE p_partkey % 7 <> 0
+UNION ALL SELECT 'P:' || p_partkey, 1::INT, 'type ' || p_type, 'RELATED' FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 2 = 0""")
+def source_ontology_synonyms(t: Tables) -> DataFrame:
+    return sources.ontology_synonyms(t._spark, _stanza_file(t))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import json
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -25,12 +26,59 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def stanzas(spark: SparkSession, path: str) -> DataFrame:
+    """kind and fields (tag -> its values in order) of the stanzas of an OBO file: the reader splits at stanza heads, so files of any length are dealt out.
+
+    Values lack their comments (" ! ...") and trailing modifiers ("{...}") outside of quotes and lie as they are otherwise, escapes
+    included (``unescaped``); an escaped line end continues a line; lines without a tag, and the header before the first stanza, are left out.
+    """
+    text = spark.read.option("lineSep", "\n[").text(path).withColumn("kind", F.regexp_extract("value", r"^\[?(\w+)\]", 1)).where("kind <> ''")
+    lines = F.filter(F.split(F.regexp_replace("value", r"\\\r?\n", ""), r"\r?\n"), lambda x: x.rlike(r"^[\w-]+:"))
+    plain = lambda x: F.regexp_extract(x, r'^[\w-]+:\s*((?:"(?:[^"\\]++|\\.)*+"|\\.|(?!\s+!|\s*\{)[^"\\])*+)', 1)
+    tagged = F.transform(lines, lambda x: F.struct(F.substring_index(x, ":", 1).alias("tag"), F.trim(plain(x)).alias("value")))
+    rows = text.select("kind", tagged.alias("l"))
+    tags = F.array_distinct(F.col("l.tag"))
+    values = F.transform(tags, lambda t: F.transform(F.filter("l", lambda x: x["tag"] == t), lambda x: x["value"]))
+    return rows.select("kind", F.map_from_arrays(tags, values).alias("fields"))
+
+
+def unescaped(value: Column) -> Column:
+    """A value or quoted text of a stanza with its escapes resolved: line end, blank, tab, and any other character as it is."""
+    special = F.replace(F.replace(F.replace(value, F.lit("\\W"), F.lit(" ")), F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n"))
+    return F.regexp_replace(special, r"\\(.)", "$1")
+
+
+def quoted(value: Column) -> Column:
+    """The text in quotes at the start of a value, escapes as they are; null if there is none."""
+    return F.nullif(F.regexp_extract(value, r'^"((?:[^"\\]++|\\.)*+)"', 1), F.lit(""))
+
+
+def _first(tag: str) -> Column:
+    return F.get(F.col("fields")[tag], F.lit(0))
+
+
+def _terms(spark: SparkSession, path: str) -> DataFrame:
+    rows = stanzas(spark, path).where("kind = 'Term'").withColumn("id", F.nullif(_first("id"), F.lit("")))
+    return rows.where(F.col("id").isNotNull() & ~F.coalesce(_first("is_obsolete") == "true", F.lit(False)))
+
+
 def ontology(spark: SparkSession, path: str) -> DataFrame:
-    """id, term, definition of the [Term] stanzas of an OBO file: the reader splits at stanza heads."""
-    stanza = spark.read.option("lineSep", "\n[").text(path).where(F.col("value").rlike(r"^\[?Term\]"))
-    field = lambda p: F.nullif(F.regexp_extract("value", rf"(?m)^{p}", 1), F.lit(""))
-    rows = stanza.select(field(r"id: (\S+)").alias("id"), field(r"name: (.+)$").alias("term"), field(r'def: "((?:[^"\\]++|\\.)*+)"').alias("definition"), field(r"is_obsolete: (true)").alias("gone"))
-    return rows.where("id is not null and gone is null").drop("gone")
+    """id, term, definition of the [Term] stanzas of an OBO file that are not obsolete."""
+    return _terms(spark, path).select("id", F.nullif(_first("name"), F.lit("")).alias("term"), quoted(_first("def")).alias("definition"))
+
+
+def ontology_links(spark: SparkSession, path: str) -> DataFrame:
+    """id, relation, target of the terms that are not obsolete: is_a, and the relationships by their own names."""
+    up = F.transform(F.coalesce(F.col("fields")["is_a"], F.array()), lambda x: F.struct(F.lit("is_a").alias("relation"), F.substring_index(x, " ", 1).alias("target")))
+    other = F.transform(F.coalesce(F.col("fields")["relationship"], F.array()), lambda x: F.struct(F.substring_index(x, " ", 1).alias("relation"), F.get(F.split(x, r"\s+"), F.lit(1)).alias("target")))
+    return _terms(spark, path).select("id", F.explode(F.concat(up, other)).alias("l")).select("id", "l.relation", "l.target")
+
+
+def ontology_synonyms(spark: SparkSession, path: str) -> DataFrame:
+    """id, pos, synonym (escapes resolved), scope of the terms that are not obsolete; without a scope, it is RELATED."""
+    each = _terms(spark, path).select("id", F.posexplode(F.coalesce(F.col("fields")["synonym"], F.array())).alias("pos", "v"))
+    scope = F.regexp_extract("v", r'^"(?:[^"\\]++|\\.)*+"\s+(EXACT|BROAD|NARROW|RELATED)\b', 1)
+    return each.select("id", "pos", unescaped(quoted(F.col("v"))).alias("synonym"), F.when(scope == "", "RELATED").otherwise(scope).alias("scope"))
 
 
 # Study drugs, their families and links.
@@ -161,17 +209,27 @@ def best_orthologs(pages: DataFrame, page_id: str, html_column: str, pattern: st
     return top_per_group(best, [page_id], [F.desc("score"), F.col("symbol")], n)
 
 
+#: An article as far as it is read; its parts stand in the record itself or in its citation.
+_PARTS = "Journal struct<Title: string, JournalIssue: struct<PubDate: struct<Year: string, MedlineDate: string>>, PubDate: struct<Year: string, MedlineDate: string>>, ArticleTitle string, Abstract struct<AbstractText: array<string>>, AbstractText array<string>"
+ARTICLE = f"PMID string, {_PARTS}, MedlineCitation struct<PMID: string, Article: struct<{re.sub(r'(^|, )(Journal|ArticleTitle|Abstract|AbstractText) ', r'\1\2: ', _PARTS)}>>, _corrupt_record string"
+#: Mark-up inside of texts, which stays as text where a string is read.
+INLINE_TAGS = r"</?(?:b|i|u|sub|sup|sc|DispFormula|mml:\w+)(?:\s[^<>]*)?/?>"
+
+
 def articles(spark: SparkSession, path: str) -> DataFrame:
-    """pmid, title, year, journal, abstract (its parts joined, tags stripped) of article XML.
+    """pmid, title, year, journal, abstract (its parts joined, mark-up stripped) of article XML, by Spark's XML source with a nested schema.
 
-    The reader splits files behind each article, so a row holds one article, however long the file is.
+    Only the fields read are made; entities are resolved by the parser. What is not well-formed ends its file: the articles before it stay.
     """
-    rows = spark.read.option("lineSep", "</PubmedArticle>").text(path).select(F.regexp_extract("value", r"(?s)<PubmedArticle[ >].*+", 0).alias("x")).where("x <> ''")
-    plain = lambda c: F.trim(F.regexp_replace(c, r"<[^>]+>", ""))
-    one = lambda p: F.nullif(plain(F.regexp_extract("x", rf"(?s)<{p}(?: [^>]*)?>(.*?)</{p}>", 1)), F.lit(""))
-    parts = F.transform(F.regexp_extract_all("x", F.lit(r"(?s)<AbstractText(?: [^>]*)?>(.*?)</AbstractText>"), F.lit(1)), plain)
-    year = F.regexp_extract("x", r"(?s)<PubDate>.*?(\d{4})", 1).try_cast("int")
-    return rows.select(one("PMID").alias("pmid"), one("ArticleTitle").alias("title"), year.alias("year"), one("Title").alias("journal"), F.nullif(F.array_join(parts, " "), F.lit("")).alias("abstract"))
+    rows = spark.read.schema(ARTICLE).format("xml").option("rowTag", "PubmedArticle").option("mode", "PERMISSIVE").load(path).where("_corrupt_record is null")
+    plain = lambda c: F.trim(F.regexp_replace(c, INLINE_TAGS, ""))
+    own = lambda p: F.coalesce(F.col(f"MedlineCitation.Article.{p}"), F.col(p))
+    date = lambda c: F.coalesce(*[F.col(f"{x}Journal.{y}PubDate.{c}") for x in ("MedlineCitation.Article.", "") for y in ("JournalIssue.", "")])
+    year = F.regexp_extract(F.concat_ws(" ", date("Year"), date("MedlineDate")), r"(\d{4})", 1).try_cast("int")
+    parts = F.transform(F.coalesce(own("Abstract.AbstractText"), own("AbstractText")), plain)
+    text = lambda c: F.nullif(plain(c), F.lit(""))
+    return rows.select(F.coalesce("MedlineCitation.PMID", "PMID").alias("pmid"), text(own("ArticleTitle")).alias("title"), year.alias("year"), text(own("Journal.Title")).alias("journal"),
+                       F.nullif(F.array_join(F.filter(parts, lambda x: x != ""), " "), F.lit("")).alias("abstract"))
 
 
 def fetch_missing(wanted: DataFrame, cache: DataFrame, key: str, fetch: Callable[[list[str]], dict[str, str | None]], batch: int = 100) -> DataFrame:
