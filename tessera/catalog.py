@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import render, scoring, text
-from tessera.operators import dedup, flatten, intervals, lookup, quality, rank, vectors
+from tessera.operators import dedup, flatten, intervals, lookup, quality, rank, ranked, vector_store, vectors
 from tessera.operators import search as text_search
 from tessera.plans.atlas import bed_lines
 from tessera.sources import documents as sources
+from tessera.storage import fresh
 from tessera.streaming import monitor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -275,6 +276,32 @@ def pair_overlap(t: Tables) -> DataFrame:
     return intervals.pair_overlaps(event_intervals(t, 300), "event_id", "event_id", label="user_id", width=1_200_000_000).drop("o_a", "o_b")
 
 
+#: The events' intervals, and one of each type that spans them all.
+SPANNED = f"""WITH e AS ({INTERVALS.format(60)}), i AS (SELECT event_id, chr, s, e FROM e UNION ALL SELECT -min(event_id) - 1, chr, min(s), max(e) FROM e GROUP BY chr)"""
+
+
+def _spanned(t: Tables) -> DataFrame:
+    own = event_intervals(t, 60).select("event_id", "chr", "start", "end")
+    return own.unionByName(own.groupBy("chr").agg((-F.min("event_id") - 1).alias("event_id"), F.min("start").alias("start"), F.max("end").alias("end")))
+
+
+@query(SPANNED + """ SELECT a.event_id AS id_a, b.event_id AS id_b, a.chr AS chr, greatest(a.s, b.s) AS overlap_start, least(a.e, b.e) AS overlap_end, least(a.e, b.e) - greatest(a.s, b.s) + 1 AS overlap_bp
+FROM i a JOIN i b ON a.chr = b.chr AND a.event_id < b.event_id AND a.e >= b.s AND a.s <= b.e""")
+def pair_overlap_spanning(t: Tables) -> DataFrame:
+    """Pairs of overlapping intervals of any lengths, without a width: a minute, and all of the time."""
+    return intervals.pair_overlaps(_spanned(t), "event_id", "event_id", width="levels").select("id_a", "id_b", "chr", "overlap_start", "overlap_end", "overlap_bp")
+
+
+@query(SPANNED + f""", r AS (SELECT event_id AS region, chr, s, s + (event_id * event_id) % 100000 * 60000000 AS e FROM ({INTERVALS.format(60)}) WHERE event_id % 10 = 0)
+SELECT region, count(*) AS n, min(i.event_id) AS least, max(i.event_id) AS most FROM r JOIN i ON i.chr = r.chr AND i.e >= r.s AND i.s <= r.e GROUP BY region""")
+def region_join_by_levels(t: Tables) -> DataFrame:
+    """Regions of a minute to ten weeks with the intervals that they overlap."""
+    x = event_intervals(t, 60).where("event_id % 10 = 0")
+    r = x.select(F.col("event_id").alias("region"), F.col("chr").alias("g"), F.col("start").alias("s"), (F.col("start") + F.col("event_id") * F.col("event_id") % 100_000 * 60_000_000).alias("e"))
+    hits = intervals.overlap_join(r, _spanned(t), ("g", "s", "e"), width="levels")
+    return hits.groupBy("region").agg(F.count("*").alias("n"), F.min("event_id").alias("least"), F.max("event_id").alias("most"))
+
+
 @query(PAIRS + " SELECT id_a, id_b, count(i.event_id) AS n_items FROM p LEFT JOIN i ON i.chr = p.chr AND i.e >= overlap_start AND i.s <= overlap_end GROUP BY id_a, id_b")
 def pair_overlap_counts(t: Tables) -> DataFrame:
     i = event_intervals(t, 300)
@@ -343,6 +370,25 @@ def hybrid_region_semantic(t: Tables) -> DataFrame:
     return vectors.with_metadata(hits.withColumnRenamed("vec_id", "p_partkey"), members, "p_partkey")
 
 
+def _vector_store(t: Tables) -> vector_store.VectorStore:
+    path = fresh(t._spark, "vectors")
+    vector_store.build(t.embeddings, path, cells=16)
+    return vector_store.VectorStore.load(t._spark, path)
+
+
+@query(f"WITH e AS ({VEC}) SELECT vec_id, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 0)), 6) AS score FROM e ORDER BY score DESC, vec_id LIMIT 20")
+def vector_store_topk(t: Tables) -> DataFrame:
+    """All vectors are stored in cells, and the store answers: the cells whose bound reaches the k-th score are read."""
+    store = _vector_store(t)
+    return store.topk(store.vector(0), 20)
+
+
+@query(f"WITH e AS ({VEC}) SELECT vec_id, round(list_cosine_similarity(v, (SELECT v FROM e WHERE vec_id = 1)), 6) AS score FROM e WHERE vec_id IN (SELECT p_partkey FROM part WHERE p_size BETWEEN 10 AND 30) ORDER BY score DESC, vec_id LIMIT 20")
+def vector_store_filtered(t: Tables) -> DataFrame:
+    store = _vector_store(t)
+    return store.topk(store.vector(1), 20, t.part.where("p_size BETWEEN 10 AND 30").select(F.col("p_partkey").alias("vec_id")))
+
+
 # --- ranking -----------------------------------------------------------------------------------------------------------
 
 
@@ -465,6 +511,37 @@ def boolean_search(t: Tables) -> DataFrame:
     return text_search.search(t.documents, "doc_id", ["text"], '"under the apache" AND license NOT moron', 1_000_000).select("doc", "score")
 
 
+def _stored_index(t: Tables) -> ranked.StoredIndex:
+    path = fresh(t._spark, "index")
+    ranked.build(t.documents, "doc_id", ["text"], path)
+    return ranked.StoredIndex.load(t._spark, path)
+
+
+@query(BM25.format(WORDS, "'license', 'apache', 'idiot', 'the', 'und'", "SELECT doc_id FROM h", 50))
+def bm25_indexed(t: Tables) -> DataFrame:
+    """An index of all texts is built and then answers by itself; the common words do not make candidates."""
+    return _stored_index(t).search("license OR apache OR idiot OR the OR und", 50, direct=1000, first=1000).select("doc", "score")
+
+
+@query(BM25.format(WORDS, "'the', 'license', 'under'", """SELECT doc_id FROM w WHERE list_contains(t, 'the') AND regexp_matches(' ' || array_to_string(t, ' ') || ' ', ' under the apache ') AND list_contains(t, 'license') AND NOT list_contains(t, 'moron')""", 1000000).replace("'under')", "'under', 'apache')"))
+def boolean_indexed(t: Tables) -> DataFrame:
+    return _stored_index(t).search('"under the apache" AND license NOT moron', 1_000_000).select("doc", "score")
+
+
+SNIPPET = r"""WITH w AS (SELECT doc_id, regexp_split_to_array(trim(regexp_replace(text, '\s+', ' ', 'g')), '\s+') AS ws FROM documents),
+i AS (SELECT *, [coalesce(list_position({0}, regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]', '', 'g')), 0) FOR x IN ws] AS ids FROM w),
+c AS (SELECT doc_id, unnest([k FOR k IN range(1, len(ids) + 1) IF ids[k] > 0]) AS s FROM i),
+b AS (SELECT doc_id, s, [x FOR x IN ids[s : s + {1} - 1] IF x > 0] AS h, list_max([k FOR k IN range(s, least(s + {1}, len(ids) + 1)) IF ids[k] > 0]) AS last FROM c JOIN i USING (doc_id)),
+r AS (SELECT doc_id, s - least(s - 1, ({1} - (last - s + 1)) // 2) AS start FROM b QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY len(list_distinct(h)) DESC, len(h) DESC, s) = 1)
+SELECT doc_id, CASE WHEN coalesce(start, 1) > 1 THEN '...' ELSE '' END || array_to_string([CASE WHEN ids[k] > 0 THEN '<b>' || ws[k] || '</b>' ELSE ws[k] END FOR k IN range(coalesce(start, 1), least(coalesce(start, 1) + {1}, len(ws) + 1))], ' ')
+  || CASE WHEN len(ws) >= coalesce(start, 1) + {1} THEN '...' ELSE '' END AS snippet FROM i LEFT JOIN r USING (doc_id)"""
+
+
+@query(SNIPPET.format("['license', 'apache', 'the', 'und']", 12))
+def snippet_windows(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", text_search.best_snippet(F.regexp_replace("text", r"\s+", " "), ["license", "apache", "the", "und"], 12).alias("snippet"))
+
+
 # --- quality -----------------------------------------------------------------------------------------------------------
 
 

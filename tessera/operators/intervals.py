@@ -2,7 +2,8 @@
 
 An interval has a group (chromosome, type) and inclusive ends, so touching ends overlap. Where the right side is small, the group
 key makes a broadcast hash join with the range as residual. For two large sides, both are dealt into bins of
-``width``; a pair meets in every common bin and counts in the first, so no distinct is needed.
+``width``; a pair meets in every common bin and counts in the first, so no distinct is needed. Where lengths differ widely, no
+width is right: then bins have as many widths as the data have lengths (in powers of two).
 """
 
 from __future__ import annotations
@@ -17,16 +18,18 @@ def overlaps(df: DataFrame, group: str, start: int, end: int, on: tuple[str, str
     return df.where((F.col(g) == group) & (F.col(e) >= start) & (F.col(s) <= end))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, on_a: tuple[str, str, str] = ("chr", "start", "end"), on_b: tuple[str, str, str] = ("chr", "start", "end"), width: int | None = None) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, on_a: tuple[str, str, str] = ("chr", "start", "end"), on_b: tuple[str, str, str] = ("chr", "start", "end"), width: int | str | None = None) -> DataFrame:
     """All pairs of overlapping intervals of ``a`` and ``b``, whose columns must have different names.
 
-    ``width``: deal both sides into bins (for two large sides); else an equi-join on the group with a range residual,
-    of which AQE broadcasts a side that is small.
+    ``width``: deal both sides into bins (for two large sides) of one width, or of a width by their lengths (``"levels"``); else an
+    equi-join on the group with a range residual, of which AQE broadcasts a side that is small.
     """
     (ga, sa, ea), (gb, sb, eb) = on_a, on_b
     cond = (F.col(ga) == F.col(gb)) & (F.col(ea) >= F.col(sb)) & (F.col(sa) <= F.col(eb))
     if width is None:
         return a.join(b, cond)
+    if width == "levels":
+        return _join_by_levels(a, b, on_a, on_b)
 
     def bins(df: DataFrame, s: str, e: str, name: str) -> DataFrame:
         ok = df.where(F.col(s) <= F.col(e))
@@ -36,13 +39,49 @@ def overlap_join(a: DataFrame, b: DataFrame, on_a: tuple[str, str, str] = ("chr"
     return bins(a, sa, ea, "__bin_a").join(bins(b, sb, eb, "__bin_b"), (F.col("__bin_a") == F.col("__bin_b")) & cond).where(F.col("__bin_a") == first).drop("__bin_a", "__bin_b")
 
 
+def _level(start: str, end: str) -> Column:
+    """The least k such that the interval is at most 2**k long."""
+    return F.length(F.bin((F.col(end) - F.col(start)).cast("long"))) - F.when(F.col(end) == F.col(start), 1).otherwise(0)
+
+
+def _join_by_levels(a: DataFrame, b: DataFrame, on_a: tuple[str, str, str], on_b: tuple[str, str, str]) -> DataFrame:
+    """Overlapping pairs that meet in bins as wide as the longer of the two: an interval at most 2**k long lies in two bins of
+    that width, whatever its place.
+
+    So an interval is dealt into two bins at its own level and at each higher level that the other side has, never into
+    more than twice the levels in use (about 60 at most), however long it is; a pair meets at the higher of its two levels only, in the bin where its
+    common part begins. The levels in use are one aggregate of each side. One long interval shares its bin with all that it overlaps: these are
+    its results, and adaptive execution may split them.
+    """
+    (ga, sa, ea), (gb, sb, eb) = on_a, on_b
+
+    def leveled(df: DataFrame, s: str, e: str, name: str) -> tuple[DataFrame, list[int]]:
+        rows = df.where(F.col(s) <= F.col(e)).withColumn(f"__own_{name}", _level(s, e))
+        return rows, sorted(r[0] for r in rows.select(f"__own_{name}").distinct().collect())  # a number a level
+
+    (ra, la), (rb, lb) = leveled(a, sa, ea, "a"), leveled(b, sb, eb, "b")
+
+    def dealt(rows: DataFrame, s: str, e: str, name: str, others: list[int]) -> DataFrame:
+        own = F.col(f"__own_{name}")
+        levels = F.array_distinct(F.concat(F.array(own), F.filter(F.array(*[F.lit(x).cast("int") for x in others]), lambda x: x > own)))
+        rows = rows.withColumn(f"__level_{name}", F.explode(levels))
+        bin_of = lambda c: F.expr(f"shiftright(cast(`{c}` AS bigint), __level_{name})")
+        return rows.withColumn(f"__bin_{name}", F.explode(F.array_distinct(F.array(bin_of(s), bin_of(e)))))
+
+    begins = F.greatest(F.col(sa), F.col(sb)).cast("long")
+    longer = F.greatest("__own_a", "__own_b")
+    meets = (F.col(ga) == F.col(gb)) & (F.col("__level_a") == F.col("__level_b")) & (F.col("__bin_a") == F.col("__bin_b")) & (F.col("__level_a") == longer) & (F.col(ea) >= F.col(sb)) & (F.col(sa) <= F.col(eb))
+    pairs = dealt(ra, sa, ea, "a", lb).join(dealt(rb, sb, eb, "b", la), meets).withColumn("__begins", begins)
+    return pairs.where("__bin_a = shiftright(__begins, __level_a)").drop("__begins", *[f"__{x}_{n}" for x in ("own", "level", "bin") for n in "ab"])
+
+
 def overlap(sa: Column, ea: Column, sb: Column, eb: Column) -> tuple[Column, Column, Column]:
     """(start, end, length) of the common part of two overlapping closed intervals."""
     s, e = F.greatest(sa, sb), F.least(ea, eb)
     return s, e, e - s + 1
 
 
-def pair_overlaps(df: DataFrame, id_: str, ordinal: str, on: tuple[str, str, str] = ("chr", "start", "end"), label: str | None = None, width: int | None = None) -> DataFrame:
+def pair_overlaps(df: DataFrame, id_: str, ordinal: str, on: tuple[str, str, str] = ("chr", "start", "end"), label: str | None = None, width: int | str | None = None) -> DataFrame:
     """Unordered pairs of different overlapping intervals of ``df``: id_a, id_b (in order of ``ordinal``), group, start, end, bp, is_cross.
 
     Rows without a group or an end take no part, nor do those whose ends are 0. is_cross: the labels differ.
@@ -55,7 +94,7 @@ def pair_overlaps(df: DataFrame, id_: str, ordinal: str, on: tuple[str, str, str
     return pairs.select("id_a", "id_b", F.col("g_a").alias(g), start.alias("overlap_start"), end.alias("overlap_end"), bp.alias("overlap_bp"), (F.col("l_a") != F.col("l_b")).alias("is_cross"), "o_a", "o_b")
 
 
-def count_inside(pairs: DataFrame, items: DataFrame, group: str, item_on: tuple[str, str, str], item_id: str, width: int | None = None) -> DataFrame:
+def count_inside(pairs: DataFrame, items: DataFrame, group: str, item_on: tuple[str, str, str], item_id: str, width: int | str | None = None) -> DataFrame:
     """``pairs`` with n_items: the items that overlap each pair's common part; ``width`` as in ``overlap_join``."""
     keyed = items.select(*[F.col(c).alias(f"__{k}") for k, c in zip("gse", item_on, strict=True)], F.col(item_id).alias("__id"))
     hits = overlap_join(pairs.select("id_a", "id_b", group, "overlap_start", "overlap_end"), keyed, (group, "overlap_start", "overlap_end"), ("__g", "__s", "__e"), width)

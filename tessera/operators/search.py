@@ -348,3 +348,30 @@ def snippet(text: Column, terms: list[str], size: int = 32, marks: tuple[str, st
     cut = F.slice(words, start, F.lit(size))
     shown = F.array_join(F.transform(cut, lambda w: F.when(bare(w).isin(*terms), F.concat(F.lit(marks[0]), w, F.lit(marks[1]))).otherwise(w)), " ")
     return F.concat(F.when(start > 1, "...").otherwise(""), shown, F.when(F.size(words) >= start + size, "...").otherwise(""))
+
+
+def best_snippet(text: Column, terms: list[str], size: int = 32, marks: tuple[str, str] = ("<b>", "</b>")) -> Column:
+    """The ``size`` words around the matches that hold most different terms (then most matches, then the first), matches marked.
+
+    A window begins at each match; the best one is moved left by half of what its matches leave free. Without a match it is the first one.
+    """
+    words = F.split(F.trim(F.coalesce(text, F.lit(""))), r"\s+")
+    known = F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
+    bare = lambda w: F.regexp_replace(F.lower(w), r"[^\p{L}\p{N}]", "")
+
+    once = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))  # noqa: E731  a value used many times is made once
+
+    def window(ws: Column, ids: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(ids)), lambda k: F.get(ids, k - 1) > 0)
+        hits = lambda s: F.filter(F.slice(ids, s, F.lit(size)), lambda x: x > 0)
+        rank = lambda s: once(hits(s), lambda h: F.struct(F.size(F.array_distinct(h)).alias("d"), F.size(h).alias("n"), (-s).alias("s")))
+        best = F.coalesce(-F.array_max(F.transform(starts, rank))["s"], F.lit(0))
+        last = lambda s: F.array_max(F.filter(F.sequence(s, F.least(s + size - 1, F.size(ids))), lambda k: F.get(ids, k - 1) > 0))
+        begin = once(best, lambda s: F.when(s > 0, s - F.least(s - 1, F.floor((size - (last(s) - s + 1)) / 2))).otherwise(1).cast("int"))
+        return once(begin, lambda b: F.concat(F.when(b > 1, "...").otherwise(""), marked(F.slice(ws, b, F.lit(size)), F.slice(ids, b, F.lit(size))), F.when(F.size(ws) >= b + size, "...").otherwise("")))
+
+    def marked(ws: Column, ids: Column) -> Column:
+        return F.array_join(F.zip_with(ws, ids, lambda w, k: F.when(k > 0, F.concat(F.lit(marks[0]), w, F.lit(marks[1]))).otherwise(w)), " ")
+
+    coded = once(words, lambda ws: F.struct(ws.alias("ws"), F.transform(ws, lambda w: F.array_position(known, bare(w)).cast("int")).alias("ids")))
+    return once(coded, lambda c: window(c["ws"], c["ids"]))

@@ -5,25 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import flatten
+from tessera.operators import flatten, ranked
 from tessera.operators.search import by_term, postings
 
 
+#: The fields of the keyword search.
+SEARCHED = ["symbol", "summary", "bullets_text", "notes"]
+
+
 def build(docs: DataFrame, path: str, r6: DataFrame | None = None, r5: DataFrame | None = None, shards: int | None = None) -> None:
-    """Write every relation below ``path``. Interval data is clustered by (chr, start) and postings by term, so Parquet statistics skip row groups."""
+    """Write every relation below ``path``. Interval data is clustered by (chr, start) and the text index by term, so Parquet statistics skip row groups."""
     for name, make in flatten.RELATIONS.items():
         rows = make(docs, r6, r5) if name == "genes" else make(docs)
         if name == "genes" and "chr" in rows.columns:
             rows = rows.repartitionByRange("chr", "start").sortWithinPartitions("chr", "start")
         rows.write.mode("overwrite").parquet(f"{path}/{name}")
     search = docs.sparkSession.read.parquet(f"{path}/search")
-    index = postings(search, "fbgn", ["symbol", "summary", "bullets_text", "notes"], stemmed=True)
-    by_term(index, shards).write.mode("overwrite").parquet(f"{path}/postings")
+    ranked.build(search, "fbgn", SEARCHED, path, stemmed=True, parts=shards)
 
 
 def load(spark: SparkSession, path: str, views: bool = False) -> dict[str, DataFrame]:
     """The relations by name; as temporary views too if asked."""
-    tables = {n: spark.read.parquet(f"{path}/{n}") for n in [*flatten.RELATIONS, "postings"]}
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in [*flatten.RELATIONS, *ranked.TABLES]}
     if views:
         for n, df in tables.items():
             df.createOrReplaceTempView(n)

@@ -9,15 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.positions import parse_region
-from tessera.operators import flatten, intervals, lookup, rank, vectors
+from tessera.operators import flatten, intervals, lookup, rank, ranked, vectors
 from tessera.operators import search as text_search
+from tessera.operators.vector_store import VectorStore
+from tessera.plans import atlas
 
 
 class Atlas:
-    """The relations of ``plans.atlas.load``; optionally embeddings (fbgn, embedding), regions (qtls) and an embedder of query texts."""
+    """The relations of ``plans.atlas.load``; optionally embeddings (fbgn, embedding), regions (qtls), an embedder of query texts, and a store
+    of the embeddings (ids in fbgn), which then answers semantic searches."""
 
-    def __init__(self, tables: dict[str, DataFrame], embeddings: DataFrame | None = None, qtls: DataFrame | None = None, embed: Callable[[str], list[float]] | None = None) -> None:
-        self.t, self.embeddings, self.qtls, self.embed = tables, embeddings, qtls, embed
+    def __init__(self, tables: dict[str, DataFrame], embeddings: DataFrame | None = None, qtls: DataFrame | None = None, embed: Callable[[str], list[float]] | None = None, store: VectorStore | None = None) -> None:
+        self.t, self.embeddings, self.qtls, self.embed, self.store = tables, embeddings, qtls, embed, store
         self.spark: SparkSession = tables["genes"].sparkSession
 
     def stats(self) -> DataFrame:
@@ -51,7 +54,7 @@ class Atlas:
     def gene(self, name: str) -> DataFrame:
         """One entity with its child relations nested: synonyms current first, references latest first, distinct tags."""
         key = self.resolve([name]).select(F.col("id").alias("fbgn"))
-        own = {k: v.join(key, "fbgn", "left_semi") for k, v in self.t.items() if k not in ("search", "postings")}
+        own = {k: v.join(key, "fbgn", "left_semi") for k, v in self.t.items() if k not in ("search", *ranked.TABLES)}
         year = -F.coalesce("year", F.lit(-9999))
         children = {
             "synonyms": (own["synonyms"].withColumn("o", (~F.col("is_current")).cast("int")), ["o", "synonym"], ["synonym", "type", "is_current"]),
@@ -70,7 +73,10 @@ class Atlas:
         facets = [b.where(F.col(c) == v) for c, v in (("category", category), ("direction", direction), ("confidence", confidence)) if v]
         if tissue:
             facets.append(self.t["tissues"].where(lookup.same(F.col("tissue"), tissue)).withColumnRenamed("fbgn", "doc"))
-        hits = text_search.search(self.t["search"], "fbgn", ["symbol", "summary", "bullets_text", "notes"], query, limit, self.t.get("postings"), facets, stemmed=True)
+        if "impacts" in self.t:
+            hits = ranked.StoredIndex(self.t, stemmed=True).search(query, limit, facets)
+        else:
+            hits = text_search.search(self.t["search"], "fbgn", atlas.SEARCHED, query, limit, None, facets, stemmed=True)
         body = self.t["search"].select(F.col("fbgn").alias("doc"), "symbol", "bullets_text")
         words = [w.lower() for w in query.replace('"', " ").split()]
         return hits.join(body, "doc", "left").withColumn("snippet", text_search.snippet(F.col("bullets_text"), words)).drop("bullets_text").orderBy(F.desc("score"), "doc")
@@ -164,22 +170,29 @@ class Atlas:
         dims = len(self.embeddings.select("embedding").first()[0])
         return vectors.hashed_embedding(F.lit(text), dims)
 
+    def _nearest(self, text: str, limit: int, ids: DataFrame | None = None) -> DataFrame:
+        """fbgn, score of the most similar entities, among ``ids`` if given."""
+        query = self._query(text)
+        if self.store is None:
+            return vectors.semantic_topk(self.embeddings, query, limit, "fbgn", ids=ids)
+        return self.store.topk(self.spark.range(1).select(query.alias("q")).first()["q"], limit, ids, "fbgn")
+
     def semantic(self, text: str, limit: int = 20) -> DataFrame:
-        hits = vectors.semantic_topk(self.embeddings, self._query(text), limit, "fbgn")
+        hits = self._nearest(text, limit)
         return vectors.with_metadata(hits, self.t["genes"].select("fbgn", "symbol", "n_bullets"), "fbgn", "left").orderBy(F.desc("score"), "fbgn")
 
     def semantic_filtered(self, text: str, predicates: list[Column], limit: int = 20, mode: str = "post") -> DataFrame:
         """Facets that one bullet must satisfy together. ``post``: after the limit, so fewer rows may come back; ``pre``: before."""
         own = self.t["bullets"].where(lookup.facet(predicates))
         if mode == "pre":
-            return vectors.semantic_topk(self.embeddings, self._query(text), limit, "fbgn", ids=own)
-        return vectors.post_filtered(vectors.semantic_topk(self.embeddings, self._query(text), limit, "fbgn"), own, "fbgn")
+            return self._nearest(text, limit, own)
+        return vectors.post_filtered(self._nearest(text, limit), own, "fbgn")
 
     def ask(self, text: str, region: str | None = None, release: str = "r6", limit: int = 10) -> DataFrame:
         members = self.region(region, release) if region else self.t["genes"]
         if "error" in members.columns or not text:
             return members
-        return vectors.hybrid(members, self.embeddings, self._query(text), limit, "fbgn", "fbgn", "embedding").orderBy(F.desc("score"), "fbgn")
+        return vectors.with_metadata(self._nearest(text, limit, members), members, "fbgn").orderBy(F.desc("score"), "fbgn")
 
     def qtl_list(self, by: str = "significance") -> DataFrame:
         """Regions: those of the newer release first and the most significant first, ties by id; or ``by`` id."""
