@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import render, scoring, text
-from tessera.operators import dedup, flatten, intervals, lookup, quality, rank, ranked, vector_store, vectors
+from tessera.operators import dedup, flatten, intervals, lookup, quality, rank, ranked, sketches, vector_store, vectors
 from tessera.operators import search as text_search
+from tessera.plans import stored
 from tessera.plans.atlas import bed_lines
 from tessera.sources import documents as sources
 from tessera.storage import fresh
@@ -77,6 +78,23 @@ def stats_global(t: Tables) -> DataFrame:
     })
 
 
+@query("""SELECT l_returnflag, count(*) AS n, count(l_partkey) AS n_l_partkey, true AS distinct_parts_fit, true AS distinct_orders_fit, round(avg(l_extendedprice), 4) AS mean_price, min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price, true AS median_fits
+FROM lineitem GROUP BY 1""")
+def stats_from_sketches(t: Tables) -> DataFrame:
+    """Statistics merged from a stored row of sketches a shard, held against exact ones: distinct counts within 3 %, the median's rank within 2 %."""
+    path = fresh(t._spark, "sketches")
+    shards = t.lineitem.withColumn("shard", F.col("l_suppkey") % 16)
+    sketches.by_shard(shards, ["shard", "l_returnflag"], ["l_partkey", "l_orderkey"], ["l_extendedprice"]).write.parquet(path)
+    found = sketches.merged(t._spark.read.parquet(path), ["l_returnflag"], (0.48, 0.52))
+    exact = t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_partkey").alias("p"), F.countDistinct("l_orderkey").alias("o"), F.median("l_extendedprice").alias("m"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.03 * F.col(b) + 1
+    q = F.col("quantiles_l_extendedprice")
+    return found.join(exact, "l_returnflag").select(
+        "l_returnflag", "n", "n_l_partkey", near("distinct_l_partkey", "p").alias("distinct_parts_fit"), near("distinct_l_orderkey", "o").alias("distinct_orders_fit"),
+        F.round("mean_l_extendedprice", 4).alias("mean_price"), F.col("min_l_extendedprice").alias("min_price"), F.col("max_l_extendedprice").alias("max_price"), F.col("m").between(q[0], q[1]).alias("median_fits"),
+    )
+
+
 @query("SELECT p_brand, p_size, count(*) AS n FROM part GROUP BY ALL")
 def stats_two_keys(t: Tables) -> DataFrame:
     return lookup.group_counts(t.part, ["p_brand", "p_size"])
@@ -149,6 +167,18 @@ def entity_get_nested_counts(t: Tables) -> DataFrame:
     return doc.select("p_partkey", F.size("bullets").cast("long").alias("n_bullets"), total.alias("numbers"))
 
 
+@query("""SELECT p_partkey, p_brand, count(l_orderkey) AS n_children, coalesce(string_agg(l_orderkey || '/' || l_linenumber, ' ' ORDER BY l_orderkey, l_linenumber, l_suppkey), '') AS children FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY ALL""")
+def colocated_assembly(t: Tables) -> DataFrame:
+    """Entities with their children from tables bucketed by the key: grouped and joined without an exchange."""
+    path = fresh(t._spark, "stored")
+    child = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_linenumber", "l_suppkey")
+    stored.store({"part": t.part.select("p_partkey", "p_brand"), "children": child}, "p_partkey", path, buckets=8)
+    own = stored.attach(t._spark, path)
+    found = flatten.nested(own["part"], "p_partkey", {"l": (own["children"], ["l_orderkey", "l_linenumber", "l_suppkey"], ["l_orderkey", "l_linenumber"])})
+    line = F.array_join(F.transform("l", lambda x: F.concat_ws("/", x["l_orderkey"].cast("string"), x["l_linenumber"].cast("string"))), " ")
+    return found.select("p_partkey", "p_brand", F.size("l").cast("long").alias("n_children"), line.alias("children"))
+
+
 @query("SELECT l_partkey, (row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) - 1)::INT AS pos, l_orderkey, l_quantity FROM lineitem")
 def nested_round_trip(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")

@@ -53,8 +53,8 @@ class Atlas:
 
     def gene(self, name: str) -> DataFrame:
         """One entity with its child relations nested: synonyms current first, references latest first, distinct tags."""
-        key = self.resolve([name]).select(F.col("id").alias("fbgn"))
-        own = {k: v.join(key, "fbgn", "left_semi") for k, v in self.t.items() if k not in ("search", *ranked.TABLES)}
+        ids = [r["id"] for r in self.resolve([name]).collect()]  # one at most: as a literal it reaches the scans, their buckets and statistics
+        own = {k: v.where(F.col("fbgn").isin(ids)) for k, v in self.t.items() if "fbgn" in v.columns}
         year = -F.coalesce("year", F.lit(-9999))
         children = {
             "synonyms": (own["synonyms"].withColumn("o", (~F.col("is_current")).cast("int")), ["o", "synonym"], ["synonym", "type", "is_current"]),
