@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import constraints
 from tessera.functions import render, scoring, text
 from tessera.operators import dedup, flatten, intervals, lookup, quality, rank, ranked, sketches, vector_store, vectors
 from tessera.operators import search as text_search
@@ -572,6 +573,32 @@ def snippet_windows(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text_search.best_snippet(F.regexp_replace("text", r"\s+", " "), ["license", "apache", "the", "und"], 12).alias("snippet"))
 
 
+#: A constraint document for orders with their customers.
+ORDER_SCHEMA = {
+    "$schema": "https://json-schema.org/draft/2020-12/schema", "type": "object", "required": ["o_orderkey", "customer", "clerk"],
+    "properties": {
+        "o_orderkey": {"type": "integer", "minimum": 1}, "o_orderstatus": {"enum": ["F", "O"]}, "o_totalprice": {"exclusiveMaximum": 300000, "minimum": 2000},
+        "customer": {"$ref": "#/$defs/customer"}, "tags": {"uniqueItems": True, "minItems": 2, "items": {"pattern": "^[1-5]-[A-Z]+$|^[A-Z]$"}},
+    },
+    "if": {"properties": {"o_orderpriority": {"const": "1-URGENT"}}}, "then": {"properties": {"o_totalprice": {"minimum": 100000}}},
+    "$defs": {"customer": {"required": ["name"], "properties": {"name": {"type": "string", "minLength": 5, "pattern": "[02468]$"}, "segment": {"not": {"const": "BUILDING"}}}}},
+}
+
+
+@query("""WITH r AS (SELECT o.*, c_name, c_mktsegment FROM orders o LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 5 <> 0)
+SELECT o_orderkey, '/clerk' AS path, 'required' AS rule, 1::BIGINT AS n FROM r UNION ALL SELECT o_orderkey, '/o_orderkey', 'minimum', 1 FROM r WHERE o_orderkey < 1 UNION ALL SELECT o_orderkey, '/customer/name', 'required', 1 FROM r WHERE c_name IS NULL
+UNION ALL SELECT o_orderkey, '/o_orderstatus', 'enum', 1 FROM r WHERE o_orderstatus NOT IN ('F', 'O') UNION ALL SELECT o_orderkey, '/o_totalprice', 'exclusiveMaximum', 1 FROM r WHERE o_totalprice >= 300000
+UNION ALL SELECT o_orderkey, '/o_totalprice', 'minimum', (o_totalprice < 2000)::BIGINT + (o_orderpriority = '1-URGENT' AND o_totalprice < 100000)::BIGINT FROM r WHERE o_totalprice < 2000 OR o_orderpriority = '1-URGENT' AND o_totalprice < 100000
+UNION ALL SELECT o_orderkey, '/customer/name', 'pattern', 1 FROM r WHERE NOT regexp_matches(c_name, '[02468]$') UNION ALL SELECT o_orderkey, '/customer/segment', 'not', 1 FROM r WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT o_orderkey, '/tags/0', 'pattern', 1 FROM r WHERE NOT regexp_matches(o_orderpriority, '^[1-5]-[A-Z]+$|^[A-Z]$')""")
+def compiled_constraints(t: Tables) -> DataFrame:
+    """Every error of every order under a compiled constraint document."""
+    c = t.customer.where("c_custkey % 5 <> 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    rows = t.orders.join(c, "o_custkey", "left").select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_totalprice").cast("double").alias("o_totalprice"), F.struct("name", "segment").alias("customer"), F.array("o_orderpriority", "o_orderstatus").alias("tags"))
+    each = rows.select("o_orderkey", F.explode(constraints.compile_schema(ORDER_SCHEMA, rows.schema)).alias("e"))
+    return each.groupBy("o_orderkey", "e.path", "e.rule").agg(F.count("*").alias("n"))
+
+
 # --- quality -----------------------------------------------------------------------------------------------------------
 
 
