@@ -84,3 +84,16 @@ def test_repeats_inside_a_text_nulls_and_empty(make_docs):
     assert chunks.repeated_spans(docs.limit(0)).collect() == []
     same = make_docs([(1, line * 2), (1, line * 2)])
     assert {r["doc_id"] for r in chunks.repeated_spans(same).collect()} == {1}
+
+
+def test_one_id_with_two_texts(make_docs):
+    """A row loses only what its own text repeats, whatever other rows have its id."""
+    rng = random.Random(11)
+    a, x, b = words(rng, 150), words(rng, 150), words(rng, 400)
+    docs = make_docs([(0, a), (1, a + " " + x), (1, b), (1, a + " " + x), (2, b[:900] + " " + words(rng, 90))])
+    spans = chunks.repeated_spans(docs)
+    assert sorted((r["doc_id"], r["first_doc_id"]) for r in spans.collect()) == [(1, 0), (2, 1)]
+    left = sorted(r["text"] for r in chunks.without_spans(docs, spans).collect())
+    cut = [t for t in left if t not in (a, b)]
+    assert a in left and b in left and len(cut) == 3 and cut[0] == cut[1] or cut[1] == cut[2]
+    assert sum(t.endswith(x[-300:]) and len(t) < len(x) + 300 for t in cut) == 2
