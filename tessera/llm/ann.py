@@ -8,7 +8,8 @@ on the original vectors. Queries go to the partitions in blocks whose lookup tab
 broadcast at a time, every partition writes its own k best for it, and the next block follows, so neither the driver nor
 a task ever holds more than a block.
 
-The centroid is the mean of at most ``SAMPLE`` rows. Vectors that are null, zero, or hold a null or non-finite component
+The centroid is the median of at most ``SAMPLE`` rows in each component, so that no outlier moves it. Norms and distances whose squares overflow
+are computed in scaled components; a bound that is not a number chooses its vector for reranking. Vectors that are null, zero, or hold a null or non-finite component
 take no part. Distances are defined between vectors of one length, so each length has an index of its own, and a query's
 candidates are the rows of its length. Ties go to the smaller id; an empty table gives no rows; rows without an id take no
 part; rows that repeat an id are candidates and queries of their own: a query leaves out only its own row. Vectors of any
@@ -46,18 +47,29 @@ def rotation(d: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def norms(rows: np.ndarray) -> np.ndarray:
+    """Euclidean norms of the rows, whose squares may overflow."""
+    with np.errstate(over="ignore", under="ignore"):
+        total = np.sqrt((rows * rows).sum(axis=1))
+        top = np.abs(rows).max(axis=1)
+        odd = ~np.isfinite(total) | ((total < 1e-150) & (top > 0))
+        if odd.any():
+            total[odd] = top[odd] * np.sqrt(((rows[odd] / top[odd][:, None]) ** 2).sum(axis=1))
+    return total
+
+
 def build_index(rows: DataFrame, seed: int = 7) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """(id, row, v, code, length, ip for every row; centroid; rotation). Vectors have one length."""
     some = np.array([r[0] for r in rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SAMPLE).select("v").collect()])
-    centre, turn = some.mean(axis=0), rotation(some.shape[1], seed)
+    centre, turn = np.median(some / 2, axis=0) * 2, rotation(some.shape[1], seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 v = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
                 o = (v - centre) @ turn.T
-                length = np.sqrt((o * o).sum(axis=1))
-                ip = np.abs(o).sum(axis=1) / np.sqrt(v.shape[1]) / np.where(length > 0, length, 1)
+                length, top = norms(o), np.abs(o).max(axis=1)
+                ip = np.abs(o / np.where(top > 0, top, 1)[:, None]).sum(axis=1) / np.sqrt(v.shape[1]) / np.where(length > 0, length / np.where(top > 0, top, 1), 1)
                 code = np.packbits(o > 0, axis=1)
                 yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), b.column("v"), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(length), pa.array(np.where(length > 0, ip, 1.0))], names=["id", "row", "v", "code", "length", "ip"])
 
@@ -67,9 +79,14 @@ def build_index(rows: DataFrame, seed: int = 7) -> tuple[DataFrame, np.ndarray,
 def exact_distance(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Euclidean distances of rows of ``v`` to ``q``, summed in order of the components."""
     total = np.zeros(len(v))
-    for k in range(v.shape[1]):
-        total += (v[:, k] - q[..., k]) ** 2
-    return np.sqrt(total)
+    with np.errstate(over="ignore"):
+        for k in range(v.shape[1]):
+            total += (v[:, k] - q[..., k]) ** 2
+        far = np.flatnonzero(~np.isfinite(total))
+        total = np.sqrt(total)
+        if len(far):
+            total[far] = norms(v[far] - q)
+    return total
 
 
 class Searcher:
@@ -78,7 +95,7 @@ class Searcher:
     def __init__(self, rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int, epsilon: float) -> None:
         self.rows, self.ids, self.queries, self.k, self.epsilon, self.d = rows, ids, queries, k, epsilon, queries.shape[1]
         q = (queries - centre) @ turn.T
-        self.length = np.sqrt((q * q).sum(axis=1))
+        self.length = norms(q)
         unit = q / np.where(self.length > 0, self.length, 1)[:, None]
         unit = np.pad(unit, ((0, 0), (0, -self.d % 8)))
         signs = np.where(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1), 1.0, -1.0)
@@ -88,11 +105,15 @@ class Searcher:
         self.reranked = 0
 
     def show(self, rows: np.ndarray, ids: np.ndarray, v: np.ndarray, code: np.ndarray, length: np.ndarray, ip: np.ndarray) -> None:
+        with np.errstate(over="ignore", invalid="ignore"):
+            self._show(rows, ids, v, code, length, ip)
+
+    def _show(self, rows: np.ndarray, ids: np.ndarray, v: np.ndarray, code: np.ndarray, length: np.ndarray, ip: np.ndarray) -> None:
         slack = self.epsilon * np.sqrt(np.maximum(0, 1 - ip * ip)) / ip / np.sqrt(max(1, self.d - 1))
         for n in range(len(self.ids)):
             estimate = sum(self.tables[n, j][code[:, j]] for j in range(code.shape[1])) / ip
             both = 2 * self.length[n] * length
-            low = length**2 + self.length[n] ** 2 - both * np.minimum(1, estimate + slack)
+            low = length**2 + self.length[n] ** 2 - both * np.minimum(1, estimate + slack)  # infinite or not a number where squares overflow
             far, near = self.best[n]
             if len(far) < self.k:  # a first threshold: the exact k-th of the best estimates
                 seed = np.argpartition(low, min(2 * self.k, len(low) - 1))[: 2 * self.k + 1]
@@ -101,7 +122,7 @@ class Searcher:
                 limit = first[self.k - 1] if len(first) >= self.k else np.inf
             else:
                 limit = far[-1]
-            chosen = np.flatnonzero((low <= limit * limit * (1 + 1e-5) + 1e-9) & (rows != self.rows[n]))
+            chosen = np.flatnonzero(~(low > limit * limit * (1 + 1e-5) + 1e-9) & (rows != self.rows[n]))
             self.reranked += len(chosen)
             far = np.r_[far, exact_distance(self.queries[n], v[chosen])]
             near = np.r_[near, ids[chosen]]

@@ -92,3 +92,17 @@ def test_wide_vectors_make_small_blocks(spark, monkeypatch):
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     want = brute(rows, [r for r in rows if r[0] % 6 == 0], 3)
     assert got == {q: {i for i, _ in v} for q, v in want.items()}
+
+
+@pytest.mark.parametrize("huge", [[1e200, 1e200], [1e308, -1e308], [1e-200, 0.0]])
+def test_vectors_whose_squares_overflow(spark, huge):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(2).tolist()) for i in range(400)]
+    df = spark.createDataFrame([*rows, (1000, huge)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in ann.nearest(df, F.col("vec_id") % 100 == 0, k=10).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    want = brute([*rows, (1000, huge)], [r for r in rows if r[0] % 100 == 0])
+    assert all(sum(a == b for a, b in zip(got[q], want[q], strict=True)) >= 9 or len({i for i, _ in got[q]} & {i for i, _ in want[q]}) >= 9 for q in want)
+    if huge[0] > 1:
+        assert [i for i, _ in got[1000]] == list(range(10)) and all(math.isclose(s, math.hypot(*huge)) or math.isinf(s) for _, s in got[1000])
