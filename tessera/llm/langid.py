@@ -6,8 +6,9 @@ everything else covers all rows: grouped aggregation of the text posteriors by h
 smoothed towards P(language | suffix), which is smoothed towards P(language); and by declared language the
 reliability P(declared | language). Log evidence adds up; a class of undetermined text competes with the languages.
 
-A declared tag counts without region, script and case, if it is well-formed, and every language that is so declared has a
-profile.
+A declared tag counts without region, script and case, if it is well-formed. The ``PROFILES`` tags with the most rows have a profile, a reliability and host priors each; all
+others share one of each (junk that is well-formed makes thousands of tags, and few rows tell little of a language): they are one class of the fusion, and a
+row that falls to it is named by its own declaration, else by the tag most declared on its host, else by the most declared one of all. So neither plan nor arrays grow with the tags.
 
 Every text is scored once: the scores are written beside the rows' columns, and all later steps read them from there.
 
@@ -30,6 +31,10 @@ from tessera.llm.common import prepare, saved
 
 #: Declared rows per language that the profiles are fitted on.
 SAMPLE = 600
+#: Tags with a profile of their own, and the name of the class that the others share (no well-formed tag).
+PROFILES, SHARED = 256, "*"
+#: Keys whose posteriors a task adds up before it passes them on.
+HELD = 20_000
 #: Buckets of the profiles; with very many languages they are hashed to fewer, so that a table has CELLS cells at most,
 #: but never fewer than LEAST_BUCKETS.
 BUCKETS, CELLS, LEAST_BUCKETS = 1 << 16, 1 << 24, 1 << 12
@@ -90,7 +95,7 @@ def tag_of(declared: str) -> Column:
 def fit_profiles(rows: DataFrame, text: str, declared: str, key: Column, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
     """(languages, log-probabilities by bucket and language, score of undetermined text) from ``sample`` rows of each declared tag at most."""
     rows = rows.select(F.col(declared).alias("l"), key.alias("k"), F.col(text).alias("t")).where("l is not null")
-    names = sorted(r[0] for r in rows.select("l").distinct().collect())
+    names = sorted(r[0] for r in rows.select("l").distinct().collect())  # PROFILES + 1 at most
     if not names:
         return [], np.zeros((BUCKETS, 0), np.float32), 0.0
     buckets = BUCKETS
@@ -141,11 +146,47 @@ def text_scores(spark, profiles: np.ndarray, undetermined: float):
     return scores
 
 
+def _once(value: Column, then) -> Column:  # noqa: ANN001
+    """``then`` of a value that it uses for every element of an array: the value is made once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _normal(logs: Column) -> Column:
     """Probabilities of log scores."""
-    top = F.array_max(logs)
-    exps = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(exps, lambda x: x / F.aggregate(exps, F.lit(0.0), lambda a, y: a + y))
+    exps = _once(logs, lambda xs: _once(F.array_max(xs), lambda top: F.transform(xs, lambda x: F.exp(x - top))))
+    return _once(exps, lambda es: _once(F.aggregate(es, F.lit(0.0), lambda a, y: a + y), lambda whole: F.transform(es, lambda x: x / whole)))
+
+
+def _posterior_sums(scored: DataFrame, n: int) -> DataFrame:
+    """(h, s, d, c, p): the texts' posteriors of each language c, added up by host, suffix and declared class within a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+
+        def out() -> pa.RecordBatch:
+            h, s, d = ([k[j] for k in held for _ in range(n)] for j in range(3))
+            batch = pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(s, pa.string()), pa.array(d, pa.string()), pa.array(np.tile(np.arange(n, dtype=np.int32), len(held))), pa.array(np.concatenate(list(held.values())))], names=["h", "s", "d", "c", "p"])
+            held.clear()
+            return batch
+
+        most = max(64, HELD // n)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            logs = b.column("logs").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)[:, :n]
+            p = np.exp(logs - logs.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            for k, key in enumerate(zip(*(b.column(c).to_pylist() for c in "hsd"), strict=True)):
+                if key in held:
+                    held[key] += p[k]
+                else:
+                    held[key] = p[k].copy()
+                    if len(held) >= most:
+                        yield out()
+        if held:
+            yield out()
+
+    return scored.where("logs is not null").select("h", "s", "d", "logs").mapInArrow(run, "h string, s string, d string, c int, p double")
 
 
 def suffix_of(host: Column) -> Column:
@@ -176,19 +217,24 @@ def classify(docs: DataFrame, text: Column | str = "text", declared: str = "lang
     # a row travels as one struct, so no name of its columns can clash with what is beside it
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in (kept or docs.columns)]).alias("row"), host_part.alias("h"), suffix_of(F.col(host).cast("string")).alias("s"), tag_of(declared).alias("d"),
                        F.xxhash64(F.lit(7), key).alias("k"), (F.col(text) if isinstance(text, str) else text).alias("t"))
+    often = [r[0] for r in rows.where("d is not null").groupBy("d").count().orderBy(F.desc("count"), "d").limit(PROFILES).collect()]
+    # tag: what is declared; d: its class
+    rows = rows.withColumn("tag", F.col("d")).withColumn("d", F.when(F.col("tag").isin(often), F.col("tag")).when(F.col("tag").isNotNull(), SHARED))
     names, profiles, undetermined = fit_profiles(rows, "t", "d", F.col("k"), sample)
     n = len(names)
     if not n:
         return rows.select("row", F.lit("und").alias("language"), F.lit(1.0).alias("posterior"), F.lit("und").alias("text_language"), F.lit(False).alias("accepted"))
-    scored = saved(rows.select("row", "h", "s", "d", text_scores(spark, profiles, undetermined)("t").alias("logs")), "scores")
-    seen = scored.where("logs is not null").select("h", "s", "d", _normal(F.slice("logs", 1, n)).alias("p"))
-    sums = saved(seen.groupBy("h", "s", "d").agg(*[F.sum(F.col("p")[k]).alias(f"p{k}") for k in range(n)]), "hosts")
-    cols = [f"p{k}" for k in range(n)]
+    scored = saved(rows.select("row", "h", "s", "d", "tag", text_scores(spark, profiles, undetermined)("t").alias("logs")), "scores")
+    sums = saved(_posterior_sums(scored, n).groupBy("h", "s", "d", "c").agg(F.sum("p").alias("p")), "hosts")
 
     def summed(by: list[str]) -> DataFrame:
-        return sums.groupBy(by).agg(*[F.sum(c).alias(c) for c in cols]).select(*by, F.array(*cols).alias("p"))
+        """The sums of each language (p, an array) by some of the keys: a tall table until the end."""
+        tall = sums.groupBy(*by, "c").agg(F.sum("p").alias("p"))
+        held = tall.groupBy(*by).agg(F.collect_list(F.struct("c", "p")).alias("x"))  # a struct a class
+        return held.select(*by, F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.coalesce(F.get(F.transform(F.filter("x", lambda x: x["c"] == k), lambda x: x["p"]), F.lit(0)), F.lit(0.0))).alias("p"))
 
-    total = np.array([x or 0.0 for x in summed([]).first()[0]]) + 1.0
+    found = summed([]).first()
+    total = (np.array(found[0]) if found else np.zeros(n)) + 1.0
     overall = total / total.sum()
     reliable = {r[0]: np.array(r[1]) for r in summed(["d"]).where("d is not null").collect()}  # a row a language
     of = np.array([reliable.get(d, np.zeros(n)) for d in names])  # declared, language
@@ -212,10 +258,21 @@ def classify(docs: DataFrame, text: Column | str = "text", declared: str = "lang
     und = F.get("logs", F.lit(n)) + F.lit(float(np.log(1e-3))) + F.when(F.col("said").isNotNull(), F.lit(float(-np.log(n)))).otherwise(F.lit(0.0))
     fused = F.concat(F.zip_with(F.zip_with(F.slice("logs", 1, n), prior, lambda a, b: a + b), said, lambda a, b: a + b), F.array(und))
     named = F.array(*[F.lit(x) for x in [*names, "und"]])
-    best = lambda xs: F.get(named, (F.array_position(xs, F.array_max(xs)) - 1).cast("int"))
+    best = lambda xs: _once(xs, lambda ys: F.get(named, (F.array_position(ys, F.array_max(ys)) - 1).cast("int")))
     out = wide.withColumn("p", _normal(fused)).select(
-        "row", F.coalesce(best(F.col("p")), F.lit("und")).alias("language"), F.coalesce(F.array_max("p"), F.lit(1.0)).alias("posterior"), F.coalesce(best(F.col("logs")), F.lit("und")).alias("text_language"),
+        "row", "h", "d", "tag", F.coalesce(best(F.col("p")), F.lit("und")).alias("language"), F.coalesce(F.array_max("p"), F.lit(1.0)).alias("posterior"), F.coalesce(best(F.col("logs")), F.lit("und")).alias("text_language"),
     )
+    if SHARED in names:
+        declared_there = saved(scored.where(F.col("d") == SHARED).groupBy("h", "tag").count(), "tags")
+        top = F.max_by("tag", F.struct("count", "tag")).alias("usual")
+        most = declared_there.groupBy("tag").agg(F.sum("count").alias("count")).agg(top).first()["usual"]
+        usual = declared_there.where("h is not null").groupBy("h").agg(top)
+        own = F.when(F.col("d") == SHARED, F.col("tag"))
+        out = out.join(usual, "h", "left").withColumns({
+            "language": F.when(F.col("language") == SHARED, F.coalesce(own, "usual", F.lit(most))).otherwise(F.col("language")),
+            "text_language": F.when(F.col("text_language") == SHARED, F.lit(most)).otherwise(F.col("text_language")),
+        })
+    out = out.select("row", "language", "posterior", "text_language")
     return out.withColumn("accepted", F.col("language") != "und")
 
 

@@ -145,3 +145,28 @@ def test_tags(spark):
     tags = ["en", "EN-us", " de_AT ", "zh-Hant-TW", "x-klingon-a", "i-navajo", "und", "UND-x", "", " ", None, "e", "english and german", "lang=\"fr\"", "e" * 9, "12"]
     df = spark.createDataFrame([(t,) for t in tags], "lang string")
     assert [r[0] for r in df.select(langid.tag_of("lang")).collect()] == ["en", "en", "de", "zh", "x-klingon", "i-navajo", *[None] * 10]
+
+
+def test_thousands_of_tags_share_a_profile(spark, monkeypatch):
+    """Tags beyond the most frequent ones stay among the answers: by their declaration, their host, or as the most declared one."""
+    import random
+
+    rng = random.Random(3)
+    monkeypatch.setattr(langid, "PROFILES", 2)
+    words = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(n))
+    rows = [(k, words("abcde", 40), "en", "a") for k in range(60)] + [(100 + k, words("fghij", 40), "de", "b") for k in range(60)]
+    rows += [(200 + k, words("uvwxy", 40), "q" + "abcdefgh"[k % 8] + "x", f"h{k % 8}") for k in range(32)] + [(300, words("uvwxy", 40), "qzx", "h0")] * 5
+    rows += [(400, words("uvwxy", 40), None, "h3"), (401, words("uvwxy", 40), None, None), (402, words("abcde", 40), "qax", "a"), (403, words("uvwxy", 40), "en", "h2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["row"]["doc_id"]: (r["language"], r["text_language"], r["accepted"]) for r in langid.classify(df).collect()}
+    assert all(got[k] == ("en", "en", True) for k in range(60)) and all(got[100 + k] == ("de", "de", True) for k in range(60))
+    assert all(got[200 + k][0] == "q" + "abcdefgh"[k % 8] + "x" for k in range(32)) and got[300][0] == "qzx"
+    assert got[400][0] == "qdx" and got[401] == ("qzx", "qzx", True) and got[402][0] == "en" and got[403][0] == "qcx"
+
+
+@pytest.mark.parametrize("tags", [150, 3000])
+def test_the_plan_does_not_grow_with_the_tags(spark, tags):
+    tag = lambda k: "".join("abcdefghijklmnopqrstuvwxyz"[k // 26**j % 26] for j in range(4))
+    df = spark.range(3000).selectExpr("id AS doc_id", "concat('text number ', id, ' of some words') AS text", "cast(null as string) AS source").withColumn("lang", F.element_at(F.array(*[F.lit(tag(k)) for k in range(150)]), (F.col("doc_id") % 150 + 1).cast("int")) if tags == 150 else F.concat(F.lit("x-"), F.col("doc_id").cast("string")))
+    found = langid.classify(df, kept=["doc_id", "lang"])
+    assert found.count() == 3000 and len(found._jdf.queryExecution().optimizedPlan().toString()) < 100_000
