@@ -39,8 +39,10 @@ def _settle(rows: DataFrame, low: int, high: int, limit: int) -> tuple[DataFrame
     cells = saved(cells, "cells")
     up = cells.withColumn("depth", F.explode(F.sequence(F.lit(low), F.lit(high)))).withColumn("prefix", F.expr(f"shiftright(cell, {high} - depth)"))
     sums = up.groupBy("depth", "prefix").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("shard_rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    fits = sums.where((F.col("shard_bytes") <= limit) | (F.col("lo") == F.col("hi"))).drop("lo", "hi")
-    first = up.select("cell", "depth", "prefix").join(fits.hint("merge"), ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_rows")).alias("x"))
+    fits = saved(sums.where((F.col("shard_bytes") <= limit) | (F.col("lo") == F.col("hi"))).drop("lo", "hi"), "fits")
+    # prefixes so short that none of them fits are no keys of the join: one of them would meet a large part of all cells
+    least = fits.agg(F.min("depth")).first()[0]
+    first = up.select("cell", "depth", "prefix").where(F.col("depth") >= (high if least is None else least)).join(fits.hint("merge"), ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_rows")).alias("x"))
     found = saved(first.select("cell", "x.*").withColumn("shard", F.expr(f"shiftleft(prefix, {HASH_BITS} - depth)")).drop("prefix"), "buckets")
     return found, cells.join(found.hint("merge"), "cell", "left_anti").select("cell")
 
