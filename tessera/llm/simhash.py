@@ -54,7 +54,7 @@ SIMILAR = Rule(4, 56, tuple((low, 8) for low in range(0, 64, 8)), 8, 1, True)
 #: The Jaccard similarity (as a fraction) of distinct shingles from which documents are near-duplicates.
 SIMILARITY = (4, 5)
 #: Members and bytes of shingle hashes in a chunk of a component of candidates; a task compares the pairs of two chunks.
-CHUNK_MEMBERS, CHUNK_BYTES = 500, 16 << 20
+CHUNK_MEMBERS, CHUNK_BYTES = 300, 6 << 20
 #: A bucket of the self-join with more members than this is dealt into chunks.
 HOT_BUCKET = 60_000
 #: A node pair with at most this many pairs of members is compared; node pairs and pairs of members held at once.
