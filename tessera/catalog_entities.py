@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tessera import schemas
 from tessera.catalog import Tables, query
-from tessera.operators import canonical, flatten, quality, rank
+from tessera.functions import bundles, text
+from tessera.operators import canonical, dedup, flatten, quality, rank
 from tessera.plans.atlas import bed_lines
 from tessera.plans.facade import Atlas
 
@@ -515,3 +516,92 @@ k AS (SELECT bullet_id, round(ln(1 + (n - d + 0.5) / (d + 0.5)) * len(list_filte
 SELECT bullet_id AS doc, score FROM k ORDER BY score DESC, doc LIMIT 40""")
 def verb_phenotype(t: Tables) -> DataFrame:
     return atlas(t).phenotype("hdm", confidence="high", limit=40).select("doc", "score")
+
+
+# --- stored indices ------------------------------------------------------------------------------------------------------
+
+
+@on_entities("""SELECT 'by_category' AS index, category AS key, count(DISTINCT fbgn) AS n, min(fbgn) AS first, max(fbgn) AS last FROM b GROUP BY category UNION ALL SELECT 'by_ortholog', species || '/' || symbol, count(DISTINCT fbgn), min(fbgn), max(fbgn) FROM o GROUP BY species, symbol
+UNION ALL SELECT 'by_disease', coalesce(omim_id, '') || '/' || name, count(DISTINCT fbgn), min(fbgn), max(fbgn) FROM d GROUP BY omim_id, name UNION ALL SELECT 'bullets_flat', '', count(*), min(fbgn), max(fbgn) FROM b
+UNION ALL SELECT 'catalog', coalesce(c, ''), count(*), min(fbgn), max(fbgn) FROM (SELECT g.fbgn, (SELECT string_agg(DISTINCT category, ',' ORDER BY category) FROM b WHERE b.fbgn = g.fbgn) AS c FROM g) GROUP BY c""")
+def inverted_documents(t: Tables) -> DataFrame:
+    """The JSON indices written and read back: each key with the number of its entities, the first and the last."""
+    from tessera.plans import atlas as plans
+    from tessera.storage import fresh
+
+    path = fresh(t._spark, "inverted")
+    plans.inverted(atlas(t).t, path)
+    read = lambda name: t._spark.read.json(f"{path}/{name}")
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    each = lambda name, key: read(name).select(F.lit(name).alias("index"), key.alias("key"), F.explode("entities").alias("fbgn"))
+    rows = each("by_category", F.col("category")).unionByName(each("by_ortholog", F.concat_ws("/", "species", "symbol"))).unionByName(each("by_disease", F.concat(empty("omim_id"), F.lit("/"), F.col("name"))))
+    rows = rows.unionByName(read("bullets_flat").select(F.lit("bullets_flat").alias("index"), F.lit("").alias("key"), "fbgn")).unionByName(read("catalog").select(F.lit("catalog").alias("index"), empty(F.array_join("categories", ",")).alias("key"), "fbgn"))
+    return rows.groupBy("index", "key").agg(F.count("*").alias("n"), F.min("fbgn").alias("first"), F.max("fbgn").alias("last"))
+
+
+SEARCH_WORDS = "list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+
+
+@on_entities(f"""SELECT fbgn AS doc, round(score, 6) AS score, symbol FROM (
+WITH s AS (SELECT p.fbgn, symbol, coalesce((SELECT string_agg(phenotype, ' ' ORDER BY n) FROM b WHERE b.fbgn = p.fbgn AND n <= 3), '') AS summary,
+ coalesce((SELECT string_agg(phenotype || ' ' || evidence_text, chr(10) ORDER BY n) FROM b WHERE b.fbgn = p.fbgn), '') AS bullets_text, CASE WHEN p_size % 4 = 0 THEN p_type ELSE '' END AS notes FROM p),
+w AS (SELECT fbgn, symbol, {SEARCH_WORDS.format("symbol || ' ' || summary || ' ' || bullets_text || ' ' || notes")} AS t FROM s), k AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM w),
+h AS (SELECT fbgn, term, count(*) AS tf FROM (SELECT fbgn, unnest(t) AS term FROM w) WHERE term IN ('fbrf0000001', 'hdm', '41') GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM h GROUP BY term)
+SELECT fbgn, symbol, sum(ln(1 + (k.n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(t) / mean))) AS score FROM h JOIN f USING (term) JOIN w USING (fbgn), k
+WHERE fbgn IN (SELECT fbgn FROM b WHERE category = 'metabolism') AND fbgn IN (SELECT fbgn FROM b WHERE confidence = 'high') GROUP BY fbgn, symbol) ORDER BY score DESC, doc LIMIT 30""")
+def verb_search(t: Tables) -> DataFrame:
+    """Keyword search of the atlas on its stored, stemmed index, with facets. The words asked for are their own stems, and no other word has them."""
+    from tessera.operators import ranked
+    from tessera.plans import atlas as plans
+    from tessera.storage import fresh
+
+    a, path = atlas(t), fresh(t._spark, "atlas")
+    ranked.build(a.t["search"], "fbgn", plans.SEARCHED, path, stemmed=True)
+    a.t |= {name: t._spark.read.parquet(f"{path}/{name}") for name in ranked.TABLES}
+    return a.search("FBrf0000001 OR hdm OR 41", category="metabolism", confidence="high", limit=30).select("doc", "score", "symbol")
+
+
+@query(f"WITH {ENTITIES}, {QTLS}, m AS (SELECT min(id) AS id FROM z WHERE NOT old) SELECT a.id AS id_a, c.id AS id_b, a.chr, least(a.e, c.e) - greatest(a.s, c.s) + 1 AS overlap_bp, (SELECT count(*) FROM g WHERE g.chr = a.chr AND g.e >= greatest(a.s, c.s) AND g.s <= least(a.e, c.e)) AS n_items FROM z a JOIN z c ON a.chr = c.chr AND a.id < c.id AND a.e >= c.s AND a.s <= c.e AND NOT a.old AND NOT c.old, m WHERE m.id IN (a.id, c.id)")
+def verb_qtl_page(t: Tables) -> DataFrame:
+    """The overlaps of one region: the first by id that has coordinates."""
+    regions = qtls(t)
+    first = regions.where("release_orig = 'r6'").agg(F.min("id")).first()[0]
+    return atlas(t, qtls=regions).qtl_overlaps(first).select("id_a", "id_b", "chr", "overlap_bp", "n_items")
+
+
+@query(f"""WITH t AS (SELECT p_partkey, 'The ' || terms[1 + p_partkey % len(terms)] || ', ' || upper(terms[1 + p_size % len(terms)]) || ' and un' || terms[1 + (p_partkey + 7) % len(terms)] || 'x of ' || p_name AS x FROM part, (SELECT [{', '.join(f"'{x}'" for x in text.TISSUES)}] AS terms)),
+n AS (SELECT * FROM (VALUES {', '.join(f"('{x}', '{text.TISSUE_NAMES.get(x, x.lower())}')" for x in text.TISSUES)}) v(term, name))
+SELECT p_partkey, coalesce(string_agg(DISTINCT name, ',' ORDER BY name), '') AS tissues FROM t LEFT JOIN n ON regexp_matches(lower(x), '(^|[^a-z0-9_])' || lower(term) || '($|[^a-z0-9_])') GROUP BY p_partkey""")
+def tissue_tags(t: Tables) -> DataFrame:
+    """Tags by the whole lexicon, in texts that hold its terms in several forms."""
+    terms, n = F.array(*[F.lit(x) for x in text.TISSUES]), len(text.TISSUES)
+    term = lambda k: F.get(terms, (k % n).cast("int"))
+    key, size = F.col("p_partkey"), F.col("p_size")
+    x = F.concat(F.lit("The "), term(key), F.lit(", "), F.upper(term(size)), F.lit(" and un"), term(key + 7), F.lit("x of "), F.col("p_name"))
+    return t.part.select("p_partkey", F.array_join(text.lexicon_tags(x), ",").alias("tissues"))
+
+
+@on_entities("""SELECT fbgn, 'TYPE' || p_size || 'A of ' || p_type AS name, 'curated' AS origin FROM p WHERE p_size % 3 <> 0 UNION ALL
+SELECT fbgn, CASE WHEN p_size % 2 = 0 THEN 'type' || p_size || 'a again' ELSE 'other ' || p_type END, 'proposed' FROM p WHERE NOT (p_size % 2 = 0 AND p_size % 3 <> 0)""")
+def disease_anti_match(t: Tables) -> DataFrame:
+    """Curated diseases, and those proposed whose name's token the entity has not: a union of two sources."""
+    key, size = F.format_string("FBgn%07d", "p_partkey").alias("fbgn"), F.col("p_size")
+    curated = t.part.where("p_size % 3 <> 0").select(key, F.concat(F.lit("TYPE"), size.cast("string"), F.lit("A of "), F.col("p_type")).alias("name"), F.lit("curated").alias("origin"))
+    proposed = t.part.select(key, F.when(size % 2 == 0, F.concat(F.lit("type"), size.cast("string"), F.lit("a again"))).otherwise(F.concat(F.lit("other "), F.col("p_type"))).alias("name"), F.lit("proposed").alias("origin"))
+    return dedup.unmatched_by_token(curated, proposed, "fbgn", "name")
+
+
+@on_entities("""SELECT bullet_id FROM b JOIN p USING (fbgn) WHERE confidence = 'low' AND n % 2 = 0 AND n % 3 <> 0""")
+def inference_contract(t: Tables) -> DataFrame:
+    """Inferred bullets that keep the contract: low confidence, the phrase, and a term of the entity word for word."""
+    b = flatten.bullets(entities(t))
+    n = F.regexp_extract("bullet_id", r":b(\d+)$", 1).cast("int")
+    evidence = F.concat(F.when(n % 2 == 0, "Inference FROM mouse").otherwise("seen in mouse"), F.lit(" ortholog: "), F.when(n % 3 != 0, F.concat(F.lit("small EYES of "), F.col("fbgn"))).otherwise("large eyes"))
+    terms = t.part.select(F.format_string("FBgn%07d", "p_partkey").alias("fbgn"), F.explode(F.array(F.concat(F.lit("small eyes of "), F.format_string("FBgn%07d", "p_partkey")), F.lit("no wings"))).alias("term"))
+    return quality.inference_bullets(b.withColumn("evidence_text", evidence), terms, "fbgn").select("bullet_id")
+
+
+@on_entities("""SELECT fbgn, n_bullets, n_bullets + (SELECT count(*) FROM b WHERE b.fbgn = g.fbgn AND l_linestatus = 'O') AS n_citations, (SELECT count(*) FROM d WHERE d.fbgn = g.fbgn) AS n_diseases, (SELECT count(omim_id) FROM d WHERE d.fbgn = g.fbgn) AS n_omim, (p_size % 6 = 0)::BIGINT AS n_lint FROM g""")
+def entity_summaries(t: Tables) -> DataFrame:
+    """Counts of each document's parts."""
+    return bundles.summaries(entities(t)).drop("n_tissues")

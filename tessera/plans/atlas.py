@@ -76,16 +76,28 @@ def export_bed(rows: DataFrame, path: str, group: str = "chr", start: str = "sta
     bed_lines(rows, group, start, end, list(name), score).orderBy(group, start, "value").select("value").write.mode("overwrite").text(path)
 
 
+#: Entities that one row of an inverted index holds at most, about.
+PAGE = 10_000
+
+
+def _pages(rows: DataFrame, keys: list[str], entity: str = "fbgn") -> DataFrame:
+    """The keys, page and entities (sorted): a value that very many entities share has several pages, so no row grows with the corpus."""
+    rows = rows.select(*keys, entity).distinct()
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / PAGE).cast("int").alias("__of"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    paged = rows.alias("a").join(sizes.alias("b"), same).select(*[F.col(f"a.{k}") for k in keys], F.pmod(F.xxhash64(F.col(f"a.{entity}")), F.col("b.__of")).cast("int").alias("page"), F.col(f"a.{entity}"))
+    return paged.groupBy(*keys, "page").agg(F.array_sort(F.collect_list(entity)).alias("entities"))
+
+
 def inverted(tables: dict[str, DataFrame], path: str) -> None:
-    """JSON indices: catalog, flat bullets, and entities by category, disease and ortholog."""
+    """JSON indices: catalog, flat bullets, and entities by category, disease and ortholog (in pages of about ``PAGE``)."""
     genes, bullets = tables["genes"], tables["bullets"]
     cats = bullets.groupBy("fbgn").agg(F.array_sort(F.collect_set("category")).alias("categories"))
     out = {
-        "catalog": genes.select("fbgn", "symbol", "n_bullets", "n_refs").join(cats, "fbgn", "left"),
-        "bullets_flat": bullets,
-        "by_category": bullets.groupBy("category").agg(F.array_sort(F.collect_set("fbgn")).alias("entities")),
-        "by_disease": tables["diseases"].groupBy("omim_id", "name").agg(F.array_sort(F.collect_set("fbgn")).alias("entities")),
-        "by_ortholog": tables["orthologs"].groupBy("species", "symbol").agg(F.array_sort(F.collect_set("fbgn")).alias("entities")),
+        "catalog": genes.select("fbgn", "symbol", "n_bullets", "n_refs").join(cats, "fbgn", "left"), "bullets_flat": bullets,
+        "by_category": _pages(bullets, ["category"]), "by_disease": _pages(tables["diseases"], ["omim_id", "name"]), "by_ortholog": _pages(tables["orthologs"], ["species", "symbol"]),
     }
     for name, df in out.items():
         df.write.mode("overwrite").json(f"{path}/{name}")
