@@ -9,6 +9,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,6 +110,43 @@ def parts(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(int(spark.sparkContext.defaultParallelism), -(-rows // per_task))
 
 
+#: Bits of a sieve: 8 MB, however many keys it holds.
+SIEVE_BITS = 1 << 26
+
+
+def sieve(hashes: DataFrame, column: str) -> Broadcast:
+    """A bitmap of fixed size that has a bit for every one of the uniform long ``column``. It spares a join rows that have no partner; the join decides.
+
+    Its words are made by grouped aggregation; at most 2**20 of them reach the driver.
+    """
+    h = F.col(column).bitwiseAND(SIEVE_BITS - 1).alias("h")
+    words = hashes.select(h).select(F.shiftright("h", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    bits = np.zeros(SIEVE_BITS // 64, np.int64)
+    bits[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return hashes.sparkSession.sparkContext.broadcast(bits)
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each of ``hashes`` may be one of the sieve's."""
+    h = hashes & (SIEVE_BITS - 1)
+    return (bits[h >> 6] >> (h & 63)) & 1 == 1
+
+
+def sifted(rows: DataFrame, column: str, through: Broadcast) -> DataFrame:
+    """The ``rows`` whose uniform long ``column`` passes the sieve."""
+    import pyarrow as pa
+
+    def run(batches):  # noqa: ANN001, ANN202
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                some = b.slice(at, 1000)
+                some = some.filter(pa.array(passes(through.value, some.column(column).to_numpy(zero_copy_only=False))))
+                if some.num_rows:
+                    yield some
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star rounds.
 
@@ -118,16 +157,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     e = saved(e, "cc")
+    files = parts(edges.sparkSession, e.count(), 100_000)  # no round has more edges, so a few files hold those of a small table
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return saved(rows.coalesce(files), "cc")
+
     mark = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # minima are written: so joined, both sides are dealt anew and adaptive execution may split a node of very many edges
-        low = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc")
+        low = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = saved(large, "cc")
-        low = saved(large.groupBy("u").agg(F.min("v").alias("m")), "cc")
+        large = kept(large)
+        low = kept(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-        e = saved(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        e = kept(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
