@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import random
+import time
+
 import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tessera.functions import positions
-from tessera.operators import lookup
+from tessera.operators import intervals, lookup
 
 
 def test_letters_go_on_past_a_byte(spark):
@@ -40,3 +43,55 @@ def test_positions_of_large_keys(spark, tmp_path):
     keys = spark.range(400).select(F.col("id").alias("o_orderkey"), (F.col("id") * 2500).alias("o_custkey"))
     keys.write.parquet(f"{tmp_path}/orders.parquet")
     assert same_as_sql(spark, "parsed_positions", str(tmp_path), ["orders"]) == 400
+
+
+def test_short_intervals_do_not_meet_in_the_bins_of_a_long_one(spark):
+    n = 100_000
+    df = spark.range(n).select("id", F.lit("x").alias("chr"), (F.col("id") * 1000 + 1).alias("start"), (F.col("id") * 1000 + 5).alias("end"))
+    df = df.unionByName(spark.createDataFrame([(n, "x", 1, 2**40)], "id long, chr string, start long, end long"))
+    began = time.monotonic()
+    assert intervals.pair_overlaps(df, "id", "id", width="levels").count() == n
+    assert time.monotonic() - began < 60  # all pairs of n in one bin take minutes
+
+
+def made(rng: random.Random, n: int) -> list[tuple]:
+    out = []
+    for k in range(n):
+        start = rng.choice([rng.randrange(-300, 300), rng.randrange(10**6), rng.randrange(-(10**9), 10**9)])
+        out.append((k, rng.choice("xyz"), start, start + rng.choice([0, 1, 2, 7, 8, 300, 10**6, 10**9])))
+    return [*out, (n, "x", -(2**60), 2**60), (n + 1, "x", 10, 9), (n + 2, None, 1, 2), (n + 3, "x", None, 2), (n + 4, "w", 5, 6)]
+
+
+def test_aggregates_of_overlaps_equal_the_join(spark):
+    rng = random.Random(7)
+    a, b = made(rng, 300), made(rng, 400)
+    want = {}
+    for i, g, s, e in a:
+        hit = [j for j, h, t, f in b if g and g == h and None not in (s, t) and s <= e and t <= f and e >= t and s <= f]
+        if hit:
+            want[i] = (len(hit), min(hit), max(hit))
+    da, db = spark.createDataFrame(a, "i long, g string, s long, e long"), spark.createDataFrame(b, "j long, h string, t long, f long")
+    got = intervals.overlap_aggregates(da, db, ("g", "s", "e"), ("h", "t", "f"), ["i"], "j")
+    assert {r["i"]: (r["n"], r["least"], r["most"]) for r in got.collect()} == want and len(want) > 250
+    none = intervals.overlap_aggregates(da, db.where("false"), ("g", "s", "e"), ("h", "t", "f"), ["i"], "j")
+    assert none.columns == ["i", "n", "least", "most"] and none.count() == 0
+
+
+def test_counts_in_pairs_equal_the_join(spark):
+    rng = random.Random(8)
+    rows, things = made(rng, 150), made(rng, 200)
+    df, items = (spark.createDataFrame(x, "id long, chr string, start long, end long") for x in (rows, things))
+    got = {(r["id_a"], r["id_b"]): r["n_items"] for r in intervals.pair_counts(df, "id", "id", items, width="levels").collect()}
+    plain = intervals.count_inside(intervals.pair_overlaps(df, "id", "id", width="levels"), items, "chr", ("chr", "start", "end"), "id", "levels")
+    want = {(r["id_a"], r["id_b"]): r["n_items"] for r in plain.collect()}
+    assert got == want
+    assert len(got) > 200
+
+
+def test_dense_events_are_counted_without_a_join(spark, tmp_path):
+    """4000 events of one minute make 8 million pairs in 32 thousand million triples."""
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), F.lit("e").alias("event_type"), (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, 0, (id % 60) + 0.5)")).alias("ts"), F.col("id").alias("user_id"), F.lit(1.0).alias("value"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    began = time.monotonic()
+    found = entry.queries()["pair_overlap_counts"](spark, str(tmp_path)).agg(F.count("*"), F.min("n_items"), F.max("n_items")).first()
+    assert tuple(found) == (4000 * 3999 // 2, 4000, 4000) and time.monotonic() - began < 120
