@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from tessera.functions.positions import parse_location
 
 
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``value`` of each row by a generator, which no filter is pushed through: it is made once, not again for each of its uses above."""
+    return df.select(F.explode(F.array(value)).alias(name))
+
+
 def tsv_rows(spark: SparkSession, path: str | DataFrame, least: int = 1, comments: tuple[str, ...] = ("#",), spread: int | None = None) -> DataFrame:
     """``c``: the cells of each row with at least ``least`` of them. ``path`` may be a DataFrame of lines (value)."""
     lines = path if isinstance(path, DataFrame) else spark.read.text(path)
@@ -20,7 +25,7 @@ def tsv_rows(spark: SparkSession, path: str | DataFrame, least: int = 1, comment
     keep = F.trim("value") != ""
     for mark in comments:
         keep = keep & ~F.col("value").startswith(mark)
-    cells = lines.where(keep).select(F.split(F.regexp_replace("value", r"\r$", ""), "\t").alias("c"))
+    cells = _once(_once(lines, F.col("value"), "value").where(keep), F.split(F.regexp_replace("value", r"\r$", ""), "\t"), "c")
     return cells.where(F.size("c") >= least)
 
 
@@ -114,9 +119,10 @@ def publications(spark: SparkSession, path: str) -> DataFrame:
 
 
 def both_ways(edges: DataFrame, a: str, b: str, *pairs: tuple[str, str]) -> DataFrame:
-    """Edges and their reverses; ``pairs`` are further columns that swap."""
+    """Edges and their reverses, from one pass over the edges; ``pairs`` are further columns that swap."""
     swap = {a: b, b: a} | {x: y for x, y in pairs} | {y: x for x, y in pairs}
-    return edges.unionByName(edges.select(*[F.col(swap.get(c, c)).alias(c) for c in edges.columns]))
+    turned = F.struct(*[F.col(swap.get(c, c)).alias(c) for c in edges.columns])
+    return edges.select(F.inline(F.array(F.struct(*edges.columns), turned)))
 
 
 def genetic_interactions(spark: SparkSession, path: str) -> DataFrame:
@@ -132,7 +138,7 @@ def physical_interactions(spark: SparkSession, path: str) -> DataFrame:
     end = lambda k: F.regexp_extract(F.concat_ws("|", cell(k), cell(k + 2)), r"(FBgn\d{7})", 1)
     method = F.regexp_replace(F.element_at(F.split(cell(6), r"\("), -1), r"\)$", "")
     edges = tsv_rows(spark, path, 12).select(end(0).alias("fbgn"), end(1).alias("partner"), method.alias("method"), blank(cell(8)).alias("reference"))
-    return both_ways(edges.where("fbgn <> '' and partner <> '' and fbgn <> partner"), "fbgn", "partner")
+    return both_ways(edges, "fbgn", "partner").where("fbgn <> '' and partner <> '' and fbgn <> partner")
 
 
 def alliance_orthologs(spark: SparkSession, path: str) -> DataFrame:

@@ -141,3 +141,8 @@ def test_nested_moves_each_column_once(spark):
     assert sorted((r["k"], [tuple(x) for x in r["c"]], [tuple(x) for x in r["d"]]) for r in doc.collect()) == [(1, [("a", 6, 1), ("b", 4, 2), ("b", 5, 2)], [(1, "a", 6), (2, "b", 4), (2, "b", 5)]), (2, [], [])]
     plan = flatten.nested(parent, "k", {"c": (rows, ["n", "s"], ["s", "v", "n"])})._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list(struct(n," in plan and "struct(o," not in plan
+
+
+def test_cells_of_a_line_are_split_once(spark, smallest):
+    plan = entry.queries()["source_physical_interactions"](spark, smallest)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(regexp_replace(") == 1 and plan.count("Relation [") == 1
