@@ -15,6 +15,9 @@ Pairs whose sketches estimate a similarity under 0.5 from the union's bottom-k s
 left forms components, in which full sets are compared, each with all others that are not in its group already; only links so confirmed count.
 A link between two documents is thus found if both are like some third one, a list's head, by half: it need not be a candidate itself.
 
+What heads and runs leave is found by an exact join (``rest``): of the sets with few values in short lists, those in long lists whose members are in different groups
+meet by the prefixes of their full sets, frequent values last, and are compared in full. Cold sets and followed lists (``COLD``, ``STARTS``) thus only decide how much comes early.
+
 Defined results: null and empty texts and those without words have an empty set, no links, and their own doc_id as component;
 repeated rows are linked; rows with a null doc_id link like any other and get their component's id, but never name one, and are not kept;
 texts of any length are read whole; an empty table gives no rows; other columns are not looked at.
@@ -38,6 +41,8 @@ from tessera.llm.simhash import SIMILARITY, Forest, links_within, shingle_rows,
 SKETCH, PLAUSIBLE = 64, (1, 2)
 #: A list of more members is long; with so many values in short lists a set does not follow its long ones.
 LONG, COLD = 16, 32
+#: With more values in short lists a set meets all similar ones there, but for a chance of 1e-17 (that of 45 unshared ones among 64 of a union).
+ENOUGH = 44
 #: So many long lists of a set are followed (all but 0.2 ** STARTS of its near-duplicates are in one of them); widths of the
 #: runs of values from there on that tell their members apart.
 STARTS, RUNS = 16, (1, 2, 4)
@@ -64,7 +69,7 @@ def sketches(docs: DataFrame, width: int = 4, seed: int = 42, size: int = SKETCH
 
 
 def _values(nodes: DataFrame, among: Broadcast | None = None) -> DataFrame:
-    """(value, node) of the sketches; ``among``: only values that pass this sieve."""
+    """(value, node, early) of the sketches; ``among``: only values that pass this sieve. early: one of the first floor(n / 5) + 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,12 +78,18 @@ def _values(nodes: DataFrame, among: Broadcast | None = None) -> DataFrame:
                 own = [np.frombuffer(s, np.int64) for s in b.column("sketch").to_pylist()]
                 if own:
                     value, node = np.concatenate(own), np.repeat(b.column("node").to_numpy(), [len(x) for x in own])
+                    early = np.concatenate([np.arange(len(x)) <= _unshared(n) for x, n in zip(own, b.column("n").to_pylist(), strict=True)])
                     if among is not None:
                         held = passes(among.value, value)
-                        value, node = value[held], node[held]
-                    yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(node)], names=["value", "node"])
+                        value, node, early = value[held], node[held], early[held]
+                    yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(node), pa.array(early)], names=["value", "node", "early"])
+
+    return nodes.select("node", "n", "sketch").mapInArrow(run, "value long, node long, early boolean")
+
 
-    return nodes.select("node", "sketch").mapInArrow(run, "value long, node long")
+def _unshared(n: int) -> int:
+    """So many of n values at most are missing in a similar set."""
+    return n * (SIMILARITY[1] - SIMILARITY[0]) // SIMILARITY[1]
 
 
 def _runs(starts: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -107,12 +118,17 @@ def _pairs(members: DataFrame) -> DataFrame:
     return lists.select("a", F.explode(F.slice("l", F.col("k") + 2, F.size("l"))).alias("b"))
 
 
-def candidates(nodes: DataFrame, long: int = LONG, cold: int = COLD) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of ``nodes`` (node, n, sketch) that meet in a list. Written."""
+def inverted(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lists (value, m, and their least and greatest node a and b) of two or more members, and the members (value, node, early, m) of those of more. Written."""
     values = _values(nodes)
     lists = saved(values.groupBy("value").agg(F.count("*").alias("m"), F.min("node").alias("a"), F.max("node").alias("b")).where("m > 1"), "lists")
     crowded = lists.where("m > 2").select("value", "m")
-    members = saved(_values(nodes, sieve(crowded, "value")).join(crowded, "value"), "members")
+    return lists, saved(_values(nodes, sieve(crowded, "value")).join(crowded, "value"), "members")
+
+
+def candidates(nodes: DataFrame, long: int = LONG, cold: int = COLD, held: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of ``nodes`` (node, n, sketch) that meet in a list: all of a short one, some of a long one. ``held``: their ``inverted`` lists. Written."""
+    lists, members = held or inverted(nodes)
     found = [lists.where("m = 2").select("a", "b"), _pairs(members.where(F.col("m") <= long))]
     far = members.where(F.col("m") > long)
     busy = far.groupBy("node").agg(F.count("*").alias("far")).join(nodes.select("node", "n"), "node")
@@ -169,18 +185,83 @@ def _upper_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(halves, pa.binary())], names=["node", "x"])
 
 
+def rest(docs: DataFrame, nodes: DataFrame, far: DataFrame, found: DataFrame, width: int = 4, seed: int = 42, long: int = LONG) -> DataFrame | None:
+    """Links (a, b) of all similar pairs of different groups (``found``: node, root) that meet in the long lists ``far`` (value, node, early) only. Written; None if no list has two groups.
+
+    The sets of the lists' members are joined by their prefixes: values that more than ``long`` of them have come last in the order, so a common passage joins
+    only sets that hardly have anything else. The first common value of a similar pair is among the first floor(n / 5) + 1 of both, and behind it there must be room for what they share.
+    """
+    # of a pair's least 64 values at most as many are unshared as sets differ in; so many values in short lists may be missed, with one more the pair met in one
+    few = F.least(F.lit(ENOUGH), F.floor(F.col("n") * (SIMILARITY[1] - SIMILARITY[0]) / SIMILARITY[0]))
+    busy = far.groupBy("node").agg(F.count("*").alias("far")).join(nodes.select("node", "n"), "node").where(F.least(F.lit(SKETCH), F.col("n")) - F.col("far") <= few).select("node")
+    far = far.where("early").join(busy, "node")
+    grouped = saved(far.join(found, "node", "left").select("value", "node", F.coalesce("root", "node").alias("grp")), "far")
+    open_ = saved(grouped.groupBy("value").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least < most").select("value"), "open")
+    if open_.isEmpty():
+        return None
+    own = saved(grouped.join(open_, "value").select("node", "grp").distinct(), "own")
+    sets = saved(_sets(docs, nodes.join(own, "node").select(F.col("node").alias("rep"), F.col("grp").alias("root"), "least", "mark"), width, seed), "sets")
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 200):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(b.column("hashes").slice(at, 200).to_pylist()), np.int64))], names=["value"])
+
+    counts = sets.select("hashes").mapInArrow(every, "value long").groupBy("value").count()
+    frequent = sieve(saved(counts.where(F.col("count") > long), "frequent"), "value")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                b = batch.slice(at, 200)
+                whole = [np.frombuffer(h, np.int64) for h in b.column("hashes").to_pylist()]
+                if not whole:
+                    continue
+                early = [x[np.argsort(passes(frequent.value, x), kind="stable")][: _unshared(len(x)) + 1] for x in whole]
+                k = [len(x) for x in early]
+                owners = [np.repeat(x, k) for x in (b.column("rep").to_numpy(), b.column("root").to_numpy(), [len(x) for x in whole])]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(early), *owners, np.concatenate([np.arange(x) for x in k]))], names=["value", "rep", "grp", "n", "at"])
+
+    rows = saved(sets.select("rep", "root", "hashes").mapInArrow(first, "value long, rep long, grp long, n long, at long"), "prefixes")
+    over, under = SIMILARITY
+    side = lambda x: rows.select("value", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "grp", "n", "at")])
+    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    # the pair's intersection c has under * c >= over * (n_a + n_b - c)
+    pairs = side("a").join(side("b"), "value").where((F.col("rep_a") < F.col("rep_b")) & (F.col("grp_a") != F.col("grp_b")) & (room * (over + under) >= (F.col("n_a") + F.col("n_b")) * over))
+    pairs = saved(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), "rest")
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                common = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                keep.append(under * common >= over * ((len(x) + len(y)) // 8 - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    whole = lambda c, x: sets.select(F.col("rep").alias(c), F.col("hashes").alias(x))
+    return saved(pairs.join(whole("a", "x"), "a").join(whole("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(similar, "a long, b long"), "links")
+
+
+def _sets(docs: DataFrame, members: DataFrame, width: int, seed: int) -> DataFrame:
+    """rep, root and hashes (the full set) of the nodes ``members`` (rep, root, least, mark), one row each."""
+    # one row of each set: the document that gave it its smallest doc_id
+    texts = sifted(docs.select(F.col("doc_id").cast("long").alias("own"), F.xxhash64("text").alias("mark"), "text"), "mark", sieve(members, "mark"))
+    texts = texts.join(members, "mark").where(F.col("own").eqNullSafe(F.col("least")))
+    return shingle_rows(texts.select("rep", "root", "text"), width, seed).groupBy("rep").agg(F.first("root").alias("root"), F.first("hashes").alias("hashes"))
+
+
 def near_components(docs: DataFrame, width: int = 4, seed: int = 42, long: int = LONG, cold: int = COLD) -> DataFrame:
     """doc_id, n_shingles, component_id (the component's smallest doc_id) and kept (whether that is the row's own) of every row."""
     rows = saved(sketches(docs, width, seed), "sketches")
     nodes = rows.where("n > 0").groupBy("set_id").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))).alias("first"), F.first("mark").alias("mark"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = saved(nodes.select("set_id", F.col("first.doc_id").alias("least"), F.coalesce("first.mark", "mark").alias("mark"), "n", "sketch", F.monotonically_increasing_id().alias("node")), "nodes")
-    near = components(plausible(candidates(nodes, long, cold), nodes))
+    held = inverted(nodes)
+    near = components(plausible(candidates(nodes, long, cold, held), nodes))
     members = saved(nodes.join(near.select("node", "root"), "node").select(F.col("node").alias("rep"), "root", "least", "mark"), "near")
-    # one row of each set: the document that gave it its smallest doc_id
-    texts = sifted(docs.select(F.col("doc_id").cast("long").alias("own"), F.xxhash64("text").alias("mark"), "text"), "mark", sieve(members, "mark"))
-    texts = texts.join(members, "mark").where(F.col("own").eqNullSafe(F.col("least")))
-    sets = shingle_rows(texts.select("rep", "root", "text"), width, seed).groupBy("rep").agg(F.first("root").alias("root"), F.first("hashes").alias("hashes"))
-    found = components(links_within(saved(sets, "sets")))
+    found = components(links_within(saved(_sets(docs, members, width, seed), "sets")))
+    more = rest(docs, nodes, held[1].where(F.col("m") > long), found, width, seed, long)
+    if more is not None and not more.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     tops = saved(nodes.join(found, "node", "left").select("set_id", "least", F.coalesce("root", "node").alias("root")), "tops")
     names = tops.groupBy("root").agg(F.min("least").alias("component_id"))
     tops = saved(tops.join(names, "root").select("set_id", "component_id"), "names")

@@ -115,3 +115,18 @@ def test_nulls_repeats_long_texts_and_empty_tables(spark, make_docs):
     rows = [(1, None), (2, ""), (3, " \t\n"), (None, near), (4, near.upper()), (5, near + " tail"), (None, near + " tail"), (None, None), (6, long_text), (7, long_text + " x"), (8, "one two"), (8, "One  two"), (9, "one two three"), (None, "one two three four five"), (None, "one two three four five")]
     assert found(minhash.near_components(make_docs(rows))) == expected(rows)
     assert not minhash.near_components(make_docs([])).collect()
+
+
+def test_similar_sets_that_meet_in_long_lists_only(spark):
+    """All sets share a header, whose values are the first that are followed, and no head of a list is like any other member."""
+    from tessera.llm.simhash import shingle_set
+
+    rng = random.Random(3)
+    words = sorted((f"w{k}" for k in range(400)), key=lambda w: shingle_set(w.encode(), 1, 42).view("int64")[0])
+    header, others = words[:18], words[18:168]
+    sets = [header + rng.sample(others, 45) for _ in range(600)]
+    twins = [s[:-3] + rng.sample([w for w in others if w not in s], 3) for s in sets[:12]]
+    rows = [(k, " ".join(rng.sample(s, len(s)))) for k, s in enumerate(sets + twins)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(k, 63, k if k < 600 else k - 600, k < 600) for k in range(612)]
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_components(df, width=1).collect()) == want
