@@ -97,6 +97,44 @@ def test_dense_events_are_counted_without_a_join(spark, tmp_path):
     assert tuple(found) == (4000 * 3999 // 2, 4000, 4000) and time.monotonic() - began < 120
 
 
+def test_copies_are_dealt_and_met_together(spark, tmp_path):
+    """200 copies of 20 events within an hour: rows are joined by their times, and the pairs of copies follow one another, so that they take less than a byte a pair as Parquet (1.7 where each row is joined by itself)."""
+    rows = spark.range(4000).select(F.col("id").alias("event_id"), F.lit("e").alias("event_type"), (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, 0, id % 20 * 173 + 0.5)")).alias("ts"), F.expr("id * id % 7").alias("user_id"), F.lit(1.0).alias("value"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    n = same_as_sql(spark, "pair_overlap", str(tmp_path), ["events"])
+    assert n == 20 * 200 * 199 // 2 + 19 * 200 * 200
+    entry.queries()["pair_overlap"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/pairs")
+    assert sum(x.stat().st_size for x in (tmp_path / "pairs").glob("*.parquet")) < n
+
+
+def test_packed_pairs_equal_the_plain_ones(spark):
+    rng = random.Random(9)
+    rows = [(f"i{k}", (k * 7919) % 1009, g, s, e, rng.choice(["u", "v", None])) for k, (_, g, s, e) in enumerate(made(rng, 120) * 4)]
+    rows += [(f"j{k}", 2000 + k, "x", 50, 60, "u") for k in range(90)] + [("none", None, "x", 50, 60, "u"), (None, 3000, "x", 50, 60, "v")]
+    df = spark.createDataFrame(rows, "id string, o long, chr string, start long, end long, fam string").withColumn("c", F.col("start") * 2)
+    for width in (10**9, "levels", None):
+        few = df.where("abs(start) < 1000000000 and end - start <= 1000000000 and start <= end") if width != "levels" else df
+        plain, packed = (intervals.pair_overlaps(few, "id", "o", label="fam", width=width, carried=("c",), together=t) for t in (None, 30))
+        assert packed.columns == plain.columns and packed.dtypes == plain.dtypes
+        assert "posexplode" in packed._jdf.queryExecution().toString() and "posexplode" not in plain._jdf.queryExecution().toString()
+        want = sorted(map(repr, plain.collect()))
+        assert sorted(map(repr, packed.collect())) == want and len(want) > 5000
+
+
+def test_intervals_that_do_not_repeat_are_joined_as_they_are(spark):
+    df = spark.range(500).select("id", F.lit("x").alias("chr"), (F.col("id") + 1).alias("start"), (F.col("id") + 2).alias("end"))
+    pairs = intervals.pair_overlaps(df, "id", "id", width=10, together=30)
+    assert "posexplode" not in pairs._jdf.queryExecution().toString() and pairs.count() == 499
+    assert intervals.pair_overlaps(df.where("false"), "id", "id", width=10, together=30).count() == 0
+
+
+def test_a_large_class_is_cut(spark):
+    df = spark.range(5000).select("id", F.lit("x").alias("chr"), F.when(F.col("id") < 4990, 7).otherwise(F.col("id")).alias("start"), F.lit(9000).alias("end"))
+    got = intervals._classes(df, ("chr", "start", "end"), ["id"], 100).collect()
+    assert sorted(x for r in got for x in r["id"]) == list(range(5000)) and all(r["id"] == sorted(r["id"]) for r in got)
+    assert 40 <= sum(r["start"] == 7 for r in got) <= 50 and max(len(r["id"]) for r in got) < 200
+
+
 def test_no_row_limit_where_all_are_asked_for(spark):
     from tessera.plans.facade import Atlas
 
