@@ -128,6 +128,18 @@ def test_intervals_that_do_not_repeat_are_joined_as_they_are(spark):
     assert intervals.pair_overlaps(df.where("false"), "id", "id", width=10, together=30).count() == 0
 
 
+def test_dense_copies_are_dealt_by_their_pairs(spark, tmp_path, monkeypatch):
+    """2000 events of five hours in 100 copies are a few kB where they are dealt, which adaptive execution gave to one task with all pairs."""
+    monkeypatch.setattr(intervals, "PAIRS", 5_000, raising=False)
+    rows = spark.range(2000).select(F.col("id").alias("event_id"), F.lit("e").alias("event_type"), (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, 0, id % 20 * 900 + 0.5)")).alias("ts"), F.expr("id * id % 7").alias("user_id"), F.lit(1.0).alias("value"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    assert same_as_sql(spark, "pair_overlap", str(tmp_path), ["events"]) == 20 * 100 * 99 // 2
+    found = entry.queries()["pair_overlap"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(found) > 4 and max(r["count"] for r in found) < 99_000 / 2
+    plan = entry.queries()["pair_overlap"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("ENSURE_REQUIREMENTS") <= plan.count("ObjectHashAggregate") + plan.count("HashAggregate")  # the join deals nothing again
+
+
 def test_a_large_class_is_cut(spark):
     df = spark.range(5000).select("id", F.lit("x").alias("chr"), F.when(F.col("id") < 4990, 7).otherwise(F.col("id")).alias("start"), F.lit(9000).alias("end"))
     got = intervals._classes(df, ("chr", "start", "end"), ["id"], 100).collect()
